@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from earshot.llm import decontaminate, exact_dedup, line_dedup, sentencepiece_codec, sharding
+from earshot.llm import decontaminate, exact_dedup, html_extract, line_dedup, sentencepiece_codec, sharding, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
+    "op2_html_extraction": html_extract.op2_html_extraction,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_warc": warc.op4_warc,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_sentencepiece": sentencepiece_codec.op6_sentencepiece,
     "op7_sharding": sharding.op7_sharding,
@@ -14,6 +16,7 @@ QUERIES = {
 ORACLES = {
     "op1_decontamination": decontaminate.ORACLE,
     "op3_exact_dedup": exact_dedup.ORACLE,
+    "op4_warc": warc.ORACLE,
     "op5_line_dedup": line_dedup.ORACLE,
     "op7_sharding": sharding.ORACLE,
 }
