@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from earshot.llm import decontaminate, exact_dedup, html_extract, line_dedup, sentencepiece_codec, sharding, warc
+from earshot.llm import decontaminate, exact_dedup, html_extract, line_dedup, ngram_join, quality_gam, sentencepiece_codec, sharding, token_counts, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -12,6 +12,9 @@ QUERIES = {
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_sentencepiece": sentencepiece_codec.op6_sentencepiece,
     "op7_sharding": sharding.op7_sharding,
+    "op8_ngram_join": ngram_join.op8_ngram_join,
+    "op9_token_counts": token_counts.op9_token_counts,
+    "op10_quality": quality_gam.op10_quality,
 }
 ORACLES = {
     "op1_decontamination": decontaminate.ORACLE,
@@ -19,4 +22,5 @@ ORACLES = {
     "op4_warc": warc.ORACLE,
     "op5_line_dedup": line_dedup.ORACLE,
     "op7_sharding": sharding.ORACLE,
+    "op8_ngram_join": ngram_join.ORACLE,
 }
