@@ -2,6 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from earshot.plans.fixtures import fixture, oracle
+
 FLAGSHIP = "x01_general_coverage"
-QUERIES: dict = {}
-ORACLES: dict = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+class Tables:
+    """The tables and fixtures of one call, by name."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("fx_"):
+            return fixture(self.spark, self.sf_dir, name)
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+
+def query(name: str, sql: str | None = None, *fixtures: str):
+    """Registers ``f(tables)`` under ``name`` with its oracle."""
+
+    def register(f: Callable[[Tables], DataFrame]):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(Tables(spark, sf_dir))
+
+        run.__name__, run.__doc__ = name, f.__doc__
+        QUERIES[name] = run
+        if sql:
+            ORACLES[name] = oracle(sql, *fixtures)
+        return f
+
+    return register
+
+
+from earshot.plans import queries_scalars  # noqa: E402, F401
