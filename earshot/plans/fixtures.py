@@ -108,6 +108,43 @@ select p_partkey as osm_id,
   case p_partkey % 9 when 1 then 'primary' when 2 then 'footway' when 3 then 'track' else null end as highway,
   case p_partkey % 4 when 0 then '3' when 1 then '2;4' when 2 then '' else null end as levels,
   case p_partkey % 5 when 0 then '12,5' when 1 then 'n/a' else null end as height, p_name as name
+from part""",
+    # three snapshots of one register, all text
+    "fx_v1": """
+select 'P-' || cast(p_partkey as string) as nr_ref, p_name as name, p_brand as brand, cast(p_size as string) as size, cast(p_partkey % 5 as string) as grade
+from part""",
+    "fx_v2": """
+select case when p_partkey % 7 = 3 then 'N-' else 'P-' end || cast(p_partkey as string) as nr_ref, p_name as name,
+  case when p_partkey % 7 = 2 then '' else p_brand end as brand, cast(p_size + case when p_partkey % 7 = 1 then 1 else 0 end as string) as size,
+  cast(p_partkey % 5 as string) as grade
+from part where p_partkey % 7 <> 0""",
+    "fx_v3": """
+select case when p_partkey % 7 = 3 then 'N-' else 'P-' end || cast(p_partkey as string) as nr_ref, p_name || case when p_partkey % 11 = 4 then '!' else '' end as name,
+  case when p_partkey % 7 = 2 then '' else p_brand end as brand, cast(p_size + case when p_partkey % 7 = 1 then 1 else 0 end as string) as size,
+  cast(p_partkey % 5 as string) as grade
+from part where p_partkey % 7 <> 0 and p_partkey % 13 <> 6""",
+    "fx_corrections": """
+select case when p_partkey % 19 = 5 then 'X-' else 'P-' end || cast(p_partkey as string) as nr_ref,
+  case p_partkey % 4 when 0 then 'size' when 1 then 'brand' when 2 then 'grade' else 'colour' end as field,
+  case when p_partkey % 3 = 0 then '' else 'new ' || cast(p_partkey % 10 as string) end as suggested,
+  case when p_partkey % 2 = 0 then cast(p_size as string) else p_brand end as expected, p_partkey % 10 / 10e0 as confidence,
+  case p_partkey % 3 when 0 then 'mode' when 1 then 'mean' else 'rule' end as method
+from part""",
+    "fx_base": """
+select 'S-' || cast(c_custkey as string) as nr_ref, case when c_custkey % 3 = 0 then 'cyfrowa' else 'analogowa' end as kind,
+  cast(300 + c_custkey % 20 * 100 as string) as moc_w, cast(c_custkey % 28 + 3 as string) as height, cast(49 + c_custkey % 6 as string) as lat,
+  cast(14 + c_custkey % 10 as string) as lon, case when c_custkey % 2 = 0 then 'TAK' else 'NIE' end as gsm,
+  case c_custkey % 10 when 0 then '0' when 1 then 'nie' when 2 then '' else '1' end as active
+from customer""",
+    "fx_overlay": """
+select p_partkey as row_no,
+  case p_partkey % 9 when 0 then 'add' when 1 then 'update' when 2 then 'disable' when 3 then 'move' when 4 then 'add' when 5 then 'update' when 6 then '' when 7 then 'disable'
+       else 'update' end as operation,
+  case when p_partkey % 9 = 6 then '' when p_partkey % 31 = 8 then 'S-1' when p_partkey % 9 in (0) then 'Z-' || cast(p_partkey as string) else 'S-' || cast(p_partkey as string) end as nr_ref,
+  case when p_partkey % 9 in (0, 4) then lpad(cast(2 + cast(floor(p_partkey / 20e0) as bigint) * 0 as string), 2, '0') || '01' || '0' || cast(p_partkey % 6 as string) || cast(p_partkey % 3 + 1 as string) else '' end as unit,
+  case when p_partkey % 9 in (0, 1) then 'cyfrowa' else '' end as kind, case when p_partkey % 9 in (0, 1) then cast(200 + p_partkey % 60 * 100 as string) else '' end as moc_w,
+  case when p_partkey % 9 in (0, 5) then cast(p_partkey % 40 as string) else '' end as height, case when p_partkey % 9 = 0 then '52,5' else '' end as lat,
+  case when p_partkey % 9 = 0 then '19.25' else '' end as lon, case when p_partkey % 9 = 7 then 'TAK' else '' end as gsm
 from part""",
 }
 SQL["fx_sites"] = SQL["fx_sites"].replace(
@@ -117,8 +154,9 @@ SQL["fx_sites"] = SQL["fx_sites"].replace(
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A projection as a DataFrame; the parquet scan sees only its columns."""
-    source = SQL[name].rsplit("from ", 1)[1].split()[0]
-    text = SQL[name].rsplit("from ", 1)[0] + "from {source}"
+    head, tail = SQL[name].rsplit("from ", 1)
+    source, *rest = tail.split()
+    text = f"{head}from {{source}} {' '.join(rest)}"
     return spark.sql(text.replace('"natural"', "`natural`"), source=spark.read.parquet(f"{sf_dir}/{source}.parquet"))
 
 

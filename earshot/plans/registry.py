@@ -41,4 +41,4 @@ def query(name: str, sql: str | None = None, *fixtures: str):
     return register
 
 
-from earshot.plans import queries_audit, queries_scalars  # noqa: E402, F401
+from earshot.plans import queries_audit, queries_changes, queries_scalars  # noqa: E402, F401
