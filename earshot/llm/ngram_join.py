@@ -44,7 +44,7 @@ OVER = 5
 BLOCK_SETS = 256
 #: Survivor ids (16 bytes each) are broadcast up to so many.
 BROADCAST_IDS = 400_000
-_KEPT_WORDS = 1_000_000
+_KEPT_WORDS = 200_000
 
 
 def _least(n, percent: int = PERCENT):
@@ -52,6 +52,12 @@ def _least(n, percent: int = PERCENT):
     return -(-percent * n // 100)
 
 
+def _release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffles of steps whose results are written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Shingler:
     """Sorted distinct 64-bit shingle hashes of a text: words are runs of bytes
     other than ASCII white space, A-Z in lower case."""
@@ -106,46 +112,44 @@ def _heads(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _whole_sets(texts: DataFrame, words: int) -> DataFrame:
-    """rep, n, shingles of the rows whose set is the one asked for."""
+    """node (s1), n, shingles of the rows whose set is the one asked for."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words)
         for batch in batches:
             rows = []
-            for rep, text, s1, s2 in zip(batch["rep"], batch["text"], batch["s1"], batch["s2"], strict=True):
+            for text, s1, s2 in zip(batch["text"], batch["s1"], batch["s2"], strict=True):
                 s = shingler(text)
                 if _set_ids(s) == (s1, s2):
-                    rows.append((rep, len(s), s))
-            yield pd.DataFrame(rows, columns=["rep", "n", "shingles"])
+                    rows.append((s1, len(s), s))
+            yield pd.DataFrame(rows, columns=["node", "n", "shingles"])
 
-    return texts.mapInPandas(run, "rep long, n long, shingles array<long>")
-
-
-def _release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffles of steps whose results are written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    return texts.mapInPandas(run, "node long, n long, shingles array<long>")
 
 
 def survivors(heads: DataFrame) -> DataFrame:
     """(rep, s1, s2): sets that may have a partner."""
     probes = heads.where("n > 0").select("s1", "s2", "least", F.explode("prefix").alias("shingle"))
     shared = materialize(probes.groupBy("shingle").count().where("count > 1").select("shingle"), "shared")
+    _release(heads.sparkSession)
     counts = probes.join(shared, "shingle").groupBy("s1", "s2", "least").count().where("count >= least").select("s1", "s2")
     classes = heads.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
     return materialize(classes.join(counts, ["s1", "s2"]).where("rep is not null"), "survivors")
 
 
 def ordered_sets(sets: DataFrame, percent: int) -> DataFrame:
-    """(rep, n, left, seq, dfs): shared shingles rarest first; ``left`` of them lie in the prefix."""
-    held = sets.select("rep", "n", F.explode("shingles").alias("shingle"))
-    counts = materialize(held.groupBy("shingle").agg(F.count(F.lit(1)).cast("int").alias("df")).where("df > 1"), "frequencies")
-    shared = held.join(counts, "shingle").groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("seq"))
+    """(node, n, left, seq): the shared shingles of each set, rarest first; ``left``
+    of them lie in the prefix. A member of ``seq`` is one number that sorts by the
+    frequency's class (eighths of powers of two, 9 bits), then by 54 bits of hash."""
+    held = sets.select("node", F.explode("shingles").alias("shingle"))
+    counts = materialize(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
+    _release(sets.sparkSession)
+    rank = F.shiftleft(F.least(F.floor(F.log2("df") * 8), F.lit(511)).cast("long"), 54).bitwiseOR(F.col("shingle").bitwiseAND(F.lit(2**54 - 1)))
+    shared = held.join(counts, "shingle").select("node", rank.alias("rank")).groupBy("node").agg(F.array_sort(F.collect_set("rank")).alias("seq"))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     left = (prefix - (F.col("n") - F.size("seq"))).cast("int")
-    return materialize(
-        shared.withColumn("left", left).where("left > 0").select("rep", "n", "left", F.col("seq.shingle").alias("seq"), F.col("seq.df").alias("dfs")), "ordered"
-    )
+    sized = shared.join(sets.select("node", "n").distinct(), "node")
+    return materialize(sized.withColumn("left", left).where("left > 0").select("node", "n", "left", "seq"), "ordered")
 
 
 class Trie:
@@ -202,12 +206,9 @@ class Trie:
 
 
 def _forest(unit: list[tuple], percent: int) -> list[tuple[int, int]]:
-    """Links (rep, rep) of one unit that span its components. Side 0 is the trie;
+    """Links (node, node) of one unit that span its components. Side 0 is the trie;
     side 1, or side 0 itself where the unit has one side, walks it."""
-    shingles = np.concatenate([u[3] for u in unit])
-    order = np.lexsort((shingles, np.concatenate([u[4] for u in unit])))
-    ranks, flat = np.empty(len(order), np.int64), shingles[order]
-    ranks[order] = np.cumsum(np.r_[True, flat[1:] != flat[:-1]]) - 1
+    _, ranks = np.unique(np.concatenate([u[3] for u in unit]), return_inverse=True)
     seqs = np.split(ranks, np.cumsum([len(u[3]) for u in unit])[:-1])
     left = [i for i, u in enumerate(unit) if u[0] == 0]
     right = [i for i, u in enumerate(unit) if u[0] == 1] or left
@@ -238,11 +239,11 @@ def _join_units(units: DataFrame, percent: int) -> DataFrame:
         unit, held = None, []
         for batch in batches:
             links = []
-            for key, side, rep, n, seq, dfs in batch.itertuples(index=False, name=None):
+            for key, side, node, n, seq in batch.itertuples(index=False, name=None):
                 if key != unit:
                     links += _forest(held, percent) if len(held) > 1 else []
                     unit, held = key, []
-                held.append((side, rep, n, seq, dfs))
+                held.append((side, node, n, seq))
             yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
         if len(held) > 1:
             yield pd.DataFrame(_forest(held, percent), columns=["a", "b"], dtype="int64")
@@ -251,15 +252,15 @@ def _join_units(units: DataFrame, percent: int) -> DataFrame:
 
 
 def _units(ordered: DataFrame, percent: int, block_sets: int) -> DataFrame:
-    """(unit, side, rep, n, seq, dfs): the rows of each unit of work."""
-    postings = ordered.select("rep", F.explode(F.slice("seq", 1, F.col("left"))).alias("shingle"))
-    hubs = materialize(postings.groupBy("shingle").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).where("hub < top").drop("top"), "hubs")
-    edges = postings.join(hubs, "shingle").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    families = connected_components(edges).select(F.col("node").alias("rep"), F.col("component").alias("family"))
+    """(unit, side, node, n, seq): the rows of each unit of work."""
+    postings = ordered.select("node", F.explode(F.slice("seq", 1, F.col("left"))).alias("shingle"))
+    hubs = materialize(postings.groupBy("shingle").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top").drop("top"), "hubs")
+    edges = postings.join(hubs, "shingle").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    families = connected_components(edges).select("node", F.col("component").alias("family"))
     # sizes that can match lie in the same or in neighbouring classes
     width = float(np.log(100 / percent) * 1.0001)
     members = materialize(
-        ordered.select("rep", F.floor(F.log("n") / width).cast("int").alias("c")).join(families, "rep"), "members"
+        ordered.select("node", F.floor(F.log("n") / width).cast("int").alias("c")).join(families, "node"), "members"
     )
     blocks = members.groupBy("family", "c").agg(F.count(F.lit(1)).alias("n_c"))
     sizes = blocks.groupBy("family").agg(F.sum("n_c").alias("n_f"))
@@ -271,7 +272,7 @@ def _units(ordered: DataFrame, percent: int, block_sets: int) -> DataFrame:
         .join(blocks, ["family", "c"])
         .join(beside(-1, "above"), ["family", "c"], "left")
         .join(beside(1, "below"), ["family", "c"], "left")
-        .withColumn("i", F.when(F.col("n_f") <= block_sets, 0).otherwise(F.pmod(F.xxhash64("rep"), F.col("nb"))).cast("int"))
+        .withColumn("i", F.when(F.col("n_f") <= block_sets, 0).otherwise(F.pmod(F.xxhash64("node"), F.col("nb"))).cast("int"))
     )
 
     def upto(count, one):
@@ -286,8 +287,8 @@ def _units(ordered: DataFrame, percent: int, block_sets: int) -> DataFrame:
     down = upto(F.coalesce("below", F.lit(0)), lambda j: unit(c - 1, j, c, i, F.lit(1)))
     whole = F.array(F.struct(F.col("family").cast("string").alias("u"), F.lit(0).alias("side")))
     places = F.when(F.col("n_f") <= block_sets, whole).otherwise(F.concat(same, up, down))
-    rows = materialize(dealt.select("rep", F.explode(places).alias("p")).select("rep", "p.u", "p.side"), "places")
-    return rows.join(ordered, "rep").select(F.col("u").alias("unit"), "side", "rep", "n", "seq", "dfs")
+    rows = materialize(dealt.select("node", F.explode(places).alias("p")).select("node", "p.u", "p.side"), "places")
+    return rows.join(ordered, "node").select(F.col("u").alias("unit"), "side", "node", "n", "seq")
 
 
 def ngram_components(
@@ -298,10 +299,10 @@ def ngram_components(
     A document of fewer than ``words`` words has one shingle, the whole sequence;
     one without words, or null, has none and is linked with nothing. component_id
     is the smallest doc_id reachable by links of ``100 * shared >= percent *
-    union``. Ids are whole numbers. A null id is never a component: such a row
-    takes that of a document with an equal set that has an id, else null. Rows
-    that repeat an id are each compared. No rows give no rows; other columns are
-    not read.
+    union``. Ids are whole numbers. A null id is never a component, and sets that
+    only rows without an id have are linked with nothing: such a row takes the
+    component of an equal set that has an id, else null. Rows that repeat an id
+    are each compared. No rows give no rows; other columns are not read.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -309,16 +310,17 @@ def ngram_components(
     found = survivors(heads)
     _release(spark)
     wanted = broadcast_if_small(found, found.count(), BROADCAST_IDS)
-    texts = slim.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "text", "s1", "s2")
+    texts = slim.join(wanted, F.col("doc_id") == F.col("rep")).select("text", "s1", "s2")
     ordered = ordered_sets(materialize(_whole_sets(texts, words), "sets"), percent)
     _release(spark)
     units = _units(ordered, percent, block_sets)
-    links = _join_units(units.repartition("unit").sortWithinPartitions("unit", "side", "rep"), percent)
-    linked = connected_components(links).select(F.col("node").alias("rep"), F.col("component"))
+    links = _join_units(units.repartition("unit").sortWithinPartitions("unit", "side", "node"), percent)
+    linked = connected_components(links).select(F.col("node").alias("s1"), F.col("component").alias("label"))
     _release(spark)
     classes = heads.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
-    named = classes.join(linked, "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
-    named = materialize(named, "components")
+    classes = materialize(classes.join(linked, "s1", "left").withColumn("label", F.coalesce("label", "s1")), "classes")
+    lowest = materialize(classes.groupBy("label").agg(F.min("rep").alias("component")), "lowest")
+    named = materialize(classes.join(lowest, "label").select("s1", "s2", "component"), "components")
     own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return (
         heads.select("doc_id", "n", "s1", "s2")
@@ -341,7 +343,8 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
-           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'),
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'),
            lambda x: x <> '') AS ws FROM documents),
 g AS (
   SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(ws) - 3, 1) + 1), lambda i: array_to_string(ws[i : i + 3], ' '))) AS s
