@@ -7,18 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from earshot.plans.fixtures import fixture, oracle
+from earshot.sources.storage import materialize
 
 FLAGSHIP = "x01_general_coverage"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+#: Stage tables of this process: (application, folder of the tables, name) -> table.
+_STAGES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def forget_stages() -> None:
+    """Later queries compute their stages anew."""
+    _STAGES.clear()
+
+
 class Tables:
     """The tables and fixtures of one call, by name."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def stage(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A step that several later ones read: written once as a stage table, as a
+        chain of jobs would leave it, and read by every query of the application."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _STAGES:
+            _STAGES[key] = materialize(make(), name)
+        return _STAGES[key]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("fx_"):
             return fixture(self.spark, self.sf_dir, name)
@@ -41,4 +59,4 @@ def query(name: str, sql: str | None = None, *fixtures: str):
     return register
 
 
-from earshot.plans import queries_audit, queries_changes, queries_scalars  # noqa: E402, F401
+from earshot.plans import queries_audit, queries_changes, queries_coverage, queries_exposure, queries_results, queries_scalars  # noqa: E402, F401
