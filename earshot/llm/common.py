@@ -2,35 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from earshot.operators.components import connected_components
+from earshot.sources.storage import materialize, shared_dir, shared_path
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor can reach: ``spark.checkpoint.dir`` of the
-    session. Where it is unset (tests on one machine) a fresh one is set."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="earshot-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` as a table in the shared folder and reads it back. It cuts
-    the lineage, so a lost executor costs one stage, and gives the next join a
-    side that is a plain scan, which adaptive execution can split when a key is hot."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["broadcast_if_small", "connected_components", "materialize", "shared_dir", "shared_path", "table", "words"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -46,40 +24,3 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
 def words(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-
-
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, component) for every node of ``edges`` (a, b), longs; component is
-    the smallest node reachable. Alternates large-star and small-star; every
-    round is written to the shared folder. Raises if it has not settled in
-    ``max_rounds``. Self-loops and nulls in edges are ignored; no edges, no rows."""
-
-    def star(e: DataFrame, larger: bool) -> DataFrame:
-        both = e if not larger else e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        low = materialize(low, "cc-low")
-        met = both.join(low, "a")
-        if larger:
-            return met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        kept = met.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        return kept.union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-
-    def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    # every edge points from the larger to the smaller node
-    e = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    e = materialize(e, "cc")
-    before = state(e)
-    for _ in range(max_rounds):
-        if before[0] == 0:
-            break
-        e = materialize(star(star(e, True), False), "cc")
-        now = state(e)
-        if now == before:
-            break
-        before = now
-    else:
-        raise RuntimeError(f"components have not settled in {max_rounds} rounds")
-    roots = e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
