@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from earshot.llm.common import materialize, table
 
-SHARDS, SEED, BUCKET_ROWS = 8, "2026", 4_096
+SHARDS, SEED, BUCKET_ROWS = 8, "2026", 1_024
 
 
 def _hex_fraction(text: Column, digits: int = 8) -> Column:
