@@ -1,0 +1 @@
+"""Column expressions: text, numbers, codes, projections and geometry measures."""

@@ -1,0 +1 @@
+"""Fixtures and registered queries with their SQL oracles."""

@@ -1,0 +1 @@
+"""Files, manifests and tables of the shared folder."""
