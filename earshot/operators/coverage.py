@@ -28,6 +28,8 @@ CLUTTER_RULES = [
 ]
 ROADS = "motorway trunk primary secondary tertiary unclassified residential service living_street pedestrian track".split()
 NUMBERING_BLOCK = 4096
+#: Low bits of a packed maximum that hold the site.
+UID_BITS = 36
 
 
 def profile(power: Column) -> tuple[Column, Column, Column]:
@@ -67,11 +69,19 @@ def dedup_sites(sites: DataFrame) -> DataFrame:
 
 def best_levels(sites: DataFrame, least: float, cell: int = CELL) -> DataFrame:
     """(cx, cy, level, site_uid): the strongest free-field level of each cell in
-    reach of ``least`` dB and its site; equal levels go to the smaller uid."""
+    reach of ``least`` dB (0 at least) and its site; equal levels go to the smaller uid.
+
+    Level (in millionths) and uid are packed into one long, so the maximum is a
+    hash aggregate; the maximum of a struct would sort all exploded rows.
+    """
+    if least < 0:
+        raise ValueError("least must not be negative")
     seen = window_cells(sites.select("x", "y", "spl30", "site_uid", radius(F.col("spl30"), least).alias("__r")), "__r", cell)
     level = F.round(F.col("spl30") - 20 * F.log10(F.greatest(F.col("dist"), F.lit(REFERENCE_M)) / REFERENCE_M), 6)
-    best = seen.select("cx", "cy", level.alias("level"), "site_uid").groupBy("cx", "cy").agg(F.max(F.struct("level", (-F.col("site_uid")).alias("neg"))).alias("b"))
-    return best.select("cx", "cy", "b.level", (-F.col("b.neg")).alias("site_uid"))
+    packed = F.shiftleft(F.round(level * 1e6).cast("bigint"), UID_BITS) + (F.lit(2**UID_BITS - 1) - F.col("site_uid"))
+    best = seen.select("cx", "cy", packed.alias("p")).groupBy("cx", "cy").agg(F.max("p").alias("p"))
+    uid = F.lit(2**UID_BITS - 1) - F.col("p").bitwiseAND(F.lit(2**UID_BITS - 1))
+    return best.select("cx", "cy", (F.shiftright("p", UID_BITS) / 1e6).alias("level"), uid.alias("site_uid"))
 
 
 def clutter_cells(touched: DataFrame) -> DataFrame:

@@ -45,10 +45,19 @@ def _span(low: Column, high: Column) -> Column:
     return F.when(high >= low, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
 
 
+def deal(df: DataFrame) -> DataFrame:
+    """A small table whose rows become many, over all shuffle partitions."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def window_cells(points: DataFrame, radius: str, cell: int = CELL) -> DataFrame:
-    """``points`` once per cell whose centre is within the radius, with cx, cy and dist."""
+    """``points`` once per cell whose centre is within the radius, with cx, cy and dist.
+
+    A point becomes up to tens of thousands of cells, and a small table of points
+    would be read by one task: the points are dealt over all shuffle partitions first.
+    """
     r, centre = F.col(radius), lambda c: (F.col(c) + 0.5) * cell
-    rows = points.withColumn("cy", F.explode(_span(cell_of(F.col("y") - r, cell), cell_of(F.col("y") + r, cell))))
+    rows = deal(points).withColumn("cy", F.explode(_span(cell_of(F.col("y") - r, cell), cell_of(F.col("y") + r, cell))))
     rows = rows.withColumn("cx", F.explode(_span(cell_of(F.col("x") - r, cell), cell_of(F.col("x") + r, cell))))
     dx, dy = centre("cx") - F.col("x"), centre("cy") - F.col("y")
     return rows.withColumn("dist", F.sqrt(dx * dx + dy * dy)).where(F.col("dist") <= r)

@@ -60,7 +60,7 @@ def sites(t):
 
 def clutter(t):
     zones = t.fx_risk.withColumns({"att_db": (c("zone_id") % 5 * 2).cast("double"), "seq": c("zone_id")})
-    return V.clutter_cells(G.box_cells(zones, touched=True))
+    return V.clutter_cells(G.box_cells(G.deal(zones), touched=True))
 
 
 def built(t):
@@ -244,7 +244,7 @@ _RUNS = _RISK + """, ru AS (SELECT risk, cy, min(cx) AS start, count(*) AS n FRO
 
 
 def risk_cells(t):
-    return G.box_cells(t.fx_risk).groupBy("cx", "cy").agg(F.max("risk").alias("risk"))
+    return G.box_cells(G.deal(t.fx_risk)).groupBy("cx", "cy").agg(F.max("risk").alias("risk"))
 
 
 @query("g11_rectangles", _RUNS + " SELECT risk, start * 100 AS xmin, cy * 100 AS ymin, n * 100 AS w, 100::BIGINT AS h FROM ru", "fx_risk")
