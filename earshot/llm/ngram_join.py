@@ -343,8 +343,7 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
-           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
-]+'),
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
            lambda x: x <> '') AS ws FROM documents),
 g AS (
   SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(ws) - 3, 1) + 1), lambda i: array_to_string(ws[i : i + 3], ' '))) AS s
