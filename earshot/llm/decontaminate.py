@@ -47,9 +47,10 @@ def contamination(
     least ``threshold`` of an item's shingles; ``body`` hashes the text.
 
     Words are lower-case runs of letters and digits. Texts and items of fewer
-    than five words have no shingle and never match; nor do nulls. Repeated item
-    rows with one id are one item (shingles are joined); repeated document rows
-    give one row. No rows in, no rows out; other columns are not read.
+    than five words have no shingle and never match; nor do null texts
+    and items without an id. Repeated item rows with one id are one item (shingles
+    are joined); repeated document rows give one row. No rows in, no rows out;
+    other columns are not read.
     """
     percent = round(threshold * 100)
     shingles = materialize(item_shingles(items, item_id_col, item_text_col, n), "items")

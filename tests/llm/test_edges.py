@@ -3,6 +3,7 @@
 import gzip
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ def test_line_dedup_within_a_document(spark):
 
 
 def test_decontamination(spark, docs, empty):
-    items = spark.createDataFrame([(1, LONG[40:400]), (2, None), (3, "too short"), (4, "not in any document at all here"), (1, LONG[40:400])], "item_id bigint, text string")
+    items = spark.createDataFrame([(1, LONG[40:400]), (2, None), (None, LONG[40:400]), (3, "too short"), (4, "not in any document at all here"), (1, LONG[40:400])], "item_id bigint, text string")
     hits = decontaminate.contamination(docs, items)
     assert sorted((r.doc_id, r.item_id) for r in hits.collect()) == [(4, 1), (5, 1)]
     kept = decontaminate.decontaminate(docs, items)
@@ -97,6 +98,13 @@ def test_ngram_join_against_all_pairs(spark, block):
     assert [got[i] for i in range(len(texts))] == low
 
 
+def test_words_end_at_ascii_white_space_in_code_and_oracle():
+    text = "a\rb\x0bc\x0cd\te\nf g\x1fh\u00a0i"
+    db = duckdb.connect()
+    db.execute("create table documents as select 1 as doc_id, ? as text", [text])
+    assert db.sql(ngram_join.ORACLE).fetchall() == [(1, 4, 1)] and len(ngram_join.Shingler()(text)) == 4
+
+
 def test_trie_finds_what_counting_finds():
     draw = np.random.default_rng(3)
     seqs = [np.unique(draw.integers(0, 40, draw.integers(1, 30))) for _ in range(120)]
