@@ -103,7 +103,7 @@ SAMPLE = COSTED + ", gs AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY
 
 
 def sample(t):
-    return R.gap_sample(E.gaps(t), 200)
+    return R.gap_sample(E.gaps(t))
 
 
 @query("r02_gap_sample", SAMPLE + " SELECT gap_id, score, seed FROM gs", *AF)
