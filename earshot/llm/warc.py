@@ -4,11 +4,13 @@ A WARC record ends with two line breaks, so a table of records is a text table
 whose line separator is that pair: Spark's own writer lays down valid gzip
 archives on any store, with task commits that survive a lost executor. The
 reader checks every record; where a check fails it searches for the next valid
-gzip member or version line, recovers what follows and logs the byte gap.
+gzip member or version line, in packed and plain archives alike, recovers what
+follows and logs the byte gap.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -26,6 +28,8 @@ DATE = "2026-01-01T00:00:00Z"
 MIN_REVISIT_BYTES = 1_000
 RECORDS_PER_FILE = 5_000
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+_GZIP = b"\x1f\x8b\x08"
+_START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _RECORD_ID = "<urn:x-page:"
 
 
@@ -97,6 +101,17 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     writer.text(path)
 
 
+def _sha1(digest: str) -> bytes | None:
+    """The bytes of a labelled SHA-1 in hex or base32; None for anything else."""
+    label, _, value = digest.partition(":")
+    if label.lower() != "sha1":
+        return None
+    try:
+        return bytes.fromhex(value) if len(value) == 40 else base64.b32decode(value, casefold=True)
+    except ValueError:
+        return None
+
+
 def _valid(data: bytes, at: int) -> tuple[dict, int, int] | None:
     """(headers, start and end of the block) of a sound record at ``at``."""
     if not _VERSION.match(data, at):
@@ -114,7 +129,7 @@ def _valid(data: bytes, at: int) -> tuple[dict, int, int] | None:
     if not size.isdigit() or not data.startswith(END, start + int(size)):
         return None
     digest = headers.get("warc-block-digest", "")
-    if digest.startswith("sha1:") and hashlib.sha1(data[start : start + int(size)]).hexdigest() != digest[5:].lower():
+    if digest[:5].lower() == "sha1:" and hashlib.sha1(data[start : start + int(size)]).digest() != _sha1(digest):
         return None
     return headers, start, start + int(size)
 
@@ -137,27 +152,59 @@ def records(data: bytes) -> Iterator[tuple]:
         yield "gap", begin, at, None, None
 
 
+def _unpack(raw: bytes, at: int) -> tuple[int, bytes, bool]:
+    """(end, bytes unpacked, sound) of the gzip member at ``at``; of a damaged one all
+    bytes before the error. Its end is where the error was found or the archive ends."""
+    unpack, parts, to, step = zlib.decompressobj(31), [], at, 65_536
+    while to < len(raw) and not unpack.eof:
+        before = unpack.copy()
+        try:
+            parts.append(unpack.decompress(raw[to : to + step]))
+        except zlib.error:
+            if step == 1:
+                return to, b"".join(parts), False
+            unpack, step = before, max(1, step // 16)
+            continue
+        to = min(len(raw), to + step)
+    return to - len(unpack.unused_data), b"".join(parts), unpack.eof
+
+
+def _opens_member(raw: bytes, at: int) -> bool:
+    """Whether a gzip member with a record's version line begins at ``at``."""
+    return bool(_VERSION.search(_unpack(raw[at : at + 65_536], 0)[1]))
+
+
+def _next_start(raw: bytes, at: int, known: bytes = b"") -> int:
+    """The first gzip member or sound plain record from ``at`` on that isn't in ``known``, else the end."""
+    for mark in _START.finditer(raw, at):
+        if mark[0] == _GZIP:
+            if _opens_member(raw, mark.start()):
+                return mark.start()
+        elif (found := _valid(raw, mark.start())) and raw[mark.start() : found[2]] not in known:
+            return mark.start()
+    return len(raw)
+
+
+def _plain_end(raw: bytes, at: int) -> int:
+    """Where plain records from ``at`` on give way to a gzip member, or the end. Members in the blocks of sound records don't count."""
+    while at < len(raw) and not (raw.startswith(_GZIP, at) and _opens_member(raw, at)):
+        found = _valid(raw, at)
+        at = found[2] + 4 if found else _next_start(raw, at + 1)
+    return at
+
+
 def members(raw: bytes) -> Iterator[tuple[int, int, bytes, bool]]:
-    """(from, to, bytes unpacked, sound) of each gzip member; plain bytes are one member."""
-    if not raw.startswith(b"\x1f\x8b") and raw[:5] == b"WARC/":
-        yield 0, len(raw), raw, True
-        return
+    """(from, to, bytes unpacked, sound) of each gzip member; plain bytes up to the next member are one."""
     at = 0
     while at < len(raw):
-        unpack, parts, to, sound = zlib.decompressobj(31), [], at, False
-        try:
-            while to < len(raw) and not unpack.eof:
-                parts.append(unpack.decompress(raw[to : to + 65_536]))
-                to = min(len(raw), to + 65_536)
-            sound = unpack.eof
-        except zlib.error:
-            pass
-        if sound:
-            end = to - len(unpack.unused_data)
+        if raw.startswith(_GZIP, at):
+            end, data, sound = _unpack(raw, at)
+            if not sound:
+                end = _next_start(raw, at + 1, data)
         else:
-            end = raw.find(b"\x1f\x8b\x08", at + 1)
-            end = len(raw) if end < 0 else end
-        yield at, end, b"".join(parts), sound
+            end, sound = _plain_end(raw, at), True
+            data = raw[at:end]
+        yield at, end, data, sound
         at = end
 
 
@@ -179,7 +226,8 @@ def _record_row(archive: str, member: tuple, item: tuple, payload: bool) -> tupl
     if headers.get("warc-type") == "revisit":
         told = re.search(rb"(?im)^content-length:\s*(\d+)", head)
         size = int(told[1]) if told else None
-        digest = headers.get("warc-payload-digest", "").removeprefix("sha1:").lower() or None
+        told = headers.get("warc-payload-digest", "")
+        digest = known.hex() if (known := _sha1(told)) else told.removeprefix("sha1:").lower() or None
     names = (headers.get(k) for k in ("warc-type", "warc-record-id", "warc-target-uri", "warc-refers-to"))
     return (*where, *names, size, digest, body if payload else None)
 
