@@ -99,7 +99,7 @@ def r01(t):
     return R.sensitive_objects(t.fx_buildings)
 
 
-SAMPLE = COSTED + ", gs AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY score DESC, pop_night DESC, gap_id) AS k FROM kg) WHERE k <= 200 OR seed = 'new_site_likely')"
+SAMPLE = COSTED + ", gs AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY score DESC, pop_night DESC, gap_id) AS k FROM kg) WHERE k <= 2500 OR seed = 'new_site_likely')"
 
 
 def sample(t):
