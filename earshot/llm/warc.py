@@ -1,11 +1,14 @@
 """WARC archives: a writer on Spark's text sink and a salvage reader.
 
-A WARC record ends with two line breaks, so a table of records is a text table
-whose line separator is that pair: Spark's own writer lays down valid gzip
-archives on any store, with task commits that survive a lost executor. The
-reader checks every record; where a check fails it searches for the next valid
-gzip member or version line, in packed and plain archives alike, recovers what
-follows and logs the byte gap.
+Every record is a gzip member of its own, so damage costs the record that it
+hits. The members go through Spark's text sink as rows of raw bytes, on any
+store and with task commits that survive a lost executor; the sink's line
+separator is an empty gzip member, which unpacks to nothing. A task opens the
+next archive once the present one holds ``ARCHIVE_BYTES``.
+
+The reader checks every record; where a check fails it searches for the next
+valid gzip member or version line, in packed and plain archives alike, recovers
+what follows and logs the byte gap.
 """
 
 from __future__ import annotations
@@ -26,10 +29,13 @@ CRLF = "\r\n"
 END = b"\r\n\r\n"
 DATE = "2026-01-01T00:00:00Z"
 MIN_REVISIT_BYTES = 1_000
-RECORDS_PER_FILE = 5_000
-_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+#: Packed bytes after which a task opens its next archive; an archive exceeds it by one record at most.
+ARCHIVE_BYTES = 32 << 20
+#: The reader hands on rows once their payloads reach this size.
+_BATCH_BYTES, _BATCH_ROWS = 16 << 20, 2_000
+_VERSION = re.compile(rb"WARC/\d\.\d\d?\r\n")
+_VERSION_AT_END = re.compile(rb"WARC/\d\.\d\d?\Z")
 _GZIP = b"\x1f\x8b\x08"
-_START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _RECORD_ID = "<urn:x-page:"
 
 
@@ -88,17 +94,43 @@ def record_text(id_col: str, url_col: str) -> Column:
     )
 
 
-def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = MIN_REVISIT_BYTES) -> None:
-    """Writes one record per row as gzip archives below ``path``.
+def _member(data: bytes) -> bytes:
+    """``data`` as one gzip member; equal bytes give equal members."""
+    pack = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return pack.compress(data) + pack.flush()
+
+
+def _packed(archive_bytes: int):
+    """Rows of raw record bytes -> (archive, member); archives are numbered within the task."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        archive, filled = 0, 0
+        for batch in batches:
+            members, archives = [_member(record + END) for record in batch["value"]], []
+            for member in members:
+                if filled >= archive_bytes:
+                    archive, filled = archive + 1, 0
+                filled += len(member)
+                archives.append(archive)
+            yield pd.DataFrame({"archive": archives, "value": members})
+
+    return run
+
+
+def write_warc(
+    pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = MIN_REVISIT_BYTES, archive_bytes: int = ARCHIVE_BYTES
+) -> None:
+    """Writes one record per row, a gzip member each, as archives below ``path``.
 
     A null html is an empty payload, a null url has no target line, a null id an
     empty record name. Rows that share id and payload are all responses. Other
-    columns are not read; no rows write an empty archive.
+    columns are not read, whatever their names; no rows write no archive.
     """
-    slim = pages.select(id_col, url_col, html_col)
-    records = with_revisits(slim, id_col, html_col, min_bytes).select(record_text(id_col, url_col).alias("value"))
-    writer = records.write.option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE)
-    writer.text(path)
+    slim = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    records = with_revisits(slim, min_bytes=min_bytes).select(record_text("page_id", "url").cast("binary").alias("value"))
+    members = records.mapInPandas(_packed(archive_bytes), "archive int, value binary")
+    raw = members.select("archive", F.col("value").cast("string"))
+    raw.write.partitionBy("archive").option("encoding", "ISO-8859-1").option("lineSep", _member(b"").decode("latin-1")).text(path)
 
 
 def _sha1(digest: str) -> bytes | None:
@@ -134,6 +166,34 @@ def _valid(data: bytes, at: int) -> tuple[dict, int, int] | None:
     return headers, start, start + int(size)
 
 
+def _head_start(data: bytes, mark: int, head: int) -> int | None:
+    """The first version line from ``mark`` on whose head ends at ``head``: every line between has a colon."""
+    start, end = None, head
+    while end >= mark:
+        at = data.rfind(b"\r\n", mark, end)
+        line = data[mark if at < 0 else at + 2 : end]
+        if found := _VERSION_AT_END.search(line):
+            start = end - len(line) + found.start()
+        if b":" not in line or at < 0:
+            break
+        end = at
+    return start
+
+
+def _next_record(data: bytes, at: int) -> int | None:
+    """Where the next sound record from ``at`` on begins. A head holds no blank
+    line, so each stretch between two of them is read once and checked once."""
+    while mark := _VERSION.search(data, at):
+        head = data.find(END, mark.start())
+        if head < 0:
+            return None
+        start = _head_start(data, mark.start(), head)
+        if start is not None and _valid(data, start):
+            return start
+        at = head
+    return None
+
+
 def records(data: bytes) -> Iterator[tuple]:
     """("record", from, to, headers, block) and ("gap", from, to, None, None) of plain WARC bytes."""
     at = 0
@@ -143,11 +203,7 @@ def records(data: bytes) -> Iterator[tuple]:
             yield "record", at, end + 4, headers, data[start:end]
             at = end + 4
             continue
-        begin, nxt = at, None
-        for mark in _VERSION.finditer(data, at + 1):
-            if _valid(data, mark.start()):
-                nxt = mark.start()
-                break
+        begin, nxt = at, _next_record(data, at + 1)
         at = len(data) if nxt is None else nxt
         yield "gap", begin, at, None, None
 
@@ -169,40 +225,64 @@ def _unpack(raw: bytes, at: int) -> tuple[int, bytes, bool]:
     return to - len(unpack.unused_data), b"".join(parts), unpack.eof
 
 
-def _opens_member(raw: bytes, at: int) -> bool:
-    """Whether a gzip member with a record's version line begins at ``at``."""
-    return bool(_VERSION.search(_unpack(raw[at : at + 65_536], 0)[1]))
-
+class _Starts:
+    """Where sound things begin in an archive. What was found ahead is kept, so a search that is taken up again doesn't read the same bytes twice."""
 
-def _next_start(raw: bytes, at: int, known: bytes = b"") -> int:
-    """The first gzip member or sound plain record from ``at`` on that isn't in ``known``, else the end."""
-    for mark in _START.finditer(raw, at):
-        if mark[0] == _GZIP:
-            if _opens_member(raw, mark.start()):
-                return mark.start()
-        elif (found := _valid(raw, mark.start())) and raw[mark.start() : found[2]] not in known:
-            return mark.start()
-    return len(raw)
+    def __init__(self, raw: bytes):
+        self.raw, self.view = raw, memoryview(raw)
+        self.plain, self.member = (-1, -1), (-1, -1)  # searched from, found at
 
+    def opens_member(self, at: int) -> bool:
+        """Whether a gzip member that unpacks to a version line begins at ``at``."""
+        try:
+            return bool(_VERSION.match(zlib.decompressobj(31).decompress(self.view[at : at + 4_096], 11)))
+        except zlib.error:
+            return False
+
+    def next_plain(self, at: int) -> int:
+        if not self.plain[0] <= at <= self.plain[1]:
+            found = _next_record(self.raw, at)
+            self.plain = at, len(self.raw) if found is None else found
+        return self.plain[1]
+
+    def next_member(self, at: int) -> int:
+        if not self.member[0] <= at <= self.member[1]:
+            found = self.raw.find(_GZIP, at)
+            while found >= 0 and not self.opens_member(found):
+                found = self.raw.find(_GZIP, found + 1)
+            self.member = at, len(self.raw) if found < 0 else found
+        return self.member[1]
+
+    def next(self, at: int, known: frozenset = frozenset()) -> int:
+        """The first gzip member or sound plain record from ``at`` on, but for plain records with a digest in ``known``."""
+        plain = self.next_plain(at)
+        while plain < len(self.raw) and known:
+            end = _valid(self.raw, plain)[2]
+            if hashlib.sha1(self.view[plain:end]).digest() not in known:
+                break
+            plain = self.next_plain(end)
+        return min(plain, self.next_member(at))
 
-def _plain_end(raw: bytes, at: int) -> int:
-    """Where plain records from ``at`` on give way to a gzip member, or the end. Members in the blocks of sound records don't count."""
-    while at < len(raw) and not (raw.startswith(_GZIP, at) and _opens_member(raw, at)):
-        found = _valid(raw, at)
-        at = found[2] + 4 if found else _next_start(raw, at + 1)
-    return at
+    def plain_end(self, at: int) -> int:
+        """Where plain records from ``at`` on give way to a gzip member, or the end. Members in the blocks of sound records don't count."""
+        while at < len(self.raw) and not (self.raw.startswith(_GZIP, at) and self.opens_member(at)):
+            found = _valid(self.raw, at)
+            at = found[2] + 4 if found else self.next(at + 1)
+        return at
 
 
 def members(raw: bytes) -> Iterator[tuple[int, int, bytes, bool]]:
     """(from, to, bytes unpacked, sound) of each gzip member; plain bytes up to the next member are one."""
-    at = 0
+    at, starts = 0, _Starts(raw)
     while at < len(raw):
         if raw.startswith(_GZIP, at):
             end, data, sound = _unpack(raw, at)
             if not sound:
-                end = _next_start(raw, at + 1, data)
+                # stored blocks show the records that were unpacked already
+                known = frozenset(hashlib.sha1(data[r[1] : r[2] - 4]).digest() for r in records(data) if r[0] == "record")
+                end = starts.next(at + 1, known)
         else:
-            end, sound = _plain_end(raw, at), True
+            end, sound = starts.plain_end(at), True
             data = raw[at:end]
         yield at, end, data, sound
         at = end
@@ -237,9 +317,10 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
     ``gap``) of the archives below ``path``; offsets of records count unpacked
     bytes of their member, offsets of members count bytes of the archive.
 
-    An archive is one row of Spark's binaryFile source, so a task holds one
-    archive at a time: keep archives to some hundred megabytes, as ``write_warc``
-    does by its record count. Empty archives give no rows.
+    An archive is one row of Spark's binaryFile source: a task holds it packed,
+    and one of its members unpacked. ``write_warc`` bounds both (``ARCHIVE_BYTES``
+    and a record); archives of over 2 GB from elsewhere have to be split first.
+    Empty archives, and a folder without archives, give no rows.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -247,14 +328,16 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
         for batch in batches:
             for archive, raw in zip(batch["path"], batch["content"], strict=True):
                 rows: list[tuple] = []
+                held = 0
                 for member in members(raw):
                     if not member[3]:
                         rows.append((archive, "gap", member[0], member[1], None, None, *[None] * 7))
                     for item in records(member[2]):
                         rows.append(_record_row(archive, member, item, payload))
-                        if len(rows) >= 2_000:
+                        held += len(item[4] or b"") if payload else 0
+                        if len(rows) >= _BATCH_ROWS or held >= _BATCH_BYTES:
                             yield pd.DataFrame(rows, columns=names)
-                            rows = []
+                            rows, held = [], 0
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 

@@ -220,7 +220,7 @@ def test_warc_round_trip(spark, archive):
 def test_warc_salvage(archive):
     import glob
 
-    raw = gzip.decompress(open(glob.glob(f"{archive}/*.gz")[0], "rb").read())
+    raw = gzip.decompress(open(glob.glob(f"{archive}/**/part-*", recursive=True)[0], "rb").read())
     whole = [r for r in warc.records(raw) if r[0] == "record"]
     bad = bytearray(raw)
     bad[whole[1][1] + 400] ^= 255  # the second record no longer meets its digest
