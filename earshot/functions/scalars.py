@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import functools
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # fixed values
 NULL_TOKENS = ["", "-", "BRAK", "NULL", "NONE", "NAN"]
 ND_TOKENS = ["N/D", "ND", "N\\D", "N-D"]
-YES_TOKENS = ["TAK", "T", "YES", "Y", "1", "TRUE"]
-NO_TOKENS = ["NIE", "N", "NO", "0", "FALSE"]
+YES_TOKENS = ["TAK", "YES", "Y"]
+NO_TOKENS = ["NIE", "NO", "N"]
 RISK_LABELS = {"low": 1, "high": 2}
-ACCENTED = "ąćęłńóśźżáàâäãéèêëíîïõöôúùûüçñý"
-PLAIN = "acelnoszzaaaaaeeeeiiiooouuuucny"
+POLISH = str.maketrans("ąćęłńóśźż", "acelnoszz")
 
 SPACE = r"(?U)\s+"
 
@@ -31,9 +34,25 @@ def label_key(c: Column) -> Column:
     return F.lower(clean_text(c))
 
 
+@functools.cache
+def _plain_letters() -> dict[str, str]:
+    """Lower-case letters beyond ASCII whose compatibility decomposition holds ASCII, and that part of it."""
+    out = {}
+    for letter in map(chr, range(128, sys.maxunicode + 1)):
+        plain = unicodedata.normalize("NFKD", letter.translate(POLISH)).encode("ascii", "ignore").decode()
+        if plain and letter == letter.lower():
+            out[letter] = plain
+    return out
+
+
 def ascii_key(c: Column) -> Column:
-    """Lower-case slug: accented letters plain, other runs one underscore."""
-    plain = F.translate(F.lower(F.coalesce(c, F.lit(""))), ACCENTED, PLAIN)
+    """Lower-case slug: letters are decomposed and lose what is not ASCII, other runs give one underscore."""
+    single = {k: v for k, v in _plain_letters().items() if len(v) == 1}
+    several = {k: v for k, v in _plain_letters().items() if len(v) > 1}
+    text = F.translate(F.lower(clean_text(c)), "".join(single), "".join(single.values()))
+    table = F.map_from_arrays(F.lit(list(several)), F.lit(list(several.values())))
+    spelt = F.array_join(F.transform(F.split(text, ""), lambda x: F.coalesce(table[x], x)), "")
+    plain = F.when(text.rlike(r"[^\x00-\x7f]"), F.regexp_replace(spelt, r"[^\x00-\x7f]+", "")).otherwise(text)
     return F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
@@ -41,23 +60,31 @@ def key_token(c: Column) -> Column:
     return F.upper(F.regexp_replace(F.coalesce(c, F.lit("")), SPACE, ""))
 
 
-def is_null_like(c: Column) -> Column:
+def is_null_token(c: Column) -> Column:
+    """Blank or a word for nothing."""
     return key_token(c).isin(NULL_TOKENS)
 
 
+def is_null_like(c: Column) -> Column:
+    """Blank, a word for nothing, or N/D."""
+    return key_token(c).isin([*NULL_TOKENS, *ND_TOKENS])
+
+
 def is_nd(c: Column) -> Column:
     return key_token(c).isin(ND_TOKENS)
 
 
 def yes_no_nd(c: Column) -> Column:
-    """TAK, NIE, N/D, else null."""
+    """TAK, NIE or N/D; null where blank or a word for nothing; other text in upper case."""
     token = key_token(c)
-    return F.when(token.isin(YES_TOKENS), "TAK").when(token.isin(NO_TOKENS), "NIE").when(token.isin(ND_TOKENS), "N/D")
+    known = F.when(token.isin(YES_TOKENS), "TAK").when(token.isin(NO_TOKENS), "NIE").when(token.isin(ND_TOKENS), "N/D")
+    return F.when(~is_null_token(c), F.coalesce(known, F.upper(clean_or_null(c))))
 
 
-def status_flag(status: Column) -> Column:
-    """1, 0, or null where unknown."""
-    return F.when(status == "TAK", 1).when(status == "NIE", 0).cast("bigint")
+def status_flag(c: Column) -> Column:
+    """1 for TAK, 0 for NIE, N/D, 0 and blank, null where unknown."""
+    status = F.upper(clean_text(c))
+    return F.when(status == "TAK", 1).when(status.isin("NIE", "N/D", "", "0"), 0).cast("bigint")
 
 
 def parse_number(c: Column) -> Column:
@@ -68,7 +95,7 @@ def parse_number(c: Column) -> Column:
 
 def parse_failed(c: Column) -> Column:
     """A value that is neither blank nor N/D and no number."""
-    return ~is_null_like(c) & ~is_nd(c) & parse_number(c).isNull()
+    return clean_or_null(c).isNotNull() & ~is_nd(c) & parse_number(c).isNull()
 
 
 def parse_integer(c: Column) -> Column:

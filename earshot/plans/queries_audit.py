@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from earshot.functions import scalars as S
 from earshot.operators import audit as A
-from earshot.plans.queries_scalars import ND, NO, NULLS, NUMBER, TOKEN, WS, YES
+from earshot.operators.grid import deal
+from earshot.plans.queries_scalars import CLEAN, ND, NULLS, NUMBER, TOKEN, WS, flag, shown, slug, tri
 from earshot.plans.registry import query
 
 
-def _tri(name: str) -> str:
-    t = TOKEN.replace("{0}", name)
-    return f"CASE WHEN {t} IN {YES} THEN 'TAK' WHEN {t} IN {NO} THEN 'NIE' WHEN {t} IN {ND} THEN 'N/D' END"
+def _clean(name: str) -> str:
+    return CLEAN.replace("{0}", name)
 
 
 def _num(name: str) -> str:
@@ -20,101 +19,212 @@ def _num(name: str) -> str:
 
 
 def _nullish(name: str) -> str:
-    return f"{TOKEN.replace('{0}', name)} IN {NULLS}"
+    """Blank, a word for nothing, or N/D."""
+    t = TOKEN.replace("{0}", f"{name}::VARCHAR")
+    return f"({t} IN {NULLS} OR {t} IN {ND})"
 
 
-def _bad(name: str) -> str:
-    return f"NOT {_nullish(name)} AND {TOKEN.replace('{0}', name)} NOT IN {ND} AND ({_num(name)}) IS NULL"
+def _gap(name: str) -> str:
+    """What is to be filled in: N/D in a signal column of an analogue unit is an answer."""
+    t = TOKEN.replace("{0}", f"{name}::VARCHAR")
+    if name in ("sygn_osp", "sygn_ol", "wgr_sygn"):
+        return f"({t} IN {NULLS} OR ({t} IN {ND} AND kind IS DISTINCT FROM 'analogowa'))"
+    return _nullish(name)
+
+
+def _label(name: str) -> str:
+    return f"nullif(lower(trim(regexp_replace(coalesce({name}, ''), '{WS}', ' ', 'g'))), '')"
 
 
 REG = f"""
-reg0 AS (SELECT *, lower(trim(rodzaj_syreny)) AS kind, {_num("moc_w")} AS power, {_num("wysokosc")} AS height, {_num("lat")} AS lat_n, {_num("lon")} AS lon_n,
-  {", ".join(f"{_tri(s)} AS st_{s}" for s in A.STATUSES)} FROM fx_register),
-reg AS (SELECT *, coalesce(CASE kind WHEN 'analogowa' THEN power BETWEEN 2000 AND 5000 WHEN 'cyfrowa' THEN power BETWEEN 300 AND 5000 END, false) AS power_ok,
+reg0 AS (SELECT *, {_label("wojewodztwo")} AS woj_key, {_label("powiat")} AS pow_key, {_label("wlasciciel")} AS owner, {_label("rodzaj_syreny")} AS kind,
+  {_num("moc_w")} AS power, {_num("wysokosc")} AS height, {_num("lat")} AS lat_n, {_num("lon")} AS lon_n,
+  {", ".join(f"{tri(s)} AS st_{s}" for s in A.STATUSES)} FROM fx_register),
+reg AS (SELECT *, coalesce(CASE WHEN kind = 'analogowa' THEN power BETWEEN 2000 AND 5000 ELSE power BETWEEN 300 AND 5000 END, false) AS power_ok,
   coalesce(height BETWEEN 3 AND 60, false) AS height_ok FROM reg0),
 """
 
 
-def _fire(rule: str, field: str, raw: str, suggested: str, confidence: str, severity: str, category: str, source: str) -> str:
+def _near(value: str) -> str:
+    ok = f"{value}_ok"
+    return f"""(SELECT r.*, coalesce(a.m, b.m) AS m, CASE WHEN a.m IS NOT NULL THEN 'powiat+rodzaj' WHEN b.m IS NOT NULL THEN 'wojewodztwo+rodzaj' END AS scope FROM reg r
+      LEFT JOIN (SELECT woj_key, pow_key, kind, avg({value}) AS m FROM reg WHERE {ok} GROUP BY ALL HAVING count(*) >= 3) a USING (woj_key, pow_key, kind)
+      LEFT JOIN (SELECT woj_key, kind, avg({value}) AS m FROM reg WHERE {ok} GROUP BY ALL HAVING count(*) >= 3) b USING (woj_key, kind))"""
+
+
+def _mode(keys: str, value: str) -> str:
+    return f"""(SELECT {keys}, arg_min(v, (-n, v)) AS v, max(n) AS n, max(n) / sum(n) AS share FROM
+      (SELECT {keys}, {value} AS v, count(*) AS n FROM reg WHERE {value} IS NOT NULL GROUP BY ALL) GROUP BY ALL
+      HAVING max(n) >= 5 AND max(n) / sum(n) >= 0.8)"""
+
+
+def _mad(keys: str, value: str) -> str:
+    return f"""(SELECT {keys}, any_value(med) AS med, median(abs({value} - med)) AS mad, count(*) AS n FROM
+      (SELECT *, median({value}) OVER (PARTITION BY {keys}) AS med FROM reg WHERE {value}_ok) GROUP BY {keys} HAVING count(*) >= 10)"""
+
+
+def _anomaly(rule: str, field: str, raw: str, value: str, category: str, severity: str, confidence: float, reason: str, source: str) -> str:
     return (
-        f"SELECT {rule} AS rule, lp, nr_ref, {field} AS field, {raw} AS raw, ({suggested})::VARCHAR AS suggested, ({confidence})::DOUBLE AS confidence, "
-        f"'{severity}' AS severity, '{category}' AS category FROM {source}"
+        f"SELECT 'anomaly' AS kind, '{rule}' AS rule, lp, nr_ref, '{field}' AS field, {raw} AS raw, {value} AS value, '{category}' AS category, '{severity}' AS severity, "
+        f"{confidence}::DOUBLE AS confidence, NULL::VARCHAR AS method, NULL::VARCHAR AS scope, {reason} AS reason FROM {source}"
     )
 
 
-def _near(value: str) -> str:
-    ok = "power_ok" if value == "power" else "height_ok"
-    return f"""(SELECT r.*, coalesce(a.m, b.m) AS m FROM reg r
-      LEFT JOIN (SELECT powiat, wojewodztwo, kind, avg({value}) AS m FROM reg WHERE {ok} GROUP BY ALL HAVING count(*) >= 3) a USING (powiat, wojewodztwo, kind)
-      LEFT JOIN (SELECT wojewodztwo, kind, avg({value}) AS m FROM reg WHERE {ok} GROUP BY ALL HAVING count(*) >= 3) b USING (wojewodztwo, kind))"""
+def _correct(rule: str, field: str, raw: str, value: str, method: str, confidence: str, scope: str, reason: str, source: str) -> str:
+    return (
+        f"SELECT 'correction' AS kind, '{rule}' AS rule, lp, nr_ref, '{field}' AS field, {raw} AS raw, {value} AS value, NULL::VARCHAR AS category, NULL::VARCHAR AS severity, "
+        f"round_even({confidence}, 2)::DOUBLE AS confidence, '{method}' AS method, {scope} AS scope, {reason} AS reason FROM {source}"
+    )
 
 
-def _mode(keys: str, value: str) -> str:
-    return f"""(SELECT {keys}, arg_min(v, (-n, v)) AS v, max(n) / sum(n) AS share FROM
-      (SELECT {keys}, {value} AS v, count(*) AS n FROM reg WHERE {value} IS NOT NULL GROUP BY ALL) GROUP BY ALL
-      HAVING sum(n) >= 5 AND max(n) / sum(n) >= 0.8)"""
+def _raw(*names: str) -> str:
+    return " || ' / ' || ".join(f"coalesce({n}::VARCHAR, '')" for n in names)
+
 
+def _step(x: str, step: str) -> str:
+    return shown(f"round_even({x} / {step}, 0) * {step}")
 
+
+_HEAD = {"moc_w": "Moc [W]", "wysokosc": "Wysokość nad terenem [m]", "lat": "Lat", "lon": "Long", "jednostka_psp": "Jednostka PSP", "kod_swd": "Kod SWD"}
+_STATUS_HEAD = {"gsm": "GSM", "sk_psp": "SK PSP", "sygn_osp": "Sygn. OSP", "sygn_ol": "Sygn. OL", "wgr_sygn": "Wgr. sygn."}
+_LOCAL = "'Uzupelnienie brakujacej {} na podstawie sredniej lokalnej dla rodzaju syreny.'"
 GLOBAL = """(SELECT avg(power) FILTER (kind = 'analogowa' AND power_ok) AS ga, avg(height) FILTER (height_ok) AS gh,
   avg(height) FILTER (height_ok AND kind = 'analogowa') AS gha, avg(height) FILTER (height_ok AND kind = 'cyfrowa') AS ghd FROM reg)"""
-_NAN = "NULL"
+_KIND_HEIGHT = "(SELECT r.*, k.m AS km, gh FROM reg r LEFT JOIN (SELECT kind, avg(height) AS m FROM reg WHERE height_ok AND kind IS NOT NULL GROUP BY kind) k USING (kind), " + GLOBAL + ")"
+
+
+def _missing(rule: str, name: str, number: str, step: str, text: str, reason: str) -> list[str]:
+    none = f"{number} IS NULL AND {_gap(name)}"
+    return [
+        _anomaly(rule, _HEAD[name], _raw(name), "''", "technical", "high", 1.0, f"'{text}'", f"reg WHERE {none}"),
+        _correct(rule, _HEAD[name], _raw(name), _step("m", step), "srednia lokalna", "0.55", "scope", _LOCAL.format(reason), f"{_near(number)} WHERE m IS NOT NULL AND {none}"),
+    ]
+
+
+def _dominant(rule: str, head: str, name: str, source: str, most: str, text: str) -> str:
+    return _correct(rule, head, _raw(name), "v", "dominanta lokalna", f"least({most}::DOUBLE, share)", "scope",
+                    f"'Uzupelnienie na podstawie {text} w grupie (' || n || ' rekordow).'", f"{source} WHERE v IS NOT NULL AND {_gap(name)}")
+
+
+_NO_LAT, _NO_LON = f"(lat_n IS NULL AND {_gap('lat')})", f"(lon_n IS NULL AND {_gap('lon')})"
+_BOTH = f"lat_n IS NOT NULL AND lon_n IS NOT NULL AND NOT (lat_n BETWEEN 49 AND 55 AND lon_n BETWEEN 14 AND 24)"
+_SWAP = "(lon_n BETWEEN 49 AND 55 AND lat_n BETWEEN 14 AND 24)"
+_STATUS_MODES = {
+    n: f"(SELECT r.*, coalesce(a.v, b.v) AS v, CASE WHEN a.v IS NOT NULL THEN a.n ELSE b.n END AS n, CASE WHEN a.v IS NOT NULL THEN a.share ELSE b.share END AS share, "
+    f"CASE WHEN a.v IS NOT NULL THEN 'powiat+rodzaj' ELSE 'wojewodztwo+rodzaj' END AS scope FROM reg r "
+    f"LEFT JOIN {_mode('woj_key, pow_key, kind', f'st_{n}')} a USING (woj_key, pow_key, kind) LEFT JOIN {_mode('woj_key, kind', f'st_{n}')} b USING (woj_key, kind))"
+    for n in A.STATUSES
+}
+_UNIT_MODES = {n: f"(SELECT r.*, v, n, share, 'wojewodztwo+powiat' AS scope FROM reg r LEFT JOIN {_mode('woj_key, pow_key', n)} USING (woj_key, pow_key))" for n in ("jednostka_psp", "kod_swd")}
+
+
+def _outlier(rule: str, name: str, number: str, severity: str, confidence: float, word: str) -> str:
+    pick = lambda c: f"CASE WHEN a.med IS NOT NULL THEN a.{c} WHEN b.med IS NOT NULL THEN b.{c} ELSE c.{c} END AS {c}"
+    source = (
+        f"(SELECT r.*, {pick('med')}, {pick('mad')}, {pick('n')}, CASE WHEN a.med IS NOT NULL THEN 'powiat+rodzaj' WHEN b.med IS NOT NULL THEN 'wojewodztwo+rodzaj' ELSE 'rodzaj' END AS scope FROM reg r "
+        f"LEFT JOIN {_mad('woj_key, pow_key, kind', number)} a USING (woj_key, pow_key, kind) LEFT JOIN {_mad('woj_key, kind', number)} b USING (woj_key, kind) LEFT JOIN {_mad('kind', number)} c USING (kind))"
+    )
+    reason = f"'{word} odbiega od mediany grupy (' || scope || ', n=' || n || ') o wiecej niz 2.5 MAD.'"
+    return _anomaly(rule, _HEAD[name], _raw(name), shown(number), "relational", severity, confidence, reason, f"{source} WHERE {number}_ok AND mad > 0 AND abs({number} - med) / mad > 2.5")
+
+
 RULE_SQL = {
-    "duplicates": _fire("'duplicate_id'", "'nr_ref'", "nr_ref", _NAN, "1", "high", "relational", "(SELECT *, count(*) OVER (PARTITION BY nr_ref) AS c FROM reg) WHERE c > 1"),
-    "status_form": " UNION ALL ".join(
-        _fire("'status_form'", f"'{s}'", s, f"st_{s}", "1", "low", "technical", f"reg WHERE st_{s} IS NOT NULL AND {s} <> st_{s}") for s in A.STATUSES
-    ),
-    "parse_errors": " UNION ALL ".join(
-        _fire("'parse_error'", f"'{n}'", n, _NAN, "1", "high", "technical", f"reg WHERE {_bad(n)}") for n in ("moc_w", "wysokosc", "lat", "lon")
-    ),
-    "missing_power": _fire("'missing_power'", "'moc_w'", "moc_w", "(round_even(m / 100, 0) * 100)::BIGINT", "0.55", "medium", "logical", f"{_near('power')} WHERE {_nullish('moc_w')}"),
-    "missing_height": _fire("'missing_height'", "'wysokosc'", "wysokosc", "round_even(m / 0.5e0, 0) * 0.5e0", "0.55", "medium", "logical", f"{_near('height')} WHERE {_nullish('wysokosc')}"),
-    "analogue_power": _fire("'analogue_power'", "'moc_w'", "moc_w", "(round_even(ga / 100, 0) * 100)::BIGINT", "0.9", "medium", "logical",
-                            f"reg, {GLOBAL} WHERE kind = 'analogowa' AND power IS NOT NULL AND NOT power_ok"),
-    "digital_power": _fire("'digital_power'", "'moc_w'", "moc_w", "(round_even(m / 100, 0) * 100)::BIGINT", "0.45", "medium", "logical",
-                           f"{_near('power')} WHERE kind = 'cyfrowa' AND power IS NOT NULL AND NOT power_ok"),
-    "height_range": _fire(
-        "CASE WHEN height >= 100 THEN 'height_sea_level' WHEN height >= 61 THEN 'height_review' ELSE 'height_low' END", "'wysokosc'", "wysokosc",
-        "CASE WHEN height >= 100 THEN round_even(coalesce(CASE kind WHEN 'analogowa' THEN gha WHEN 'cyfrowa' THEN ghd END, gh) / 0.5e0, 0) * 0.5e0 END",
-        "CASE WHEN height >= 100 THEN 0.88 ELSE 0.5 END", "medium", "logical", f"reg, {GLOBAL} WHERE height > 60 OR height < 3"),
-    "coordinates": " UNION ALL ".join(
-        f"SELECT rule, lp, nr_ref, '{a}' AS field, {a} AS raw, CASE WHEN rule = 'coordinates_swapped' THEN {b} END AS suggested, 0.95::DOUBLE AS confidence, 'high' AS severity, "
-        f"'geographic' AS category FROM (SELECT *, CASE WHEN {_nullish('lat')} OR {_nullish('lon')} THEN 'coordinates_missing' WHEN lat_n BETWEEN 14 AND 24 AND lon_n BETWEEN 49 AND 55 "
-        f"THEN 'coordinates_swapped' WHEN NOT (lat_n BETWEEN 49 AND 55 AND lon_n BETWEEN 14 AND 24) THEN 'coordinates_outside' END AS rule FROM reg) WHERE {w}"
-        for a, b, w in (("lat", "lon", "rule IS NOT NULL"), ("lon", "lat", "rule = 'coordinates_swapped'"))
-    ),
-    "missing_unit": " UNION ALL ".join(
-        _fire("'missing_unit'", f"'{n}'", n, "v", "least(0.95::DOUBLE, share)", "low", "relational",
-              f"(SELECT * FROM reg LEFT JOIN {_mode('wojewodztwo, powiat', f'''nullif({n}, '')''')} USING (wojewodztwo, powiat)) WHERE v IS NOT NULL AND {_nullish(n)}")
-        for n in ("jednostka_psp", "kod_swd")
-    ),
-    "status_logic": " UNION ALL ".join(
-        _fire(f"'{n}'", "'gsm'", "gsm", _NAN, "0.7", "medium", "logical", f"reg WHERE {w}")
-        for n, w in (
-            ("digital_without_gsm", "kind = 'cyfrowa' AND st_gsm = 'NIE'"),
-            ("group_without_paths", "st_wgr_sygn = 'TAK' AND coalesce(st_sygn_osp, '') <> 'TAK' AND coalesce(st_sygn_ol, '') <> 'TAK'"),
-            ("osp_owner_without_signal", "starts_with(wlasciciel, 'OSP') AND st_sygn_osp = 'NIE'"),
-            ("no_control", "st_gsm = 'NIE' AND st_sk_psp = 'NIE'"),
+    "duplicates": [
+        _anomaly("duplicate_id", head, _raw(n), f"coalesce({_clean(f'{n}::VARCHAR')}, '')", "administrative", "high", 1.0, f"'Duplikat identyfikatora {head}'", f"(SELECT *, count(*) OVER (PARTITION BY {_clean(f'{n}::VARCHAR')}) AS c FROM reg) WHERE c > 1")
+        for n, head in (("lp", "Lp."), ("nr_ref", "Nr ref."))
+    ],
+    "status_form": [
+        _correct("status_form", h, _raw(s), f"st_{s}", "standaryzacja TAK/NIE/N/D", "1", "'regula logiczna'", "'Ujednolicenie wariantu zapisu wartosci logicznej.'", f"reg WHERE {_clean(s)} IS NOT NULL AND st_{s} IS NOT NULL AND {_clean(s)} <> st_{s}")
+        for s, h in _STATUS_HEAD.items()
+    ],
+    "parse_errors": [
+        _anomaly("parse_error", _HEAD[n], _raw(n), "''", "technical", "high", 1.0, "'Nie udalo sie sparsowac wartosci liczbowej.'", f"reg WHERE {_clean(n)} IS NOT NULL AND {TOKEN.replace('{0}', n)} NOT IN {ND} AND ({_num(n)}) IS NULL")
+        for n in ("moc_w", "wysokosc", "lat", "lon")
+    ],
+    "missing_power": _missing("missing_power", "moc_w", "power", "100", "Brak mocy syreny.", "mocy"),
+    "missing_height": _missing("missing_height", "wysokosc", "height", "0.5e0", "Brak wysokosci montazu syreny.", "wysokosci"),
+    "analogue_power": [
+        _anomaly("analogue_power", "Moc [W]", _raw("moc_w"), shown("power"), "technical", "high", 1.0, "'Moc syreny analogowej poza dopuszczalnym zakresem 2000-5000 W.'", "reg WHERE kind = 'analogowa' AND (power < 2000 OR power > 5000)"),
+        _correct("analogue_power", "Moc [W]", _raw("moc_w"), _step("ga", "100"), "srednia analogowych", "0.9", "'global analogowa'", "'Korekta na podstawie sredniej innych poprawnych syren analogowych.'", f"reg, {GLOBAL} WHERE ga IS NOT NULL AND kind = 'analogowa' AND (power < 2000 OR power > 5000)"),
+    ],
+    "digital_power": [
+        _anomaly("digital_power", "Moc [W]", _raw("moc_w"), shown("power"), "technical", "medium", 0.75, "'Moc syreny cyfrowej poza typowym zakresem 300-5000 W.'", "reg WHERE kind IS DISTINCT FROM 'analogowa' AND (power < 300 OR power > 5000)"),
+        _correct("digital_power", "Moc [W]", _raw("moc_w"), _step("m", "100"), "srednia lokalna", "0.45", "scope", "'Niska pewnosc: korekta cyfrowej mocy do sredniej lokalnej dla rodzaju syreny.'", f"{_near('power')} WHERE m IS NOT NULL AND kind IS DISTINCT FROM 'analogowa' AND (power < 300 OR power > 5000)"),
+    ],
+    "height_range": [
+        _anomaly("height_sea_level", _HEAD["wysokosc"], _raw("wysokosc"), shown("height"), "technical", "high", 0.98, "'Prawdopodobnie wpisano wysokosc npm zamiast wysokosci montazu nad terenem.'", "reg WHERE height >= 100"),
+        _correct("height_sea_level", _HEAD["wysokosc"], _raw("wysokosc"), _step("coalesce(km, gh)", "0.5e0"), "srednia montazu nad terenem", "0.88", "CASE WHEN km IS NULL THEN 'global wszystkie rodzaje' ELSE 'rodzaj=' || kind END",
+                 "'Korekta na podstawie sredniej poprawnych wysokosci montazu nad terenem.'", f"{_KIND_HEIGHT} WHERE coalesce(km, gh) IS NOT NULL AND height >= 100"),
+        _anomaly("height_review", _HEAD["wysokosc"], _raw("wysokosc"), shown("height"), "technical", "medium", 0.55, "'Wysokosc montazu w zakresie 61-99 m wymaga przegladu.'", "reg WHERE height BETWEEN 61 AND 99"),
+        _anomaly("height_low", _HEAD["wysokosc"], _raw("wysokosc"), shown("height"), "technical", "high", 0.95, "'Wysokosc montazu ponizej typowego minimum 3 m.'", "reg WHERE height < 3"),
+    ],
+    "coordinates": [
+        _anomaly("coordinates_missing", head, _raw(*names), "''", "geographic", "high", 1.0, "'Brak wspolrzednych geograficznych.'", f"reg WHERE {where}")
+        for head, names, where in (("Lat", ["lat"], f"{_NO_LAT} AND NOT {_NO_LON}"), ("Long", ["lon"], f"{_NO_LON} AND NOT {_NO_LAT}"), ("Lat|Long", ["lat", "lon"], f"{_NO_LAT} AND {_NO_LON}"))
+    ] + [
+        _anomaly("coordinates_swapped", "Lat|Long", "coalesce(lat, '') || ', ' || coalesce(lon, '')", f"{shown('lat_n')} || ', ' || {shown('lon_n')}", "geographic", "high", 0.99, "'Wspolrzedne wygladaja na zamienione miejscami Lat/Long.'", f"reg WHERE {_BOTH} AND {_SWAP}"),
+        _correct("swap_lat", "Lat", _raw("lat"), shown("lon_n"), "regula logiczna", "0.99", "'lat/long swap'", "'Zamiana Lat na wartosc z pola Long.'", f"reg WHERE {_BOTH} AND {_SWAP}"),
+        _correct("swap_lon", "Long", _raw("lon"), shown("lat_n"), "regula logiczna", "0.99", "'lat/long swap'", "'Zamiana Long na wartosc z pola Lat.'", f"reg WHERE {_BOTH} AND {_SWAP}"),
+        _anomaly("latitude_outside", "Lat", _raw("lat"), shown("lat_n"), "geographic", "high", 1.0, "'Szerokosc geograficzna poza zakresem Polski 49-55.'", f"reg WHERE {_BOTH} AND NOT {_SWAP} AND lat_n NOT BETWEEN 49 AND 55"),
+        _anomaly("longitude_outside", "Long", _raw("lon"), shown("lon_n"), "geographic", "high", 1.0, "'Dlugosc geograficzna poza zakresem Polski 14-24.'", f"reg WHERE {_BOTH} AND NOT {_SWAP} AND lon_n NOT BETWEEN 14 AND 24"),
+    ],
+    "missing_unit": [
+        one for n in ("jednostka_psp", "kod_swd") for one in (
+            _anomaly("missing_unit", _HEAD[n], _raw(n), "''", "administrative", "high", 1.0, f"'Brak wartosci w kolumnie {_HEAD[n]}.'", f"reg WHERE {_gap(n)}"),
+            _dominant("missing_unit", _HEAD[n], n, _UNIT_MODES[n], "0.95", "dominujacej wartosci"),
+        )
+    ],
+    "status_logic": [
+        _anomaly("digital_without_gsm", "GSM", _raw("gsm"), _raw("st_gsm"), "logical", "medium", 0.75, "'Syrena cyfrowa bez potwierdzonego GSM.'", "reg WHERE kind = 'cyfrowa' AND coalesce(st_gsm, '') <> 'TAK'"),
+        _anomaly("group_without_paths", "Wgr. sygn.|Sygn. OSP|Sygn. OL", _raw("wgr_sygn", "sygn_osp", "sygn_ol"), _raw("st_wgr_sygn", "st_sygn_osp", "st_sygn_ol"), "logical", "high", 0.95,
+                 "'Wgr. sygn. = TAK, ale brak aktywnego Sygn. OSP i Sygn. OL.'", "reg WHERE st_wgr_sygn = 'TAK' AND coalesce(st_sygn_osp, '') <> 'TAK' AND coalesce(st_sygn_ol, '') <> 'TAK'"),
+        _anomaly("osp_owner_without_signal", "Właściciel|Sygn. OSP", _raw("wlasciciel", "sygn_osp"), _raw("owner", "st_sygn_osp"), "logical", "medium", 0.7, "'Wlasciciel OSP, ale Sygn. OSP = NIE.'", "reg WHERE owner = 'osp' AND st_sygn_osp = 'NIE'"),
+        _anomaly("no_control", "GSM|SK PSP", _raw("gsm", "sk_psp"), _raw("st_gsm", "st_sk_psp"), "logical", "low", 0.6,
+                 "'Brak GSM i brak SK PSP - rekord do przegladu pod katem lacznosci lub analogowego sterowania.'", "reg WHERE coalesce(st_gsm, '') <> 'TAK' AND coalesce(st_sk_psp, '') <> 'TAK'"),
+    ],
+    "missing_status": [
+        one for n, h in _STATUS_HEAD.items() for one in (
+            _anomaly("missing_status", h, _raw(n), _raw(f"st_{n}"), "technical", "medium", 0.8, "'Brak wartosci logicznej wymagajacej standaryzacji lub uzupelnienia.'", f"reg WHERE {_gap(n)}"),
+            _dominant("missing_status", h, n, _STATUS_MODES[n], "0.9", "dominujacego wzorca"),
         )
-    ),
-    "missing_status": " UNION ALL ".join(
-        _fire("'missing_status'", f"'{n}'", n, "v", "least(0.9::DOUBLE, share)", "low", "technical",
-              f"(SELECT r.*, coalesce(a.v, b.v) AS v, CASE WHEN a.v IS NOT NULL THEN a.share ELSE b.share END AS share FROM reg r "
-              f"LEFT JOIN {_mode('powiat, wojewodztwo, kind', f'st_{n}')} a USING (powiat, wojewodztwo, kind) LEFT JOIN {_mode('wojewodztwo, kind', f'st_{n}')} b USING (wojewodztwo, kind)) "
-              f"WHERE v IS NOT NULL AND {_nullish(n)}")
-        for n in A.STATUSES
-    ),
+    ],
+    "outliers": [_outlier("power_outlier", "moc_w", "power", "medium", 0.72, "Moc"), _outlier("height_outlier", "wysokosc", "height", "low", 0.68, "Wysokosc")],
 }
+RULE_SQL = {name: " UNION ALL ".join(parts) for name, parts in RULE_SQL.items()}
 FIRED = REG + "fired AS (" + " UNION ALL ".join(RULE_SQL.values()) + ")"
-_IDS = dict(zip(RULE_SQL, "16 17 18 19 20 21 22 23 24 25 26 27".split(), strict=True))
+FOUND = FIRED + ", an AS (SELECT DISTINCT nr_ref, category, severity, confidence, field, raw, value, reason FROM fired WHERE kind = 'anomaly')"
+PROPOSED = "co AS (SELECT DISTINCT nr_ref, field, raw, value AS suggested, method, confidence, scope, reason FROM fired WHERE kind = 'correction')"
+_IDS = dict(zip(RULE_SQL, "16 17 18 19 20 21 22 23 24 25 26 27".split(), strict=False))
 
 
 def _reg(t):
     return A.prepare(t.fx_register)
 
 
-for _name, _rule in zip(RULE_SQL, A.RULES, strict=True):
-    query(f"q{_IDS[_name]}_rule_{_name}", REG + "one AS (SELECT 1) " + f"SELECT * FROM ({RULE_SQL[_name]})", "fx_register")(lambda t, rule=_rule: rule(_reg(t)))
+def _gaps(t):
+    return t.stage("audit-register", lambda: A.with_gaps(A.prepare(deal(t.fx_register))))
+
+
+def _evidence(t):
+    return t.stage("audit-evidence", lambda: deal(A.evidence(_gaps(t))))
+
+
+def _fired(t):
+    return t.stage("audit-fired", lambda: A.fired_rules(_evidence(t)))
+
+
+def _anomalies(t):
+    return t.stage("audit-anomalies", lambda: A.anomalies(_fired(t)))
+
+
+def _corrections(t):
+    return t.stage("audit-corrections", lambda: A.corrections(_fired(t)))
+
 
+for _name in _IDS:
+    query(f"q{_IDS[_name]}_rule_{_name}", REG + "one AS (SELECT 1) " + f"SELECT * FROM ({RULE_SQL[_name]})", "fx_register")(lambda t, rule=_name: A.fired_rules(_evidence(t), rule))
+
+_TEXTS = ("wojewodztwo", "powiat", "gmina", "wlasciciel", "rodzaj_syreny", "jednostka_psp")
 _COLUMNS = ["moc_w", "wysokosc", "lat", "lon", "kod_swd", "jednostka_psp", *A.STATUSES]
 
 
@@ -128,11 +238,7 @@ def q02(t):
     return A.missing_counts(t.fx_register, _COLUMNS)
 
 
-def _act(n: str) -> str:
-    return f"{_nullish(n)} OR ({TOKEN.replace('{0}', n)} IN {ND} AND kind <> 'analogowa')" if n in A.STATUSES else _nullish(n)
-
-
-@query("q03_actionable_missing", REG + "one AS (SELECT 1) " + " UNION ALL ".join(f"SELECT '{n}' AS field, count(*) FILTER ({_act(n)}) AS missing, count(*) AS total FROM reg" for n in _COLUMNS), "fx_register")
+@query("q03_actionable_missing", REG + "one AS (SELECT 1) " + " UNION ALL ".join(f"SELECT '{n}' AS field, count(*) FILTER ({_gap(n)}) AS missing, count(*) AS total FROM reg" for n in _COLUMNS), "fx_register")
 def q03(t):
     return A.missing_counts(_reg(t), _COLUMNS, A.actionable_missing)
 
@@ -182,10 +288,9 @@ def q09(t):
     return A.spearman(t.lineitem, "l_quantity", "l_extendedprice").withColumn("rho", F.round("rho", 6))
 
 
-@query("q10_mode_lookup", REG + f"one AS (SELECT 1) SELECT wojewodztwo, powiat, v AS value, share FROM {_mode('wojewodztwo, powiat', '''nullif(kod_swd, '')''')}", "fx_register")
+@query("q10_mode_lookup", REG + f"one AS (SELECT 1) SELECT woj_key, pow_key, v AS value, n AS support, share FROM {_mode('woj_key, pow_key', 'kod_swd')}", "fx_register")
 def q10(t):
-    df = _reg(t).withColumn("v", F.nullif("kod_swd", F.lit("")))
-    return A.mode_lookup(df, ["wojewodztwo", "powiat"], "v").drop("support")
+    return A.mode_lookup(_reg(t), ["woj_key", "pow_key"], "kod_swd")
 
 
 @query("q11_mean_lookup", "SELECT l_returnflag, l_linestatus, round(avg(l_extendedprice), 4) AS mean, count(*) AS support FROM lineitem WHERE l_quantity > 10 GROUP BY ALL HAVING count(*) >= 3")
@@ -198,27 +303,14 @@ def q12(t):
     return A.local_mean(_reg(t), "power", "power_ok", "near").select("lp", F.col("near_mean").alias("m"))
 
 
-_MAD = """(SELECT {k}, median AS med, mad FROM (SELECT {k}, any_value(med) AS median, median(abs(v - med)) AS mad FROM
-  (SELECT *, median(v) OVER (PARTITION BY {k}) AS med, count(*) OVER (PARTITION BY {k}) AS c FROM (SELECT *, power AS v FROM reg WHERE power IS NOT NULL)) WHERE c >= 10 GROUP BY {k}))"""
-
-
-@query("q13_median_mad", REG + "one AS (SELECT 1) SELECT * FROM " + _MAD.format(k="wojewodztwo, kind"), "fx_register")
+@query("q13_median_mad", REG + f"one AS (SELECT 1) SELECT woj_key, kind, med, mad, n AS support FROM {_mad('woj_key, kind', 'power')}", "fx_register")
 def q13(t):
-    return A.mad_stats(_reg(t), ["wojewodztwo", "kind"], "power").select("wojewodztwo", "kind", F.col("median").alias("med"), "mad")
+    return A.mad_stats(_reg(t).where("power_ok"), ["woj_key", "kind"], "power").select("woj_key", "kind", F.col("median").alias("med"), "mad", "support")
 
 
-@query(
-    "q14_outliers",
-    REG + f"""j AS (SELECT r.lp, r.power, CASE WHEN a.med IS NOT NULL THEN a.med WHEN b.med IS NOT NULL THEN b.med ELSE c.med END AS med,
-      CASE WHEN a.med IS NOT NULL THEN a.mad WHEN b.med IS NOT NULL THEN b.mad ELSE c.mad END AS mad FROM reg r
-      LEFT JOIN {_MAD.format(k="powiat, wojewodztwo, kind")} a USING (powiat, wojewodztwo, kind) LEFT JOIN {_MAD.format(k="wojewodztwo, kind")} b USING (wojewodztwo, kind)
-      LEFT JOIN {_MAD.format(k="kind")} c USING (kind))
-    SELECT lp, power, med, mad FROM j WHERE power BETWEEN 300 AND 50000 AND mad > 0 AND abs(power - med) / mad > 2.5""",
-    "fx_register",
-)
+@query("q14_outliers", REG + "one AS (SELECT 1) " + f"SELECT lp, nr_ref, rule, raw, reason FROM ({RULE_SQL['outliers']})", "fx_register")
 def q14(t):
-    out = A.outliers(_reg(t), "power", F.col("power").between(300, 50000))
-    return out.select("lp", "power", F.col("stat_median").alias("med"), F.col("stat_mad").alias("mad"))
+    return A.fired_rules(_evidence(t), "outliers").select("lp", "nr_ref", "rule", "raw", "reason")
 
 
 @query("q15_global_means", REG + f"one AS (SELECT 1) SELECT ga AS analogue_power, gh AS height, gha AS height_analogue, ghd AS height_digital FROM {GLOBAL}", "fx_register")
@@ -226,64 +318,86 @@ def q15(t):
     return A.global_means(_reg(t))
 
 
-@query("q28_anomalies", FIRED + " SELECT DISTINCT nr_ref, rule, category, severity, field, raw, CASE severity WHEN 'high' THEN 1 WHEN 'medium' THEN 2 ELSE 3 END::BIGINT AS severity_rank FROM fired", "fx_register")
+@query("q28_anomalies", FOUND + " SELECT *, CASE severity WHEN 'high' THEN 1 WHEN 'medium' THEN 2 ELSE 3 END::BIGINT AS severity_rank FROM an", "fx_register")
 def q28(t):
-    return A.anomalies(A.fired_rules(_reg(t)))
+    return _anomalies(t)
 
 
-@query("q29_corrections", FIRED + " SELECT nr_ref, field, raw, suggested, max(confidence) AS confidence, min(rule) AS method FROM fired WHERE suggested IS NOT NULL AND suggested IS DISTINCT FROM raw GROUP BY ALL", "fx_register")
+@query("q29_corrections", FIRED + f", {PROPOSED} SELECT * FROM co", "fx_register")
 def q29(t):
-    return A.corrections(A.fired_rules(_reg(t)))
+    return _corrections(t)
+
+
+_ALL_COLUMNS = list(A.HEADERS)
+_RAW_MISSING = " + ".join(f"{_nullish(n)}::BIGINT" for n in _ALL_COLUMNS)
+_ACTIONABLE = " + ".join(f"{_gap(n)}::BIGINT" for n in _ALL_COLUMNS)
 
 
 @query(
     "q30_audit_summary",
-    FIRED + """ SELECT CASE grouping_id(category, severity, rule) WHEN 3 THEN 'category' WHEN 5 THEN 'severity' WHEN 6 THEN 'rule' ELSE 'all' END AS dimension,
-      coalesce(category, severity, rule, '') AS value, count(*) AS n, count(DISTINCT nr_ref) AS records, count(*) FILTER (confidence < 0.5) AS low_confidence
-      FROM fired GROUP BY GROUPING SETS ((category), (severity), (rule), ())""",
+    FOUND + f""", {PROPOSED},
+      r AS (SELECT count(*) AS n, sum({_RAW_MISSING}) AS raw, sum({_ACTIONABLE}) AS act FROM reg),
+      a AS (SELECT count(*) AS n, count(DISTINCT nr_ref) AS k FROM an), c AS (SELECT count(*) AS n, count(DISTINCT nr_ref) AS k, count(*) FILTER (confidence < 0.5) AS low FROM co),
+      v AS (SELECT unnest([
+        {{'section': 'size', 'name': 'records', 'value': r.n::DOUBLE}}, {{'section': 'size', 'name': 'columns', 'value': 19::DOUBLE}},
+        {{'section': 'missing', 'name': 'raw_total', 'value': raw::DOUBLE}}, {{'section': 'missing', 'name': 'raw_pct_cells', 'value': round_even(raw * 100 / (r.n * 19), 2)::DOUBLE}},
+        {{'section': 'missing', 'name': 'actionable_total', 'value': act::DOUBLE}}, {{'section': 'missing', 'name': 'actionable_pct_cells', 'value': round_even(act * 100 / (r.n * 19), 2)::DOUBLE}},
+        {{'section': 'anomalies', 'name': 'total_entries', 'value': a.n::DOUBLE}}, {{'section': 'anomalies', 'name': 'records_with_anomalies', 'value': a.k::DOUBLE}},
+        {{'section': 'anomalies', 'name': 'records_with_anomalies_pct', 'value': round_even(a.k * 100 / r.n, 2)::DOUBLE}},
+        {{'section': 'anomalies', 'name': 'entries_pct_cells', 'value': round_even(a.n * 100 / (r.n * 19), 2)::DOUBLE}},
+        {{'section': 'corrections', 'name': 'total_entries', 'value': c.n::DOUBLE}}, {{'section': 'corrections', 'name': 'records_with_corrections', 'value': c.k::DOUBLE}},
+        {{'section': 'corrections', 'name': 'records_with_corrections_pct', 'value': round_even(c.k * 100 / r.n, 2)::DOUBLE}},
+        {{'section': 'corrections', 'name': 'low_confidence_count', 'value': c.low::DOUBLE}}]) AS e FROM r, a, c)
+      SELECT e.section AS section, e.name AS name, e.value AS value FROM v
+      UNION ALL SELECT 'anomalies by category', category, count(*)::DOUBLE FROM an GROUP BY ALL
+      UNION ALL SELECT 'anomalies by severity', severity, count(*)::DOUBLE FROM an GROUP BY ALL
+      UNION ALL SELECT * FROM (SELECT 'anomalies by reason', reason, count(*)::DOUBLE AS k FROM an GROUP BY ALL ORDER BY k DESC, reason LIMIT 10)
+      UNION ALL SELECT 'corrections by method', method, count(*)::DOUBLE FROM co GROUP BY ALL""",
     "fx_register",
-)
+)
 def q30(t):
-    return A.audit_summary(A.fired_rules(_reg(t)))
+    return A.audit_summary(_gaps(t), _anomalies(t), _corrections(t))
 
 
+_COUNTED = ["anomaly_count", "anomaly_high_count", "anomaly_medium_count", "anomaly_low_count"]
+_HAS = [f"has_{n}_anomaly" for n in ("logical", "technical", "geographic", "relational")]
 FLAGS = (
-    FIRED
-    + """, an AS (SELECT DISTINCT nr_ref, rule, category, severity, field, raw FROM fired),
-  fl AS (SELECT nr_ref, count(*) AS anomaly_count, """
-    + ", ".join(f"count(*) FILTER (severity = '{s}') AS anomaly_{s}" for s in A.SEVERITIES[:3])
+    FOUND
+    + """, fl AS (SELECT nr_ref, count(*) AS anomaly_count, """
+    + ", ".join(f"count(*) FILTER (severity = '{s}') AS anomaly_{s}_count" for s in ("high", "medium", "low"))
     + ", "
-    + ", ".join(f"max((category = '{n}')::BIGINT) AS has_{n}" for n in ("logical", "technical", "geographic", "relational"))
-    + ", CASE min(CASE severity WHEN 'high' THEN 1 WHEN 'medium' THEN 2 ELSE 3 END) WHEN 1 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS max_severity FROM an GROUP BY nr_ref)"
+    + ", ".join(f"max((category = '{n}')::BIGINT) AS has_{n}_anomaly" for n in ("logical", "technical", "geographic", "relational"))
+    + ", CASE WHEN bool_or(severity = 'high') THEN 'high' WHEN bool_or(severity = 'medium') THEN 'medium' ELSE 'low' END AS max_anomaly_severity, 'REVIEW' AS record_status FROM an GROUP BY nr_ref)"
 )
 
 
 def _normal(t):
-    df = _reg(t)
-    return A.normalise(df, A.quality_flags(A.anomalies(A.fired_rules(df))))
+    return A.normalise(_reg(t), A.quality_flags(_anomalies(t)))
 
 
 @query("q31_quality_flags", FLAGS + " SELECT * FROM fl", "fx_register")
 def q31(t):
-    return A.quality_flags(A.anomalies(A.fired_rules(_reg(t))))
+    return A.quality_flags(_anomalies(t))
+
+
+def _text(n: str) -> str:
+    return f"trim(regexp_replace(coalesce({n}, ''), '{WS}', ' ', 'g'))"
 
 
-def _slug(n: str) -> str:
-    return f"regexp_replace(regexp_replace(translate(lower(coalesce({n}, '')), '{S.ACCENTED}', '{S.PLAIN}'), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')"
+def _zero(x: str) -> str:
+    return f"coalesce(nullif({x}, ''), '0')"
 
 
-_TEXTS = ("wojewodztwo", "powiat", "gmina", "wlasciciel")
 NORMAL = (
     FLAGS
-    + f""", nm AS (SELECT lp, r.nr_ref,
-  coalesce(strftime(coalesce(try_strptime(trim(data), '%d.%m.%Y'), try_strptime(trim(data), '%d/%m/%Y'), try_strptime(trim(data), '%Y-%m-%d')), '%Y-%m-%d'), '') AS data_iso,
-  {", ".join(f"trim(regexp_replace({n}, '{WS}', ' ', 'g')) AS {n}, {_slug(n)} AS {n}_key" for n in _TEXTS)},
-  coalesce(round_even(power, 0)::BIGINT, 0) AS moc, coalesce(height, 0) AS wys, coalesce(lat_n, 0) AS lat_d, coalesce(lon_n, 0) AS lon_d,
-  {", ".join(f"coalesce(st_{s}, 'N/D') AS {s}_status, coalesce(CASE st_{s} WHEN 'TAK' THEN 1 WHEN 'NIE' THEN 0 END, 0)::BIGINT AS {s}_flag" for s in A.STATUSES)},
-  {", ".join(f"coalesce({n}, 0) AS {n}" for n in ["anomaly_count", "anomaly_high", "anomaly_medium", "anomaly_low", "has_logical", "has_technical", "has_geographic", "has_relational"])},
-  coalesce(max_severity, '0') AS max_severity, (coalesce(anomaly_count, 0) = 0)::BIGINT AS is_clean,
-  CASE WHEN coalesce(anomaly_count, 0) = 0 THEN 'clean' ELSE 'flagged' END AS record_status
-  FROM reg r LEFT JOIN fl USING (nr_ref))"""
+    + f""", nm AS (SELECT r.lp, {_zero(_text("r.nr_ref"))} AS nr_ref,
+  {_zero(f"strftime(coalesce(try_strptime(trim(data), '%d.%m.%Y'), try_strptime(trim(data), '%d/%m/%Y'), try_strptime(trim(data), '%Y-%m-%d')), '%Y-%m-%d')")} AS data_iso,
+  {", ".join(f"{_zero(_text(n))} AS {n}, {_zero(slug(n))} AS {n}_key" for n in _TEXTS)}, {_zero(_text("kod_swd"))} AS kod_swd,
+  coalesce(round_even(power, 0)::BIGINT, 0) AS moc_w, coalesce(height, 0) AS wysokosc_nad_terenem_m, coalesce(lat_n, 0) AS lat, coalesce(lon_n, 0) AS lon,
+  {", ".join(f"{_zero(f'upper({_text(s)})')} AS {s}_status, coalesce({flag(s)}, 0) AS {s}_flag" for s in A.STATUSES)},
+  {", ".join(f"coalesce({n}, 0) AS {n}" for n in _COUNTED + _HAS)},
+  coalesce(max_anomaly_severity, '0') AS max_anomaly_severity, coalesce(record_status, 'OK') AS record_status, (record_status IS NULL)::BIGINT AS is_clean_record
+  FROM reg r LEFT JOIN fl ON fl.nr_ref = {_text("r.nr_ref")})"""
 )
 
 
@@ -294,11 +408,12 @@ def q32(t):
 
 @query(
     "q33_quality_table",
-    NORMAL
-    + """, o AS (SELECT 'owner: ' || wlasciciel AS metric, count(*) AS value FROM nm GROUP BY ALL ORDER BY value DESC, metric LIMIT 12)
-    SELECT 'records' AS metric, count(*) AS value FROM nm UNION ALL SELECT 'clean', sum(is_clean)::BIGINT FROM nm UNION ALL SELECT 'power_zero', count(*) FILTER (moc = 0) FROM nm
-    UNION ALL SELECT 'gsm', count(*) FILTER (gsm_flag = 1) FROM nm UNION ALL SELECT 'ids', count(DISTINCT nr_ref) FROM nm UNION ALL SELECT * FROM o""",
+    REG
+    + f"""o AS (SELECT 'owners' AS category, {_clean("wlasciciel")} AS metric, count(*) AS value FROM reg GROUP BY ALL ORDER BY value DESC, metric LIMIT 12)
+    SELECT 'V9' AS category, 'records' AS metric, count(*) AS value FROM reg UNION ALL SELECT 'V9', 'columns', 41 UNION ALL SELECT 'V9', 'analog_records', count(*) FILTER (kind = 'analogowa') FROM reg
+    UNION ALL SELECT 'quality', 'raw_missing_total', sum({_RAW_MISSING})::BIGINT FROM reg UNION ALL SELECT 'quality', 'actionable_missing_total', sum({_ACTIONABLE})::BIGINT FROM reg
+    UNION ALL SELECT 'quality', 'duplicate_nr_ref', coalesce(sum(c), 0)::BIGINT FROM (SELECT count(*) AS c FROM reg GROUP BY {_clean("nr_ref")} HAVING count(*) > 1) UNION ALL SELECT * FROM o""",
     "fx_register",
 )
 def q33(t):
-    return A.quality_table(_normal(t))
+    return A.quality_table(_gaps(t), len(_normal(t).columns))

@@ -14,9 +14,27 @@ NUMBER = r"CASE WHEN regexp_full_match({0}, '[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+
 DIGITS = rf"replace(regexp_replace(num, '{WS}', '', 'g'), ',', '.')"
 _NUM = NUMBER.format(DIGITS)
 _STATUS = TOKEN.format("status")
-YES, NO, ND = "('TAK', 'T', 'YES', 'Y', '1', 'TRUE')", "('NIE', 'N', 'NO', '0', 'FALSE')", "('N/D', 'ND', 'N\\D', 'N-D')"
+YES, NO, ND = "('TAK', 'YES', 'Y')", "('NIE', 'NO', 'N')", "('N/D', 'ND', 'N\\D', 'N-D')"
 NULLS = "('', '-', 'BRAK', 'NULL', 'NONE', 'NAN')"
-TRI = f"CASE WHEN {_STATUS} IN {YES} THEN 'TAK' WHEN {_STATUS} IN {NO} THEN 'NIE' WHEN {_STATUS} IN {ND} THEN 'N/D' END"
+CLEAN = "nullif(trim(replace({0}, chr(160), ' ')), '')"
+
+
+def tri(name: str) -> str:
+    token = TOKEN.replace("{0}", name)
+    return f"CASE WHEN {token} IN {NULLS} THEN NULL WHEN {token} IN {YES} THEN 'TAK' WHEN {token} IN {NO} THEN 'NIE' WHEN {token} IN {ND} THEN 'N/D' ELSE upper({CLEAN.replace('{0}', name)}) END"
+
+
+def flag(name: str) -> str:
+    return f"CASE WHEN upper(trim(regexp_replace(coalesce({name}, ''), '{WS}', ' ', 'g'))) = 'TAK' THEN 1 WHEN upper(trim(regexp_replace(coalesce({name}, ''), '{WS}', ' ', 'g'))) IN ('NIE', 'N/D', '', '0') THEN 0 END::BIGINT"
+
+
+def slug(name: str) -> str:
+    plain = f"regexp_replace(strip_accents(translate(lower(trim(regexp_replace(coalesce({name}, ''), '{WS}', ' ', 'g'))), 'ąćęłńóśźż', 'acelnoszz')), '[^\\x00-\\x7f]+', '', 'g')"
+    return f"regexp_replace(regexp_replace({plain}, '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')"
+
+
+def shown(x: str) -> str:
+    return f"CASE WHEN ({x}) IS NULL THEN '' WHEN ({x}) = floor({x}) THEN ({x})::BIGINT::VARCHAR ELSE rtrim(rtrim(printf('%.2f', ({x})::DOUBLE), '0'), '.') END"
 
 
 def _scalar(name: str, sql: str, make):
@@ -31,19 +49,19 @@ _scalar("scl02_clean_or_null", "nullif(trim(replace(status, chr(160), ' ')), '')
 _scalar("scl03_label_key", f"lower(trim(regexp_replace(coalesce(raw, ''), '{WS}', ' ', 'g')))", lambda: S.label_key(c("raw")))
 _scalar(
     "scl04_ascii_key",
-    f"regexp_replace(regexp_replace(translate(lower(coalesce(place, '')), '{S.ACCENTED}', '{S.PLAIN}'), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')",
+    slug("place"),
     lambda: S.ascii_key(c("place")),
 )
 _scalar("scl05_key_token", TOKEN.format("raw"), lambda: S.key_token(c("raw")))
-_scalar("scl06_null_tests", f"(CASE WHEN {_STATUS} IN {NULLS} THEN 1 ELSE 0 END + CASE WHEN {_STATUS} IN {ND} THEN 2 ELSE 0 END)::INTEGER",
+_scalar("scl06_null_tests", f"(CASE WHEN {_STATUS} IN {NULLS} OR {_STATUS} IN {ND} THEN 1 ELSE 0 END + CASE WHEN {_STATUS} IN {ND} THEN 2 ELSE 0 END)::INTEGER",
         lambda: S.is_null_like(c("status")).cast("int") + S.is_nd(c("status")).cast("int") * 2)
-_scalar("scl07_yes_no_nd", TRI, lambda: S.yes_no_nd(c("status")))
-_scalar("scl08_status_flag", f"CASE {TRI} WHEN 'TAK' THEN 1 WHEN 'NIE' THEN 0 END::BIGINT", lambda: S.status_flag(S.yes_no_nd(c("status"))))
+_scalar("scl07_yes_no_nd", tri("status"), lambda: S.yes_no_nd(c("status")))
+_scalar("scl08_status_flag", flag("status"), lambda: S.status_flag(c("status")))
 
 
 @query(
     "scl09_parse_number",
-    f"SELECT doc_id, {_NUM} AS value, {TOKEN.format('num')} NOT IN {NULLS} AND {TOKEN.format('num')} NOT IN {ND} AND ({_NUM}) IS NULL AS failed FROM fx_text",
+    f"SELECT doc_id, {_NUM} AS value, {CLEAN.format('num')} IS NOT NULL AND {TOKEN.format('num')} NOT IN {ND} AND ({_NUM}) IS NULL AS failed FROM fx_text",
     "fx_text",
 )
 def scl09(t):

@@ -25,6 +25,7 @@ def spark():
         .config("spark.local.dir", home)
         .config("spark.checkpoint.dir", f"file://{home}/shared")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call site for each column expression
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
