@@ -43,14 +43,14 @@ def link_costs_by_unit(register: DataFrame, cost: int = INTEGRATION_PLN) -> Data
 
 
 def gap_costs(gaps: DataFrame, cost: int = NEW_SITE_PLN) -> DataFrame:
-    action = F.when(F.col("seed") == "new_site_likely", "new_large_site").otherwise("field_check")
-    out = gaps.withColumn("action", action).withColumn("cost_pln", F.when(F.col("action") == "new_large_site", cost).otherwise(0).cast("bigint"))
+    action = F.when(F.col("seed") == "new_siren_likely", "new_large_siren").otherwise("not_priced_as_integration")
+    out = gaps.withColumn("action", action).withColumn("cost_pln", F.when(F.col("action") == "new_large_siren", cost).otherwise(0).cast("bigint"))
     return out.withColumn("pln_per_person", S.cost_per_person(F.col("cost_pln"), F.col("pop_night")))
 
 
 def unit_costs(costed: DataFrame, ranking: DataFrame) -> DataFrame:
     """Ranking with gap counts by action and the cost sum."""
-    actions = ["new_large_site", "field_check"]
+    actions = ["new_large_siren", "not_priced_as_integration"]
     wide = costed.where("gmi is not null").groupBy("gmi").pivot("action", actions).count()
     sums = costed.where("gmi is not null").groupBy("gmi").agg(F.sum("cost_pln").alias("cost_pln"))
     return ranking.join(wide, "gmi", "left").join(sums, "gmi", "left").na.fill(0, [*actions, "cost_pln"])
@@ -58,21 +58,21 @@ def unit_costs(costed: DataFrame, ranking: DataFrame) -> DataFrame:
 
 def scenarios(counts: DataFrame, active_sites: DataFrame, covering: DataFrame, costed: DataFrame, new: int = NEW_SITE_PLN, link: int = INTEGRATION_PLN) -> DataFrame:
     """(scenario, quantity, cost_pln): eleven budgets from four one-row tables."""
-    g = costed.agg(F.count(F.lit(1)).alias("gaps"), F.count_if(F.col("action") == "new_large_site").alias("likely"), F.coalesce(F.sum("cost_pln"), F.lit(0)).alias("likely_pln"))
+    g = costed.agg(F.count(F.lit(1)).alias("gaps"), F.count_if(F.col("action") == "new_large_siren").alias("likely"), F.coalesce(F.sum("cost_pln"), F.lit(0)).alias("likely_pln"))
     one = counts.join(active_sites, F.lit(True)).join(covering, F.lit(True)).join(g, F.lit(True))
     q = F.col
     rows = [
-        ("link_all_records", q("records"), q("records") * link),
-        ("link_active_sites", q("active"), q("active") * link),
-        ("link_records_unlinked", q("records_unlinked"), q("records_unlinked") * link),
-        ("link_sites_unlinked", q("sites_unlinked"), q("sites_unlinked") * link),
-        ("link_sites_with_coverage", q("covering"), q("covering") * link),
-        ("all_gaps_new_sites", q("gaps"), q("gaps") * new),
-        ("likely_gaps_new_sites", q("likely"), q("likely_pln")),
-        ("records_unlinked_and_likely", q("records_unlinked") + q("likely"), q("records_unlinked") * link + q("likely_pln")),
-        ("sites_unlinked_and_likely", q("sites_unlinked") + q("likely"), q("sites_unlinked") * link + q("likely_pln")),
-        ("active_sites_and_likely", q("active") + q("likely"), q("active") * link + q("likely_pln")),
-        ("active_sites_and_all_gaps", q("active") + q("gaps"), q("active") * link + q("gaps") * new),
+        ("integracja_wszystkich_syren_z_inwentaryzacji", q("records"), q("records") * link),
+        ("integracja_wszystkich_aktywnych_lokalizacji", q("active"), q("active") * link),
+        ("integracja_syren_bez_gsm", q("records_unlinked"), q("records_unlinked") * link),
+        ("integracja_lokalizacji_bez_gsm_po_deduplikacji", q("sites_unlinked"), q("sites_unlinked") * link),
+        ("integracja_lokalizacji_z_zasiegiem", q("covering"), q("covering") * link),
+        ("wszystkie_luki_v12_jako_nowe_duze_syreny", q("gaps"), q("gaps") * new),
+        ("tylko_luki_new_siren_likely", q("likely"), q("likely_pln")),
+        ("integracja_syren_bez_gsm_plus_new_siren_likely", q("records_unlinked") + q("likely"), q("records_unlinked") * link + q("likely_pln")),
+        ("integracja_lokalizacji_bez_gsm_plus_new_siren_likely", q("sites_unlinked") + q("likely"), q("sites_unlinked") * link + q("likely_pln")),
+        ("integracja_aktywnych_lokalizacji_plus_new_siren_likely", q("active") + q("likely"), q("active") * link + q("likely_pln")),
+        ("integracja_aktywnych_lokalizacji_plus_wszystkie_luki_jako_nowe", q("active") + q("gaps"), q("active") * link + q("gaps") * new),
     ]
     return one.select(F.explode(F.array(*(F.struct(F.lit(n).alias("scenario"), a.alias("quantity"), b.cast("bigint").alias("cost_pln")) for n, a, b in rows))).alias("s")).select("s.*")
 

@@ -14,19 +14,83 @@ PROFILES = [(450, 300, 103), (750, 600, 109), (1050, 900, 112), (None, 1200, 115
 THRESHOLDS = (65, 70, 75)
 REFERENCE_M, BUILDING_DB = 30.0, 10.0
 CLUTTER_DB = {
-    "residential": 6.0, "industrial": 8.0, "commercial": 7.0, "forest": 10.0, "farmland": 1.0, "farmyard": 3.0, "open_green": 1.5, "orchard": 4.0,
-    "scrub": 5.0, "wetland": 2.0, "water": 0.0, "bare": 0.5, "construction": 5.0, "restricted": 5.0, "parking": 1.0, "public": 5.0,
-}
-#: (key, values, class), first rule wins.
-CLUTTER_RULES = [
-    ("landuse", ["residential"], "residential"), ("landuse", ["industrial"], "industrial"), ("landuse", ["commercial", "retail"], "commercial"),
-    ("landuse", ["forest"], "forest"), ("landuse", ["farmland"], "farmland"), ("landuse", ["farmyard"], "farmyard"),
-    ("landuse", ["grass", "meadow", "recreation_ground"], "open_green"), ("landuse", ["orchard"], "orchard"), ("landuse", ["construction"], "construction"),
-    ("landuse", ["military"], "restricted"), ("natural", ["wood"], "forest"), ("natural", ["scrub"], "scrub"), ("natural", ["wetland"], "wetland"),
-    ("natural", ["water"], "water"), ("natural", ["bare_rock", "sand"], "bare"), ("leisure", ["park", "garden"], "open_green"),
-    ("amenity", ["parking"], "parking"), ("amenity", ["school", "hospital"], "public"),
-]
-ROADS = "motorway trunk primary secondary tertiary unclassified residential service living_street pedestrian track".split()
+    "residential": 6.0,
+    "industrial": 8.0,
+    "commercial": 7.0,
+    "forest": 10.0,
+    "farmland": 1.0,
+    "farmyard": 3.0,
+    "open_green": 1.5,
+    "orchard": 4.0,
+    "scrub": 5.0,
+    "wetland": 2.0,
+    "water": 0.0,
+    "bare": 0.5,
+    "construction": 5.0,
+    "restricted": 5.0,
+    "parking": 1.0,
+    "public": 5.0,
+}
+#: Key -> value -> class; the first key that has the object's value wins.
+CLUTTER_RULES = {
+    "landuse": {
+        "allotments": "open_green",
+        "cemetery": "open_green",
+        "commercial": "commercial",
+        "construction": "construction",
+        "farmland": "farmland",
+        "farmyard": "farmyard",
+        "forest": "forest",
+        "grass": "open_green",
+        "industrial": "industrial",
+        "meadow": "open_green",
+        "military": "restricted",
+        "orchard": "orchard",
+        "quarry": "industrial",
+        "railway": "industrial",
+        "residential": "residential",
+        "retail": "commercial",
+        "vineyard": "orchard",
+    },
+    "natural": {
+        "bare_rock": "bare",
+        "beach": "bare",
+        "grassland": "open_green",
+        "heath": "scrub",
+        "sand": "bare",
+        "scrub": "scrub",
+        "water": "water",
+        "wetland": "wetland",
+        "wood": "forest",
+    },
+    "leisure": {
+        "garden": "open_green",
+        "golf_course": "open_green",
+        "nature_reserve": "open_green",
+        "park": "open_green",
+        "pitch": "open_green",
+        "sports_centre": "open_green",
+    },
+    "amenity": {
+        "hospital": "public",
+        "parking": "parking",
+        "school": "public",
+        "university": "public",
+    },
+}
+ROADS = [
+    "motorway",
+    "trunk",
+    "primary",
+    "secondary",
+    "tertiary",
+    "unclassified",
+    "residential",
+    "service",
+    "living_street",
+    "pedestrian",
+    "track",
+]
 NUMBERING_BLOCK = 4096
 #: Low bits of a packed maximum that hold the site.
 UID_BITS = 36
@@ -128,7 +192,7 @@ def building_rows(objects: DataFrame) -> DataFrame:
 
 
 def clutter_class(tags: dict[str, Column]) -> Column:
-    return F.coalesce(*(F.when(tags[key].isin(values), F.lit(name)) for key, values, name in CLUTTER_RULES))
+    return F.coalesce(*(F.when(tags[key] == value, F.lit(name)) for key, values in CLUTTER_RULES.items() for value, name in values.items()))
 
 
 def clutter_rows(objects: DataFrame) -> DataFrame:

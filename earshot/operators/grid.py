@@ -37,7 +37,7 @@ def sample(points: DataFrame, cells: DataFrame, values: dict[str, object], cell:
 
 def census_code(x: Column, y: Column, side: int = 500) -> Column:
     at = lambda c: (F.floor(c / side).cast("bigint") * side).cast("string")
-    return F.concat(F.lit(f"{side}mN"), at(y), F.lit("E"), at(x))
+    return F.concat(F.lit(f"CRS3035RES{side}mN"), at(y), F.lit("E"), at(x))
 
 
 def _span(low: Column, high: Column) -> Column:

@@ -7,21 +7,76 @@ from pyspark.sql import functions as F
 
 # fixed values
 DEFAULT_FLOORS = {
-    "bungalow": 1.0, "house": 2.0, "detached": 2.0, "farm": 2.0, "farmhouse": 2.0, "semidetached_house": 2.0, "terrace": 2.0, "apartments": 3.0, "residential": 3.0,
-    "dormitory": 3.0, "office": 3.0, "hotel": 3.0, "commercial": 3.0, "retail": 3.0, "school": 3.0, "hospital": 3.0, "university": 3.0, "college": 3.0,
-    "industrial": 1.0, "warehouse": 1.0, "manufacture": 1.0, "yes": 1.5,
-}
+    "apartments": 3.0,
+    "bungalow": 1.0,
+    "college": 3.0,
+    "commercial": 3.0,
+    "detached": 2.0,
+    "dormitory": 3.0,
+    "farm": 2.0,
+    "farmhouse": 2.0,
+    "hospital": 3.0,
+    "hotel": 3.0,
+    "house": 2.0,
+    "industrial": 1.0,
+    "manufacture": 1.0,
+    "office": 3.0,
+    "residential": 3.0,
+    "retail": 3.0,
+    "school": 3.0,
+    "semidetached_house": 2.0,
+    "terrace": 2.0,
+    "university": 3.0,
+    "warehouse": 1.0,
+    "yes": 1.5,
+}
 GROUPS = {
-    "house": "single", "detached": "single", "bungalow": "single", "farm": "single", "farmhouse": "single", "semidetached_house": "semi", "terrace": "terrace",
-    "apartments": "multi", "residential": "multi", "dormitory": "dormitory", "yes": "yes", "garage": "empty", "garages": "empty", "shed": "empty", "roof": "empty",
-    "greenhouse": "empty", "outbuilding": "empty", "farm_auxiliary": "empty", "allotment_house": "empty", "sty": "empty", "barn": "empty", "carport": "empty",
-}
+    "allotment_house": "non_occupied_fallback",
+    "apartments": "multi_family",
+    "barn": "non_occupied_fallback",
+    "bungalow": "single_family",
+    "carport": "non_occupied_fallback",
+    "detached": "single_family",
+    "dormitory": "dormitory",
+    "farm": "single_family",
+    "farm_auxiliary": "non_occupied_fallback",
+    "farmhouse": "single_family",
+    "garage": "non_occupied_fallback",
+    "garages": "non_occupied_fallback",
+    "greenhouse": "non_occupied_fallback",
+    "house": "single_family",
+    "outbuilding": "non_occupied_fallback",
+    "residential": "multi_family",
+    "roof": "non_occupied_fallback",
+    "semidetached_house": "semi_detached",
+    "shed": "non_occupied_fallback",
+    "sty": "non_occupied_fallback",
+    "terrace": "terrace",
+    "yes": "generic_yes",
+}
 DIVISORS = {
-    "school": 12.0, "kindergarten": 12.0, "university": 15.0, "college": 15.0, "hospital": 20.0, "office": 25.0, "government": 25.0, "civic": 25.0, "hotel": 25.0,
-    "public": 30.0, "retail": 30.0, "commercial": 30.0, "supermarket": 30.0, "service": 35.0, "train_station": 35.0, "industrial": 60.0, "manufacture": 60.0,
-    "transportation": 60.0, "church": 60.0, "warehouse": 80.0,
-}
-RESIDENTIAL = ["single", "semi", "terrace", "multi", "dormitory"]
+    "church": 60.0,
+    "civic": 25.0,
+    "college": 15.0,
+    "commercial": 30.0,
+    "government": 25.0,
+    "hospital": 20.0,
+    "hotel": 25.0,
+    "industrial": 60.0,
+    "kindergarten": 12.0,
+    "manufacture": 60.0,
+    "office": 25.0,
+    "public": 30.0,
+    "retail": 30.0,
+    "school": 12.0,
+    "service": 35.0,
+    "supermarket": 30.0,
+    "train_station": 35.0,
+    "transportation": 60.0,
+    "university": 15.0,
+    "warehouse": 80.0,
+}
+RESIDENTIAL = ["single_family", "semi_detached", "terrace", "multi_family", "dormitory"]
 NIGHT_SHARE, DESTINATION_SHARE = 0.55, 0.45
 
 
@@ -42,20 +97,20 @@ def capacity_scores(buildings: DataFrame) -> DataFrame:
     area = F.greatest(F.col("area_m2").cast("double"), F.lit(1.0))
     fa, group, divisor = area * F.col("floors"), F.coalesce(_lookup(GROUPS, F.col("bldg")), F.lit("other")), _lookup(DIVISORS, F.col("bldg"))
     night = (
-        F.when(group == "single", F.col("floors") * 4)
-        .when(group == "semi", F.col("floors") * 6)
+        F.when(group == "single_family", F.col("floors") * 4)
+        .when(group == "semi_detached", F.col("floors") * 6)
         .when(group == "terrace", F.col("floors") * 3 * F.greatest(F.lit(1.0), area / 70))
-        .when(group == "multi", fa / 35)
+        .when(group == "multi_family", fa / 35)
         .when(group == "dormitory", fa / 25)
         .otherwise(0.0)
     )
-    generic = F.when(group == "empty", F.greatest(F.lit(0.5), fa / 200)).otherwise(F.greatest(F.lit(1.0), fa / 120))
+    generic = F.when(group == "non_occupied_fallback", F.greatest(F.lit(0.5), fa / 200)).otherwise(F.greatest(F.lit(1.0), fa / 120))
     own = F.when(group == "dormitory", fa / 25).otherwise(0.0)
     destination = F.greatest(own, F.coalesce(fa / divisor, F.lit(0.0)))
-    confidence = F.when(group.isin(RESIDENTIAL), "high").when((group == "yes") | divisor.isNotNull(), "medium").otherwise("low")
+    confidence = F.when(group.isin(RESIDENTIAL), "high").when((group == "generic_yes") | divisor.isNotNull(), "medium").otherwise("low")
     return df.withColumns(
         {
-            "night": night, "low": F.when(group == "yes", fa / 200).otherwise(0.0), "fallback": F.when(group == "yes", fa / 45).otherwise(0.0), "generic": generic,
+            "night": night, "low": F.when(group == "generic_yes", fa / 200).otherwise(0.0), "fallback": F.when(group == "generic_yes", fa / 45).otherwise(0.0), "generic": generic,
             "destination": destination, "class_name": F.when((group == "other") & divisor.isNotNull(), "destination").otherwise(group), "confidence": confidence,
         }
     )

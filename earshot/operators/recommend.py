@@ -6,9 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from earshot.functions import scalars as S
+from earshot.operators import ranks
 from earshot.operators.costs import INTEGRATION_PLN, NEW_SITE_PLN
 from earshot.operators.risk import priority_class
 from earshot.operators.spatial_join import nearest
@@ -35,7 +35,7 @@ def gap_sample(gaps: DataFrame, top: int = TOP_GAPS) -> DataFrame:
     """The top gaps by score and every gap where a new site is likely. The top is a
     distributed take; its ids come back by a semi join."""
     best = gaps.orderBy(F.desc("score"), F.desc("pop_night"), "gap_id").limit(top).select("gap_id", F.lit(True).alias("top"))
-    return gaps.join(best, "gap_id", "left").where("top or seed = 'new_site_likely'").drop("top")
+    return gaps.join(best, "gap_id", "left").where("top or seed = 'new_siren_likely'").drop("top")
 
 
 def power_class(people: Column, area_ha: Column) -> Column:
@@ -61,7 +61,7 @@ def candidate_sites(sample: DataFrame, gap_points: DataFrame, objects: DataFrame
 
 def scored_candidates(candidates: DataFrame, cost: int = NEW_SITE_PLN) -> DataFrame:
     bonus = F.when(F.col("mount_id").isNotNull(), PUBLIC_BONUS).otherwise(0.0)
-    action = F.when(F.col("seed") == "new_site_likely", "nowa_syrena").otherwise("walidacja_terenowa")
+    action = F.when(F.col("seed") == "new_siren_likely", "nowa_syrena").otherwise("walidacja_terenowa")
     out = candidates.withColumns({"score_v13": F.bround(F.least(F.lit(100.0), F.col("score") + bonus), 2), "action": action, "power_w": power_class(F.col("pop_night"), F.col("area_ha"))})
     out = out.withColumn("cost_pln", F.when(F.col("action") == "nowa_syrena", cost).otherwise(0).cast("bigint"))
     return out.withColumn("pln_per_person", S.cost_per_person(F.col("cost_pln"), F.col("pop_night")))
@@ -81,7 +81,7 @@ def critical_sites(collapsed: DataFrame, sites: DataFrame, cost: int = INTEGRATI
     action = site_action(F.col("gsm_flag"), F.col("sk_flag"), F.col("kind"), F.col("moc_w"))
     out = sites.join(collapsed, "site_uid", "left").na.fill(0.0, ["pop_night", "pop_day"]).withColumns({"loss": F.round("pop_night", 4), "action": action})
     out = out.withColumn("cost_pln", F.when(F.col("action") == "integracja", cost).otherwise(0).cast("bigint"))
-    return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("loss"), "site_uid")))
+    return ranks.row_number(out, [F.desc("loss"), F.col("site_uid")], "rank")
 
 
 def existing_recommendations(critical: DataFrame) -> DataFrame:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from earshot.functions import scalars as S
+from earshot.operators import ranks
 
 MEASURES = ["night", "night_in", "night_out", "day", "day_in", "day_out"]
 
@@ -77,7 +77,7 @@ def priority_class(score: Column) -> Column:
 
 def action_seed(score: Column, people: Column, area_ha: Column) -> Column:
     likely = (score >= 60) & (people >= 100) & (F.coalesce(F.try_divide(people, area_ha), F.lit(0.0)) >= 5)
-    return F.when(likely, "new_site_likely").otherwise("review")
+    return F.when(likely, "new_siren_likely").otherwise("modernizacja_or_new")
 
 
 def unit_base(points: DataFrame) -> DataFrame:
@@ -104,10 +104,10 @@ def priority_gaps(selected: DataFrame, gap_unit: DataFrame, base: DataFrame) ->
 
 
 def unit_ranking(base: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Units with the area of their gaps, score and rank. The unit table is small; the rank is one window over it."""
+    """Units with the area of their gaps, score and rank."""
     area = gaps.where("gmi is not null").groupBy("gmi").agg(F.sum("area_ha").alias("gap_ha"), F.count(F.lit(1)).alias("gaps"))
     met = base.join(area, "gmi", "left").na.fill(0, ["gap_ha", "gaps"])
     ref = base.agg(percentile_ref("outside").alias("ref"))
     score = priority_score(F.col("outside"), F.col("ref"), F.col("risk"), F.col("share"), F.col("gap_ha"))
     out = met.join(F.broadcast(ref), F.lit(True)).withColumn("score", score).drop("ref")
-    return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), F.desc("outside"), "gmi")))
+    return ranks.row_number(out, [F.desc("score"), F.desc("outside"), F.col("gmi")], "rank")

@@ -202,7 +202,7 @@ def g06(t):
     return G.sample(t.fx_sites, cells, {"risk": 0}).select("nr_ref", c("risk").cast("bigint").alias("risk"), "valid")
 
 
-@query("g07_census_code", f"SELECT bldg_id, '500mN' || ({_floor('y', 500)} * 500)::VARCHAR || 'E' || ({_floor('x', 500)} * 500)::VARCHAR AS code FROM fx_buildings", "fx_buildings")
+@query("g07_census_code", f"SELECT bldg_id, 'CRS3035RES500mN' || ({_floor('y', 500)} * 500)::VARCHAR || 'E' || ({_floor('x', 500)} * 500)::VARCHAR AS code FROM fx_buildings", "fx_buildings")
 def g07(t):
     return t.fx_buildings.select("bldg_id", G.census_code(c("x"), c("y")).alias("code"))
 

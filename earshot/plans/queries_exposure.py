@@ -24,7 +24,7 @@ bs AS (SELECT bldg_id, bldg, x, y, floors,
   CASE WHEN bldg = 'yes' THEN fa / 200 ELSE 0 END::DOUBLE AS low, CASE WHEN bldg = 'yes' THEN fa / 45 ELSE 0 END::DOUBLE AS fallback,
   CASE WHEN bldg = 'garage' THEN greatest(0.5, fa / 200) ELSE greatest(1, fa / 120) END::DOUBLE AS generic,
   CASE bldg WHEN 'dormitory' THEN fa / 25 WHEN 'school' THEN fa / 12 WHEN 'office' THEN fa / 25 ELSE 0 END::DOUBLE AS destination,
-  CASE bldg WHEN 'house' THEN 'single' WHEN 'terrace' THEN 'terrace' WHEN 'apartments' THEN 'multi' WHEN 'dormitory' THEN 'dormitory' WHEN 'yes' THEN 'yes' WHEN 'garage' THEN 'empty' ELSE 'destination' END AS class_name,
+  CASE bldg WHEN 'house' THEN 'single_family' WHEN 'terrace' THEN 'terrace' WHEN 'apartments' THEN 'multi_family' WHEN 'dormitory' THEN 'dormitory' WHEN 'yes' THEN 'generic_yes' WHEN 'garage' THEN 'non_occupied_fallback' ELSE 'destination' END AS class_name,
   CASE WHEN bldg IN ('house', 'terrace', 'apartments', 'dormitory') THEN 'high' WHEN bldg = 'garage' THEN 'low' ELSE 'medium' END AS confidence,
   {_floor("x - 400000", 500)} AS gx, {_floor("y - 500000", 500)} AS gy FROM b1),
 bg AS (SELECT bs.*, cell_id FROM bs LEFT JOIN fx_popgrid USING (gx, gy))"""
@@ -253,7 +253,7 @@ def _score(people: str, share: str, area: str) -> str:
 
 PRIORITY += f""", pg0 AS (SELECT sg.*, gmi, share, {_score("pop_night", "share", "area_ha")} AS score FROM (SELECT sg.*, gu.gmi, ub.share FROM sg LEFT JOIN gu USING (gap_id) LEFT JOIN ub ON ub.gmi = gu.gmi) sg, rf),
 pg AS (SELECT *, CASE WHEN score >= 80 THEN 'A' WHEN score >= 60 THEN 'B' WHEN score >= 40 THEN 'C' ELSE 'niski' END AS priority_class,
-  CASE WHEN score >= 60 AND pop_night >= 100 AND pop_night / area_ha >= 5 THEN 'new_site_likely' ELSE 'review' END AS seed FROM pg0),
+  CASE WHEN score >= 60 AND pop_night >= 100 AND pop_night / area_ha >= 5 THEN 'new_siren_likely' ELSE 'modernizacja_or_new' END AS seed FROM pg0),
 ur0 AS (SELECT gmi, people, inside, outside, share, risk, gap_ha, gaps, {_score("outside", "share", "gap_ha")} AS score FROM
   (SELECT ub.*, coalesce(sum(area_ha), 0) AS gap_ha, count(area_ha) AS gaps FROM ub LEFT JOIN pg USING (gmi) GROUP BY ALL), rg),
 ur AS (SELECT *, row_number() OVER (ORDER BY score DESC, outside DESC, gmi) AS rank FROM ur0)""".replace("(SELECT ub.*, coalesce(sum(area_ha), 0) AS gap_ha, count(area_ha) AS gaps FROM ub LEFT JOIN pg USING (gmi) GROUP BY ALL)", "(SELECT ub.*, coalesce(gap_ha, 0) AS gap_ha, coalesce(gaps, 0) AS gaps FROM ub LEFT JOIN (SELECT gmi, sum(area_ha) AS gap_ha, count(*) AS gaps FROM pg GROUP BY gmi) USING (gmi))")
@@ -320,7 +320,7 @@ def d21(t):
     return gaps(t)
 
 
-@query("d22_exposure_checks", EXPOSURE + " SELECT level, true AS balanced, true AS equals_country FROM xp GROUP BY level", *AF)
+@query("d22_exposure_checks", EXPOSURE + " SELECT level, max(abs(night - night_in - night_out)) < 1e-2 AS balanced, abs(sum(night) - (SELECT sum(night) FROM xp WHERE level = 'country')) < 1e-1 AS equals_country FROM xp GROUP BY level", *AF)
 def d22(t):
     m = measures(t)
     total = m.where("level = 'country'").agg(F.sum("night").alias("country"))

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from earshot.functions import scalars as S
 from earshot.operators import costs as K
 from earshot.operators import grid as G
 from earshot.operators import population as P
+from earshot.operators import ranks
 from earshot.operators import recommend as R
 from earshot.plans import queries_exposure as E
 from earshot.plans.queries_coverage import DB, UNITS, covered_stage, sites, units
@@ -16,7 +16,7 @@ from earshot.plans.queries_exposure import AF, CF, COVERED_POINTS, EXPOSURE, POI
 from earshot.plans.registry import query
 
 c = F.col
-COSTED = PRIORITY + ", kg AS (SELECT *, CASE WHEN seed = 'new_site_likely' THEN 'new_large_site' ELSE 'field_check' END AS action, CASE WHEN seed = 'new_site_likely' THEN 40000 ELSE 0 END::BIGINT AS cost_pln FROM pg)"
+COSTED = PRIORITY + ", kg AS (SELECT *, CASE WHEN seed = 'new_siren_likely' THEN 'new_large_siren' ELSE 'not_priced_as_integration' END AS action, CASE WHEN seed = 'new_siren_likely' THEN 40000 ELSE 0 END::BIGINT AS cost_pln FROM pg)"
 _PPP = "CASE WHEN pop_night <= 0 THEN 0 ELSE round_even(cost_pln / pop_night, 2) END"
 _CNT = "ic AS (SELECT sum(n)::BIGINT AS records, sum(l)::BIGINT AS records_linked, (sum(n) - sum(l))::BIGINT AS records_unlinked, count(*) AS sites, count(*) FILTER (m = 1) AS sites_linked, count(*) FILTER (m = 0) AS sites_unlinked FROM (SELECT x, y, count(*) AS n, sum(gsm_flag) AS l, max(gsm_flag) AS m FROM fx_sites GROUP BY x, y))"
 _US = "us AS (SELECT x, y, arg_min(lp, lp) AS lp, arg_min(nr_ref, lp) AS nr_ref, arg_min(unit_no, lp) AS unit_no, count(*) AS records FROM fx_sites GROUP BY x, y HAVING max(gsm_flag) = 0)"
@@ -58,19 +58,19 @@ def k05(t):
 
 @query(
     "k06_unit_costs",
-    COSTED + """, kc AS (SELECT gmi, count(*) FILTER (action = 'new_large_site') AS new_large_site, count(*) FILTER (action = 'field_check') AS field_check, sum(cost_pln)::BIGINT AS cost_pln FROM kg WHERE gmi IS NOT NULL GROUP BY gmi)
-    SELECT gmi, rank, coalesce(new_large_site, 0) AS new_large_site, coalesce(field_check, 0) AS field_check, coalesce(cost_pln, 0) AS cost_pln FROM ur LEFT JOIN kc USING (gmi)""",
+    COSTED + """, kc AS (SELECT gmi, count(*) FILTER (action = 'new_large_siren') AS new_large_siren, count(*) FILTER (action = 'not_priced_as_integration') AS not_priced_as_integration, sum(cost_pln)::BIGINT AS cost_pln FROM kg WHERE gmi IS NOT NULL GROUP BY gmi)
+    SELECT gmi, rank, coalesce(new_large_siren, 0) AS new_large_siren, coalesce(not_priced_as_integration, 0) AS not_priced_as_integration, coalesce(cost_pln, 0) AS cost_pln FROM ur LEFT JOIN kc USING (gmi)""",
     *AF,
 )
 def k06(t):
-    return K.unit_costs(costed(t), E.ranking(t)).select("gmi", c("rank").cast("bigint").alias("rank"), "new_large_site", "field_check", "cost_pln")
+    return K.unit_costs(costed(t), E.ranking(t)).select("gmi", c("rank").cast("bigint").alias("rank"), "new_large_siren", "not_priced_as_integration", "cost_pln")
 
 
-SCEN = COSTED + ", " + _CNT + """, o AS (SELECT ic.*, (SELECT count(*) FROM sd) AS active, (SELECT count(DISTINCT site_uid) FROM co) AS covering, count(*) AS gaps, count(*) FILTER (action = 'new_large_site') AS likely, coalesce(sum(cost_pln), 0)::BIGINT AS lp FROM kg, ic GROUP BY ALL),
-sc AS (SELECT unnest([('link_all_records', records, records * 5000), ('link_active_sites', active, active * 5000), ('link_records_unlinked', records_unlinked, records_unlinked * 5000),
- ('link_sites_unlinked', sites_unlinked, sites_unlinked * 5000), ('link_sites_with_coverage', covering, covering * 5000), ('all_gaps_new_sites', gaps, gaps * 40000), ('likely_gaps_new_sites', likely, lp),
- ('records_unlinked_and_likely', records_unlinked + likely, records_unlinked * 5000 + lp), ('sites_unlinked_and_likely', sites_unlinked + likely, sites_unlinked * 5000 + lp),
- ('active_sites_and_likely', active + likely, active * 5000 + lp), ('active_sites_and_all_gaps', active + gaps, active * 5000 + gaps * 40000)]) AS r FROM o)"""
+SCEN = COSTED + ", " + _CNT + """, o AS (SELECT ic.*, (SELECT count(*) FROM sd) AS active, (SELECT count(DISTINCT site_uid) FROM co) AS covering, count(*) AS gaps, count(*) FILTER (action = 'new_large_siren') AS likely, coalesce(sum(cost_pln), 0)::BIGINT AS lp FROM kg, ic GROUP BY ALL),
+sc AS (SELECT unnest([('integracja_wszystkich_syren_z_inwentaryzacji', records, records * 5000), ('integracja_wszystkich_aktywnych_lokalizacji', active, active * 5000), ('integracja_syren_bez_gsm', records_unlinked, records_unlinked * 5000),
+ ('integracja_lokalizacji_bez_gsm_po_deduplikacji', sites_unlinked, sites_unlinked * 5000), ('integracja_lokalizacji_z_zasiegiem', covering, covering * 5000), ('wszystkie_luki_v12_jako_nowe_duze_syreny', gaps, gaps * 40000), ('tylko_luki_new_siren_likely', likely, lp),
+ ('integracja_syren_bez_gsm_plus_new_siren_likely', records_unlinked + likely, records_unlinked * 5000 + lp), ('integracja_lokalizacji_bez_gsm_plus_new_siren_likely', sites_unlinked + likely, sites_unlinked * 5000 + lp),
+ ('integracja_aktywnych_lokalizacji_plus_new_siren_likely', active + likely, active * 5000 + lp), ('integracja_aktywnych_lokalizacji_plus_wszystkie_luki_jako_nowe', active + gaps, active * 5000 + gaps * 40000)]) AS r FROM o)"""
 
 
 def scenario_rows(t):
@@ -99,7 +99,7 @@ def r01(t):
     return R.sensitive_objects(t.fx_buildings)
 
 
-SAMPLE = COSTED + ", gs AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY score DESC, pop_night DESC, gap_id) AS k FROM kg) WHERE k <= 2500 OR seed = 'new_site_likely')"
+SAMPLE = COSTED + ", gs AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY score DESC, pop_night DESC, gap_id) AS k FROM kg) WHERE k <= 2500 OR seed = 'new_siren_likely')"
 
 
 def sample(t):
@@ -118,7 +118,7 @@ nm AS (SELECT gap_id, bldg_id, (p.x - so.x) ** 2 + (p.y - so.y) ** 2 AS d FROM g
 nb AS (SELECT gap_id, arg_min(bldg_id, (d, bldg_id)) AS mount_id, min(d) AS d FROM nm WHERE d <= 4000000 GROUP BY gap_id),
 cd AS (SELECT gs.*, mount_id, round(sqrt(d), 2) AS distance, CASE WHEN mount_id IS NULL THEN 'gap_point' ELSE 'public_object' END AS source, coalesce(so.bldg, 'gap') AS type, coalesce(so.object_group, '') AS object_group,
   coalesce(so.x, p.x) AS x, coalesce(so.y, p.y) AS y, round_even(least(100, score + CASE WHEN mount_id IS NULL THEN 0 ELSE 5 END), 2) AS score_v13,
-  CASE WHEN seed = 'new_site_likely' THEN 'nowa_syrena' ELSE 'walidacja_terenowa' END AS act,
+  CASE WHEN seed = 'new_siren_likely' THEN 'nowa_syrena' ELSE 'walidacja_terenowa' END AS act,
   CASE WHEN pop_night >= 1000 OR area_ha >= 100 THEN 1200 WHEN pop_night >= 300 OR area_ha >= 25 THEN 900 WHEN pop_night >= 100 OR area_ha >= 5 THEN 600 ELSE 300 END AS power_w
   FROM gs JOIN gpt p USING (gap_id) LEFT JOIN nb USING (gap_id) LEFT JOIN so ON so.bldg_id = mount_id)"""
 
@@ -240,7 +240,7 @@ def r15(t):
 
 @query("r16_outside_ranking", PRIORITY + " SELECT gmi, outside, row_number() OVER (ORDER BY outside DESC, gmi) AS place FROM ub", *AF)
 def r16(t):
-    return E.base(t).select("gmi", "outside", F.row_number().over(Window.orderBy(F.desc("outside"), "gmi")).cast("bigint").alias("place"))
+    return ranks.row_number(E.base(t).select("gmi", "outside"), [F.desc("outside"), c("gmi")], "place")
 
 
 @query("r17_action_summary", PURCHASES + " SELECT action, count(*) AS n, sum(cost_pln)::BIGINT AS cost_pln, round(sum(people), 3) AS people FROM pl GROUP BY action", *AF)
@@ -248,9 +248,9 @@ def r17(t):
     return R.action_summary(purchases(t))
 
 
-@query("r18_scenario_value", SCEN + " SELECT coalesce(max(r[3]::BIGINT) FILTER (r[1] = 'link_sites_unlinked'), 0) AS cost_pln FROM sc", *AF)
+@query("r18_scenario_value", SCEN + " SELECT coalesce(max(r[3]::BIGINT) FILTER (r[1] = 'integracja_lokalizacji_bez_gsm_po_deduplikacji'), 0) AS cost_pln FROM sc", *AF)
 def r18(t):
-    return R.lookup_value(scenario_rows(t), "link_sites_unlinked")
+    return R.lookup_value(scenario_rows(t), "integracja_lokalizacji_bez_gsm_po_deduplikacji")
 
 
 @query("r19_decision_lists", PURCHASES + """, a AS (SELECT 'units' AS list, gmi AS key FROM ub ORDER BY outside DESC, gmi LIMIT 15), b AS (SELECT 'purchases' AS list, candidate_id AS key FROM pl ORDER BY score DESC, candidate_id LIMIT 25),
@@ -297,11 +297,10 @@ def x02(t):
 
 @query("x03_pareto", PRIORITY + " SELECT gap_id, row_number() OVER w AS place, round(sum(pop_night) OVER (ORDER BY pop_night DESC, gap_id ROWS UNBOUNDED PRECEDING) / (SELECT sum(pop_night) FROM pg), 5) AS share FROM pg WINDOW w AS (ORDER BY pop_night DESC, gap_id)", *AF)
 def x03(t):
-    """The gap table is small (thousands of rows); one ordered window gives the curve."""
-    w = Window.orderBy(F.desc("pop_night"), "gap_id")
-    total = E.gaps(t).agg(F.sum("pop_night").alias("total"))
-    running = F.sum("pop_night").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return E.gaps(t).withColumns({"place": F.row_number().over(w).cast("bigint"), "run": running}).join(F.broadcast(total), F.lit(True)).select("gap_id", "place", F.round(c("run") / c("total"), 5).alias("share"))
+    gaps, order = E.gaps(t).select("gap_id", "pop_night"), [F.desc("pop_night"), c("gap_id")]
+    total = gaps.agg(F.sum("pop_night").alias("total"))
+    summed = ranks.running(ranks.row_number(gaps, order, "place"), order, "pop_night", "run")
+    return summed.join(F.broadcast(total), F.lit(True)).select("gap_id", "place", F.round(c("run") / c("total"), 5).alias("share"))
 
 
 @query("x04_top_gaps", PRIORITY + " SELECT gap_id, pop_night, score FROM pg ORDER BY pop_night DESC, gap_id LIMIT 100", *AF)
@@ -317,8 +316,9 @@ def x05(t):
 
 @query("x06_hot_zones", PRIORITY + " SELECT gap_id, pop_night FROM (SELECT *, ntile(20) OVER (ORDER BY pop_night DESC, gap_id) AS k FROM pg WHERE risk = 2) WHERE k = 1", *AF)
 def x06(t):
-    k = F.ntile(20).over(Window.orderBy(F.desc("pop_night"), "gap_id"))
-    return E.gaps(t).where("risk = 2").withColumn("k", k).where("k = 1").select("gap_id", "pop_night")
+    placed = ranks.row_number(E.gaps(t).where("risk = 2").select("gap_id", "pop_night"), [F.desc("pop_night"), c("gap_id")], "place")
+    total = placed.agg(F.count(F.lit(1)).alias("n"))
+    return placed.join(F.broadcast(total), F.lit(True)).where(ranks.ntile(c("place"), c("n"), 20) == 1).select("gap_id", "pop_night")
 
 
 @query("x07_risk_shares", EXPOSURE + " SELECT risk, night, round(night / (SELECT sum(night) FROM xp WHERE level = 'country'), 5) AS share FROM xp WHERE level = 'country'", *AF)
@@ -404,7 +404,7 @@ def v01(t):
     return records.unionByName(active).unionByName(bought).unionByName(row("units", t.fx_admin, n == F.count_distinct("gmi")))
 
 
-@query("v02_percent_ranges", PRIORITY + " SELECT 'pct_in' AS field, true AS ok UNION ALL SELECT 'pct_out', true", *AF)
+@query("v02_percent_ranges", PRIORITY + ", u AS (SELECT gmi, CASE WHEN people = 0 THEN 0 ELSE inside * 100 / people END AS pct_in, CASE WHEN people = 0 THEN 0 ELSE outside * 100 / people END AS pct_out FROM ub) SELECT 'pct_in' AS field, bool_and(pct_in BETWEEN -0.004 AND 100.004) AS ok FROM u UNION ALL SELECT 'pct_out', bool_and(pct_out BETWEEN -0.004 AND 100.004) FROM u", *AF)
 def v02(t):
     one = r15(t).agg(*(F.bool_and(c(n).between(0, 100)).alias(n) for n in ("pct_in", "pct_out")))
     return one.unpivot([], one.columns, "field", "ok")
@@ -415,7 +415,7 @@ def v03(t):
     return E.measures(t).agg(F.bool_and(F.abs(c("night") - c("night_in") - c("night_out")) <= 0.05).alias("ok"), F.count(F.lit(1)).alias("n"))
 
 
-@query("v04_action_recount", PURCHASES + " SELECT action, count(*) AS n, true AS equal FROM pl GROUP BY action", *AF)
+@query("v04_action_recount", PURCHASES + ", o AS (SELECT origin, action, count(*) AS n, sum(cost_pln) AS k FROM pl GROUP BY ALL), s AS (SELECT action, count(*) AS n, sum(cost_pln) AS k FROM pl GROUP BY action), q AS (SELECT action, sum(n) AS n2, sum(k) AS k2 FROM o GROUP BY action) SELECT action, s.n, s.n = n2 AND s.k = k2 AS equal FROM s JOIN q USING (action)", *AF)
 def v04(t):
     """Counts and costs from the list by origin, added up, against the summary by action."""
     p = purchases(t)

@@ -97,13 +97,14 @@ def src18(t):
     return t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("v05_written_shapes", " UNION ALL ".join(f"SELECT '{n}' AS name, true AS same FROM (SELECT 1)" for n in ("A01_sites", "A02_units", "A03_risk", "A04_cells")))
+@query("v05_written_shapes", " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n, {k} AS columns, true AS same FROM {f}" for n, f, k in (("A01_sites", "fx_sites", 10), ("A02_units", "fx_admin", 5), ("A03_risk", "fx_risk", 6), ("A04_cells", "fx_popgrid", 4))), "fx_sites", "fx_admin", "fx_risk", "fx_popgrid")
 def v05(t):
     path, tables = shared_path(t.spark, "package"), _package(t)
     S.publish(tables, path)
     before = S.union_rows(*(S.shape(df, n) for n, df in tables.items()))
     after = S.union_rows(*(S.shape(t.spark.read.parquet(f"{path}/{n}"), n) for n in tables)).select("name", c("n").alias("n2"), c("columns").alias("c2"))
-    return before.join(after, "name").select("name", ((c("n") == c("n2")) & (c("columns") == c("c2"))).alias("same"))
+    same = (c("n") == c("n2")) & (c("columns") == c("c2"))
+    return before.join(after, "name").select("name", c("n2").alias("n"), c("c2").alias("columns"), same.alias("same"))
 
 
 @query("m01_file_manifest")

@@ -27,7 +27,7 @@ def test_radii(spark):
 def test_priority_score_golden(spark):
     people, ha = F.lit(4.4159), F.lit(5.0)
     got = one(spark, s=risk.priority_score(F.lit(0.0), F.lit(0.0), F.lit(2), F.lit(1.0), ha), c=risk.priority_class(F.lit(46.79)), a=risk.action_seed(F.lit(90.0), people, ha))
-    assert got["s"] == 45.0 and got["c"] == "C" and got["a"] == "review"
+    assert got["s"] == 45.0 and got["c"] == "C" and got["a"] == "modernizacja_or_new"
 
 
 def test_projection_round_trip(spark):
