@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.operators.components import connected_components
 from earshot.sources.storage import materialize, shared_dir, shared_path
 
-__all__ = ["broadcast_if_small", "connected_components", "materialize", "shared_dir", "shared_path", "table", "words"]
+__all__ = ["broadcast_if_small", "connected_components", "fresh", "materialize", "shared_dir", "shared_path", "table", "words"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -21,6 +23,19 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def fresh(*taken: list[str]) -> Callable[[str], str]:
+    """Makes column names that no column in the lists ``taken`` has, whatever its case."""
+    used = {name.lower() for names in taken for name in names}
+
+    def name(stem: str) -> str:
+        while stem.lower() in used:
+            stem = f"_{stem}"
+        used.add(stem.lower())
+        return stem
+
+    return name
+
+
 def words(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from earshot.llm.common import broadcast_if_small, materialize, table, words
+from earshot.llm.common import broadcast_if_small, fresh, materialize, table, words
 
 WORDS, THRESHOLD = 5, 0.8
 #: Item tables of at most so many shingles (about 100 bytes each) are broadcast.
@@ -89,11 +89,13 @@ def contamination(
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that ``contamination`` finds; all columns as they were."""
-    hits = contamination(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias("__id"), F.col("body").alias("__body")).distinct()
+    """``docs`` without the documents that ``contamination`` finds; all columns, of any name, as they were."""
+    name = fresh(docs.columns)
+    id_, body = name("id"), name("body")
+    hits = contamination(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias(id_), F.col("body").alias(body)).distinct()
     hits = materialize(hits, "contaminated")
     key = F.xxhash64(F.col(text_col))
-    return docs.join(hits, F.col(id_col).eqNullSafe(F.col("__id")) & (key == F.col("__body")), "left_anti")
+    return docs.join(hits, F.col(id_col).eqNullSafe(F.col(id_)) & (key == F.col(body)), "left_anti")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

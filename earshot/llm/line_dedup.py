@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm.common import materialize, table
+from earshot.llm.common import fresh, materialize, table
 
 WINDOW = 3
 
@@ -60,23 +60,21 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pass through; one already called removed_lines is replaced.
     """
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    cover = covered_positions(slim, size).select(
-        F.col("doc_id").alias("__id"), F.col("body").alias("__body"), F.col("starts").alias("__starts")
-    )
-    keyed = docs.withColumn("__key", F.xxhash64(F.col(text_col)))
-    joined = keyed.join(
-        cover, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__body")) & F.col(text_col).isNotNull(), "left"
-    )
+    name = fresh(docs.columns, ["removed_lines"])
+    key, id_, body, starts, split, count = (name(n) for n in ("key", "id", "body", "starts", "lines", "count"))
+    cover = covered_positions(slim, size).select(F.col("doc_id").alias(id_), F.col("body").alias(body), F.col("starts").alias(starts))
+    keyed = docs.withColumn(key, F.xxhash64(F.col(text_col)))
+    joined = keyed.join(cover, F.col(id_col).eqNullSafe(F.col(id_)) & (F.col(key) == F.col(body)) & F.col(text_col).isNotNull(), "left")
     lines = F.split(F.col(text_col), "\n", -1)
-    gone = F.array_distinct(F.flatten(F.transform("__starts", lambda p: F.sequence(p, p + size - 1))))
+    gone = F.array_distinct(F.flatten(F.transform(starts, lambda p: F.sequence(p, p + size - 1))))
     stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone))
-    text = F.array_join(F.transform(stay, lambda i: F.get(F.col("__lines"), i)), "\n")
-    names = [c for c in docs.columns if c != "removed_lines"]
+    text = F.array_join(F.transform(stay, lambda i: F.get(F.col(split), i)), "\n")
+    names = [c for c in docs.columns if c.lower() != "removed_lines"]
     return (
-        joined.withColumn("__lines", F.when(F.col("__starts").isNotNull(), lines))
-        .withColumn("removed_lines", F.when(F.col("__starts").isNotNull(), F.size(gone)).otherwise(0).cast("long"))
-        .withColumn(text_col, F.when(F.col("__starts").isNotNull(), text).otherwise(F.col(text_col)))
-        .select(*names, "removed_lines")
+        joined.withColumn(split, F.when(F.col(starts).isNotNull(), lines))
+        .withColumn(count, F.when(F.col(starts).isNotNull(), F.size(gone)).otherwise(0).cast("long"))
+        .withColumn(text_col, F.when(F.col(starts).isNotNull(), text).otherwise(F.col(text_col)))
+        .select(*names, F.col(count).alias("removed_lines"))
     )
 
 
