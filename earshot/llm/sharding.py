@@ -9,8 +9,10 @@ counts differ by at most one and whose mixture is that of the whole.
 
 Neither rank is a window over a whole source or table: rows go to buckets of a
 bounded expected size (by hash, then by fraction), are numbered inside the
-bucket, and the bucket's offset is added. Only (bucket, count) tables are summed
-up in order. Texts are never shuffled.
+bucket, and the bucket's offset is added. Offsets are sums over buckets in two
+levels: within groups of ``GROUP`` buckets, and over the groups, so the largest
+table that one task sums up in order has a row for every ``GROUP * BUCKET_ROWS``
+rows of a stratum. Texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql.window import Window
 
 from earshot.llm.common import materialize, table
 
-SHARDS, SEED, BUCKET_ROWS = 8, "2026", 1_024
+SHARDS, SEED, BUCKET_ROWS, GROUP = 8, "2026", 1_024, 4_096
 
 
 def _hex_fraction(text: Column, digits: int = 8) -> Column:
@@ -32,9 +34,14 @@ def _hex_fraction(text: Column, digits: int = 8) -> Column:
 def _numbered(rows: DataFrame, strata: list[str], bucket: str, order: list[str], name: str) -> DataFrame:
     """``rows`` with ``name``: the position from 0 within the strata, ordered by bucket, then ``order``."""
     sizes = rows.groupBy(*strata, bucket).agg(F.count(F.lit(1)).alias("__n"))
-    within = Window.partitionBy(*(F.col(c) for c in strata)).orderBy(bucket)
-    starts = sizes.withColumn("__start", F.sum("__n").over(within.rowsBetween(Window.unboundedPreceding, -1)))
-    starts = materialize(starts.select(*strata, bucket, F.coalesce("__start", F.lit(0)).alias("__start")), "starts")
+    sizes = materialize(sizes.withColumn("__group", F.floor(F.col(bucket) / GROUP)), "sizes")
+
+    def before(n: str, keys: list[str], order: str) -> Column:
+        return F.coalesce(F.sum(n).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    groups = sizes.groupBy(*strata, "__group").agg(F.sum("__n").alias("__g")).withColumn("__lead", before("__g", strata, "__group")).drop("__g")
+    starts = sizes.withColumn("__own", before("__n", [*strata, "__group"], bucket)).join(groups, [*strata, "__group"])
+    starts = materialize(starts.select(*strata, bucket, (F.col("__lead") + F.col("__own")).alias("__start")), "starts")
     place = F.row_number().over(Window.partitionBy(*strata, bucket).orderBy(*order)) - 1
     return rows.withColumn("__place", place).join(starts, [*strata, bucket]).withColumn(name, F.col("__start") + F.col("__place")).drop("__start", "__place")
 
@@ -74,7 +81,7 @@ def shard(
     spread = materialize(ranked.join(totals, "source").withColumn("fraction", fraction).drop("bucket", "n"), "spread")
     spread = spread.withColumn("bucket", F.least(F.floor(F.col("fraction") * buckets), F.lit(buckets - 1)))
     order = ["fraction", "source", "draw", "doc_id", "size", "text_crc32"]
-    placed = _numbered(spread.withColumn("one", F.lit(0)), ["one"], "bucket", order, "position")
+    placed = _numbered(spread, [], "bucket", order, "position")
     cut = F.expr(f"position * {shards} div {max(1, total)}")
     start = F.expr(f"({max(1, total)} * shard + {shards - 1}) div {shards}")
     return placed.withColumn("shard", cut.cast("int")).select(
