@@ -14,10 +14,14 @@ class, worked on once. Then:
 3. *Prefix-tree join.* A family's sets go into a trie. A set walks it with its
    own members marked; sets that share a beginning share its overlap; a subtree
    is left as soon as the shingles still to come can't reach the overlap that its
-   lengths ask for. Families are dealt into blocks of a bounded number of sets
-   with sizes that can match, and every pair of blocks is one unit of work.
-   A unit gives a spanning forest of its links, so a group of copies gives links
+   lengths ask for. A family of up to ``block_sets`` sets is one unit of work; a
+   unit gives a spanning forest of its links, so a group of copies gives links
    in proportion to its rows, never all pairs.
+4. *Large families* are dealt into blocks of sets whose sizes can match and joined
+   in two rounds. First every block meets one pivot block: near copies of one text
+   are in one component after that, at a few copies of each set. Then only sets that
+   share a prefix shingle with a set of another component are looked at again, and of
+   those only pairs that don't both lie in the largest component of their family.
 
 Hot keys: copies collapse into classes before anything is exploded to pairs,
 counts are combined on the map side, joins are between written tables so that
@@ -33,10 +37,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from earshot.llm.common import broadcast_if_small, connected_components, materialize, table
+from earshot.llm.common import broadcast_if_small, connected_components, fresh, materialize, table
 
 WORDS, PERCENT = 4, 85
 #: Extra share of the shingles that phase 1 compares.
@@ -93,48 +99,49 @@ def _set_ids(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def _heads(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, s1, s2 (the set's 128-bit name), least, prefix."""
+    """doc_id, body, n, s1, s2 (the set's 128-bit name), least, prefix."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                s = shingler(text)
+            rows, prefixes = [], []
+            for text in batch.column("text"):
+                s = shingler(text.as_py())
                 n = len(s)
-                k = 1 + OVER * n // 100
-                rows.append((n, *_set_ids(s), 1 + OVER * _least(n, percent) // 100, s[: n - _least(n, percent) + k]))
-            out = pd.DataFrame(rows, columns=["n", "s1", "s2", "least", "prefix"])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
+                rows.append((n, *_set_ids(s), 1 + OVER * _least(n, percent) // 100))
+                prefixes.append(s[: n - _least(n, percent) + 1 + OVER * n // 100])
+            columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 4
+            arrays = [batch.column("doc_id"), batch.column("body"), *columns, pa.array(prefixes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "body", "n", "s1", "s2", "least", "prefix"])
 
-    return docs.mapInPandas(run, "doc_id long, n long, s1 long, s2 long, least long, prefix array<long>")
+    return docs.mapInArrow(run, "doc_id long, body long, n long, s1 long, s2 long, least long, prefix array<long>")
 
 
 def _whole_sets(texts: DataFrame, words: int) -> DataFrame:
-    """node (s1), n, shingles of the rows whose set is the one asked for."""
+    """node, n, shingles of the rows whose set is the one asked for; of rows that share an id and a set one is enough."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words)
         for batch in batches:
             rows = []
-            for text, s1, s2 in zip(batch["text"], batch["s1"], batch["s2"], strict=True):
+            for text, node, s1, s2 in zip(batch["text"], batch["node"], batch["s1"], batch["s2"], strict=True):
                 s = shingler(text)
                 if _set_ids(s) == (s1, s2):
-                    rows.append((s1, len(s), s))
+                    rows.append((node, len(s), s))
             yield pd.DataFrame(rows, columns=["node", "n", "shingles"])
 
     return texts.mapInPandas(run, "node long, n long, shingles array<long>")
 
 
 def survivors(heads: DataFrame) -> DataFrame:
-    """(rep, s1, s2): sets that may have a partner."""
+    """(node, rep, s1, s2): sets that may have a partner, numbered; ``rep`` is a document that has the set."""
     probes = heads.where("n > 0").select("s1", "s2", "least", F.explode("prefix").alias("shingle"))
     shared = materialize(probes.groupBy("shingle").count().where("count > 1").select("shingle"), "shared")
     _release(heads.sparkSession)
     counts = probes.join(shared, "shingle").groupBy("s1", "s2", "least").count().where("count >= least").select("s1", "s2")
     classes = heads.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
-    return materialize(classes.join(counts, ["s1", "s2"]).where("rep is not null"), "survivors")
+    found = classes.join(counts, ["s1", "s2"]).where("rep is not null")
+    return materialize(found.withColumn("node", F.monotonically_increasing_id()), "survivors")
 
 
 def ordered_sets(sets: DataFrame, percent: int) -> DataFrame:
@@ -251,89 +258,177 @@ def _join_units(units: DataFrame, percent: int) -> DataFrame:
     return units.mapInPandas(run, "a long, b long")
 
 
-def _units(ordered: DataFrame, percent: int, block_sets: int) -> DataFrame:
-    """(unit, side, node, n, seq): the rows of each unit of work."""
-    postings = ordered.select("node", F.explode(F.slice("seq", 1, F.col("left"))).alias("shingle"))
-    hubs = materialize(postings.groupBy("shingle").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top").drop("top"), "hubs")
-    edges = postings.join(hubs, "shingle").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    families = connected_components(edges).select("node", F.col("component").alias("family"))
+def _postings(ordered: DataFrame) -> DataFrame:
+    """(node, shingle): what lies in the prefixes."""
+    return ordered.select("node", F.explode(F.slice("seq", 1, F.col("left"))).alias("shingle"))
+
+
+def _families(postings: DataFrame) -> DataFrame:
+    """(node, family): sets that share a prefix shingle with another, directly or by others."""
+    hubs = postings.groupBy("shingle").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top").drop("top")
+    edges = postings.join(materialize(hubs, "hubs"), "shingle").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    return materialize(connected_components(edges).select("node", F.col("component").alias("family")), "families")
+
+
+def _dealt(ordered: DataFrame, families: DataFrame, percent: int, block_sets: int) -> DataFrame:
+    """``families`` (node, family, rest) with n_f (sets of the family), c (class of size), i (block in
+    the class), r (block among the ``rest``, null for others), and of the classes below,
+    own and above: nb_* (blocks) and nr_* (blocks of the rest)."""
     # sizes that can match lie in the same or in neighbouring classes
     width = float(np.log(100 / percent) * 1.0001)
-    members = materialize(
-        ordered.select("node", F.floor(F.log("n") / width).cast("int").alias("c")).join(families, "node"), "members"
-    )
-    blocks = members.groupBy("family", "c").agg(F.count(F.lit(1)).alias("n_c"))
-    sizes = blocks.groupBy("family").agg(F.sum("n_c").alias("n_f"))
-    blocks = materialize(blocks.withColumn("nb", F.ceil(F.col("n_c") / block_sets).cast("int")).drop("n_c"), "blocks")
-    sizes = materialize(sizes, "family-sizes")
-    beside = lambda step, name: blocks.select("family", (F.col("c") + step).alias("c"), F.col("nb").alias(name))
-    dealt = (
-        members.join(sizes, "family")
-        .join(blocks, ["family", "c"])
-        .join(beside(-1, "above"), ["family", "c"], "left")
-        .join(beside(1, "below"), ["family", "c"], "left")
-        .withColumn("i", F.when(F.col("n_f") <= block_sets, 0).otherwise(F.pmod(F.xxhash64("node"), F.col("nb"))).cast("int"))
-    )
+    members = materialize(ordered.select("node", F.floor(F.log("n") / width).cast("int").alias("c")).join(families, "node"), "members")
+    blocks = members.groupBy("family", "c").agg(F.count(F.lit(1)).alias("n_c"), F.count_if("rest").alias("r_c"))
+    sizes = materialize(blocks.groupBy("family").agg(F.sum("n_c").alias("n_f"), F.sum("r_c").alias("r_f")), "family-sizes")
+    whole = lambda n: F.ceil(F.col(n) / block_sets).cast("int")
+    blocks = materialize(blocks.select("family", "c", whole("n_c").alias("nb"), whole("r_c").alias("nr")), "blocks")
+    out = members.join(sizes, "family")
+    for step, name in ((0, "own"), (-1, "above"), (1, "below")):
+        beside = blocks.select("family", (F.col("c") + step).alias("c"), F.col("nb").alias(f"nb_{name}"), F.col("nr").alias(f"nr_{name}"))
+        out = out.join(beside, ["family", "c"], "left").na.fill(0, [f"nb_{name}", f"nr_{name}"])
+    block = lambda n: F.pmod(F.xxhash64("node"), F.greatest(F.col(n), F.lit(1))).cast("int")
+    return out.withColumn("i", block("nb_own")).withColumn("r", F.when(F.col("rest"), block("nr_own")))
+
+
+_PLACE = "array<struct<u:string,side:int>>"
 
-    def upto(count, one):
-        return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), one)).otherwise(F.array().cast("array<struct<u:string,side:int>>"))
 
-    def unit(c1, i1, c2, i2, side):
-        return F.struct(F.concat_ws("/", "family", c1, i1, c2, i2).alias("u"), side.cast("int").alias("side"))
+def _each(count, one):
+    """An array of the places ``one(j)`` for j below ``count``."""
+    return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), one)).otherwise(F.array().cast(_PLACE))
 
+
+def _unit(c1, i1, c2, i2, side) -> Column:
+    side = side if isinstance(side, Column) else F.lit(side)
+    return F.struct(F.concat_ws("/", "family", c1, i1, c2, i2).alias("u"), side.cast("int").alias("side"))
+
+
+def _whole() -> Column:
+    return F.array(F.struct(F.col("family").cast("string").alias("u"), F.lit(0).alias("side")))
+
+
+def _pivot_places(block_sets: int) -> Column:
+    """Units of the first round: small families whole; of large ones every block with block 0 of its class and of the classes beside."""
     c, i = F.col("c"), F.col("i")
-    same = upto(F.col("nb"), lambda j: unit(c, F.least(i, j), c, F.greatest(i, j), F.when(j < i, 1).otherwise(0)))
-    up = upto(F.coalesce("above", F.lit(0)), lambda j: unit(c, i, c + 1, j, F.lit(0)))
-    down = upto(F.coalesce("below", F.lit(0)), lambda j: unit(c - 1, j, c, i, F.lit(1)))
-    whole = F.array(F.struct(F.col("family").cast("string").alias("u"), F.lit(0).alias("side")))
-    places = F.when(F.col("n_f") <= block_sets, whole).otherwise(F.concat(same, up, down))
-    rows = materialize(dealt.select("node", F.explode(places).alias("p")).select("node", "p.u", "p.side"), "places")
-    return rows.join(ordered, "node").select(F.col("u").alias("unit"), "side", "node", "n", "seq")
+    first = F.col("i") == 0
+    count = lambda name: F.when(first, F.col(name)).otherwise(F.least(F.col(name), F.lit(1)))
+    same = _each(count("nb_own"), lambda j: _unit(c, F.least(i, j), c, F.greatest(i, j), F.when(j < i, 1).otherwise(0)))
+    up = _each(count("nb_above"), lambda j: _unit(c, i, c + 1, j, 0))
+    down = _each(count("nb_below"), lambda j: _unit(c - 1, j, c, i, 1))
+    return F.when(F.col("n_f") <= block_sets, _whole()).otherwise(F.concat(same, up, down))
 
 
-def ngram_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
+def _rest_places(block_sets: int) -> Column:
+    """Units of the second round: small families whole; of large ones each block of the rest (side 1) with all blocks of sizes that can match (side 0)."""
+    c, i, r = F.col("c"), F.col("i"), F.col("r")
 
-    A document of fewer than ``words`` words has one shingle, the whole sequence;
-    one without words, or null, has none and is linked with nothing. component_id
-    is the smallest doc_id reachable by links of ``100 * shared >= percent *
-    union``. Ids are whole numbers. A null id is never a component, and sets that
-    only rows without an id have are linked with nothing: such a row takes the
-    component of an equal set that has an id, else null. Rows that repeat an id
-    are each compared. No rows give no rows; other columns are not read.
-    """
+    def rest_with_any(step: int, name: str) -> Column:
+        return _each(F.col(f"nb_{name}"), lambda j: _unit(c, r, c + step, j, 1))
+
+    def any_with_rest(step: int, name: str) -> Column:
+        return _each(F.col(f"nr_{name}"), lambda j: _unit(c + step, j, c, i, 0))
+
+    sides = ((0, "own"), (1, "above"), (-1, "below"))
+    as_rest, as_any = [rest_with_any(*x) for x in sides], [any_with_rest(*x) for x in sides]
+    places = F.concat(F.when(r.isNotNull(), F.concat(*as_rest)).otherwise(F.array().cast(_PLACE)), *as_any)
+    return F.when(F.col("n_f") <= block_sets, _whole()).otherwise(places)
+
+
+def _links(ordered: DataFrame, dealt: DataFrame, places: Column, percent: int) -> DataFrame:
+    """(a, b) of all units."""
+    rows = materialize(dealt.select("node", F.explode(places).alias("p")).select("node", "p.u", "p.side"), "places")
+    units = rows.join(ordered, "node").select(F.col("u").alias("unit"), "side", "node", "n", "seq")
+    return materialize(_join_units(units.repartition("unit").sortWithinPartitions("unit", "side", "node"), percent), "links")
+
+
+def _second_round(ordered: DataFrame, large: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, family, rest) of what the first round left open: the sets of ``large`` families
+    that share a prefix shingle with a set of another label. Pairs of one label are linked
+    already, so pairs of the family's most frequent label are passed over."""
+    own = F.coalesce("label", "node")
+    labelled = large.join(labels, "node", "left").select("node", own.alias("label"))
+    postings = materialize(_postings(ordered.join(labelled.select("node"), "node", "left_semi")).join(labelled, "node"), "postings")
+    mixed = postings.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("shingle")
+    families = _families(postings.join(materialize(mixed, "mixed"), "shingle", "left_semi").select("node", "shingle"))
+    found = materialize(families.join(labelled, "node"), "open-sets")
+    counts = found.groupBy("family", "label").agg(F.count(F.lit(1)).alias("k"))
+    most = counts.groupBy("family").agg(F.max(F.struct("k", "label")).alias("m")).select("family", F.col("m.label").alias("most"))
+    return found.join(most, "family").select("node", "family", (F.col("label") != F.col("most")).alias("rest"))
+
+
+def _components(ordered: DataFrame, percent: int, block_sets: int) -> DataFrame:
+    """(node, label) of the sets that are linked with another."""
+    families = _families(_postings(ordered))
+    dealt = materialize(_dealt(ordered, families.withColumn("rest", F.lit(False)), percent, block_sets), "dealt")
+    links = _links(ordered, dealt, _pivot_places(block_sets), percent)
+    labels = connected_components(links).select("node", F.col("component").alias("label"))
+    large = dealt.where(F.col("n_f") > block_sets).select("node")
+    if large.isEmpty():
+        return labels
+    # a small family is settled; of large ones block 0 has met all
+    left = materialize(_second_round(ordered, large, materialize(labels, "labels")), "open")
+    if left.isEmpty():
+        return labels
+    more = _links(ordered, _dealt(ordered, left, percent, block_sets), _rest_places(block_sets), percent)
+    return connected_components(links.unionByName(more)).select("node", F.col("component").alias("label"))
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, block_sets: int) -> DataFrame:
+    """doc_id, body (hash of the text), n_shingles, component_id, a row per row of ``docs``."""
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"the n-gram join needs whole numbers as ids, {id_col} is {docs.schema[id_col].dataType.simpleString()}")
     spark = docs.sparkSession
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("body"), F.col(text_col).alias("text"))
     heads = materialize(_heads(slim, words, percent), "heads")
     found = survivors(heads)
     _release(spark)
     wanted = broadcast_if_small(found, found.count(), BROADCAST_IDS)
-    texts = slim.join(wanted, F.col("doc_id") == F.col("rep")).select("text", "s1", "s2")
-    ordered = ordered_sets(materialize(_whole_sets(texts, words), "sets"), percent)
+    texts = slim.join(wanted, F.col("doc_id") == F.col("rep")).select("text", "node", "s1", "s2")
+    ordered = ordered_sets(materialize(_whole_sets(texts, words), "sets").dropDuplicates(["node"]), percent)
     _release(spark)
-    units = _units(ordered, percent, block_sets)
-    links = _join_units(units.repartition("unit").sortWithinPartitions("unit", "side", "node"), percent)
-    linked = connected_components(links).select(F.col("node").alias("s1"), F.col("component").alias("label"))
+    linked = _components(ordered, percent, block_sets)
     _release(spark)
+    labelled = materialize(found.join(linked, "node").select("s1", "s2", "rep", "label"), "labelled")
+    lowest = materialize(labelled.groupBy("label").agg(F.min("rep").alias("component")), "lowest")
+    linked_sets = materialize(labelled.join(lowest, "label").select("s1", "s2", "component"), "components")
+    # sets without a link: equal sets are one component all the same
     classes = heads.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
-    classes = materialize(classes.join(linked, "s1", "left").withColumn("label", F.coalesce("label", "s1")), "classes")
-    lowest = materialize(classes.groupBy("label").agg(F.min("rep").alias("component")), "lowest")
-    named = materialize(classes.join(lowest, "label").select("s1", "s2", "component"), "components")
+    named = classes.join(linked_sets, ["s1", "s2"], "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return (
-        heads.select("doc_id", "n", "s1", "s2")
-        .join(named, ["s1", "s2"], "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+        heads.select("doc_id", "body", "n", "s1", "s2")
+        .join(materialize(named, "classes"), ["s1", "s2"], "left")
+        .select("doc_id", "body", F.col("n").alias("n_shingles"), own.alias("component_id"))
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def ngram_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    A document of fewer than ``words`` words has one shingle, the whole sequence;
+    one without words, or null, has none and is linked with nothing. component_id
+    is the smallest doc_id reachable by links of ``100 * shared >= percent *
+    union``. Ids are whole numbers, others raise a TypeError. A null id is never a
+    component, and sets that only rows without an id have are linked with nothing:
+    such a row takes the component of an equal set that has an id, else null. Rows
+    that repeat an id are each compared. No rows give no rows; other columns are not read.
+    """
+    return _named(docs, id_col, text_col, words, percent, block_sets).drop("body")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
     """``docs`` with the smallest id of each component; rows whose id is null stay.
-    Rows that repeat the staying id all stay."""
-    gone = ngram_components(docs, id_col, text_col, **options).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(materialize(gone, "near-copies"), F.col(id_col) == F.col("__gone"), "left_anti")
+
+    Rows are told apart by id and text: where an id is repeated with different
+    texts, each goes or stays by its own. Rows that repeat the staying id in one
+    component all stay. All columns, of any name, as they were.
+    """
+    name = fresh(docs.columns)
+    id_, body = name("id"), name("body")
+    gone = _named(docs, id_col, text_col, words, percent, block_sets).where("component_id <> doc_id").select(F.col("doc_id").alias(id_), F.col("body").alias(body)).distinct()
+    gone = materialize(gone, "near-copies")
+    return docs.join(gone, (F.col(id_col) == F.col(id_)) & (F.xxhash64(F.col(text_col)) == F.col(body)), "left_anti")
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
