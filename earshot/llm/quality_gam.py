@@ -180,18 +180,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Learns from at most ``rows`` labelled documents that are not held out.
 
     Labels other than 0 and 1, null labels and labels without a document are
-    passed over; of repeated labels of one id the lowest holds. Features are
-    computed in tasks; the driver receives ``rows`` x 19 numbers at most.
+    passed over; of repeated labels of one id the lowest holds, of repeated
+    documents of one id the lowest text. Features are computed in tasks; the driver receives ``rows`` x 19 numbers at most.
     """
-    known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__label")).where("__label in (0, 1)")
-    picked = (
-        known.where(~held_out("__id"))
-        .groupBy("__id")
-        .agg(F.min("__label").alias("__label"))
-        .orderBy(F.xxhash64("__id"), "__id")
-        .limit(rows)
-    )
-    joined = docs.select(id_col, text_col).join(F.broadcast(picked), F.col(id_col) == F.col("__id"))
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("label in (0, 1)")
+    picked = known.where(~held_out("id")).groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(rows)
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    joined = texts.join(F.broadcast(picked), F.col("doc_id") == F.col("id")).select("id", "label", "text")
+    # of repeated ids the lowest text is learnt from, so the bound holds whatever repeats
+    slim = joined.groupBy("id", "label").agg(F.min("text").alias("text")).select(F.col("id").cast("string").alias("id"), "text", F.col("label").cast("int").alias("label"))
     names = [f"f{i}" for i in range(len(NAMES))]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -200,8 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             out["label"], out["id"] = batch["label"].to_numpy(), batch["id"].to_numpy()
             yield out
 
-    slim = joined.select(F.col("__id").cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col("__label").cast("int").alias("label"))
-    found = slim.mapInPandas(run, ", ".join(f"{c} double" for c in names) + ", label int, id string").limit(2 * rows).toPandas()
+    found = slim.mapInPandas(run, ", ".join(f"{c} double" for c in names) + ", label int, id string").toPandas()
     found = found.sort_values(["id", *names]).reset_index(drop=True)
     return fit(found[names].to_numpy(), found["label"].to_numpy(float))
 
