@@ -40,6 +40,12 @@ def chunks(text: str) -> list[str]:
     return _CHUNK.findall(" " + text)
 
 
+def has_pieces_across_markers(processor) -> bool:
+    """Whether a piece holds a marker behind another character, so that chunks can't be segmented on their own."""
+    pieces = (processor.id_to_piece(i) for i in range(processor.get_piece_size()) if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i)))
+    return any("▁" in piece.lstrip("▁") for piece in pieces)
+
+
 class ChunkTable(dict):
     """chunk -> (ids, ids as text, decoded chunk with its markers)."""
 
@@ -68,6 +74,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     """doc_id, n_tokens and ids (array<int>) per row; with ``digests`` instead of
     ids: ids_sha256 and decoded_sha256.
 
+    A model with pieces across markers is used on whole texts instead of chunks.
     Null and empty texts have no ids. Repeated rows are encoded each; null ids
     pass through; no rows give no rows; other columns are not read.
     """
@@ -76,11 +83,17 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import sentencepiece
 
-        held = ChunkTable(sentencepiece.SentencePieceProcessor(model_file=model_path), table_chunks)
+        processor = sentencepiece.SentencePieceProcessor(model_file=model_path)
+        held = ChunkTable(processor, table_chunks)
+        whole = has_pieces_across_markers(processor)
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                found = [held[c] for c in chunks(text)]
+                if whole:
+                    ids = processor.encode(text)
+                    found = [(ids, ",".join(map(str, ids)), " " + processor.decode(ids))] if ids else []
+                else:
+                    found = [held[c] for c in chunks(text)]
                 n = sum(len(e[0]) for e in found)
                 if digests:
                     rows.append((n, _sha256(",".join([e[1] for e in found])), _sha256("".join([e[2] for e in found])[1:])))
