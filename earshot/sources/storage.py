@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a fresh folder where it is unset (tests on one machine)."""
+    """``spark.checkpoint.dir`` of the session; where it is unset, a fresh folder on one machine and an error on a cluster."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="earshot-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
