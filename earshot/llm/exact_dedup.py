@@ -1,85 +1,123 @@
 """Exact de-duplication with an extendible-hash index kept in shared files.
 
-Every distinct text is one index entry under its 64-bit key. The directory
-starts at the depth that the entry count asks for and doubles (one more key bit)
-wherever a bucket would hold more than ``bucket_entries`` entries, so buckets
-stay bounded and each owner task reads and writes a key range of whole buckets.
-Entries with one key form a chain whose members are told apart by comparing the
-whole texts, byte for byte. Only DataFrame functions are used.
+The index is keyed by a 64-bit hash of the text. Its directory maps key prefixes
+to buckets: buckets start at the depth that the number of keys asks for, and one
+that holds more than ``bucket_entries`` keys is split by one more key bit, again
+and again, with no limit but the bits of the key. Where a bucket at the greatest
+depth is split, the directory doubles; slots whose bucket was not split share it.
+
+Rows find their bucket through the directory and go to its owner, the task that
+has the bucket's keys. There the texts of one key are compared byte for byte: the
+least and the greatest text of a key are equal exactly if all are. Keys with
+different texts get a chain with an entry for each text. Every row then reads its
+class off the index: by bucket and key, and in a chain by comparing its text.
+
+Nothing gathers a group: maxima, counts and the two texts are combined before the
+exchange, so a text that a third of all rows share comes to its owner as one row a
+task. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from earshot.llm.common import materialize, table
+from earshot.llm.common import broadcast_if_small, materialize, table
 
 BUCKET_ENTRIES = 65_536
-DOUBLINGS = 6
+#: Directories of at most so many slots (about 60 bytes each) are broadcast; larger ones are joined by a shuffle.
+BROADCAST_SLOTS = 500_000
+KEY_BITS = 64
 
 
 def _prefix(key: Column, depth: int) -> Column:
     """The top ``depth`` bits of a 64-bit key."""
-    return F.shiftrightunsigned(key, 64 - depth) if depth else F.lit(0).cast("long")
-
-
-def chain_entries(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per distinct text. Spark combines equal (key, text) rows on the
-    map side, so a group that holds a third of all rows arrives as one row a task."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return (
-        docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-        .groupBy(F.xxhash64("text").alias("key"), "text")
-        .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .select("key", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
-    )
-
-
-def directory(entries: DataFrame, bucket_entries: int = BUCKET_ENTRIES, doublings: int = DOUBLINGS) -> DataFrame:
-    """(slot, depth, bucket): the directory at its greatest depth. ``slot`` is the
-    key prefix of that depth; slots whose bucket was not split share it. A bucket
-    that is still overfull after all doublings keeps an overflow chain."""
-    n = entries.count()
-    start = max(0, math.ceil(math.log2(max(1, n) / bucket_entries)))
-    finest = start + doublings
-    slots = entries.groupBy(_prefix(F.col("key"), finest).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
-    fits = F.lit(finest)
-    for depth in range(finest - 1, start - 1, -1):
-        parent = F.shiftrightunsigned("slot", finest - depth)
-        load = F.sum("n").over(Window.partitionBy(parent))
-        fits = F.when(load <= bucket_entries, F.lit(depth)).otherwise(fits)
-    out = slots.withColumn("depth", fits.cast("int"))
-    bucket = F.expr(f"shiftleft(shiftrightunsigned(slot, {finest} - depth), {finest} - depth)")
-    return out.select("slot", "depth", bucket.alias("bucket")), finest
-
-
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
-    """Writes and returns the index: bucket, depth, key, text_sha256, keep_id, group_size."""
-    entries = materialize(chain_entries(docs, id_col, text_col), "exact-entries")
-    slots, finest = directory(entries, bucket_entries)
-    placed = entries.withColumn("slot", _prefix(F.col("key"), finest)).join(slots, "slot").drop("slot")
-    return materialize(placed.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key"), "exact-index")
-
-
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, bucket.
+    return F.shiftrightunsigned(key, KEY_BITS - depth) if depth else F.lit(0).cast("long")
+
+
+def _low(prefix: Column, depth: int) -> Column:
+    """The first key with the prefix: it names the bucket."""
+    return F.shiftleft(prefix, KEY_BITS - depth) if depth else prefix
+
+
+def directory(keys: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> tuple[DataFrame, int]:
+    """((bucket, depth) of all buckets, the depth they started at). ``keys`` has distinct keys.
+    A round splits the overfull buckets of one depth and reads their keys only."""
+    n = keys.count()
+    depth = start = max(0, math.ceil(math.log2(max(1, n) / bucket_entries)))
+    done, left = [], keys
+    while True:
+        sizes = left.groupBy(_prefix(F.col("key"), depth).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+        sizes = materialize(sizes, "bucket-sizes")
+        full = sizes.where((F.col("n") > bucket_entries) & F.lit(depth < KEY_BITS)).select("prefix")
+        fits = sizes.join(full, "prefix", "left_anti") if depth < KEY_BITS else sizes
+        done.append(fits.select(_low(F.col("prefix"), depth).alias("bucket"), F.lit(depth).alias("depth")))
+        if full.isEmpty():
+            return materialize(reduce(DataFrame.unionByName, done), "directory"), start
+        left = materialize(left.withColumn("prefix", _prefix(F.col("key"), depth)).join(full, "prefix", "left_semi").select("key"), "overfull-keys")
+        depth += 1
+
+
+def with_bucket(rows: DataFrame, buckets: DataFrame, start: int) -> DataFrame:
+    """``rows``, which have a key, with the bucket that the directory names for it."""
+    slots = buckets.groupBy(_prefix(F.col("bucket"), start).alias("slot")).agg(F.collect_list(F.struct("bucket", "depth")).alias("buckets"))
+    slots = materialize(slots, "slots")
+    slots = broadcast_if_small(slots, slots.count(), BROADCAST_SLOTS)
+    # a shift by all 64 bits would shift by none, so depth 0 is told apart
+    held = F.expr("filter(buckets, b -> b.depth = 0 or shiftrightunsigned(key, 64 - b.depth) = shiftrightunsigned(b.bucket, 64 - b.depth))")
+    return rows.withColumn("slot", _prefix(F.col("key"), start)).join(slots, "slot").withColumn("bucket", F.get(held, F.lit(0))["bucket"]).drop("slot", "buckets")
+
+
+def build_index(rows: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Writes the index of ``rows`` (doc_id, key, text) and returns it, its collision chains and its directory.
+
+    The index has bucket, key, keep_id, group_size, text_sha256 and collides; where
+    ``collides`` holds, the key's entries are in the chains: bucket, key, place,
+    text, keep_id, group_size, text_sha256."""
+    keys = materialize(rows.select("key").distinct(), "keys")
+    buckets, start = directory(keys, bucket_entries)
+    placed = with_bucket(rows, buckets, start)
+    top = (F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    entries = placed.groupBy("bucket", "key").agg(*top, F.min("text").alias("low"), F.max("text").alias("high"))
+    collides = F.col("low") != F.col("high")
+    index = entries.select("bucket", "key", "keep_id", "group_size", F.sha2("low", 256).alias("text_sha256"), collides.alias("collides"))
+    index = materialize(index, "exact-index")
+    clashing = index.where("collides").select("bucket", "key")
+    chains = placed.join(clashing, ["bucket", "key"], "left_semi").groupBy("bucket", "key", "text").agg(*top)
+    place = F.row_number().over(Window.partitionBy("bucket", "key").orderBy("text")) - 1
+    chains = chains.select("bucket", "key", place.alias("place"), "text", "keep_id", "group_size", F.sha2("text", 256).alias("text_sha256"))
+    if clashing.isEmpty():
+        return index, chains.limit(0), buckets, start
+    return index, materialize(chains, "exact-chains"), buckets, start
+
+
+def exact_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_entries: int = BUCKET_ENTRIES, key: Callable[[Column], Column] = F.xxhash64
+) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, bucket, place (in the key's chain).
 
     Equal texts are equal after no change at all; null counts as empty. The
     largest id of a group stays; a null id is below every other and stays only
     where the whole group has null ids. Rows that repeat both id and text all
     count in group_size and share one decision. An empty table gives no rows;
-    other columns of ``docs`` are not read, whatever their names.
+    other columns of ``docs`` are not read, whatever their names. ``key`` makes a
+    long of a text; keys of different texts may be equal.
     """
-    index = build_index(docs, id_col, text_col, bucket_entries)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("key"), F.sha2(text, 256).alias("text_sha256"))
-    return rows.join(index, ["key", "text_sha256"]).select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "bucket"
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), key(text).alias("key"), text.alias("text"))
+    index, chains, buckets, start = build_index(rows, bucket_entries)
+    out = ["doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "bucket", "place"]
+    looked_up = with_bucket(rows.select("doc_id", "key"), buckets, start)
+    alone = looked_up.join(index.where("not collides").drop("collides"), ["bucket", "key"]).withColumn("place", F.lit(0)).select(*out)
+    if index.where("collides").isEmpty():
+        return alone
+    clashing = with_bucket(rows, buckets, start).join(index.where("collides").select("bucket", "key"), ["bucket", "key"], "left_semi")
+    return alone.unionByName(clashing.join(chains, ["bucket", "key", "text"]).select(*out))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
