@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import SF
 from earshot.llm import common, decontaminate, exact_dedup, html_extract, line_dedup, ngram_join, quality_gam, sentencepiece_codec, sharding, token_counts, warc
 
 LONG = " ".join(f"w{i}" for i in range(20_000))
@@ -17,7 +18,7 @@ ROWS = [(1, "a b c d e f g", "x"), (2, None, None), (3, "", "x"), (4, LONG, "y")
 @pytest.fixture(scope="module")
 def docs(spark):
     df = spark.createDataFrame(ROWS, "doc_id bigint, text string, source string")
-    clash = ["key", "keep_id", "kept", "n", "rep", "body", "w1", "covered", "removed_lines", "ids", "score", "label", "rank", "bucket", "component", "lines"]
+    clash = ["__id", "__key", "__body", "__starts", "__gone", "__lines", "__n", "__start", "__place", "__group", "id", "starts", "node", "family", "place", "slot", "draw", "key", "keep_id", "kept", "n", "rep", "body", "w1", "covered", "removed_lines", "ids", "score", "label", "rank", "bucket", "component", "lines"]
     return df.withColumns({c: F.lit("x") for c in clash})
 
 
@@ -34,9 +35,33 @@ def test_exact_dedup(docs, empty):
 
 def test_directory_doubles_until_buckets_fit(spark):
     entries = spark.range(5000).select(F.xxhash64("id").alias("key"))
-    slots, finest = exact_dedup.directory(entries, 40)
-    loads = entries.withColumn("slot", exact_dedup._prefix(F.col("key"), finest)).join(slots, "slot").groupBy("bucket", "depth").count()
+    buckets, start = exact_dedup.directory(entries, 40)
+    loads = exact_dedup.with_bucket(entries, buckets, start).groupBy("bucket").count()
     assert loads.agg(F.max("count")).first()[0] <= 40 and loads.agg(F.sum("count")).first()[0] == 5000
+    assert buckets.agg(F.max("depth")).first()[0] > start and buckets.count() == buckets.select("bucket").distinct().count()
+
+
+def test_buckets_are_split_without_limit(spark):
+    entries = spark.range(40).select(F.when(F.col("id") < 30, F.col("id")).otherwise(F.shiftleft("id", 57)).alias("key"))  # 30 keys differ in their last bits only
+    buckets, start = exact_dedup.directory(entries, 3)
+    loads = exact_dedup.with_bucket(entries, buckets, start).groupBy("bucket").count()
+    assert loads.agg(F.max("count")).first()[0] <= 3 and loads.agg(F.sum("count")).first()[0] == 40 and buckets.agg(F.max("depth")).first()[0] >= 62
+
+
+@pytest.mark.parametrize("bits", [0, 3])
+def test_texts_with_one_key_are_chained_and_compared(spark, bits):
+    draw = random.Random(bits)
+    rows = [(i, draw.choice(["a", "b", "c", "a ", "A", None, "", "d" * 3000, "d" * 2999 + "e"])) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    forced = lambda text: F.shiftleft(F.shiftrightunsigned(F.xxhash64(text), 64 - bits), 64 - bits) if bits else F.lit(7).cast("long") + F.length(text) * 0
+    groups = {}
+    for i, text in rows:
+        groups.setdefault(text or "", []).append(i)
+    got = exact_dedup.exact_dedup(df, bucket_entries=2, key=forced).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in got} == {(i, max(g), len(g), i == max(g)) for g in groups.values() for i in g} and len(got) == 300
+    assert max(r.place for r in got) > 0
+    plain = {(r.doc_id, r.keep_id, r.text_sha256) for r in exact_dedup.exact_dedup(df).collect()}
+    assert plain == {(r.doc_id, r.keep_id, r.text_sha256) for r in got}
 
 
 def test_line_dedup(docs, empty):
@@ -261,3 +286,87 @@ def test_html_suffix_array(spark):
 def test_components_drop_loops(spark):
     edges = spark.createDataFrame([(1, 1), (5, 2), (2, 9), (None, 3)], "a bigint, b bigint")
     assert {tuple(r) for r in common.connected_components(edges).collect()} == {(2, 2), (5, 2), (9, 2)}
+
+
+def test_keep_one_tells_rows_of_one_id_apart(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    df = spark.createDataFrame([(3, a), (7, a), (7, b), (None, a), (8, None)], "doc_id bigint, text string")
+    assert sorted(((r.doc_id, r.text) for r in ngram_join.keep_one(df).collect()), key=str) == sorted([(3, a), (7, b), (None, a), (8, None)], key=str)
+    with pytest.raises(TypeError, match="whole numbers"):
+        ngram_join.ngram_components(df.withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
+@pytest.mark.parametrize("block", [5, 16])
+def test_large_families_lose_no_link(spark, block):
+    """Clusters that share rare passages without being linked, near copies, and sets between two clusters."""
+    draw, texts = random.Random(block), []
+    passage = [f"p{i}" for i in range(12)]
+    for k in range(4):
+        base = [f"k{k}-{i}" for i in range(50)] + passage
+        for _ in range(22):
+            words = list(base)
+            for _ in range(draw.randrange(3)):
+                words[draw.randrange(len(words))] = f"r{draw.randrange(5)}"
+            texts.append(" ".join(words[: len(words) - draw.randrange(5)]))
+    for _ in range(8):
+        texts.append(" ".join([f"z{draw.randrange(99)}" for _ in range(30)] + passage))
+    draw.shuffle(texts)
+    sets = [{tuple(w[i : i + 4]) for i in range(len(w) - 3)} for w in (t.split() for t in texts)]
+    low = list(range(len(texts)))
+    for _ in range(12):
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(a & b) >= 85 * len(a | b):
+                    low[i] = low[j] = min(low[i], low[j])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_components(df, block_sets=block).collect()}
+    assert [got[i] for i in range(len(texts))] == low and 4 < len(set(low)) < len(low)
+
+
+def test_models_with_pieces_across_markers_take_whole_texts():
+    class Model:
+        def __init__(self, pieces):
+            self.pieces = pieces
+
+        id_to_piece = lambda self, i: self.pieces[i]
+        get_piece_size = lambda self: len(self.pieces)
+        is_control = is_unknown = is_byte = lambda self, i: False
+
+    across = sentencepiece_codec.has_pieces_across_markers
+    assert not across(Model(["▁", "▁▁a", "b"])) and across(Model(["a▁b"])) and across(Model(["▁a▁"]))
+
+
+def test_table_scores_equal_a_loop_over_rows():
+    draw = np.random.default_rng(7)
+    x = draw.uniform(-1, 1, (400, 5))
+    model = quality_gam.fit(x, (x[:, 0] + x[:, 1] * x[:, 2] + draw.normal(0, 0.2, 400) > 0).astype(float))
+    for row, got in zip(x[:60], model.score(x[:60]), strict=True):
+        total = model.base
+        for j, (cuts, values) in enumerate(zip(model.cuts, model.tables, strict=True)):
+            total += values[sum(1 for c in cuts if c <= row[j])]
+        for (a, b), values in zip(model.pairs, model.pair_tables, strict=True):
+            total += values[sum(1 for c in model.pair_cuts[a] if c <= row[a]), sum(1 for c in model.pair_cuts[b] if c <= row[b])]
+        assert abs(1 / (1 + np.exp(-total)) - got) < 1e-12
+
+
+def test_training_takes_the_same_rows_whatever_repeats(spark):
+    rows = [(i, f"text {i} " * (i % 9 + 1)) for i in range(200)] + [(5, "zz other text"), (6, None)]
+    labels = [(i, i % 2) for i in range(200)] + [(5, 0), (7, 0), (8, 3), (None, 1)]
+    df, ls = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int")
+    one, two = (quality_gam.train(d.repartition(n), l.repartition(n), rows=50) for d, l, n in ((df, ls, 1), (df.orderBy(F.desc("text")), ls, 5)))
+    assert np.array_equal(one.raw(np.ones((1, 19))), two.raw(np.ones((1, 19)))) and all(np.array_equal(a, b) for a, b in zip(one.tables, two.tables))
+
+
+def test_pipeline_on_clashing_columns_nulls_and_repeats(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    clash = {c: F.lit("x") for c in ["__id", "__key", "__body", "__starts", "__gone", "__lines", "id", "body", "key", "starts", "lines", "count", "removed_lines_", "label", "score"]}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    odd = spark.createDataFrame([(None, None), (None, "some text here"), (900_001, None), (900_002, ""), (900_002, ""), (900_003, LONG)], "doc_id bigint, text string")
+    docs = docs.unionByName(odd.withColumns({"lang": F.lit(None).cast("string"), "source": F.lit(None).cast("string"), "n_chars": F.lit(None).cast("bigint")}), allowMissingColumns=True).withColumns(clash)
+    for rows in (docs, docs.limit(0)):
+        now = rows
+        for _, stage in cp.STAGES[:-1]:
+            now = cp.materialize(stage(spark, now, SF), "clash")
+            assert now.columns == docs.columns
+        assert cp.STAGES[-1][1](spark, now, SF).count() == now.count()
