@@ -2,31 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from earshot.operators.grid import CELL, _span, cell_of, window_cells
 
 
-def assign_units(points: DataFrame, units: DataFrame, key: str = "point_id", cover: int = 1000) -> DataFrame:
-    """``points`` with the unit that holds them, left. Units are boxes (xmin, ymin,
-    w, h); a strictly inside match beats one on the boundary, the last unit wins.
+def assign_units(points: DataFrame, units: DataFrame, cover: int = 1000) -> DataFrame:
+    """``points`` with unit_no of the unit that holds them, null where none does. Units are
+    boxes (xmin, ymin, w, h); a strictly inside match beats one on the boundary, the last unit wins.
 
-    Units are covered with cells once; each point meets only the units of its
-    cell, then the exact test. The best match is an aggregate, not a window.
+    Units are covered with cells once and listed per cell; each point meets the list
+    of its cell and picks from it, so points are joined once and never grouped.
     """
     c = F.col
     cells = units.withColumn("__cy", F.explode(_span(cell_of(c("ymin"), cover), cell_of(c("ymin") + c("h"), cover))))
     cells = cells.withColumn("__cx", F.explode(_span(cell_of(c("xmin"), cover), cell_of(c("xmin") + c("w"), cover))))
-    box = cells.select("__cx", "__cy", "unit_no", "xmin", "ymin", "w", "h")
-    at = points.select(key, "x", "y", cell_of(c("x"), cover).alias("__cx"), cell_of(c("y"), cover).alias("__cy"))
-    met = at.join(box, ["__cx", "__cy"])
-    dx, dy = c("x") - c("xmin"), c("y") - c("ymin")
-    touching = (dx >= 0) & (dx <= c("w")) & (dy >= 0) & (dy <= c("h"))
-    inside = (dx > 0) & (dx < c("w")) & (dy > 0) & (dy < c("h"))
-    best = met.where(touching).groupBy(key).agg(F.max(F.struct(inside.cast("int").alias("i"), c("unit_no"))).alias("b"))
-    return points.join(best.select(key, c("b.unit_no").alias("unit_no")), key, "left")
+    listed = cells.groupBy("__cx", "__cy").agg(F.collect_list(F.struct("unit_no", "xmin", "ymin", "w", "h")).alias("__units"))
+    at = points.withColumns({"__cx": cell_of(c("x"), cover), "__cy": cell_of(c("y"), cover)})
+
+    def within(u: Column, strictly: bool) -> Column:
+        dx, dy = c("x") - u["xmin"], c("y") - u["ymin"]
+        if strictly:
+            return (dx > 0) & (dx < u["w"]) & (dy > 0) & (dy < u["h"])
+        return (dx >= 0) & (dx <= u["w"]) & (dy >= 0) & (dy <= u["h"])
+
+    touching = F.filter("__units", lambda u: within(u, False))
+    best = F.array_max(F.transform(touching, lambda u: F.struct(within(u, True).cast("int").alias("i"), u["unit_no"].alias("unit_no"))))
+    return at.join(listed, ["__cx", "__cy"], "left").withColumn("unit_no", best["unit_no"]).drop("__cx", "__cy", "__units")
 
 
 def nearest(left: DataFrame, right: DataFrame, radius: int, left_key: str, right_key: str) -> DataFrame:

@@ -319,7 +319,7 @@ def j01(t):
     "fx_buildings", "fx_admin",
 )
 def j02(t):
-    return J.assign_units(t.fx_buildings, units(t), "bldg_id").select("bldg_id", "unit_no")
+    return J.assign_units(t.fx_buildings, units(t)).select("bldg_id", "unit_no")
 
 
 @query(

@@ -79,19 +79,28 @@ def gap_labels(t):
     return t.stage("gap_labels", lambda: K.label_cells(R.gap_cells(risk_cells(t), covered_stage(t))))
 
 
-def all_points(t):
-    """Population points with coverage, risk, gap and unit."""
-    return t.stage("points", lambda: _all_points(t))
+def unit_points(t):
+    """Population points with coverage, risk and unit: what needs no gap labels reads this stage."""
+    return t.stage("points", lambda: _unit_points(t))
 
 
-def _all_points(t):
+def _unit_points(t):
     p = G.sample(points(t), covered_stage(t), {"db": 0, "site_uid": 0}).drop("valid")
-    p = p.withColumn("point_id", F.concat_ws("/", "origin", c("object_id").cast("string")))
     p = p.withColumns({"cx": G.cell_of(c("x")), "cy": G.cell_of(c("y"))})
-    p = p.join(risk_cells(t), ["cx", "cy"], "left").join(gap_labels(t), ["cx", "cy"], "left").na.fill(0, ["risk"])
+    p = p.join(risk_cells(t), ["cx", "cy"], "left").na.fill(0, ["risk"])
     return J.assign_units(p, units(t)).join(t.fx_admin.select("unit_no", "gmi"), "unit_no", "left")
 
 
+def all_points(t):
+    """Population points with coverage, risk, unit and gap."""
+    return unit_points(t).join(gap_labels(t), ["cx", "cy"], "left")
+
+
+def gap_points(t):
+    """Only the points in gaps."""
+    return t.stage("gap-points", lambda: unit_points(t).join(gap_labels(t), ["cx", "cy"]))
+
+
 @query("p01_floors", SCORED + " SELECT bldg_id, floors FROM bs", *PF)
 def p01(t):
     return t.fx_buildings.select("bldg_id", P.floors(c("bldg"), c("levels"), c("height_m")).alias("floors"))
@@ -167,7 +176,7 @@ def p13(t):
     return covered_points(t).groupBy("origin").agg(F.round(F.sum("pop_night"), 4).alias("night"), F.round(inside, 4).alias("night_in"), F.round(F.sum("pop_day"), 4).alias("day"))
 
 
-@query("p14_population_checks", "SELECT count(*) AS cells, true AS night_ok, true AS day_ok, true AS sums_ok FROM fx_popgrid", *PF)
+@query("p14_population_checks", ALLOC + ", k AS (SELECT g.cell_id, g.tot, coalesce(sum(pop_night), 0) AS night, coalesce(sum(pop_day), 0) AS day FROM fx_popgrid g LEFT JOIN pp USING (cell_id) GROUP BY ALL) SELECT count(*) AS cells, max(abs(night - tot)) < 1e-5 AS night_ok, max(abs(day - tot)) < 1e-5 AS day_ok, abs(sum(night) - sum(tot)) < 1e-3 AS sums_ok FROM k", *PF)
 def p14(t):
     b = P.balance(t.fx_popgrid, points(t))
     sums = F.abs(F.sum("night") - F.sum("tot")) < 1e-3
@@ -222,7 +231,7 @@ EXPOSURE = POINTS + ", xp AS (" + " UNION ALL ".join(
 
 
 def measures(t):
-    out = R.exposure(R.exposed(all_points(t)))
+    out = R.exposure(R.exposed(unit_points(t)))
     return out.select("level", "code", "risk", *(F.round(m, 4).alias(m) for m in R.MEASURES))
 
 
@@ -233,7 +242,7 @@ def d11(t):
 
 @query("d12_gap_population", POINTS + " SELECT gap_id, round(sum(pop_night), 6) AS pop_night, round(sum(pop_day), 6) AS pop_day FROM pu WHERE gap_id IS NOT NULL GROUP BY gap_id", *AF)
 def d12(t):
-    return R.gap_population(all_points(t)).select("gap_id", r6("pop_night"), r6("pop_day"))
+    return R.gap_population(gap_points(t)).select("gap_id", r6("pop_night"), r6("pop_day"))
 
 
 PRIORITY = GAPS + POINTS[len(RISKED):] + """,
@@ -261,19 +270,19 @@ ur AS (SELECT *, row_number() OVER (ORDER BY score DESC, outside DESC, gmi) AS r
 
 @query("d13_gap_units", PRIORITY + " SELECT * FROM gu", *AF)
 def d13(t):
-    return R.gap_units(all_points(t))
+    return R.gap_units(gap_points(t))
 
 
 def selected(t):
-    return R.select_gaps(R.gap_table(gap_labels(t), risk_cells(t)), R.gap_population(all_points(t)))
+    return R.select_gaps(R.gap_table(gap_labels(t), risk_cells(t)), R.gap_population(gap_points(t)))
 
 
 def base(t):
-    return R.unit_base(R.exposed(all_points(t)))
+    return R.unit_base(R.exposed(unit_points(t)))
 
 
 def gaps(t):
-    return t.stage("gaps", lambda: R.priority_gaps(t.stage("selected", lambda: selected(t)), R.gap_units(all_points(t)), base(t)))
+    return t.stage("gaps", lambda: R.priority_gaps(t.stage("selected", lambda: selected(t)), R.gap_units(gap_points(t)), base(t)))
 
 
 def ranking(t):

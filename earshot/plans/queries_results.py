@@ -274,7 +274,7 @@ GENERAL = POINTS + ", gu1 AS (SELECT *, substr(gmi, 1, 2) AS woj, substr(gmi, 1,
 
 def general_coverage(t):
     """People in all, at or above each level and outside, for every unit of every level, from one rollup."""
-    p = E.all_points(t).withColumns({"woj": F.substring("gmi", 1, 2), "pow": F.substring("gmi", 1, 4)})
+    p = E.unit_points(t).withColumns({"woj": F.substring("gmi", 1, 2), "pow": F.substring("gmi", 1, 4)})
     at = lambda test: F.round(F.sum(F.when(test, c("pop_night")).otherwise(0.0)), 3)
     cube = p.rollup("woj", "pow", "gmi").agg(
         F.round(F.sum("pop_night"), 3).alias("pop_total"), *(at(c("db") >= d).alias(f"pop_ge{d}") for d in DB), at(c("db") < DB[0]).alias("pop_outside"), F.grouping_id().alias("g")
