@@ -6,6 +6,10 @@ of up to ``LEAF`` pre-tokens (text length, token count), inner nodes are sums.
 An edit (offset, characters removed, characters put in) cuts the text again only
 from a pre-token boundary before it until the new cut meets an old boundary
 behind it; the touched leaves are replaced and the sums on their paths updated.
+
+``build_trees`` and ``apply_edits`` keep trees in a table between runs: a row is a
+text with the lengths of its pre-tokens and the token count of each leaf, so a
+later run of edits neither cuts nor encodes what the edits don't touch.
 """
 
 from __future__ import annotations
@@ -49,6 +53,14 @@ class SegmentTree:
         self.leaves = [pieces[i : i + LEAF] for i in range(0, len(pieces), LEAF)]
         self._build([self._sum(leaf) for leaf in self.leaves])
 
+    @classmethod
+    def stored(cls, leaves: list[list[str]], tokens: list[int], counter: Counter) -> SegmentTree:
+        """A tree from its leaves and their token counts; nothing is encoded."""
+        tree = cls([], counter)
+        tree.leaves = leaves
+        tree._build([(sum(map(len, leaf)), n) for leaf, n in zip(leaves, tokens, strict=True)])
+        return tree
+
     def _sum(self, pieces: list[str]) -> tuple[int, int]:
         return sum(map(len, pieces)), sum([self.counter[p] for p in pieces])
 
@@ -104,6 +116,23 @@ class Document:
         self.text, self.pattern = text, pattern
         self.tree = SegmentTree(pattern.findall(text), counter)
 
+    @classmethod
+    def stored(cls, text: str, lengths, tokens, pattern, counter: Counter) -> Document:
+        """A document from its stored tree: the lengths of each leaf's pre-tokens and its token count."""
+        document = cls("", pattern, counter)
+        document.text, leaves, at = text, [], 0
+        for leaf in lengths:
+            pieces = []
+            for n in leaf:
+                pieces.append(text[at : at + n])
+                at += n
+            leaves.append(pieces)
+        document.tree = SegmentTree.stored(leaves, list(tokens), counter)
+        return document
+
+    def to_store(self) -> tuple[list[list[int]], list[int]]:
+        return [list(map(len, leaf)) for leaf in self.tree.leaves], [n for _, n in self.tree.levels[0]]
+
     @property
     def n_tokens(self) -> int:
         return self.tree.total[1]
@@ -179,31 +208,43 @@ def standard_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
+def _reader(vocabulary: str, pattern: str):
+    """(compiled pattern, counter) of a task."""
+    import regex
+    import tiktoken
+
+    with open(vocabulary, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    return regex.compile(pattern), Counter(tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}))
+
+
+def _apply(document: Document, edits) -> int:
+    """Applies a row's edits in order; returns how many characters were counted again."""
+    recounted = 0
+    for one in edits if edits is not None else ():
+        if one is not None:
+            recounted += document.edit(int(one["offset"] or 0), int(one["removed"] or 0), one["put"] or "")
+    return recounted
+
+
 def count_edited(edited: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens (before), n_tokens_edited, n_chars_edited, recounted_chars
     for rows of (doc_id, text, edits array<struct<offset, removed, put>>).
 
     Offsets count code points of the text as the edits before left it, and are
     brought into its range. Null texts count as empty, null edits or fields as
-    none, 0 and ''. No rows give no rows; other columns are not read.
+    none, 0 and ''. Rows that repeat an id are counted each. No rows give no
+    rows; other columns are not read, whatever their names.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import regex
-        import tiktoken
-
-        with open(vocabulary, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        counter = Counter(tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}))
-        cut = regex.compile(pattern)
+        cut, counter = _reader(vocabulary, pattern)
         for batch in batches:
             rows = []
             for text, edits in zip(batch["text"], batch["edits"], strict=True):
                 document = Document(text or "", cut, counter)
-                before, recounted = document.n_tokens, 0
-                for one in edits if edits is not None else ():
-                    if one is not None:
-                        recounted += document.edit(int(one["offset"] or 0), int(one["removed"] or 0), one["put"] or "")
+                before = document.n_tokens
+                recounted = _apply(document, edits)
                 rows.append((before, document.n_tokens, len(document.text), recounted))
             out = pd.DataFrame(rows, columns=["n_tokens", "n_tokens_edited", "n_chars_edited", "recounted_chars"])
             out.insert(0, "doc_id", batch["doc_id"].to_numpy())
@@ -214,6 +255,55 @@ def count_edited(edited: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     return edited.select("doc_id", "text", "edits").mapInPandas(run, schema)
 
 
+TREE = "text string, leaves array<array<int>>, leaf_tokens array<int>, n_tokens long"
+
+
+def _trees(rows: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
+    """doc_id and the columns of ``TREE`` after the edits of rows of doc_id, text, leaves, leaf_tokens, edits; null leaves are cut from the text."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cut, counter = _reader(vocabulary, pattern)
+        for batch in batches:
+            out = []
+            for text, leaves, tokens, edits in batch[["text", "leaves", "leaf_tokens", "edits"]].itertuples(index=False, name=None):
+                fresh = leaves is None
+                document = Document(text, cut, counter) if fresh else Document.stored(text, leaves, tokens, cut, counter)
+                _apply(document, edits)
+                out.append((document.text, *document.to_store(), document.n_tokens))
+            frame = pd.DataFrame(out, columns=["text", "leaves", "leaf_tokens", "n_tokens"])
+            frame.insert(0, "doc_id", batch["doc_id"].to_numpy())
+            yield frame
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInPandas(run, f"doc_id {kind}, {TREE}")
+
+
+def build_trees(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text, leaves (lengths of each leaf's pre-tokens), leaf_tokens, n_tokens: one tree per row, to be written as a table. Null texts count as empty."""
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    none = {"leaves": F.lit(None).cast("array<array<int>>"), "leaf_tokens": F.lit(None).cast("array<int>"), "edits": F.lit(None).cast(EDITS)}
+    return _trees(slim.withColumns(none), vocabulary, pattern)
+
+
+EDITS = "array<struct<offset:int,removed:int,put:string>>"
+
+
+def apply_edits(trees: DataFrame, edits: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
+    """``trees`` (of ``build_trees``) after an edit table (doc_id, edit_no, offset, removed, put).
+
+    A document's edits are applied by edit_no, ties by offset, removed and put; they
+    come to the document's row, so they have to fit a row like its text. Trees without edits are not
+    unpacked. Edits of ids that no tree has, or without an id, do nothing; trees
+    that repeat an id get the edits each; trees without an id none.
+    """
+    listed = edits.where("doc_id is not null").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("edit_no", "offset", "removed", "put"))).alias("e"))
+    cast = F.transform("e", lambda x: F.struct(x["offset"].cast("int").alias("offset"), x["removed"].cast("int").alias("removed"), x["put"].alias("put")))
+    listed = listed.select("doc_id", cast.alias("edits"))
+    columns = ["doc_id", "text", "leaves", "leaf_tokens", "n_tokens"]
+    same = trees.join(listed, "doc_id", "left_anti").select(*columns)
+    return same.unionByName(_trees(trees.join(listed, "doc_id").select(*columns[:4], "edits"), vocabulary, pattern))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

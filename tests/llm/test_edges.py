@@ -370,3 +370,48 @@ def test_pipeline_on_clashing_columns_nulls_and_repeats(spark, tmp_path):
             now = cp.materialize(stage(spark, now, SF), "clash")
             assert now.columns == docs.columns
         assert cp.STAGES[-1][1](spark, now, SF).count() == now.count()
+
+
+def test_stored_trees_take_later_edits(spark):
+    import base64
+
+    import public_tokenizers as P
+    import tiktoken
+
+    path, draw = P.path(token_counts.VOCABULARY), random.Random(9)
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    letters = "ab 's\n\t12é中.,!  're"
+    texts = {i: "".join(draw.choice(letters) for _ in range(draw.choice([0, 3, 90, 2_000]))) for i in range(60)} | {60: LONG, 61: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").withColumns({c: F.lit("x") for c in ["edits", "leaves", "e", "put"]})
+    trees = common.materialize(token_counts.build_trees(docs, path, P.PATTERN), "trees")
+    texts = {i: t or "" for i, t in texts.items()}
+    for _ in range(2):
+        edits = [(i, n, draw.randrange(50), draw.choice([0, 1, 30]), "".join(draw.choice(letters) for _ in range(draw.choice([0, 2, 40])))) for i in range(0, 62, 2) for n in range(3)]
+        for i, _, at, gone, put in edits:
+            at = min(at, len(texts[i]))
+            texts[i] = texts[i][:at] + put + texts[i][at + gone :]
+        table = spark.createDataFrame([*edits, (99, 0, 0, 0, "none"), (None, 0, 0, 0, "none")], "doc_id bigint, edit_no int, offset int, removed int, put string")
+        trees = common.materialize(token_counts.apply_edits(trees, table, path, P.PATTERN), "trees")
+        got = {r.doc_id: r for r in trees.collect()}
+        assert {i: r.text for i, r in got.items()} == texts
+        assert {i: r.n_tokens for i, r in got.items()} == {i: len(enc.encode_ordinary(t)) for i, t in texts.items()}
+        assert all(sum(r.leaf_tokens) == r.n_tokens and sum(map(sum, r.leaves)) == len(r.text) for r in got.values())
+    assert token_counts.apply_edits(trees.limit(0), table, path, P.PATTERN).count() == 0
+
+
+def test_token_counts_of_repeated_rows_and_clashing_columns(spark):
+    import public_tokenizers as P
+
+    schema = "doc_id bigint, text string, edits array<struct<offset:int,removed:int,put:string>>"
+    df = spark.createDataFrame([(1, "same text", [(0, 0, "x")])] * 2 + [(1, "other", None)], schema).withColumns({c: F.lit("y") for c in ["n_tokens", "leaves", "recounted_chars"]})
+    got = sorted((r.doc_id, r.n_chars_edited) for r in token_counts.count_edited(df, P.path(token_counts.VOCABULARY), P.PATTERN).collect())
+    assert got == [(1, 5), (1, 10), (1, 10)]
+
+
+def test_quality_of_tied_and_repeated_labels(spark):
+    df = spark.createDataFrame([(i, f"word {i % 3}") for i in range(60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, q) for i in range(60) for q in (0, 1)], "doc_id bigint, quality int")
+    got = quality_gam.classify(df, quality_gam.train(df, labels)).collect()
+    assert {r.predicted for r in got} == {0}  # of labels that differ the lowest holds
