@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from earshot.operators.components import connected_components
 from earshot.sources.storage import materialize, shared_dir, shared_path
 
-__all__ = ["broadcast_if_small", "connected_components", "fresh", "materialize", "shared_dir", "shared_path", "table", "words"]
+__all__ = ["broadcast_if_small", "connected_components", "fresh", "map_rows", "materialize", "shared_dir", "shared_path", "table", "words"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -36,6 +36,14 @@ def fresh(*taken: list[str]) -> Callable[[str], str]:
     return name
 
 
+def map_rows(df: DataFrame, id_col: str, run: Callable, schema: str) -> DataFrame:
+    """``mapInPandas`` of rows whose id passes through; ids travel as text, because pandas turns
+    longs beside nulls into floats. ``schema`` is that of the other columns."""
+    kind = df.schema[id_col].dataType
+    out = df.withColumn(id_col, F.col(id_col).cast("string")).mapInPandas(run, f"{id_col} string, {schema}")
+    return out.withColumn(id_col, F.col(id_col).cast(kind))
+
+
 def words(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")

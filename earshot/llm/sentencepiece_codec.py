@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm.common import table
+from earshot.llm.common import map_rows, table
 
 MODEL = "piece_bpe_32k.model"
 TABLE_CHUNKS = 500_000
@@ -105,8 +105,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
             yield out
 
     slim = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    kind = slim.schema["doc_id"].dataType.simpleString()
-    return slim.mapInPandas(run, f"doc_id {kind}, n_tokens long, {fields}")
+    return map_rows(slim, "doc_id", run, f"n_tokens long, {fields}")
 
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm.common import table
+from earshot.llm.common import map_rows, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LEAF = 32
@@ -250,9 +250,7 @@ def count_edited(edited: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
             out.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield out
 
-    kind = edited.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_tokens long, n_tokens_edited long, n_chars_edited long, recounted_chars long"
-    return edited.select("doc_id", "text", "edits").mapInPandas(run, schema)
+    return map_rows(edited.select("doc_id", "text", "edits"), "doc_id", run, "n_tokens long, n_tokens_edited long, n_chars_edited long, recounted_chars long")
 
 
 TREE = "text string, leaves array<array<int>>, leaf_tokens array<int>, n_tokens long"
@@ -274,8 +272,7 @@ def _trees(rows: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
             frame.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield frame
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {kind}, {TREE}")
+    return map_rows(rows, "doc_id", run, TREE)
 
 
 def build_trees(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

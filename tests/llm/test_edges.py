@@ -415,3 +415,17 @@ def test_quality_of_tied_and_repeated_labels(spark):
     labels = spark.createDataFrame([(i, q) for i in range(60) for q in (0, 1)], "doc_id bigint, quality int")
     got = quality_gam.classify(df, quality_gam.train(df, labels)).collect()
     assert {r.predicted for r in got} == {0}  # of labels that differ the lowest holds
+
+
+def test_large_ids_beside_nulls_stay_whole(spark):
+    import public_tokenizers as P
+
+    big = 2**62 + 1
+    df = spark.createDataFrame([(big, "a b", "http://h/"), (None, "a b", None)], "doc_id bigint, text string, url string")
+    found = [
+        sentencepiece_codec.encode(df, sentencepiece_codec.default_model()),
+        token_counts.build_trees(df, P.path(token_counts.VOCABULARY), P.PATTERN),
+        html_extract.extract(df, "doc_id", "url", "text").withColumnRenamed("page_id", "doc_id"),
+        ngram_join.ngram_components(df),
+    ]
+    assert all({r.doc_id for r in f.collect()} == {big, None} and dict(f.dtypes)["doc_id"] == "bigint" for f in found)
