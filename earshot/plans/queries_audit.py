@@ -228,7 +228,7 @@ _TEXTS = ("wojewodztwo", "powiat", "gmina", "wlasciciel", "rodzaj_syreny", "jedn
 _COLUMNS = ["moc_w", "wysokosc", "lat", "lon", "kod_swd", "jednostka_psp", *A.STATUSES]
 
 
-@query("q01_required_columns")
+@query("q01_required_columns", f"SELECT nr_ref, {', '.join(_COLUMNS)} FROM fx_register", "fx_register")
 def q01(t):
     return A.require_columns(t.fx_register, ["nr_ref", *_COLUMNS]).select("nr_ref", *_COLUMNS)
 

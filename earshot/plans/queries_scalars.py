@@ -99,7 +99,12 @@ _scalar("scl23_risk_value", "CASE k % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END::
 _scalar("scl24_building_type", "coalesce(nullif(lower(trim(status)), ''), 'unknown')", lambda: S.building_type(c("status")))
 
 
-@query("scl15_repair_text")
+@query(
+    "scl15_repair_text",
+    """h AS (SELECT doc_id, coalesce(text, '') AS whole, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+    b AS (SELECT doc_id, whole, array_to_string(list_transform(range(len(hx) // 2), lambda i: chr(('0x' || hx[2 * i + 1 : 2 * i + 2])::INTEGER)), '') AS broken FROM h)
+    SELECT doc_id, CASE WHEN regexp_matches(broken, '[ÃÅÄ]') THEN whole ELSE broken END AS value FROM b""",
+)
 def scl15(t):
     """Text broken on purpose (UTF-8 bytes read as Latin-1) is made whole; the tests compare both."""
     text = F.coalesce("text", F.lit(""))
