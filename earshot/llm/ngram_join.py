@@ -118,7 +118,7 @@ def _heads(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _whole_sets(texts: DataFrame, words: int) -> DataFrame:
-    """node, n, shingles of the rows whose set is the one asked for; of rows that share an id and a set one is enough."""
+    """node, n, shingles of the rows whose set is the one asked for; rows that share id and set repeat it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words)
@@ -360,16 +360,24 @@ def _components(ordered: DataFrame, percent: int, block_sets: int) -> DataFrame:
     families = _families(_postings(ordered))
     dealt = materialize(_dealt(ordered, families.withColumn("rest", F.lit(False)), percent, block_sets), "dealt")
     links = _links(ordered, dealt, _pivot_places(block_sets), percent)
-    labels = connected_components(links).select("node", F.col("component").alias("label"))
+    labels = materialize(connected_components(links).select("node", F.col("component").alias("label")), "labels")
     large = dealt.where(F.col("n_f") > block_sets).select("node")
     if large.isEmpty():
         return labels
     # a small family is settled; of large ones block 0 has met all
-    left = materialize(_second_round(ordered, large, materialize(labels, "labels")), "open")
+    left = materialize(_second_round(ordered, large, labels), "open")
     if left.isEmpty():
         return labels
     more = _links(ordered, _dealt(ordered, left, percent, block_sets), _rest_places(block_sets), percent)
-    return connected_components(links.unionByName(more)).select("node", F.col("component").alias("label"))
+    if more.isEmpty():
+        return labels
+    # only the labels that the new links join are named anew
+    alone = more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti")
+    known = materialize(labels.unionByName(alone.withColumn("label", F.col("node"))), "labels")
+    end = lambda n: known.select(F.col("node").alias(n), F.col("label").alias(f"label_{n}"))
+    joined = more.join(end("a"), "a").join(end("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    over = connected_components(joined).select(F.col("node").alias("label"), F.col("component").alias("top"))
+    return known.join(over, "label", "left").select("node", F.coalesce("top", "label").alias("label"))
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, block_sets: int) -> DataFrame:
@@ -383,7 +391,7 @@ def _named(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int
     _release(spark)
     wanted = broadcast_if_small(found, found.count(), BROADCAST_IDS)
     texts = slim.join(wanted, F.col("doc_id") == F.col("rep")).select("text", "node", "s1", "s2")
-    ordered = ordered_sets(materialize(_whole_sets(texts, words), "sets").dropDuplicates(["node"]), percent)
+    ordered = ordered_sets(materialize(_whole_sets(texts, words), "sets"), percent)
     _release(spark)
     linked = _components(ordered, percent, block_sets)
     _release(spark)
