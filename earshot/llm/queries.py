@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from earshot.llm import decontaminate, exact_dedup, html_extract, line_dedup, ngram_join, quality_gam, sentencepiece_codec, sharding, token_counts, warc
+from earshot.llm import decontaminate, exact_dedup, html_extract, lexical, line_dedup, merkle, ngram_join, pii, quality_gam, sentencepiece_codec, sharding, token_counts, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_ngram_join": ngram_join.op8_ngram_join,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_quality": quality_gam.op10_quality,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_pii": pii.op12_pii,
+    "op13_ranked_search": lexical.op13_ranked_search,
 }
 ORACLES = {
     "op1_decontamination": decontaminate.ORACLE,
@@ -23,4 +26,7 @@ ORACLES = {
     "op5_line_dedup": line_dedup.ORACLE,
     "op7_sharding": sharding.ORACLE,
     "op8_ngram_join": ngram_join.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
+    "op12_pii": pii.ORACLE,
+    "op13_ranked_search": lexical.ORACLE,
 }
