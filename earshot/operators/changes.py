@@ -55,77 +55,133 @@ def counts_by(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
 
 
-def rule_id(*parts: Column) -> Column:
-    return F.concat(F.lit("CORR-"), F.upper(F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 12)))
+def rule_id(stage: Column, operation: Column, key: Column, field: Column) -> Column:
+    """Names a change by where it was made, not by its value: the same change in a new run keeps its id."""
+    parts = F.concat_ws("|", *(F.coalesce(p, F.lit("")) for p in (stage, operation, key, field)))
+    return F.concat(F.lit("CORR-"), F.upper(F.substring(F.sha2(parts, 256), 1, 12)))
 
 
-def change_reason(operation: Column, field: Column) -> Column:
+# fixed values of the registry
+REGISTRY = ["rule_id", "stage", "operation", "nr_ref", "field", "before", "after", "reason", "source", "confidence"]
+HEIGHT_REASON = "Korekta wysokości montażu zgodnie z kontrolami domenowymi V5–V8."
+MODEL_POWER_REASON = "Ujednolicenie mocy modelowej, w tym analogowej SAD do odpowiednika DSE V9."
+POWER_REASON = "Korekta jednostki lub wartości mocy po kontroli jakości."
+ELEVATION_REASON = "Uzupełnienie wysokości n.p.m. z danych SRTM."
+OTHER_REASON = "Zmiana zarejestrowana między zatwierdzonymi snapshotami pipeline."
+ADDED_REASON = "Rekord dodany między snapshotami."
+DISABLED_REASON = "Rekord usunięty z aktywnego snapshotu."
+REMOVED_REASON = "Usunięcie technicznej kolumny roboczej ze schematu kolejnego snapshotu."
+
+
+def change_reason(stage: Column, operation: Column, field: Column) -> Column:
     return (
-        F.when(operation == "add", "new record")
-        .when(operation == "disable", "record withdrawn")
-        .when(operation == "remove_field", "column withdrawn")
-        .when(field == "size", "size measured again")
-        .when(field == "brand", "label corrected")
-        .otherwise("value corrected")
+        F.when(operation == "add", ADDED_REASON)
+        .when(operation == "disable", DISABLED_REASON)
+        .when(operation == "remove_field", REMOVED_REASON)
+        .when(field == "wysokosc_nad_terenem_m", HEIGHT_REASON)
+        .when((field == "moc_w") & stage.contains("V9"), MODEL_POWER_REASON)
+        .when(field == "moc_w", POWER_REASON)
+        .when(field == "npm_m", ELEVATION_REASON)
+        .otherwise(OTHER_REASON)
     )
 
 
-def diff(before: DataFrame, after: DataFrame, stage: str, key: str = "nr_ref") -> DataFrame:
-    """Registry rows that lead from one snapshot to the next: add, disable and
-    update per changed field. One full outer join on the key; fields are compared
-    inside the joined row and only changed ones are exploded."""
-    fields = [c for c in before.columns if c != key and c in after.columns]
-    a = before.select(F.col(key), F.struct(*fields).alias("a"))
-    b = after.select(F.col(key), F.struct(*[c for c in after.columns if c != key]).alias("b"))
-    none = F.lit("")
-    change = lambda op, f, x, y: F.struct(op.alias("operation"), f.alias("field"), x.alias("before"), y.alias("after"))
-    updates = F.filter(
-        F.array(*(F.when(~F.col(f"a.{f}").eqNullSafe(F.col(f"b.{f}")), change(F.lit("update"), F.lit(f), F.coalesce(f"a.{f}", none), F.coalesce(f"b.{f}", none))) for f in fields)),
-        lambda e: e.isNotNull(),
-    )
+def change_confidence(operation: Column, before: Column, after: Column) -> Column:
+    """0.9 for an update from or to a blank, else 1.0."""
+    return F.when((operation == "update") & ((before == "") | (after == "")), 0.9).otherwise(1.0)
+
+
+def _text(column: str) -> Column:
+    return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
+
+
+def record_json(columns: list[str]) -> Column:
+    """The filled fields of a row as JSON text, keys sorted, a space behind each colon and comma."""
+    value = lambda c: F.regexp_extract(F.to_json(F.struct(_text(c).alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+    field = lambda c: F.when(_text(c) != "", F.concat(F.lit(f'"{c}": '), value(c)))
+    return F.concat(F.lit("{"), F.array_join(F.array(*(field(c) for c in sorted(columns))), ", "), F.lit("}"))
+
+
+def _registry(rows: DataFrame, names: tuple[str, str], key: str) -> DataFrame:
+    """(operation, key, field, before, after) rows as registry rows of a step."""
+    old, new = names
+    stage, op, field = F.lit(f"{old}→{new}"), F.col("operation"), F.col("field")
+    source = F.when(op.isin("add", "disable"), f"{new}.csv").otherwise(f"{old}.csv -> {new}.csv")
+    more = {
+        "stage": stage,
+        "rule_id": rule_id(stage, op, F.col(key), field),
+        "reason": change_reason(stage, op, field),
+        "source": source,
+        "confidence": change_confidence(op, F.col("before"), F.col("after")),
+    }
+    return rows.withColumns(more).select([key if c == "nr_ref" else c for c in REGISTRY])
+
+
+def diff(before: DataFrame, after: DataFrame, names: tuple[str, str], key: str = "nr_ref") -> DataFrame:
+    """Registry rows that lead from one snapshot to the next: add, disable and update per
+    changed field. Nulls count as blanks, and a field that ``before`` lacks is blank there;
+    fields that ``after`` lacks are ``removed_columns``'. One full outer join on the key;
+    fields are compared inside the joined row and only changed ones are exploded."""
+    fields = [c for c in after.columns if c != key]
+    a = before.select(F.col(key), F.struct(*(_text(c).alias(c) if c in before.columns else F.lit("").alias(c) for c in fields)).alias("a"))
+    b = after.select(F.col(key), F.struct(*(_text(c).alias(c) for c in fields)).alias("b"), record_json(after.columns).alias("record"))
+    change = lambda op, f, x, y: F.struct(F.lit(op).alias("operation"), F.lit(f).alias("field"), x.alias("before"), y.alias("after"))
+    updates = F.array_compact(F.array(*(F.when(F.col(f"a.`{f}`") != F.col(f"b.`{f}`"), change("update", f, F.col(f"a.`{f}`"), F.col(f"b.`{f}`"))) for f in fields)))
     events = (
-        F.when(F.col("a").isNull(), F.array(change(F.lit("add"), none, none, F.to_json("b"))))
-        .when(F.col("b").isNull(), F.array(change(F.lit("disable"), none, F.lit("1"), F.lit("0"))))
+        F.when(F.col("a").isNull(), F.array(change("add", "record_json", F.lit(""), F.col("record"))))
+        .when(F.col("b").isNull(), F.array(change("disable", "record", F.lit("active"), F.lit("disabled"))))
         .otherwise(updates)
     )
     rows = a.join(b, key, "full_outer").select(key, F.explode(events).alias("e")).select(key, "e.*")
-    out = rows.withColumns({"stage": F.lit(stage), "reason": change_reason(F.col("operation"), F.col("field")), "confidence": F.when(F.col("operation") == "update", 0.9).otherwise(1.0)})
-    out = out.withColumn("rule_id", rule_id(*(F.col(c) for c in ("stage", "operation", key, "field", "after"))))
-    return out.select("rule_id", "stage", "operation", key, "field", "before", "after", "reason", "confidence")
+    return _registry(rows, names, key)
 
 
-def removed_columns(before: DataFrame, after: DataFrame, stage: str) -> DataFrame:
-    """Registry rows for columns that ``after`` lacks."""
+def removed_columns(before: DataFrame, after: DataFrame, names: tuple[str, str], key: str = "nr_ref") -> DataFrame:
+    """Registry rows for columns that ``after`` lacks, with ``filled``: how many rows of ``before`` had a value there."""
     gone = [c for c in before.columns if c not in after.columns]
-    one = before.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, gone)).cast("array<string>")).alias("field"))
-    out = one.select(F.lit(stage).alias("stage"), F.lit("remove_field").alias("operation"), F.lit("").alias("nr_ref"), "field", F.lit("").alias("before"), F.lit("").alias("after"))
-    out = out.withColumns({"reason": change_reason(F.col("operation"), F.col("field")), "confidence": F.lit(1.0)})
-    out = out.withColumn("rule_id", rule_id(*(F.col(c) for c in ("stage", "operation", "nr_ref", "field", "after"))))
-    return out.select("rule_id", "stage", "operation", "nr_ref", "field", "before", "after", "reason", "confidence")
+    filled = before.agg(*(F.count_if(_text(c) != "").alias(c) for c in gone)) if gone else before.agg(F.lit(0).alias("none"))
+    rows = filled.select(F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col(f"`{c}`").alias("filled")) for c in gone)).cast("array<struct<field:string,filled:bigint>>")).alias("e")).select("e.*")
+    rows = rows.withColumns({"operation": F.lit("remove_field"), key: F.lit("*"), "before": F.lit("column present"), "after": F.lit("column removed")})
+    registry = _registry(rows, names, key)
+    return registry.join(rows.select("field", "filled"), "field").select(*registry.columns, "filled")
 
 
 def diff_chain(versions: list[tuple[str, DataFrame]], key: str = "nr_ref") -> DataFrame:
-    """Registry over consecutive versions."""
-    pairs = zip(versions, versions[1:], strict=False)
-    return reduce(DataFrame.unionByName, (diff(a, b, f"{x}->{y}", key) for (x, a), (y, b) in pairs))
-
-
-def replay(base: DataFrame, registry: DataFrame, key: str = "nr_ref") -> DataFrame:
-    """One stage of a registry applied to its base."""
-    of = lambda op: registry.where(F.col("operation") == op)
-    kept = base.join(of("disable").select(key), key, "left_anti")
-    changed = apply_cells(kept, of("update"), key, "after")
-    schema = ", ".join(f"`{c}` {t}" for c, t in base.dtypes if c != key)
-    added = of("add").select(key, F.from_json("after", schema).alias("r")).select(key, "r.*")
-    return changed.unionByName(added.select(changed.columns))
+    """Registry over consecutive versions: removed columns and changed records of each step."""
+    if len(versions) < 2:
+        raise ValueError("a registry needs two versions at least")
+    pairs = list(zip(versions, versions[1:], strict=False))
+    changed = [diff(a, b, (x, y), key) for (x, a), (y, b) in pairs]
+    gone = [removed_columns(a, b, (x, y), key).drop("filled") for (x, a), (y, b) in pairs if set(a.columns) - set(b.columns)]
+    return reduce(DataFrame.unionByName, [*gone, *changed])
+
+
+def replay(base: DataFrame, registry: DataFrame, stages: list[str], key: str = "nr_ref") -> DataFrame:
+    """The stages of a registry applied to their base in order; all columns come out as text, blank
+    where nothing is known. Which columns come and go is read from the registry (a row for each column)."""
+    table = base.select(F.col(key), *(_text(c).alias(c) for c in base.columns if c != key))
+    for stage in stages:
+        own = registry.where(F.col("stage") == stage)
+        of = lambda op, own=own: own.where(F.col("operation") == op)
+        gone = {r[0] for r in of("remove_field").select("field").distinct().collect()}
+        added_keys = of("add").select(F.explode(F.expr("json_object_keys(after)")).alias("field"))
+        new = {r[0] for r in of("update").select("field").union(added_keys).distinct().collect()}
+        fields = [c for c in table.columns if c != key and c not in gone] + sorted(new - set(table.columns) - {key})
+        kept = table.join(of("disable").select(key), key, "left_anti")
+        kept = kept.select(key, *((F.col(f"`{c}`") if c in table.columns else F.lit("")).alias(c) for c in fields))
+        schema = ", ".join(f"`{c}` string" for c in fields)
+        added = of("add").select(key, F.from_json("after", schema).alias("r")).select(key, *(F.coalesce(F.col(f"r.`{c}`"), F.lit("")).alias(c) for c in fields))
+        table = apply_cells(kept, of("update"), key, "after").unionByName(added)
+    return table
 
 
 def replay_violations(base: DataFrame, registry: DataFrame, key: str = "nr_ref") -> DataFrame:
-    """Updates and disables whose record is missing or whose before-value differs; must be empty."""
+    """Updates whose record is missing or whose before-value differs; must be empty. A column that the
+    base lacks reads as blank; withdrawing a record that isn't there is no fault."""
     cells = _cells(base, key).withColumnRenamed("before", "found")
     known = base.select(key).distinct().withColumn("known", F.lit(True))
-    rows = registry.where("operation in ('update', 'disable')").join(known, key, "left").join(cells, [key, "field"], "left")
-    why = F.when(F.col("known").isNull(), "missing_record").when((F.col("operation") == "update") & ~F.col("before").eqNullSafe(F.coalesce("found", F.lit(""))), "before_differs")
+    rows = registry.where("operation = 'update'").join(known, key, "left").join(cells, [key, "field"], "left")
+    why = F.when(F.col("known").isNull(), "missing_record").when(F.col("before") != F.coalesce("found", F.lit("")), "before_differs")
     return rows.withColumn("violation", why).where("violation is not null").select("rule_id", key, "field", "before", "found", "violation")
 
 
@@ -216,20 +272,27 @@ def active(c: Column) -> Column:
 
 # imputation
 
-def impute_heights(rows: DataFrame, low: float = 3.0) -> DataFrame:
-    """(nr_ref, lp, kind, power, height, imputed, peers) for heights below ``low``:
-    the mean of the same kind weighted by 1 / (1 + |power difference| / 100),
-    rounded to 0.5. Reference rows are summed per (kind, power) first, so the join
-    meets distinct powers, never rows with rows."""
-    known = rows.where((F.col("height") >= low) & F.col("power").isNotNull())
+def impute_heights(rows: DataFrame, highest: float = 0.0, above: float = 0.0) -> DataFrame:
+    """(nr_ref, lp, kind, power, height, imputed, exact_peers, peers) for heights of at most
+    ``highest``: the mean of the rows of the same kind that are higher than ``above``, weighted
+    by 1 / (1 + |power difference| / 100), rounded to 0.5, and how many of them have the same
+    power. Reference rows are summed per (kind, power) first, so the join meets distinct
+    powers, never rows with rows. Rows without a power take no part; a kind that has no
+    reference row at all raises when the result is read."""
+    known = rows.where((F.col("height") > above) & F.col("power").isNotNull())
     peers = known.groupBy("kind", F.col("power").alias("p")).agg(F.sum("height").alias("h"), F.count(F.lit(1)).alias("n"))
-    wanted = rows.where((F.col("height") < low) & F.col("power").isNotNull())
+    wanted = rows.where((F.col("height") <= highest) & F.col("power").isNotNull())
     weight = 1 / (1 + F.abs(F.col("power") - F.col("p")) / 100)
+    exact = F.coalesce(F.sum(F.when(F.col("power") == F.col("p"), F.col("n"))), F.lit(0))
     means = (
-        wanted.select("kind", "power").distinct().join(peers, "kind").groupBy("kind", "power")
-        .agg((F.sum(weight * F.col("h")) / F.sum(weight * F.col("n"))).alias("mean"), F.sum("n").alias("peers"))
+        wanted.select("kind", "power").distinct().join(peers.withColumnRenamed("kind", "k"), F.col("kind").eqNullSafe(F.col("k")), "left").groupBy("kind", "power")
+        .agg((F.sum(weight * F.col("h")) / F.sum(weight * F.col("n"))).alias("mean"), exact.alias("exact_peers"), F.coalesce(F.sum("n"), F.lit(0)).alias("peers"))
     )
-    return wanted.join(means, ["kind", "power"]).select("nr_ref", "lp", "kind", "power", "height", S.round_step(F.round("mean", 6), 0.5).alias("imputed"), "peers")
+    none = F.raise_error(F.concat(F.lit("no reference rows for the kind "), F.coalesce("kind", F.lit("")))).cast("double")
+    mean = F.when(F.col("peers") == 0, none).otherwise(F.round("mean", 6))
+    means = means.withColumnsRenamed({"kind": "mk", "power": "mp"})
+    joined = wanted.join(means, F.col("kind").eqNullSafe(F.col("mk")) & (F.col("power") == F.col("mp")))
+    return joined.select("nr_ref", "lp", "kind", "power", "height", S.round_step(mean, 0.5).alias("imputed"), "exact_peers", "peers")
 
 
 def imputation_report(imputed: DataFrame) -> DataFrame:

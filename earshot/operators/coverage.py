@@ -10,7 +10,7 @@ from earshot.functions import scalars as S
 from earshot.operators.grid import CELL, areas, window_cells
 
 # fixed values
-PROFILES = [(450, 300, 103), (750, 600, 109), (1050, 900, 112), (None, 1200, 115)]
+PROFILES = [(450, 300, 103, "nearest_profile_300"), (750, 600, 109, "nearest_profile_600"), (1050, 900, 112, "nearest_profile_900"), (None, 1200, 115, "nearest_profile_1200_or_cap")]
 THRESHOLDS = (65, 70, 75)
 REFERENCE_M, BUILDING_DB = 30.0, 10.0
 CLUTTER_DB = {
@@ -99,7 +99,7 @@ UID_BITS = 36
 def profile(power: Column) -> tuple[Column, Column, Column]:
     """(profile power, level at 30 m, rule) for a rated power."""
     pick = lambda i: F.coalesce(*(F.when(power <= top, F.lit(p[i])) if (top := p[0]) else F.lit(p[i]) for p in PROFILES))
-    return pick(1), pick(2), F.concat(F.lit("profile "), pick(1).cast("string"), F.lit(" W"))
+    return pick(1), pick(2), pick(3)
 
 
 def radius(spl: Column, threshold: float) -> Column:

@@ -158,9 +158,9 @@ def residuals(grid: DataFrame, models: DataFrame, x0: int, y0: int, side: int =
     """Populated cells that no building can hold, as points in the cell's middle."""
     rows = models.where("tot > 0 and (night_denom <= 0 or day_denom <= 0)").join(grid.select("cell_id", "gx", "gy"), "cell_id")
     left = lambda d: F.when(F.col(d) <= 0, F.col("tot").cast("double")).otherwise(0.0)
-    reason = F.when((F.col("night_denom") <= 0) & (F.col("day_denom") <= 0), "no_capacity").when(F.col("night_denom") <= 0, "no_night").otherwise("no_day")
+    words = (F.lit("low").alias("confidence"), F.lit("no_usable_building_capacity").alias("reason"))
     middle = lambda g, o: o + (F.col(g) + 0.5) * side
-    return rows.select("cell_id", "tot", left("night_denom").alias("pop_night"), left("day_denom").alias("pop_day"), reason.alias("reason"), middle("gx", x0).alias("x"), middle("gy", y0).alias("y"))
+    return rows.select("cell_id", "tot", left("night_denom").alias("pop_night"), left("day_denom").alias("pop_day"), *words, middle("gx", x0).alias("x"), middle("gy", y0).alias("y"))
 
 
 def population_points(allocated: DataFrame, left: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions import scalars as S
+from earshot.functions.geo import to_degrees
 from earshot.operators import ranks
 from earshot.operators.costs import INTEGRATION_PLN, NEW_SITE_PLN
 from earshot.operators.risk import priority_class
@@ -15,14 +16,52 @@ from earshot.operators.spatial_join import nearest
 
 # fixed values
 PUBLIC_TYPES = {
-    "school": "edukacja", "kindergarten": "edukacja", "college": "edukacja", "university": "edukacja", "hospital": "zdrowie_i_opieka", "clinic": "zdrowie_i_opieka",
-    "doctors": "zdrowie_i_opieka", "nursing_home": "zdrowie_i_opieka", "social_facility": "zdrowie_i_opieka", "fire_station": "bezpieczenstwo",
-    "public": "administracja_i_publiczne", "civic": "administracja_i_publiczne", "city_hall": "administracja_i_publiczne", "office": "administracja_i_publiczne",
-    "government": "administracja_i_publiczne", "sports_centre": "inne_publiczne", "stadium": "inne_publiczne", "transportation": "transport", "train_station": "transport",
-}
+    "school": "edukacja",
+    "kindergarten": "edukacja",
+    "college": "edukacja",
+    "university": "edukacja",
+    "hospital": "zdrowie_i_opieka",
+    "clinic": "zdrowie_i_opieka",
+    "doctors": "zdrowie_i_opieka",
+    "nursing_home": "zdrowie_i_opieka",
+    "social_facility": "zdrowie_i_opieka",
+    "fire_station": "bezpieczenstwo",
+    "public": "administracja_i_publiczne",
+    "civic": "administracja_i_publiczne",
+    "city_hall": "administracja_i_publiczne",
+    "office": "administracja_i_publiczne",
+    "government": "administracja_i_publiczne",
+    "sports_centre": "inne_publiczne",
+    "stadium": "inne_publiczne",
+    "transportation": "transport",
+    "train_station": "transport",
+}
 MOUNT_TYPES = ["fire_station", "public", "civic", "city_hall", "office", "government", "school", "kindergarten", "sports_centre", "transportation"]
 TOP_GAPS, MOUNT_RADIUS_M, PUBLIC_BONUS, MISSING_LINK_SCORE = 2500, 2000, 5.0, 55.0
-PURCHASE = ["candidate_id", "origin", "object_id", "gmi", "priority_class", "score", "action", "cost_pln", "people"]
+PURCHASE = [
+    "candidate_id",
+    "nr_ref",
+    "wojewodztwo",
+    "powiat",
+    "gmina",
+    "teryt_gmi",
+    "recommended_action",
+    "priority_class",
+    "priority_score_v13",
+    "risk_class",
+    "recommended_power_class_w",
+    "new_pop_ge65_proxy",
+    "flood_risk_pop_ge65_gain_proxy",
+    "redundancy_gain_pop_proxy",
+    "failure_loss_pop_night_proxy",
+    "estimated_cost_pln",
+    "cost_per_new_person_ge65_pln",
+    "candidate_lat",
+    "candidate_lon",
+    "candidate_source",
+    "candidate_type",
+    "effect_method",
+]
 
 
 def sensitive_objects(buildings: DataFrame) -> DataFrame:
@@ -53,8 +92,8 @@ def candidate_sites(sample: DataFrame, gap_points: DataFrame, objects: DataFrame
     has = F.col("mount_id").isNotNull()
     return out.withColumns(
         {
-            "source": F.when(has, "public_object").otherwise("gap_point"), "type": F.coalesce("bldg", F.lit("gap")), "object_group": F.coalesce("object_group", F.lit("")),
-            "x": F.coalesce("mx", "x"), "y": F.coalesce("my", "y"), "distance": F.round("distance", 2),
+            "source": F.when(has, "nearest_public_osm_object").otherwise("gap_representative_point"), "type": F.coalesce("bldg", F.lit("gap_centroid")),
+            "object_group": F.coalesce("object_group", F.lit("brak_obiektu_publicznego_w_promieniu")), "x": F.coalesce("mx", "x"), "y": F.coalesce("my", "y"), "distance": F.round("distance", 2),
         }
     ).drop("mx", "my", "bldg")
 
@@ -79,7 +118,7 @@ def site_action(gsm: Column, sk: Column, kind: Column, power: Column) -> Column:
 def critical_sites(collapsed: DataFrame, sites: DataFrame, cost: int = INTEGRATION_PLN) -> DataFrame:
     """Sites by the people who would lose coverage, with action, cost and rank."""
     action = site_action(F.col("gsm_flag"), F.col("sk_flag"), F.col("kind"), F.col("moc_w"))
-    out = sites.join(collapsed, "site_uid", "left").na.fill(0.0, ["pop_night", "pop_day"]).withColumns({"loss": F.round("pop_night", 4), "action": action})
+    out = sites.join(collapsed, "site_uid", "left").na.fill(0.0, ["pop_night", "pop_day"]).withColumns({"loss": F.bround("pop_night", 2), "action": action})
     out = out.withColumn("cost_pln", F.when(F.col("action") == "integracja", cost).otherwise(0).cast("bigint"))
     return ranks.row_number(out, [F.desc("loss"), F.col("site_uid")], "rank")
 
@@ -98,23 +137,81 @@ def missing_link_recommendations(register: DataFrame, listed: DataFrame, cost: i
     """Records without link that no other recommendation lists; fixed score."""
     rows = register.where("gsm_flag = 0").join(listed.select("nr_ref").distinct(), "nr_ref", "left_anti")
     score = F.lit(MISSING_LINK_SCORE)
-    return rows.withColumns({"score": score, "priority_class": priority_class(score), "action": F.lit("integracja"), "cost_pln": F.lit(cost).cast("bigint"), "candidate_id": F.concat(F.lit("LINK-"), "nr_ref")})
-
-
-def purchase_list(new: DataFrame, existing: DataFrame, missing: DataFrame) -> DataFrame:
-    """All recommendations in one schema."""
-    a = new.select(
-        F.concat(F.lit("NEW-"), F.col("gap_id").cast("string")).alias("candidate_id"), F.lit("new").alias("origin"), F.col("gap_id").cast("string").alias("object_id"), "gmi",
-        priority_class(F.col("score_v13")).alias("priority_class"), F.col("score_v13").alias("score"), "action", "cost_pln", F.round("pop_night", 4).alias("people"),
-    )
-    none = F.lit(None).cast("string").alias("gmi")
-    b = existing.select("candidate_id", F.lit("existing").alias("origin"), F.col("nr_ref").alias("object_id"), none, "priority_class", "score", "action", "cost_pln", F.col("loss").alias("people"))
-    c = missing.select("candidate_id", F.lit("link").alias("origin"), F.col("nr_ref").alias("object_id"), none, "priority_class", "score", "action", "cost_pln", F.lit(0.0).alias("people"))
-    return reduce(DataFrame.unionByName, (a, b, c))
+    return rows.withColumns({"score": score, "priority_class": priority_class(score), "action": F.lit("integracja"), "cost_pln": F.lit(cost).cast("bigint"), "candidate_id": F.concat(F.lit("GSM-"), "nr_ref")})
+
+
+def purchase_list(new: DataFrame, existing: DataFrame, missing: DataFrame, units: DataFrame) -> DataFrame:
+    """All recommendations in one schema, best score first, then most new people, then the greatest loss.
+
+    ``units`` (unit_no, gmi, wojewodztwo, powiat, gmina) names places: a new site's by the code of its gap, the
+    others' by their unit. New sites keep the class of their gap's score before the bonus."""
+    c = F.col
+    blank, zero = F.lit(""), F.lit(0.0)
+    place = ["wojewodztwo", "powiat", "gmina"]
+
+    def rows(df: DataFrame, **columns: Column) -> DataFrame:
+        lat, lon = to_degrees(c("x"), c("y"))
+        columns |= {"candidate_lat": F.round(lat, 7), "candidate_lon": F.round(lon, 7), **{p: F.coalesce(c(p), blank) for p in place}}
+        return df.select(*(columns[name].alias(name) for name in PURCHASE))
+
+    people = F.bround("pop_night", 2)
+    a = rows(
+        new.join(units.drop("unit_no"), "gmi", "left"),
+        candidate_id=F.concat(F.lit("NEW-"), c("gap_id").cast("string")),
+        nr_ref=blank,
+        teryt_gmi=F.coalesce("gmi", blank),
+        recommended_action=c("action"),
+        priority_class=c("priority_class"),
+        priority_score_v13=c("score_v13"),
+        risk_class=c("risk").cast("string"),
+        recommended_power_class_w=c("power_w").cast("bigint"),
+        new_pop_ge65_proxy=people,
+        flood_risk_pop_ge65_gain_proxy=people,
+        redundancy_gain_pop_proxy=zero,
+        failure_loss_pop_night_proxy=zero,
+        estimated_cost_pln=c("cost_pln"),
+        cost_per_new_person_ge65_pln=c("pln_per_person"),
+        candidate_source=c("source"),
+        candidate_type=c("type"),
+        effect_method=F.lit("gap_population_proxy"),
+    )
+
+    def present(df: DataFrame, loss: Column) -> DataFrame:
+        return rows(
+            df.join(units.drop("gmi"), "unit_no", "left"),
+            candidate_id=c("candidate_id"),
+            nr_ref=c("nr_ref"),
+            teryt_gmi=blank,
+            recommended_action=c("action"),
+            priority_class=c("priority_class"),
+            priority_score_v13=c("score"),
+            risk_class=blank,
+            recommended_power_class_w=c("moc_w").cast("bigint"),
+            new_pop_ge65_proxy=zero,
+            flood_risk_pop_ge65_gain_proxy=zero,
+            redundancy_gain_pop_proxy=zero,
+            failure_loss_pop_night_proxy=loss,
+            estimated_cost_pln=c("cost_pln"),
+            cost_per_new_person_ge65_pln=zero,
+            candidate_source=F.lit("existing_siren_V9_V10"),
+            candidate_type=c("kind"),
+            effect_method=F.lit("existing_siren_primary_coverage_proxy"),
+        )
+
+    out = reduce(DataFrame.unionByName, (a, present(existing, c("loss")), present(missing, zero)))
+    return out.orderBy(*purchase_order())
+
+
+def purchase_order() -> list[Column]:
+    """Best score, most new people, greatest loss; the id tells the rest apart."""
+    return [F.desc("priority_score_v13"), F.desc("new_pop_ge65_proxy"), F.desc("failure_loss_pop_night_proxy"), F.asc("candidate_id")]
 
 
 def action_summary(purchases: DataFrame) -> DataFrame:
-    return purchases.groupBy("action").agg(F.count(F.lit(1)).alias("n"), F.sum("cost_pln").alias("cost_pln"), F.round(F.sum("people"), 3).alias("people"))
+    people = F.col("new_pop_ge65_proxy") + F.col("failure_loss_pop_night_proxy")
+    return purchases.groupBy(F.col("recommended_action").alias("action")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("estimated_cost_pln").alias("cost_pln"), F.round(F.sum(people), 3).alias("people")
+    )
 
 
 def lookup_value(rows: DataFrame, scenario: str, default: int = 0) -> DataFrame:

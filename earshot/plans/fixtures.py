@@ -122,6 +122,21 @@ from part where p_partkey % 7 <> 0""",
 select case when p_partkey % 7 = 3 then 'N-' else 'P-' end || cast(p_partkey as string) as nr_ref, p_name || case when p_partkey % 11 = 4 then '!' else '' end as name,
   case when p_partkey % 7 = 2 then '' else p_brand end as brand, cast(p_size + case when p_partkey % 7 = 1 then 1 else 0 end as string) as size,
   cast(p_partkey % 5 as string) as grade
+from part where p_partkey % 7 <> 0 and p_partkey % 13 <> 6""",
+    # three snapshots with the register's own field names; the second lacks a column, the third has a new one
+    "fx_v5": """
+select 'P-' || cast(p_partkey as string) as nr_ref, p_name as gmina, p_brand as wlasciciel, cast(p_size * 100 as string) as moc_w,
+  case when p_partkey % 5 = 4 then '' else cast(p_partkey % 5 * 10 as string) end as wysokosc_nad_terenem_m, case when p_partkey % 3 = 0 then '' else 'x' end as robocza
+from part""",
+    "fx_v6": """
+select case when p_partkey % 7 = 3 then 'N-' else 'P-' end || cast(p_partkey as string) as nr_ref, p_name || case when p_partkey % 14 = 3 then ' "q"' else '' end as gmina,
+  case when p_partkey % 7 = 2 then '' else p_brand end as wlasciciel, cast(p_size * case when p_partkey % 9 = 5 then 10 else 100 end as string) as moc_w,
+  case when p_partkey % 5 = 4 then '12' else cast(p_partkey % 5 * 10 as string) end as wysokosc_nad_terenem_m
+from part where p_partkey % 7 <> 0""",
+    "fx_v9": """
+select case when p_partkey % 7 = 3 then 'N-' else 'P-' end || cast(p_partkey as string) as nr_ref, p_name || case when p_partkey % 14 = 3 then ' "q"' else '' end as gmina,
+  case when p_partkey % 7 = 2 then '' else p_brand end as wlasciciel, case when p_partkey % 11 = 4 then '900' else cast(p_size * case when p_partkey % 9 = 5 then 10 else 100 end as string) end as moc_w,
+  case when p_partkey % 5 = 4 then '12' else cast(p_partkey % 5 * 10 as string) end as wysokosc_nad_terenem_m, case when p_partkey % 17 = 2 then '' else cast(p_partkey % 300 as string) end as npm_m
 from part where p_partkey % 7 <> 0 and p_partkey % 13 <> 6""",
     "fx_corrections": """
 select case when p_partkey % 19 = 5 then 'X-' else 'P-' end || cast(p_partkey as string) as nr_ref,

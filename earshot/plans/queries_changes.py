@@ -53,58 +53,88 @@ def c05(t):
     return C.counts_by(C.classify_corrections(t.fx_v1, t.fx_corrections), "outcome", "matched")
 
 
-def _diff_sql(a: str, b: str, stage: str) -> str:
-    updates = " UNION ALL ".join(
-        f"SELECT 'update' AS operation, a.nr_ref, '{f}' AS field, a.{f} AS before, b.{f} AS after FROM {a} a JOIN {b} b USING (nr_ref) WHERE a.{f} IS DISTINCT FROM b.{f}" for f in FIELDS
-    )
-    return f"""SELECT 'CORR-' || upper(substr(sha256(concat_ws('|', '{stage}', operation, nr_ref, field, after)), 1, 12)) AS rule_id, '{stage}' AS stage, operation, nr_ref, field, before, after,
-      CASE WHEN operation = 'add' THEN 'new record' WHEN operation = 'disable' THEN 'record withdrawn' WHEN field = 'size' THEN 'size measured again'
-           WHEN field = 'brand' THEN 'label corrected' ELSE 'value corrected' END AS reason, CASE WHEN operation = 'update' THEN 0.9 ELSE 1.0 END::DOUBLE AS confidence
-    FROM ({updates} UNION ALL SELECT 'add', nr_ref, '', '', to_json({{name: name, brand: brand, size: size, grade: grade}})::VARCHAR FROM {b} WHERE nr_ref NOT IN (SELECT nr_ref FROM {a})
-      UNION ALL SELECT 'disable', nr_ref, '', '1', '0' FROM {a} WHERE nr_ref NOT IN (SELECT nr_ref FROM {b}))"""
-
-
-@query("c06_diff_snapshots", _diff_sql("fx_v1", "fx_v2", "V1->V2"), "fx_v1", "fx_v2")
+SNAPSHOT = {
+    "fx_v5": ["gmina", "moc_w", "robocza", "wlasciciel", "wysokosc_nad_terenem_m"],
+    "fx_v6": ["gmina", "moc_w", "wlasciciel", "wysokosc_nad_terenem_m"],
+    "fx_v9": ["gmina", "moc_w", "npm_m", "wlasciciel", "wysokosc_nad_terenem_m"],
+}
+
+
+def _diff_sql(a: str, b: str, removed: bool = False) -> str:
+    """Registry rows of a step, written after the register's own rules: values, reasons, ids and sources."""
+    old, new = a[3:].upper(), b[3:].upper()
+    stage = f"{old}→{new}"
+    value = lambda f: f"coalesce(a.{f}, '')" if f in SNAPSHOT[a] else "''"
+    rows = [f"SELECT 'update' AS operation, a.nr_ref, '{f}' AS field, {value(f)} AS before, coalesce(b.{f}, '') AS after FROM {a} a JOIN {b} b USING (nr_ref) WHERE {value(f)} <> coalesce(b.{f}, '')" for f in SNAPSHOT[b]]
+    record = ", ".join(f"CASE WHEN coalesce({f}, '') <> '' THEN '\"{f}\": ' || to_json({f})::VARCHAR END" for f in sorted([*SNAPSHOT[b], "nr_ref"]))
+    rows.append(f"SELECT 'add', nr_ref, 'record_json', '', '{{' || array_to_string([{record}], ', ') || '}}' FROM {b} WHERE nr_ref NOT IN (SELECT nr_ref FROM {a})")
+    rows.append(f"SELECT 'disable', nr_ref, 'record', 'active', 'disabled' FROM {a} WHERE nr_ref NOT IN (SELECT nr_ref FROM {b})")
+    if removed:
+        rows += [f"SELECT 'remove_field', '*', '{f}', 'column present', 'column removed'" for f in SNAPSHOT[a] if f not in SNAPSHOT[b]]
+    power = "Ujednolicenie mocy modelowej, w tym analogowej SAD do odpowiednika DSE V9." if "V9" in stage else "Korekta jednostki lub wartości mocy po kontroli jakości."
+    return f"""SELECT 'CORR-' || upper(substr(sha256('{stage}|' || operation || '|' || nr_ref || '|' || field), 1, 12)) AS rule_id, '{stage}' AS stage, operation, nr_ref, field, before, after,
+      CASE WHEN operation = 'add' THEN 'Rekord dodany między snapshotami.' WHEN operation = 'disable' THEN 'Rekord usunięty z aktywnego snapshotu.'
+           WHEN operation = 'remove_field' THEN 'Usunięcie technicznej kolumny roboczej ze schematu kolejnego snapshotu.'
+           WHEN field = 'wysokosc_nad_terenem_m' THEN 'Korekta wysokości montażu zgodnie z kontrolami domenowymi V5–V8.' WHEN field = 'moc_w' THEN '{power}'
+           WHEN field = 'npm_m' THEN 'Uzupełnienie wysokości n.p.m. z danych SRTM.' ELSE 'Zmiana zarejestrowana między zatwierdzonymi snapshotami pipeline.' END AS reason,
+      CASE WHEN operation IN ('add', 'disable') THEN '{new}.csv' ELSE '{old}.csv -> {new}.csv' END AS source,
+      CASE WHEN operation = 'update' AND (before = '' OR after = '') THEN 0.9 ELSE 1.0 END::DOUBLE AS confidence
+    FROM ({" UNION ALL ".join(rows)})"""
+
+
+CHAIN = _diff_sql("fx_v5", "fx_v6", True) + " UNION ALL " + _diff_sql("fx_v6", "fx_v9")
+
+
+def chain(t):
+    return C.diff_chain([("V5", t.fx_v5), ("V6", t.fx_v6), ("V9", t.fx_v9)])
+
+
+@query("c06_diff_snapshots", _diff_sql("fx_v5", "fx_v6"), "fx_v5", "fx_v6")
 def c06(t):
-    return C.diff(t.fx_v1, t.fx_v2, "V1->V2")
+    return C.diff(t.fx_v5, t.fx_v6, ("V5", "V6"))
 
 
-@query("c07_diff_chain", _diff_sql("fx_v1", "fx_v2", "V1->V2") + " UNION ALL " + _diff_sql("fx_v2", "fx_v3", "V2->V3"), "fx_v1", "fx_v2", "fx_v3")
+@query("c07_diff_chain", CHAIN, "fx_v5", "fx_v6", "fx_v9")
 def c07(t):
-    return C.diff_chain([("V1", t.fx_v1), ("V2", t.fx_v2), ("V3", t.fx_v3)])
+    return chain(t)
 
 
-@query("c08_removed_columns")
+@query(
+    "c08_removed_columns",
+    f"SELECT r.*, (SELECT count(*) FROM fx_v5 WHERE robocza <> '') AS filled FROM ({_diff_sql('fx_v5', 'fx_v6', True)}) r WHERE operation = 'remove_field'",
+    "fx_v5", "fx_v6",
+)
 def c08(t):
-    return C.removed_columns(t.fx_v1, t.fx_v2.drop("grade"), "V1->V2")
+    return C.removed_columns(t.fx_v5, t.fx_v6, ("V5", "V6"))
 
 
-@query("c09_rule_ids", "SELECT nr_ref, 'CORR-' || upper(substr(sha256(concat_ws('|', nr_ref, field, suggested)), 1, 12)) AS rule_id FROM fx_corrections", "fx_corrections")
+@query("c09_rule_ids", "SELECT nr_ref, 'CORR-' || upper(substr(sha256('V8→V9|update|' || nr_ref || '|' || field), 1, 12)) AS rule_id FROM fx_corrections", "fx_corrections")
 def c09(t):
-    return t.fx_corrections.select("nr_ref", C.rule_id(F.col("nr_ref"), F.col("field"), F.col("suggested")).alias("rule_id"))
+    return t.fx_corrections.select("nr_ref", C.rule_id(F.lit("V8→V9"), F.lit("update"), F.col("nr_ref"), F.col("field")).alias("rule_id"))
 
 
-@query("c10_reasons", f"SELECT reason, confidence, count(*) AS n FROM ({_diff_sql('fx_v1', 'fx_v2', 'V1->V2')}) GROUP BY ALL", "fx_v1", "fx_v2")
+@query("c10_reasons", f"SELECT stage, reason, confidence, count(*) AS n FROM ({CHAIN}) GROUP BY ALL", "fx_v5", "fx_v6", "fx_v9")
 def c10(t):
-    return C.counts_by(C.diff(t.fx_v1, t.fx_v2, "V1->V2"), "reason", "confidence")
+    return C.counts_by(chain(t), "stage", "reason", "confidence")
 
 
-@query("c11_replay", "SELECT * FROM fx_v2", "fx_v2")
+@query("c11_replay", "SELECT * FROM fx_v9", "fx_v9")
 def c11(t):
-    return C.replay(t.fx_v1, C.diff(t.fx_v1, t.fx_v2, "V1->V2"))
+    """The first snapshot with the whole registry applied: the last snapshot."""
+    return C.replay(t.fx_v5, chain(t), ["V5→V6", "V6→V9"])
 
 
 @query(
     "c12_replay_guard",
-    f"""rg AS ({_diff_sql('fx_v1', 'fx_v2', 'V1->V2')}), cells AS (UNPIVOT (SELECT nr_ref, name, brand, size, grade FROM fx_v3) ON name, brand, size, grade INTO NAME field VALUE found),
-    j AS (SELECT rg.rule_id, rg.nr_ref, rg.field, rg.before, c.found, CASE WHEN b.nr_ref IS NULL THEN 'missing_record' WHEN operation = 'update' AND rg.before <> coalesce(c.found, '') THEN 'before_differs' END AS violation
-      FROM rg LEFT JOIN fx_v3 b USING (nr_ref) LEFT JOIN cells c ON c.nr_ref = rg.nr_ref AND c.field = rg.field WHERE operation IN ('update', 'disable'))
+    f"""rg AS ({_diff_sql('fx_v5', 'fx_v6')}), cells AS (UNPIVOT (SELECT * FROM fx_v9) ON COLUMNS(* EXCLUDE nr_ref) INTO NAME field VALUE found),
+    j AS (SELECT rg.rule_id, rg.nr_ref, rg.field, rg.before, c.found, CASE WHEN b.nr_ref IS NULL THEN 'missing_record' WHEN rg.before <> coalesce(c.found, '') THEN 'before_differs' END AS violation
+      FROM rg LEFT JOIN fx_v9 b USING (nr_ref) LEFT JOIN cells c ON c.nr_ref = rg.nr_ref AND c.field = rg.field WHERE operation = 'update')
     SELECT * FROM j WHERE violation IS NOT NULL""",
-    "fx_v1", "fx_v2", "fx_v3",
+    "fx_v5", "fx_v6", "fx_v9",
 )
 def c12(t):
     """The registry of the first step held against a later snapshot: what it no longer fits."""
-    return C.replay_violations(t.fx_v3, C.diff(t.fx_v1, t.fx_v2, "V1->V2"))
+    return C.replay_violations(t.fx_v9, C.diff(t.fx_v5, t.fx_v6, ("V5", "V6")))
 
 
 @query("c13_snapshot_difference", "SELECT *, 'left' AS side FROM (SELECT * FROM fx_v2 EXCEPT ALL SELECT * FROM fx_v3) UNION ALL SELECT *, 'right' FROM (SELECT * FROM fx_v3 EXCEPT ALL SELECT * FROM fx_v2)", "fx_v2", "fx_v3")
@@ -201,19 +231,20 @@ def c21(t):
     return t.fx_base.where(C.active(F.col("active"))).select("nr_ref")
 
 
-IMPUTED = REG + """pe AS (SELECT kind, power AS p, sum(height) AS h, count(*) AS n FROM reg WHERE height >= 8 AND power IS NOT NULL GROUP BY ALL),
-mn AS (SELECT r.lp, sum(h / (1 + abs(power - p) / 100)) / sum(n / (1 + abs(power - p) / 100)) AS m, sum(n)::BIGINT AS peers FROM reg r JOIN pe USING (kind) WHERE r.height < 8 AND power IS NOT NULL GROUP BY r.lp),
-im AS (SELECT nr_ref, lp, kind, power, height, round_even(round(m, 6) / 0.5e0, 0) * 0.5e0 AS imputed, peers FROM reg JOIN mn USING (lp))"""
+IMPUTED = REG + """pe AS (SELECT kind, power AS p, sum(height) AS h, count(*) AS n FROM reg WHERE height > 8 AND power IS NOT NULL GROUP BY ALL),
+mn AS (SELECT r.lp, sum(h / (1 + abs(power - p) / 100)) / sum(n / (1 + abs(power - p) / 100)) AS m, coalesce(sum(n) FILTER (p = power), 0)::BIGINT AS exact_peers, sum(n)::BIGINT AS peers
+  FROM reg r JOIN pe ON pe.kind IS NOT DISTINCT FROM r.kind WHERE r.height <= 8 AND power IS NOT NULL GROUP BY r.lp),
+im AS (SELECT nr_ref, lp, kind, power, height, round_even(round(m, 6) / 0.5e0, 0) * 0.5e0 AS imputed, exact_peers, peers FROM reg JOIN mn USING (lp))"""
 
 
 @query("c22_impute_heights", IMPUTED + " SELECT * FROM im", "fx_register")
 def c22(t):
-    return C.impute_heights(_reg(t), low=8.0)
+    return C.impute_heights(_reg(t), highest=8.0, above=8.0)
 
 
 @query("c23_imputation_report", IMPUTED + " SELECT kind, count(*) AS n, min(imputed) AS low, max(imputed) AS high, round(avg(imputed), 6) AS mean, median(imputed) AS median FROM im GROUP BY kind", "fx_register")
 def c23(t):
-    return C.imputation_report(C.impute_heights(_reg(t), low=8.0))
+    return C.imputation_report(C.impute_heights(_reg(t), highest=8.0, above=8.0))
 
 
 @query(

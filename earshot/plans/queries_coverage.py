@@ -435,7 +435,7 @@ def j12(t):
 
 # coverage
 
-@query("a01_profiles", SITES + " SELECT nr_ref, prof_w, spl30, 'profile ' || prof_w::VARCHAR || ' W' AS rule FROM s1", "fx_sites")
+@query("a01_profiles", SITES + " SELECT nr_ref, prof_w, spl30, CASE WHEN moc_w <= 450 THEN 'nearest_profile_300' WHEN moc_w <= 750 THEN 'nearest_profile_600' WHEN moc_w <= 1050 THEN 'nearest_profile_900' ELSE 'nearest_profile_1200_or_cap' END AS rule FROM s1", "fx_sites")
 def a01(t):
     return profiled(t).select("nr_ref", "prof_w", "spl30", "rule")
 

@@ -40,7 +40,7 @@ ALLOC = MODEL + """, a0 AS (SELECT bg.*, tot, night_mode, night_denom, day_mode,
 al AS (SELECT *, CASE WHEN night_denom = 0 THEN 0 ELSE tot * sn / night_denom END AS pop_night,
   CASE WHEN day_denom = 0 THEN 0 ELSE tot * CASE day_mode WHEN 1 THEN 0.55e0 * sn + 0.45e0 * destination WHEN 2 THEN generic ELSE 0 END / day_denom END AS pop_day FROM a0),
 re AS (SELECT cell_id, tot, CASE WHEN night_denom <= 0 THEN tot ELSE 0 END::DOUBLE AS pop_night, CASE WHEN day_denom <= 0 THEN tot ELSE 0 END::DOUBLE AS pop_day,
-  CASE WHEN night_denom <= 0 AND day_denom <= 0 THEN 'no_capacity' WHEN night_denom <= 0 THEN 'no_night' ELSE 'no_day' END AS reason,
+  'low' AS confidence, 'no_usable_building_capacity' AS reason,
   400000 + (gx + 0.5e0) * 500 AS x, 500000 + (gy + 0.5e0) * 500 AS y FROM mo WHERE tot > 0 AND (night_denom <= 0 OR day_denom <= 0)),
 pp AS (SELECT 'building' AS origin, bldg_id AS object_id, cell_id, x::DOUBLE AS x, y::DOUBLE AS y, pop_night, pop_day FROM al UNION ALL SELECT 'residual', cell_id, cell_id, x, y, pop_night, pop_day FROM re)"""
 COVERED_POINTS = COVER + ", " + ALLOC + f""", pc AS (SELECT pp.*, coalesce(db, 0) AS db, coalesce(site_uid, 0) AS site_uid FROM pp LEFT JOIN co ON cx = {_floor("x", 100)} AND cy = {_floor("y", 100)})"""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions import scalars as S
@@ -11,7 +14,7 @@ from earshot.operators import population as P
 from earshot.operators import ranks
 from earshot.operators import recommend as R
 from earshot.plans import queries_exposure as E
-from earshot.plans.queries_coverage import DB, UNITS, covered_stage, sites, units
+from earshot.plans.queries_coverage import DB, UNITS, _degrees_sql, covered_stage, sites, units
 from earshot.plans.queries_exposure import AF, CF, COVERED_POINTS, EXPOSURE, POINTS, PRIORITY
 from earshot.plans.registry import query
 
@@ -116,7 +119,7 @@ gpt AS (SELECT gap_id, (start + n / 2e0) * 100 AS x, (cy + 0.5e0) * 100 AS y FRO
   (SELECT *, min(cy) OVER (PARTITION BY gap_id) AS lo, max(cy) OVER (PARTITION BY gap_id) AS hi FROM gr)) WHERE k = 1),
 nm AS (SELECT gap_id, bldg_id, (p.x - so.x) ** 2 + (p.y - so.y) ** 2 AS d FROM gs JOIN gpt p USING (gap_id) JOIN so ON abs(p.x - so.x) <= 2000 AND abs(p.y - so.y) <= 2000),
 nb AS (SELECT gap_id, arg_min(bldg_id, (d, bldg_id)) AS mount_id, min(d) AS d FROM nm WHERE d <= 4000000 GROUP BY gap_id),
-cd AS (SELECT gs.*, mount_id, round(sqrt(d), 2) AS distance, CASE WHEN mount_id IS NULL THEN 'gap_point' ELSE 'public_object' END AS source, coalesce(so.bldg, 'gap') AS type, coalesce(so.object_group, '') AS object_group,
+cd AS (SELECT gs.*, mount_id, round(sqrt(d), 2) AS distance, CASE WHEN mount_id IS NULL THEN 'gap_representative_point' ELSE 'nearest_public_osm_object' END AS source, coalesce(so.bldg, 'gap_centroid') AS type, coalesce(so.object_group, 'brak_obiektu_publicznego_w_promieniu') AS object_group,
   coalesce(so.x, p.x) AS x, coalesce(so.y, p.y) AS y, round_even(least(100, score + CASE WHEN mount_id IS NULL THEN 0 ELSE 5 END), 2) AS score_v13,
   CASE WHEN seed = 'new_siren_likely' THEN 'nowa_syrena' ELSE 'walidacja_terenowa' END AS act,
   CASE WHEN pop_night >= 1000 OR area_ha >= 100 THEN 1200 WHEN pop_night >= 300 OR area_ha >= 25 THEN 900 WHEN pop_night >= 100 OR area_ha >= 5 THEN 600 ELSE 300 END AS power_w
@@ -165,7 +168,7 @@ def r07(t):
 
 
 CRIT = SITEPOP + f""", cr AS (SELECT *, CASE WHEN action = 'integracja' THEN 5000 ELSE 0 END::BIGINT AS cost, row_number() OVER (ORDER BY loss DESC, site_uid) AS rank FROM
- (SELECT sd.site_uid, sd.nr_ref, round(coalesce(cs.pop_night, 0), 4) AS loss, {_ACT} AS action FROM sd LEFT JOIN cs USING (site_uid))),
+ (SELECT sd.site_uid, sd.nr_ref, round_even(coalesce(cs.pop_night, 0), 2) AS loss, {_ACT} AS action, sd.kind, sd.moc_w, sd.unit_no, sd.x, sd.y FROM sd LEFT JOIN cs USING (site_uid))),
 er AS (SELECT *, round_even(round(least(100, 45 + 35 * least(1, ln(1 + loss) / ln(1 + ref)) + CASE WHEN action = 'integracja' THEN 10 ELSE 0 END), 6), 2) AS escore FROM (SELECT * FROM cr WHERE action <> 'brak_dzialania'),
  (SELECT greatest(1, quantile_cont(loss, 0.95)) AS ref FROM cr WHERE action <> 'brak_dzialania'))"""
 _CLS = "CASE WHEN {0} >= 80 THEN 'A' WHEN {0} >= 60 THEN 'B' WHEN {0} >= 40 THEN 'C' ELSE 'niski' END"
@@ -185,19 +188,37 @@ def r09(t):
     return R.existing_recommendations(critical(t)).select("candidate_id", "score", "priority_class")
 
 
-@query("r10_missing_link_records", CRIT + " SELECT 'LINK-' || nr_ref AS candidate_id, 55::DOUBLE AS score, 5000::BIGINT AS cost_pln FROM fx_sites WHERE gsm_flag = 0 AND nr_ref NOT IN (SELECT nr_ref FROM er)", *CF)
+@query("r10_missing_link_records", CRIT + " SELECT 'GSM-' || nr_ref AS candidate_id, 55::DOUBLE AS score, 5000::BIGINT AS cost_pln FROM fx_sites WHERE gsm_flag = 0 AND nr_ref NOT IN (SELECT nr_ref FROM er)", *CF)
 def r10(t):
     return R.missing_link_recommendations(t.fx_sites, R.existing_recommendations(critical(t))).select("candidate_id", "score", "cost_pln")
 
 
-PURCHASES = CAND + CRIT[len(COVERED_POINTS):] + f""", pl AS (SELECT 'NEW-' || gap_id::VARCHAR AS candidate_id, 'new' AS origin, gap_id::VARCHAR AS object_id, gmi, {_CLS.format('score_v13')} AS priority_class, score_v13 AS score, act AS action, cost_pln, round(pop_night, 4) AS people FROM cd
- UNION ALL SELECT 'EXIST-' || nr_ref, 'existing', nr_ref, NULL, {_CLS.format('escore')}, escore, action, cost, loss FROM er
- UNION ALL SELECT 'LINK-' || nr_ref, 'link', nr_ref, NULL, 'C', 55, 'integracja', 5000, 0 FROM fx_sites WHERE gsm_flag = 0 AND nr_ref NOT IN (SELECT nr_ref FROM er))"""
+def _present_sql(source: str, candidate: str, score: str, action: str, cost: str, loss: str) -> str:
+    return f"""SELECT {candidate}, e.nr_ref, coalesce(un.wojewodztwo, ''), coalesce(un.powiat, ''), coalesce(un.gmina, ''), '', {action}, {_CLS.format(score)}, {score}, '', e.moc_w::BIGINT, 0, 0, 0, {loss}, {cost}, 0,
+   round(g.lat, 7), round(g.lon, 7), 'existing_siren_V9_V10', e.kind, 'existing_siren_primary_coverage_proxy'
+   FROM {source} e LEFT JOIN nm1 un USING (unit_no) JOIN (SELECT nr_ref, lat, lon FROM {_degrees_sql('x', 'y', source, 'nr_ref')}) g ON g.nr_ref = e.nr_ref"""
+
+
+PURCHASES = CAND + CRIT[len(COVERED_POINTS):] + f""", nm1 AS (SELECT unit_no, gmi, 'Province ' || substr(gmi, 1, 2) AS wojewodztwo, 'County ' || substr(gmi, 1, 4) AS powiat, name AS gmina FROM fx_admin),
+ ms AS (SELECT * FROM fx_sites WHERE gsm_flag = 0 AND nr_ref NOT IN (SELECT nr_ref FROM er)),
+ pl AS (SELECT 'NEW-' || gap_id::VARCHAR AS candidate_id, '' AS nr_ref, coalesce(un.wojewodztwo, '') AS wojewodztwo, coalesce(un.powiat, '') AS powiat, coalesce(un.gmina, '') AS gmina, coalesce(cd.gmi, '') AS teryt_gmi,
+   act AS recommended_action, priority_class, score_v13 AS priority_score_v13, cd.risk::VARCHAR AS risk_class, power_w::BIGINT AS recommended_power_class_w, round_even(pop_night, 2) AS new_pop_ge65_proxy,
+   round_even(pop_night, 2) AS flood_risk_pop_ge65_gain_proxy, 0::DOUBLE AS redundancy_gain_pop_proxy, 0::DOUBLE AS failure_loss_pop_night_proxy, cost_pln AS estimated_cost_pln, ({_PPP})::DOUBLE AS cost_per_new_person_ge65_pln,
+   round(lat, 7) AS candidate_lat, round(lon, 7) AS candidate_lon, source AS candidate_source, type AS candidate_type, 'gap_population_proxy' AS effect_method
+   FROM cd LEFT JOIN nm1 un ON un.gmi = cd.gmi JOIN (SELECT gap_id, lat, lon FROM {_degrees_sql('x', 'y', 'cd', 'gap_id')}) USING (gap_id)
+ UNION ALL {_present_sql("er", "'EXIST-' || e.nr_ref", "escore", "action", "cost", "loss")}
+ UNION ALL {_present_sql("ms", "'GSM-' || e.nr_ref", "55::DOUBLE", "'integracja'", "5000", "0")})"""
+
+
+def unit_names(t):
+    """unit_no, gmi and the names of province, county and commune."""
+    code = lambda n, word: F.concat(F.lit(word), F.substring("gmi", 1, n))
+    return t.fx_admin.select("unit_no", "gmi", code(2, "Province ").alias("wojewodztwo"), code(4, "County ").alias("powiat"), c("name").alias("gmina"))
 
 
 def purchases(t):
     existing = R.existing_recommendations(critical(t))
-    rows = lambda: R.purchase_list(R.scored_candidates(candidates(t)), existing, R.missing_link_recommendations(t.fx_sites, existing))
+    rows = lambda: R.purchase_list(R.scored_candidates(candidates(t)), existing, R.missing_link_recommendations(t.fx_sites, existing), unit_names(t))
     return t.stage("purchases", rows)
 
 
@@ -220,14 +241,14 @@ def r13(t):
 @query(
     "r14_country_summary",
     PURCHASES + """ SELECT 'gaps' AS metric, count(*)::DOUBLE AS value FROM pg UNION ALL SELECT 'units', count(*)::DOUBLE FROM ub UNION ALL SELECT 'risk_people', round(sum(people), 4) FROM ub
-    UNION ALL SELECT 'risk_outside', round(sum(outside), 4) FROM ub UNION ALL SELECT 'purchases', count(*)::DOUBLE FROM pl UNION ALL SELECT 'purchase_cost', sum(cost_pln)::DOUBLE FROM pl""",
+    UNION ALL SELECT 'risk_outside', round(sum(outside), 4) FROM ub UNION ALL SELECT 'purchases', count(*)::DOUBLE FROM pl UNION ALL SELECT 'purchase_cost', sum(estimated_cost_pln)::DOUBLE FROM pl""",
     *AF,
 )
 def r14(t):
     n = F.count(F.lit(1)).cast("double")
     g = E.gaps(t).agg(n.alias("gaps"))
     u = E.base(t).agg(n.alias("units"), F.round(F.sum("people"), 4).alias("risk_people"), F.round(F.sum("outside"), 4).alias("risk_outside"))
-    p = purchases(t).agg(n.alias("purchases"), F.sum("cost_pln").cast("double").alias("purchase_cost"))
+    p = purchases(t).agg(n.alias("purchases"), F.sum("estimated_cost_pln").cast("double").alias("purchase_cost"))
     one = g.join(u, F.lit(True)).join(p, F.lit(True))
     return one.unpivot([], one.columns, "metric", "value")
 
@@ -243,7 +264,7 @@ def r16(t):
     return ranks.row_number(E.base(t).select("gmi", "outside"), [F.desc("outside"), c("gmi")], "place")
 
 
-@query("r17_action_summary", PURCHASES + " SELECT action, count(*) AS n, sum(cost_pln)::BIGINT AS cost_pln, round(sum(people), 3) AS people FROM pl GROUP BY action", *AF)
+@query("r17_action_summary", PURCHASES + " SELECT recommended_action AS action, count(*) AS n, sum(estimated_cost_pln)::BIGINT AS cost_pln, round(sum(new_pop_ge65_proxy + failure_loss_pop_night_proxy), 3) AS people FROM pl GROUP BY ALL", *AF)
 def r17(t):
     return R.action_summary(purchases(t))
 
@@ -253,12 +274,12 @@ def r18(t):
     return R.lookup_value(scenario_rows(t), "integracja_lokalizacji_bez_gsm_po_deduplikacji")
 
 
-@query("r19_decision_lists", PURCHASES + """, a AS (SELECT 'units' AS list, gmi AS key FROM ub ORDER BY outside DESC, gmi LIMIT 15), b AS (SELECT 'purchases' AS list, candidate_id AS key FROM pl ORDER BY score DESC, candidate_id LIMIT 25),
+@query("r19_decision_lists", PURCHASES + """, a AS (SELECT 'units' AS list, gmi AS key FROM ub ORDER BY outside DESC, gmi LIMIT 15), b AS (SELECT 'purchases' AS list, candidate_id AS key FROM pl ORDER BY priority_score_v13 DESC, new_pop_ge65_proxy DESC, failure_loss_pop_night_proxy DESC, candidate_id LIMIT 25),
  d AS (SELECT 'critical' AS list, nr_ref AS key FROM cr ORDER BY rank LIMIT 20) SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM d""", *AF)
 def r19(t):
     item = lambda name, col: [F.lit(name).alias("list"), c(col).alias("key")]
     a = R.top(E.base(t), 15, F.desc("outside"), "gmi").select(*item("units", "gmi"))
-    b = R.top(purchases(t), 25, F.desc("score"), "candidate_id").select(*item("purchases", "candidate_id"))
+    b = R.top(purchases(t), 25, *R.purchase_order()).select(*item("purchases", "candidate_id"))
     d = R.top(critical(t), 20, "rank").select(*item("critical", "nr_ref"))
     return a.unionByName(b).unionByName(d)
 
@@ -350,10 +371,10 @@ def x09(t):
 
 # unit packages
 
-@query("u01_unit_rows", PURCHASES + " SELECT gmi, candidate_id, cost_pln FROM pl JOIN fx_admin USING (gmi)", *AF)
+@query("u01_unit_rows", PURCHASES + " SELECT gmi, candidate_id, estimated_cost_pln AS cost_pln FROM pl JOIN fx_admin ON gmi = teryt_gmi", *AF)
 def u01(t):
     """Every unit's rows at once: a join to the unit dimension, ready for partitionBy."""
-    return purchases(t).join(t.fx_admin.select("gmi"), "gmi").select("gmi", "candidate_id", "cost_pln")
+    return purchases(t).join(t.fx_admin.select("gmi"), c("gmi") == c("teryt_gmi")).select("gmi", "candidate_id", c("estimated_cost_pln").alias("cost_pln"))
 
 
 @query(
@@ -415,11 +436,19 @@ def v03(t):
     return E.measures(t).agg(F.bool_and(F.abs(c("night") - c("night_in") - c("night_out")) <= 0.05).alias("ok"), F.count(F.lit(1)).alias("n"))
 
 
-@query("v04_action_recount", PURCHASES + ", o AS (SELECT origin, action, count(*) AS n, sum(cost_pln) AS k FROM pl GROUP BY ALL), s AS (SELECT action, count(*) AS n, sum(cost_pln) AS k FROM pl GROUP BY action), q AS (SELECT action, sum(n) AS n2, sum(k) AS k2 FROM o GROUP BY action) SELECT action, s.n, s.n = n2 AND s.k = k2 AS equal FROM s JOIN q USING (action)", *AF)
+@query(
+    "v04_action_recount",
+    PURCHASES + """, q AS (SELECT action, sum(n)::BIGINT AS n2, sum(k)::BIGINT AS k2 FROM (
+      SELECT act AS action, count(*) AS n, sum(cost_pln) AS k FROM cd GROUP BY act UNION ALL SELECT action, count(*), sum(cost) FROM er GROUP BY action UNION ALL SELECT 'integracja', count(*), count(*) * 5000 FROM ms) GROUP BY action HAVING sum(n) > 0)
+    SELECT q.action, q.n2 AS n, q.k2 AS cost_pln, q.n2 = count(pl.candidate_id) AND q.k2 = sum(estimated_cost_pln) AS equal FROM q LEFT JOIN pl ON recommended_action = q.action GROUP BY q.action, q.n2, q.k2""",
+    *AF,
+)
 def v04(t):
-    """Counts and costs from the list by origin, added up, against the summary by action."""
-    p = purchases(t)
-    parts = p.groupBy("origin", "action").agg(F.count(F.lit(1)).alias("n"), F.sum("cost_pln").alias("k")).groupBy("action").agg(F.sum("n").alias("n2"), F.sum("k").alias("k2"))
-    return R.action_summary(p).join(parts, "action").select("action", "n", ((c("n") == c("n2")) & (c("cost_pln") == c("k2"))).alias("equal"))
-
-
+    """Counts and costs of each action, from the three sources of the list, held against the written list."""
+    existing = R.existing_recommendations(critical(t))
+    sources = (R.scored_candidates(candidates(t)), existing, R.missing_link_recommendations(t.fx_sites, existing))
+    rows = reduce(DataFrame.unionByName, (s.select("action", "cost_pln") for s in sources))
+    parts = rows.groupBy("action").agg(F.count(F.lit(1)).alias("n"), F.sum("cost_pln").alias("cost_pln"))
+    listed = R.action_summary(purchases(t)).select("action", c("n").alias("n2"), c("cost_pln").alias("k2"))
+    equal = F.coalesce((c("n") == c("n2")) & (c("cost_pln") == c("k2")), F.lit(False))
+    return parts.join(listed, "action", "left").select("action", "n", "cost_pln", equal.alias("equal"))

@@ -1,5 +1,6 @@
 """Fixed tables entry by entry, published control points, ranks against plain windows."""
 
+import hashlib
 import random
 
 import pytest
@@ -8,7 +9,9 @@ from pyspark.sql.window import Window
 
 from earshot.functions import geo
 from earshot.functions import scalars as S
-from earshot.operators import coverage, grid, population, ranks
+from earshot.operators import changes, coverage, grid, population, ranks, recommend
+from earshot.plans import registry
+from tests.conftest import SF
 
 CLUTTER = """
 landuse residential residential 6
@@ -194,3 +197,73 @@ def test_slugs(spark, text, slug):
 def test_status_words(spark, text, status, flag):
     df = spark.createDataFrame([(text,)], "v string")
     assert tuple(df.select(S.yes_no_nd(F.col("v")), S.status_flag(F.col("v"))).first()) == (status, flag)
+
+
+def _snapshots(spark):
+    v5 = [("A", "100", "0", "X", "t"), ("B", "1", "", "Y", ""), ("C", "7", "7", "Z", None)]
+    v6 = [("A", "100", "10", "X"), ("C", "70", None, "Z"), ("D", "5", "", 'he said "no"\\')]
+    v9 = [("A", "900", "10", "X", "123"), ("C", "70", "", "W", None), ("D", "5", "", 'he said "no"\\', "")]
+    fields = ["nr_ref", "moc_w", "wysokosc_nad_terenem_m", "gmina"]
+    table = lambda rows, *more: spark.createDataFrame(rows, ", ".join(f"{f} string" for f in [*fields, *more]))
+    return table(v5, "robocza"), table(v6), table(v9, "npm_m")
+
+
+def test_registry_word_by_word(spark):
+    v5, v6, v9 = _snapshots(spark)
+    registry = changes.diff_chain([("V5", v5), ("V6", v6), ("V9", v9)])
+    assert registry.columns == ["rule_id", "stage", "operation", "nr_ref", "field", "before", "after", "reason", "source", "confidence"]
+    height, blank = "Korekta wysokości montażu zgodnie z kontrolami domenowymi V5–V8.", "Zmiana zarejestrowana między zatwierdzonymi snapshotami pipeline."
+    power, model = "Korekta jednostki lub wartości mocy po kontroli jakości.", "Ujednolicenie mocy modelowej, w tym analogowej SAD do odpowiednika DSE V9."
+    want = {
+        ("V5→V6", "remove_field", "*", "robocza", "column present", "column removed", "Usunięcie technicznej kolumny roboczej ze schematu kolejnego snapshotu.", "V5.csv -> V6.csv", 1.0),
+        ("V5→V6", "update", "A", "wysokosc_nad_terenem_m", "0", "10", height, "V5.csv -> V6.csv", 1.0),
+        ("V5→V6", "update", "C", "wysokosc_nad_terenem_m", "7", "", height, "V5.csv -> V6.csv", 0.9),
+        ("V5→V6", "update", "C", "moc_w", "7", "70", power, "V5.csv -> V6.csv", 1.0),
+        ("V5→V6", "disable", "B", "record", "active", "disabled", "Rekord usunięty z aktywnego snapshotu.", "V6.csv", 1.0),
+        ("V5→V6", "add", "D", "record_json", "", r'{"gmina": "he said \"no\"\\", "moc_w": "5", "nr_ref": "D"}', "Rekord dodany między snapshotami.", "V6.csv", 1.0),
+        ("V6→V9", "update", "A", "moc_w", "100", "900", model, "V6.csv -> V9.csv", 1.0),
+        ("V6→V9", "update", "A", "npm_m", "", "123", "Uzupełnienie wysokości n.p.m. z danych SRTM.", "V6.csv -> V9.csv", 0.9),
+        ("V6→V9", "update", "C", "gmina", "Z", "W", blank, "V6.csv -> V9.csv", 1.0),
+    }
+    rows = registry.collect()
+    assert {tuple(r)[1:] for r in rows} == want and len(rows) == len(want)
+    for r in rows:
+        assert r.rule_id == "CORR-" + hashlib.sha256(f"{r.stage}|{r.operation}|{r.nr_ref}|{r.field}".encode()).hexdigest()[:12].upper()
+    back = changes.replay(v5, registry, ["V5→V6", "V6→V9"])
+    assert sorted(map(tuple, back.select(v9.columns).collect())) == sorted(tuple(v or "" for v in r) for r in v9.collect()) and set(back.columns) == set(v9.columns)
+    assert changes.replay_violations(v5, registry.where("stage = 'V5→V6'")).count() == 0
+    with pytest.raises(ValueError, match="two versions"):
+        changes.diff_chain([("V5", v5)])
+
+
+def test_imputation_defaults(spark):
+    rows = [("a", 1, "x", 300.0, 0.0), ("b", 2, "x", 300.0, 10.0), ("c", 3, "x", 500.0, 20.0), ("d", 4, "x", 300.0, 2.0), ("e", 5, "x", 300.0, -1.0)]
+    df = spark.createDataFrame(rows, "nr_ref string, lp int, kind string, power double, height double")
+    got = {r.nr_ref: (r.imputed, r.exact_peers, r.peers) for r in changes.impute_heights(df).collect()}
+    mean = (10 + 2 + 20 / 3) / (1 + 1 + 1 / 3)
+    assert got == {"a": (round(mean * 2) / 2, 2, 3), "e": (round(mean * 2) / 2, 2, 3)}
+    alone = spark.createDataFrame([("z", 9, "y", 300.0, 0.0)], df.schema)
+    with pytest.raises(Exception, match="no reference rows for the kind y"):
+        changes.impute_heights(df.union(alone)).collect()
+
+
+def test_words_of_results(spark):
+    rules = {r.p: r.rule for r in spark.createDataFrame([(450,), (451,), (750,), (1050,), (1051,)], "p int").select("p", coverage.profile(F.col("p"))[2].alias("rule")).collect()}
+    assert rules == {450: "nearest_profile_300", 451: "nearest_profile_600", 750: "nearest_profile_600", 1050: "nearest_profile_900", 1051: "nearest_profile_1200_or_cap"}
+    assert recommend.PURCHASE == (
+        "candidate_id nr_ref wojewodztwo powiat gmina teryt_gmi recommended_action priority_class priority_score_v13 risk_class recommended_power_class_w new_pop_ge65_proxy "
+        "flood_risk_pop_ge65_gain_proxy redundancy_gain_pop_proxy failure_loss_pop_night_proxy estimated_cost_pln cost_per_new_person_ge65_pln candidate_lat candidate_lon "
+        "candidate_source candidate_type effect_method"
+    ).split()
+    got = registry.QUERIES["r11_purchase_list"](spark, SF)
+    assert got.columns == recommend.PURCHASE
+    words = {c: {r[0] for r in got.select(c).distinct().collect()} for c in ("candidate_source", "effect_method", "recommended_action")}
+    assert words["candidate_source"] <= {"nearest_public_osm_object", "gap_representative_point", "existing_siren_V9_V10"}
+    assert words["effect_method"] <= {"gap_population_proxy", "existing_siren_primary_coverage_proxy"}
+    assert words["recommended_action"] <= {"nowa_syrena", "walidacja_terenowa", "integracja", "modernizacja"}
+    rows = [(r.priority_score_v13, r.new_pop_ge65_proxy, r.failure_loss_pop_night_proxy) for r in got.collect()]
+    assert rows == sorted(rows, reverse=True) and {r.candidate_id.split("-")[0] for r in got.collect()} <= {"NEW", "EXIST", "GSM"}
+    kinds = {r.source: (r.type, r.object_group) for r in registry.QUERIES["r03_candidate_sites"](spark, SF).collect()}
+    assert kinds.get("gap_representative_point", ("gap_centroid", "brak_obiektu_publicznego_w_promieniu")) == ("gap_centroid", "brak_obiektu_publicznego_w_promieniu")
+    left = registry.QUERIES["p09_residuals"](spark, SF).select("confidence", "reason").distinct().collect()
+    assert set(map(tuple, left)) <= {("low", "no_usable_building_capacity")}
