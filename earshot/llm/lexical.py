@@ -40,7 +40,7 @@ from earshot.llm.common import broadcast_if_small, materialize, table
 
 TOP = 20
 #: A segment is closed when it has so many documents or so many cells.
-SEGMENT_DOCS, SEGMENT_CELLS = 8_192, 1_500_000
+SEGMENT_DOCS, SEGMENT_CELLS = 4_096, 500_000
 #: Items are searched in blocks of at most so many distinct terms in all (and one item at least).
 BLOCK_TERMS = 200_000
 #: Tables of the items' terms are broadcast up to so many rows (about 60 bytes each).
@@ -183,7 +183,7 @@ class Treap:
         inner = [np.zeros(n, np.uint8) if b is None else b for _, b, n in levels]
         self.bits = np.concatenate([np.zeros(1, np.uint8), *inner])
         ones = _ONES[self.bits]
-        self.first = np.cumsum(ones) - ones + 2  # the root is cell 1 and its first child cell 2
+        self.first = (np.cumsum(ones) - ones + 2).astype(np.int32)  # the root is cell 1 and its first child cell 2
 
     def child(self, cells: np.ndarray, quarter: np.ndarray) -> np.ndarray:
         bits = self.bits[cells]
