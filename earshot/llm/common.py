@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from earshot.operators.components import connected_components
 from earshot.sources.storage import materialize, shared_dir, shared_path
 
-__all__ = ["broadcast_if_small", "connected_components", "fresh", "map_rows", "materialize", "shared_dir", "shared_path", "table", "words"]
+__all__ = ["broadcast_if_small", "connected_components", "fresh", "map_rows", "materialize", "rows_per_batch", "shared_dir", "shared_path", "table", "words"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -44,6 +45,18 @@ def map_rows(df: DataFrame, id_col: str, run: Callable, schema: str) -> DataFram
     return out.withColumn(id_col, F.col(id_col).cast(kind))
 
 
+@contextmanager
+def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs started inside hand Python workers at most so many rows at once: for tables whose rows are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def words(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from earshot.llm.common import broadcast_if_small, materialize, table
+from earshot.llm.common import broadcast_if_small, materialize, rows_per_batch, table
 
 TOP = 20
 #: A segment is closed when it has so many documents or so many cells.
@@ -157,7 +157,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     has_term = F.col(text_col).rlike(r"[0-9A-Za-z\x{80}-\x{10FFFF}]")
     slim = docs.where(has_term).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return materialize(slim.mapInArrow(run, SEGMENT_SQL), "segments")
+    with rows_per_batch(docs.sparkSession, 1_000):
+        return materialize(slim.mapInArrow(run, SEGMENT_SQL), "segments")
 
 
 #: How many ones a bitmap has.
@@ -325,7 +326,8 @@ def search(segments: DataFrame, items: DataFrame, id_col: str = "item_id", text_
             words.append(row["term"])
             weights.append(row["times"] * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * row["df"] + 1))))
         if queries:
-            parts.append(materialize(_search_block(segments, [(q, *v) for q, v in sorted(queries.items())], n_docs, n_terms, k), "found"))
+            with rows_per_batch(spark, 1):  # a segment is some MB
+                parts.append(materialize(_search_block(segments, [(q, *v) for q, v in sorted(queries.items())], n_docs, n_terms, k), "found"))
     if not parts:
         return spark.createDataFrame([], f"item_id {kind}, rank int, doc_id bigint, score bigint")
     found = parts[0]
