@@ -106,31 +106,6 @@ def line_length(line: Column) -> Column:
     return F.aggregate(parts, F.lit(0.0), lambda s, v: s + v)
 
 
-def inside_ring(ring: Column, x: Column, y: Column) -> Column:
-    """Even-odd test against a closed ring."""
-    n = F.size(ring)
-
-    def crosses(a, b):
-        hit = ((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"])
-        return F.coalesce(hit, F.lit(False)).cast("int")
-
-    edges = F.zip_with(F.slice(ring, F.lit(1), n - 1), F.slice(ring, F.lit(2), n - 1), crosses)
-    return F.aggregate(edges, F.lit(0), lambda s, v: s + v) % 2 == 1
-
-
-def ring_meets_square(ring: Column, x: Column, y: Column, side: float) -> Column:
-    """Whether an edge of the ring meets the square [x, x+side] x [y, y+side]."""
-    n = F.size(ring)
-
-    def meets(a, b):
-        box = (F.least(a["x"], b["x"]) <= x + side) & (F.greatest(a["x"], b["x"]) >= x) & (F.least(a["y"], b["y"]) <= y + side) & (F.greatest(a["y"], b["y"]) >= y)
-        cross = lambda px, py: (b["x"] - a["x"]) * (py - a["y"]) - (b["y"] - a["y"]) * (px - a["x"])
-        corners = [cross(x, y), cross(x + side, y), cross(x, y + side), cross(x + side, y + side)]
-        return box & (F.least(*corners) <= 0) & (F.greatest(*corners) >= 0)
-
-    return F.exists(F.zip_with(F.slice(ring, F.lit(1), n - 1), F.slice(ring, F.lit(2), n - 1), meets), lambda v: v)
-
-
 def box_distance(x: Column, y: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
     """Distance of a point from a box, 0 inside."""
     dx = F.greatest(xmin - x, F.lit(0), x - xmax)

@@ -71,18 +71,6 @@ def box_cells(boxes: DataFrame, cell: int = CELL, touched: bool = False) -> Data
     return rows.withColumn("cx", F.explode(_span(low("xmin"), high("xmin", "w"))))
 
 
-def ring_cells(rings: DataFrame, cell: int = CELL, touched: bool = False) -> DataFrame:
-    """Rings (``ring`` of x, y) once per cell whose centre is inside, or every touched cell."""
-    lowest = lambda k: F.array_min(F.transform("ring", lambda p: p[k]))
-    highest = lambda k: F.array_max(F.transform("ring", lambda p: p[k]))
-    rows = rings.withColumn("cy", F.explode(_span(cell_of(lowest("y"), cell), cell_of(highest("y"), cell))))
-    rows = rows.withColumn("cx", F.explode(_span(cell_of(lowest("x"), cell), cell_of(highest("x"), cell))))
-    inside = geo.inside_ring(F.col("ring"), (F.col("cx") + 0.5) * cell, (F.col("cy") + 0.5) * cell)
-    if touched:
-        inside = inside | geo.ring_meets_square(F.col("ring"), F.col("cx") * cell, F.col("cy") * cell, cell)
-    return rows.where(inside)
-
-
 def rectangles(cells: DataFrame, *keys: str, cell: int = CELL) -> DataFrame:
     """Cells of each key as one rectangle per unbroken run of a row."""
     runs = cell_runs(cells.select(*keys, "cx", "cy"), *keys).groupBy(*keys, "cy", "start").agg(F.count(F.lit(1)).alias("n"))

@@ -29,6 +29,10 @@ _SITE = "(c_custkey - case when c_custkey % 20 = 1 then 1 else 0 end)"
 _SITE_TILE = _div(_SITE, 300)
 _ORDER_TILE = _div("o_orderkey", 3000)
 _PART_TILE = _div("p_partkey", 400)
+_SHAPE = _div("l_orderkey", 8)
+_RING = "case when l_orderkey % 8 < 3 then 0 when l_orderkey % 8 = 3 then 1 when l_orderkey % 8 < 7 then 2 else 3 end"
+_TURN = f"6.283185307179586e0 * row_number() over (partition by {_SHAPE}, {_RING} order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) / count(*) over (partition by {_SHAPE}, {_RING})"
+_REACH = "case when l_orderkey % 4 = 3 then 40 + l_partkey % 60 else 300 + (l_partkey * 37 + l_linenumber * 101) % 400 end"
 _UNIT_TILE = _div("s_suppkey", 20)
 
 SQL: dict[str, str] = {
@@ -99,6 +103,13 @@ select s_suppkey as unit_no,
     || lpad(cast(s_suppkey % 5 + 1 as string), 2, '0') || cast(s_suppkey % 3 + 1 as string) as gmi,
   {_x(_UNIT_TILE)} + s_suppkey % 5 * 8000 as xmin, {_y(_UNIT_TILE)} + {_div("s_suppkey % 20", 5)} * 10000 as ymin, s_name as name
 from supplier""",
+    # corners of concave shapes in two parts, each with a hole, in whole metres
+    "fx_corners": f"""
+select {_SHAPE} as shape_id, case when l_orderkey % 8 < 4 then 0 else 1 end as part, {_RING} as ring,
+  row_number() over (partition by {_SHAPE}, {_RING} order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) as pos,
+  {_x(_div(_SHAPE, 400))} + ({_SHAPE} * 3571) % 38000 + case when l_orderkey % 8 < 4 then 0 else 1500 end + round(({_REACH}) * cos({_TURN})) as x,
+  {_y(_div(_SHAPE, 400))} + ({_SHAPE} * 2593) % 39000 + round(({_REACH}) * sin({_TURN})) as y
+from lineitem""",
     "fx_tags": """
 select p_partkey as osm_id,
   case p_partkey % 6 when 0 then 'yes' when 1 then 'house' when 2 then 'no' else null end as building,

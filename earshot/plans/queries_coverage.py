@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from earshot.functions import geo
 from earshot.operators import coverage as V
 from earshot.operators import grid as G
+from earshot.operators import polygons as PG
 from earshot.operators import spatial_join as J
 from earshot.plans.registry import query
 
@@ -229,6 +230,10 @@ def diamonds(t):
     return t.fx_risk.withColumn("ring", F.array(at(x, y + h), at(x + w, y), at(x + 2 * w, y + h), at(x + w, y + 2 * h), at(x, y + h)))
 
 
+def ringed(t):
+    return diamonds(t).select("zone_id", F.array(F.struct(F.lit(0).alias("part"), c("ring").alias("points"))).alias("rings"))
+
+
 def _diamond_cells(x: str, y: str, test: str) -> str:
     """Cells of each zone's box whose point (x, y) passes ``test`` on d, the sum of its distances from the middle in halves of width and height; 1 is the edge."""
     return f"""bx AS (SELECT zone_id, xmin, ymin, w, h, cy, unnest(range({_floor('xmin', 100)}, {_floor('xmin + w', 100)} + 1)) AS cx
@@ -240,12 +245,12 @@ def _diamond_cells(x: str, y: str, test: str) -> str:
 # a centre on the left edges counts as inside, on the right edges not; a cell that the edge only touches counts as touched
 @query("g09_ring_cells", _diamond_cells("cx * 100 + 50", "cy * 100 + 50", "d < 0 OR d = 0 AND 2 * (cx * 100 + 50) < 2 * xmin + w"), "fx_risk")
 def g09_rings(t):
-    return G.ring_cells(diamonds(t)).select("zone_id", "cx", "cy")
+    return PG.fill_cells(ringed(t), "zone_id")
 
 
 @query("g10_ring_cells_touched", _diamond_cells("least(greatest(xmin + w / 2e0, cx * 100), cx * 100 + 100)", "least(greatest(ymin + h / 2e0, cy * 100), cy * 100 + 100)", "d <= 0"), "fx_risk")
 def g10_rings(t):
-    return G.ring_cells(diamonds(t), touched=True).select("zone_id", "cx", "cy")
+    return PG.fill_cells(ringed(t), "zone_id", touched=True)
 
 
 _RISK = f"rc AS (SELECT cx, cy, max(risk) AS risk FROM {_box_cells('fx_risk', False)} GROUP BY ALL)"

@@ -68,4 +68,4 @@ def query(name: str, sql: str | None = None, *fixtures: str):
     return register
 
 
-from earshot.plans import queries_audit, queries_changes, queries_coverage, queries_exposure, queries_results, queries_scalars, queries_sources  # noqa: E402, F401
+from earshot.plans import queries_audit, queries_changes, queries_coverage, queries_exposure, queries_polygons, queries_results, queries_scalars, queries_sources  # noqa: E402, F401

@@ -50,8 +50,6 @@ def test_rings(spark):
     square = "array(named_struct('x', 0D, 'y', 0D), named_struct('x', 300D, 'y', 0D), named_struct('x', 300D, 'y', 200D), named_struct('x', 0D, 'y', 200D), named_struct('x', 0D, 'y', 0D))"
     df = spark.sql(f"select {square} as ring")
     assert df.select(geo.ring_area(F.col("ring")), geo.line_length(F.col("ring"))).first()[:] == (60000.0, 1000.0)
-    assert {(r.cx, r.cy) for r in grid.ring_cells(df).collect()} == {(x, y) for x in range(3) for y in range(2)}
-    assert grid.ring_cells(df, touched=True).count() >= 6
 
 
 def _reach(cells):
@@ -101,12 +99,12 @@ def test_replay_of_diff_gives_the_later_snapshot(spark):
     schema = "nr_ref string, moc string, h string"
     a = spark.createDataFrame([("A", "100", "0"), ("B", "5", "5"), ("C", "", None)], schema)
     b = spark.createDataFrame([("A", "100", "10"), ("C", "1", ""), ("D", "900", "3")], schema)
-    registry = changes.diff(a, b, "V1->V2")
-    got = changes.replay(a, registry)
+    registry = changes.diff(a, b, ("V1", "V2"))
+    got = changes.replay(a, registry, ["V1→V2"])
     assert {tuple(r) for r in got.collect()} == {("A", "100", "10"), ("C", "1", ""), ("D", "900", "3")}
     assert {r.operation for r in registry.collect()} == {"add", "update", "disable"}
     assert changes.replay_violations(a, registry).count() == 0
-    assert changes.diff(a, a, "x").count() == 0 and changes.removed_columns(a, b.drop("h"), "x").first()["field"] == "h"
+    assert changes.diff(a, a, ("x", "y")).count() == 0 and tuple(changes.removed_columns(a, b.drop("h"), ("x", "y")).select("field", "filled").first()) == ("h", 2)
 
 
 def test_empty_correction_still_overwrites(spark):
