@@ -6,15 +6,16 @@ that holds more than ``bucket_entries`` keys is split by one more key bit, again
 and again, with no limit but the bits of the key. Where a bucket at the greatest
 depth is split, the directory doubles; slots whose bucket was not split share it.
 
-Rows find their bucket through the directory and go to its owner, the task that
-has the bucket's keys. There the texts of one key are compared byte for byte: the
-least and the greatest text of a key are equal exactly if all are. Keys with
-different texts get a chain with an entry for each text. Every row then reads its
-class off the index: by bucket and key, and in a chain by comparing its text.
-
-Nothing gathers a group: maxima, counts and the two texts are combined before the
-exchange, so a text that a third of all rows share comes to its owner as one row a
-task. Only DataFrame functions are used.
+Buckets are dealt to owner tasks in order of their first key, so an owner has a
+range of keys and every bucket lies in one file of the index. Keys that one row has
+come to their owner without a text. Of keys that several rows have the owner gets
+each distinct text once and compares them byte for byte: where a key has over one
+text, they are chained, an entry for each. Every row then reads its class off the
+index: by bucket and key, and in a chain by comparing its text.
+
+Nothing gathers a group: largest ids and counts are combined before the exchange,
+so a text that a third of all rows share comes to its owner as one row. Only
+DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from earshot.llm.common import broadcast_if_small, materialize, table
 BUCKET_ENTRIES = 65_536
 #: Directories of at most so many slots (about 60 bytes each) are broadcast; larger ones are joined by a shuffle.
 BROADCAST_SLOTS = 500_000
+#: Up to so many repeated keys (about 60 bytes each) are broadcast to pick their rows; beyond, equal texts are combined first.
+BROADCAST_KEYS = 1_000_000
 KEY_BITS = 64
 
 
@@ -73,31 +76,41 @@ def with_bucket(rows: DataFrame, buckets: DataFrame, start: int) -> DataFrame:
     return rows.withColumn("slot", _prefix(F.col("key"), start)).join(slots, "slot").withColumn("bucket", F.get(held, F.lit(0))["bucket"]).drop("slot", "buckets")
 
 
-def build_index(rows: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+def owned(entries: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``entries`` dealt to the owners of their buckets: key ranges, one task each."""
+    tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return entries.repartitionByRange(max(1, min(tasks, buckets.count())), "bucket")
+
+
+def build_index(rows: DataFrame, bucket_entries: int = BUCKET_ENTRIES, broadcast_keys: int = BROADCAST_KEYS) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """Writes the index of ``rows`` (doc_id, key, text) and returns it, its collision chains and its directory.
 
-    The index has bucket, key, keep_id, group_size, text_sha256 and collides; where
-    ``collides`` holds, the key's entries are in the chains: bucket, key, place,
-    text, keep_id, group_size, text_sha256."""
-    keys = materialize(rows.select("key").distinct(), "keys")
-    buckets, start = directory(keys, bucket_entries)
-    placed = with_bucket(rows, buckets, start)
+    The index has bucket, key, keep_id, group_size and collides; where ``collides``
+    holds, the key's entries are in the chains: bucket, key, place, text, keep_id, group_size."""
     top = (F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    entries = placed.groupBy("bucket", "key").agg(*top, F.min("text").alias("low"), F.max("text").alias("high"))
-    collides = F.col("low") != F.col("high")
-    index = entries.select("bucket", "key", "keep_id", "group_size", F.sha2("low", 256).alias("text_sha256"), collides.alias("collides"))
-    index = materialize(index, "exact-index")
-    clashing = index.where("collides").select("bucket", "key")
-    chains = placed.join(clashing, ["bucket", "key"], "left_semi").groupBy("bucket", "key", "text").agg(*top)
-    place = F.row_number().over(Window.partitionBy("bucket", "key").orderBy("text")) - 1
-    chains = chains.select("bucket", "key", place.alias("place"), "text", "keep_id", "group_size", F.sha2("text", 256).alias("text_sha256"))
-    if clashing.isEmpty():
-        return index, chains.limit(0), buckets, start
-    return index, materialize(chains, "exact-chains"), buckets, start
+    keys = materialize(rows.groupBy("key").agg(*top), "keys")
+    buckets, start = directory(keys.select("key"), bucket_entries)
+    placed = with_bucket(keys, buckets, start)
+    lone = placed.where("group_size = 1").withColumn("collides", F.lit(False))
+    repeated = placed.where("group_size > 1").select("bucket", "key")
+    if repeated.count() <= broadcast_keys:
+        texts = rows.join(F.broadcast(repeated), "key").groupBy("bucket", "key", "text").agg(*top)
+    else:
+        texts = rows.groupBy("key", "text").agg(*top).join(repeated, "key")
+    # an owner has all texts of its buckets' keys: no exchange is left for these windows
+    chain = Window.partitionBy("bucket", "key")
+    compared = owned(texts.select("bucket", "key", "text", "keep_id", "group_size"), buckets)
+    compared = materialize(compared.withColumn("place", F.row_number().over(chain.orderBy("text")) - 1).withColumn("texts", F.count(F.lit(1)).over(chain)), "exact-texts")
+    clashing = compared.where("texts > 1")
+    chains = clashing.select("bucket", "key", "place", "text", "keep_id", "group_size")
+    single = compared.where("texts = 1").select("bucket", "key", "keep_id", "group_size", F.lit(False).alias("collides"))
+    marks = clashing.where("place = 0").select("bucket", "key", "keep_id", "group_size", F.lit(True).alias("collides"))
+    entries = lone.select(*single.columns).unionByName(single).unionByName(marks)
+    return materialize(owned(entries, buckets), "exact-index"), chains, buckets, start
 
 
 def exact_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_entries: int = BUCKET_ENTRIES, key: Callable[[Column], Column] = F.xxhash64
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_entries: int = BUCKET_ENTRIES, key: Callable[[Column], Column] = F.xxhash64, broadcast_keys: int = BROADCAST_KEYS
 ) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, bucket, place (in the key's chain).
 
@@ -110,13 +123,14 @@ def exact_dedup(
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), key(text).alias("key"), text.alias("text"))
-    index, chains, buckets, start = build_index(rows, bucket_entries)
+    index, chains, buckets, start = build_index(rows, bucket_entries, broadcast_keys)
+    sha = F.sha2("text", 256).alias("text_sha256")
     out = ["doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "bucket", "place"]
-    looked_up = with_bucket(rows.select("doc_id", "key"), buckets, start)
+    looked_up = with_bucket(rows.select("doc_id", "key", sha), buckets, start)
     alone = looked_up.join(index.where("not collides").drop("collides"), ["bucket", "key"]).withColumn("place", F.lit(0)).select(*out)
-    if index.where("collides").isEmpty():
+    if chains.isEmpty():
         return alone
-    clashing = with_bucket(rows, buckets, start).join(index.where("collides").select("bucket", "key"), ["bucket", "key"], "left_semi")
+    clashing = with_bucket(rows.select("doc_id", "key", "text", sha), buckets, start).join(index.where("collides").select("bucket", "key"), ["bucket", "key"], "left_semi")
     return alone.unionByName(clashing.join(chains, ["bucket", "key", "text"]).select(*out))
 
 

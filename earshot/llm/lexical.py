@@ -286,6 +286,7 @@ def _search_block(segments: DataFrame, queries: list[tuple[int, list[str], list[
                         own = best[number]
                         row, weight = (np.array(x, np.int64) for x in zip(*held, strict=True))
                         treap.top(row, weight, own.least, k, lambda columns, scores, own=own, ids=ids: own.offer(ids[columns], scores))
+                del treap, ids, rows  # before the next one is opened
         numbers = np.concatenate([np.full(len(b.ids), n, np.int64) for n, b in best.items()])
         found = np.concatenate([b.ids for b in best.values()])
         ids = pa.array(found, pa.int64(), mask=found == NO_ID)

@@ -48,8 +48,26 @@ def test_buckets_are_split_without_limit(spark):
     assert loads.agg(F.max("count")).first()[0] <= 3 and loads.agg(F.sum("count")).first()[0] == 40 and buckets.agg(F.max("depth")).first()[0] >= 62
 
 
+def test_owners_have_whole_buckets(spark, monkeypatch):
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.xxhash64((F.col("id") % 1500).cast("string")).alias("key"), (F.col("id") % 1500).cast("string").alias("text"))
+    index, chains, buckets, _ = exact_dedup.build_index(rows, 50)
+    files = index.select("bucket", "key", F.input_file_name().alias("f"))
+    assert files.groupBy("bucket").agg(F.count_distinct("f").alias("n")).where("n > 1").isEmpty()  # a bucket is held by one task
+    spans = sorted(map(tuple, files.groupBy("f").agg(F.min("key"), F.max("key")).select("min(key)", "max(key)").collect()))
+    unsigned = sorted((a % 2**64, b % 2**64) for a, b in spans)
+    assert len(spans) > 1 and index.count() == 1500 and chains.isEmpty() and unsigned
+    plan = exact_dedup.owned(index, buckets)._jdf.queryExecution().toString()
+    assert "rangepartitioning(bucket" in plan
+    # without the directory there is one owner for all keys
+    alone = lambda keys, most: (spark.createDataFrame([(0, 0)], "bucket bigint, depth int"), 0)
+    monkeypatch.setattr(exact_dedup, "directory", alone)
+    bypassed = exact_dedup.build_index(rows, 50)[0]
+    assert bypassed.select(F.input_file_name()).distinct().count() == 1
+
+
+@pytest.mark.parametrize("broadcast", [0, 1000])
 @pytest.mark.parametrize("bits", [0, 3])
-def test_texts_with_one_key_are_chained_and_compared(spark, bits):
+def test_texts_with_one_key_are_chained_and_compared(spark, bits, broadcast):
     draw = random.Random(bits)
     rows = [(i, draw.choice(["a", "b", "c", "a ", "A", None, "", "d" * 3000, "d" * 2999 + "e"])) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
@@ -57,7 +75,7 @@ def test_texts_with_one_key_are_chained_and_compared(spark, bits):
     groups = {}
     for i, text in rows:
         groups.setdefault(text or "", []).append(i)
-    got = exact_dedup.exact_dedup(df, bucket_entries=2, key=forced).collect()
+    got = exact_dedup.exact_dedup(df, bucket_entries=2, key=forced, broadcast_keys=broadcast).collect()
     assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in got} == {(i, max(g), len(g), i == max(g)) for g in groups.values() for i in g} and len(got) == 300
     assert max(r.place for r in got) > 0
     plain = {(r.doc_id, r.keep_id, r.text_sha256) for r in exact_dedup.exact_dedup(df).collect()}
