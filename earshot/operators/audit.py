@@ -14,10 +14,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from earshot.functions import scalars as S
+from earshot.operators.quantiles import grouped
 from earshot.operators.ranks import running
+from earshot.sources.storage import materialize
 
 # fixed values
 ANALOGUE_POWER, DIGITAL_POWER = (2000, 5000), (300, 5000)
@@ -142,8 +143,15 @@ def actionable_missing(name: str) -> Column:
     return S.is_null_token(F.col(name)) | S.is_nd(F.col(name)) & ~F.col("kind").eqNullSafe("analogowa")
 
 
-def duplicate_flag(key: str) -> Column:
-    return F.count(F.lit(1)).over(Window.partitionBy(key)) > 1
+def repeated_flag(df: DataFrame, key: Column, name: str) -> DataFrame:
+    """``df`` with ``name``: whether other rows have the row's key, too; null is a key like any other. Only keys that
+    are repeated are joined, and nulls, which may be a third of all rows, not even those: their count is one row."""
+    keyed = df.withColumn("__key", key)
+    counts = keyed.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    again = counts.where("__key is not null").select("__key", F.lit(True).alias("__again"))
+    blanks = counts.where("__key is null").agg((F.count(F.lit(1)) > 0).alias("__blanks"))
+    out = keyed.join(again, "__key", "left").join(F.broadcast(blanks), F.lit(True))
+    return out.withColumn(name, F.when(F.col("__key").isNull(), F.col("__blanks")).otherwise(F.coalesce("__again", F.lit(False)))).drop("__key", "__again", "__blanks")
 
 
 def frequency(df: DataFrame, *columns: str) -> DataFrame:
@@ -190,13 +198,16 @@ def mean_lookup(df: DataFrame, keys: list[str], value: str, valid: Column, suppo
 
 
 def mad_stats(df: DataFrame, keys: list[str], value: str, support: int = MAD_SUPPORT) -> DataFrame:
-    """(keys, median, mad, support) per group."""
-    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
-    medians = rows.groupBy(*keys).agg(F.median(value).alias("median"), F.count(F.lit(1)).alias("support")).where(F.col("support") >= support)
-    of = medians.select("median", "support", *(F.col(k).alias(f"__{k}") for k in keys))
+    """(keys, median, mad, support) per group, from counts per distinct value."""
+    named = [f"__{k}" for k in keys]
     same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))  # a blank key is a group too
-    spread = rows.join(of, same).groupBy(*keys, "median", "support")
-    return spread.agg(F.median(F.abs(F.col(value) - F.col("median"))).alias("mad"))
+    aside = lambda table: table.withColumnsRenamed(dict(zip(keys, named, strict=True)))
+    counts = materialize(df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n")), "mad-counts")
+    large = counts.groupBy(*keys).agg(F.sum("n").alias("support")).where(F.col("support") >= support)
+    medians = large.join(aside(grouped(counts, keys, "v", "n", 0.5, "median")), same).drop(*named)
+    away = counts.join(aside(medians), same).select(*keys, F.abs(F.col("v") - F.col("median")).alias("away"), "n")
+    mads = grouped(away.groupBy(*keys, "away").agg(F.sum("n").alias("n")), keys, "away", "n", 0.5, "mad")
+    return medians.join(aside(mads), same).select(*keys, "median", "support", "mad")
 
 
 def first_hit(df: DataFrame, lookups: list[tuple[list[str], DataFrame]], fields: list[str], prefix: str) -> DataFrame:
@@ -232,23 +243,20 @@ def global_means(df: DataFrame) -> DataFrame:
 
 def _metric_lookup(values: DataFrame, keys: list[str], scope: str) -> DataFrame:
     """(keys, scope): struct with means, medians and MADs of power and height, from counts per value."""
-    v, n = F.col("v"), F.col("n")
-    of = lambda m, c: F.when(F.col("metric") == m, c)
-    first = values.groupBy(*keys).agg(
-        *(F.sum(of(m, n)).alias(f"{m}_n") for m in ("power", "height")),
-        *(F.sum(of(m, v * n)).alias(f"{m}_sum") for m in ("power", "height")),
-        *(F.percentile(of(m, v), F.lit(0.5), n).alias(f"{m}_median") for m in ("power", "height")),
-    )
-    away = F.abs(v - F.when(F.col("metric") == "power", F.col("power_median")).otherwise(F.col("height_median")))
-    spread = values.join(first.select(*keys, "power_median", "height_median"), keys).withColumn("away", away)
-    mads = spread.groupBy(*keys).agg(*(F.percentile(of(m, F.col("away")), F.lit(0.5), n).alias(f"{m}_mad") for m in ("power", "height")))
-    both, parts = first.join(mads, keys, "left"), []
-    for m in ("power", "height"):
-        count = F.col(f"{m}_n")
-        parts.append(F.when(count >= MEAN_SUPPORT, F.struct((F.col(f"{m}_sum") / count).alias("value"), F.lit(SCOPE_NAMES[scope]).alias("scope"))).alias(f"{m}_mean"))
-        stats = F.struct(F.col(f"{m}_median").alias("median"), F.col(f"{m}_mad").alias("mad"), count.alias("n"), F.lit(SCOPE_NAMES[scope]).alias("scope"))
-        parts.append(F.when(count >= MAD_SUPPORT, stats).alias(f"{m}_stat"))
-    return both.select(*keys, F.struct(*parts).alias(scope))
+    known = values.where(reduce(Column.__and__, (F.col(k).isNotNull() for k in keys)))
+    counts = known.groupBy(*keys, "metric", "v").agg(F.sum("n").alias("n"))
+    both = [*keys, "metric"]
+    sums = counts.groupBy(*both).agg(F.sum("n").alias("count"), F.sum(F.col("v") * F.col("n")).alias("sum"))
+    medians = grouped(counts, both, "v", "n", 0.5, "median")
+    away = counts.join(medians, both).groupBy(*both, F.abs(F.col("v") - F.col("median")).alias("away")).agg(F.sum("n").alias("n"))
+    mads = grouped(away, both, "away", "n", 0.5, "mad")
+    rows = sums.join(medians, both).join(mads, both)
+    name = F.lit(SCOPE_NAMES[scope]).alias("scope")
+    mean = F.when(F.col("count") >= MEAN_SUPPORT, F.struct((F.col("sum") / F.col("count")).alias("value"), name))
+    stat = F.when(F.col("count") >= MAD_SUPPORT, F.struct("median", "mad", F.col("count").alias("n"), name))
+    of = lambda m, c: F.max(F.when(F.col("metric") == m, c))
+    parts = [of(m, c).alias(f"{m}_{kind}") for m in ("power", "height") for kind, c in (("mean", mean), ("stat", stat))]
+    return rows.groupBy(*keys).agg(F.struct(*parts).alias(scope))
 
 
 def _mode_lookup_of_all(texts: DataFrame, keys: list[str], fields: list[str], scope: str) -> DataFrame:
@@ -271,9 +279,12 @@ def evidence(df: DataFrame) -> DataFrame:
             F.struct(F.lit("height").alias("metric"), F.when(F.col("height_ok"), F.col("height")).alias("v")),
         )
     )
+    # every lookup is summed up from these two tables of counts
     values = df.select(*COUNTY, metric.alias("e")).where("e.v is not null").groupBy(*COUNTY, "e.metric", "e.v").agg(F.count(F.lit(1)).alias("n"))
+    values = materialize(values, "audit-values")
     text = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(c).alias("value")) for f, c in [*((s, f"st_{s}") for s in STATUSES), *((u, u) for u in unit_fields)])))
     texts = df.select(*COUNTY, text.alias("e")).where("e.value is not null").groupBy(*COUNTY, "e.field", "e.value").agg(F.count(F.lit(1)).alias("n"))
+    texts = materialize(texts, "audit-texts")
     means = values.agg(
         F.expr("sum(v * n) filter (where metric = 'power' and kind = 'analogowa') / sum(n) filter (where metric = 'power' and kind = 'analogowa')").alias("analogue_mean"),
         F.expr("sum(v * n) filter (where metric = 'height') / sum(n) filter (where metric = 'height')").alias("height_mean"),
@@ -281,7 +292,7 @@ def evidence(df: DataFrame) -> DataFrame:
     by_kind = values.where("metric = 'height' and kind is not null").groupBy("kind").agg((F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("kind_height_mean"))
     out = df
     for key in ("lp", "nr_ref"):
-        out = out.withColumn(f"twice_{key}", F.count(F.lit(1)).over(Window.partitionBy(S.clean_or_null(F.col(key).cast("string")))) > 1)
+        out = repeated_flag(out, S.clean_or_null(F.col(key).cast("string")), f"twice_{key}")
     for keys, scope in ((COUNTY, "county"), (PROVINCE, "province"), (["kind"], "kind_stats")):
         out = out.join(_metric_lookup(values, keys, scope), keys, "left")
     for keys, fields, scope in ((COUNTY, STATUSES, "county_mode"), (PROVINCE, STATUSES, "province_mode"), (AREA, unit_fields, "area_mode")):

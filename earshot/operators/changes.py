@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions import scalars as S
+from earshot.operators.quantiles import grouped
 
 MIN_CONFIDENCE = 0.5
 # fixed values of the overlay
@@ -296,9 +297,10 @@ def impute_heights(rows: DataFrame, highest: float = 0.0, above: float = 0.0) ->
 
 
 def imputation_report(imputed: DataFrame) -> DataFrame:
-    return imputed.groupBy("kind").agg(
-        F.count(F.lit(1)).alias("n"), F.min("imputed").alias("low"), F.max("imputed").alias("high"), F.round(F.avg("imputed"), 6).alias("mean"), F.median("imputed").alias("median")
-    )
+    sums = imputed.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min("imputed").alias("low"), F.max("imputed").alias("high"), F.round(F.avg("imputed"), 6).alias("mean"))
+    counts = imputed.groupBy(F.col("kind").alias("k"), "imputed").agg(F.count(F.lit(1)).alias("__n"))
+    medians = grouped(counts, ["k"], "imputed", "__n", 0.5, "median")
+    return sums.join(medians, F.col("kind").eqNullSafe(F.col("k"))).drop("k")
 
 
 def add_elevation(sites: DataFrame, elevations: DataFrame, cell: int = 1000) -> DataFrame:

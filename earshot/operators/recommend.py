@@ -11,6 +11,7 @@ from earshot.functions import scalars as S
 from earshot.functions.geo import to_degrees
 from earshot.operators import ranks
 from earshot.operators.costs import INTEGRATION_PLN, NEW_SITE_PLN
+from earshot.operators.quantiles import quantile
 from earshot.operators.risk import priority_class
 from earshot.operators.spatial_join import nearest
 
@@ -126,10 +127,10 @@ def critical_sites(collapsed: DataFrame, sites: DataFrame, cost: int = INTEGRATI
 def existing_recommendations(critical: DataFrame) -> DataFrame:
     """Sites that need action: 45 + 35 by loss against its 95th percentile + 10 where a link is missing."""
     rows = critical.where("action <> 'brak_dzialania'")
-    ref = rows.agg(F.greatest(F.lit(1.0), F.percentile("loss", 0.95)).alias("ref"))
-    part = F.least(F.lit(1.0), F.log1p("loss") / F.log1p("ref"))
+    ref = max(1.0, quantile(rows, "loss", 0.95) or 0.0)
+    part = F.least(F.lit(1.0), F.log1p("loss") / F.log1p(F.lit(ref)))
     score = F.least(F.lit(100.0), 45 + 35 * part + F.when(F.col("action") == "integracja", 10.0).otherwise(0.0))
-    out = rows.join(F.broadcast(ref), F.lit(True)).withColumn("score", F.bround(F.round(score, 6), 2)).drop("ref")
+    out = rows.withColumn("score", F.bround(F.round(score, 6), 2))
     return out.withColumns({"priority_class": priority_class(F.col("score")), "candidate_id": F.concat(F.lit("EXIST-"), "nr_ref")})
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions import scalars as S
 from earshot.operators import ranks
+from earshot.operators.quantiles import quantile
 
 MEASURES = ["night", "night_in", "night_out", "day", "day_in", "day_out"]
 
@@ -57,10 +58,10 @@ def gap_units(points: DataFrame) -> DataFrame:
     return sums.groupBy("gap_id").agg(F.min(F.struct((-F.col("n")).alias("neg"), "gmi")).alias("b")).select("gap_id", "b.gmi")
 
 
-def percentile_ref(column: str) -> Column:
+def percentile_ref(df: DataFrame, column: str) -> float:
     """The 95th percentile of positive values, 1 at least; 0 without any."""
-    positive = F.when(F.col(column) > 0, F.col(column))
-    return F.coalesce(F.greatest(F.lit(1.0), F.percentile(positive, 0.95)), F.lit(0.0))
+    found = quantile(df.where(F.col(column) > 0), column, 0.95)
+    return 0.0 if found is None else max(1.0, found)
 
 
 def priority_score(people: Column, ref: Column, risk: Column, share: Column, area_ha: Column) -> Column:
@@ -96,18 +97,18 @@ def select_gaps(gaps: DataFrame, people: DataFrame, least: float = 1.0) -> DataF
 
 def priority_gaps(selected: DataFrame, gap_unit: DataFrame, base: DataFrame) -> DataFrame:
     """Selected gaps with unit, score, class and action; the reference percentile is one row."""
-    ref = selected.agg(percentile_ref("pop_night").alias("ref"))
-    met = selected.join(gap_unit, "gap_id", "left").join(base.select("gmi", "share"), "gmi", "left").join(F.broadcast(ref), F.lit(True))
-    score = priority_score(F.col("pop_night"), F.col("ref"), F.col("risk"), F.col("share"), F.col("area_ha"))
+    ref = F.lit(percentile_ref(selected, "pop_night"))
+    met = selected.join(gap_unit, "gap_id", "left").join(base.select("gmi", "share"), "gmi", "left")
+    score = priority_score(F.col("pop_night"), ref, F.col("risk"), F.col("share"), F.col("area_ha"))
     out = met.withColumn("score", score)
-    return out.withColumns({"priority_class": priority_class(F.col("score")), "seed": action_seed(F.col("score"), F.col("pop_night"), F.col("area_ha"))}).drop("ref")
+    return out.withColumns({"priority_class": priority_class(F.col("score")), "seed": action_seed(F.col("score"), F.col("pop_night"), F.col("area_ha"))})
 
 
 def unit_ranking(base: DataFrame, gaps: DataFrame) -> DataFrame:
     """Units with the area of their gaps, score and rank."""
     area = gaps.where("gmi is not null").groupBy("gmi").agg(F.sum("area_ha").alias("gap_ha"), F.count(F.lit(1)).alias("gaps"))
     met = base.join(area, "gmi", "left").na.fill(0, ["gap_ha", "gaps"])
-    ref = base.agg(percentile_ref("outside").alias("ref"))
-    score = priority_score(F.col("outside"), F.col("ref"), F.col("risk"), F.col("share"), F.col("gap_ha"))
-    out = met.join(F.broadcast(ref), F.lit(True)).withColumn("score", score).drop("ref")
+    ref = F.lit(percentile_ref(base, "outside"))
+    score = priority_score(F.col("outside"), ref, F.col("risk"), F.col("share"), F.col("gap_ha"))
+    out = met.withColumn("score", score)
     return ranks.row_number(out, [F.desc("score"), F.desc("outside"), F.col("gmi")], "rank")

@@ -245,7 +245,7 @@ def q03(t):
 
 @query("q04_duplicate_keys", "SELECT count(*) FILTER (c > 1) AS duplicate_rows, count(*) AS n FROM (SELECT count(*) OVER (PARTITION BY nr_ref) AS c FROM fx_register)", "fx_register")
 def q04(t):
-    return t.fx_register.select(A.duplicate_flag("nr_ref").alias("d")).agg(F.count_if("d").alias("duplicate_rows"), F.count(F.lit(1)).alias("n"))
+    return A.repeated_flag(t.fx_register.select("nr_ref"), F.col("nr_ref"), "d").agg(F.count_if("d").alias("duplicate_rows"), F.count(F.lit(1)).alias("n"))
 
 
 @query("q05_frequencies", "SELECT rodzaj_syreny, wlasciciel, count(*) AS n FROM (SELECT nullif(rodzaj_syreny, '') AS rodzaj_syreny, wlasciciel FROM fx_register) GROUP BY ALL", "fx_register")

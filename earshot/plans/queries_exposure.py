@@ -278,11 +278,15 @@ def selected(t):
 
 
 def base(t):
-    return R.unit_base(R.exposed(unit_points(t)))
+    return t.stage("unit-base", lambda: R.unit_base(R.exposed(unit_points(t))))
+
+
+def selected_stage(t):
+    return t.stage("selected", lambda: selected(t))
 
 
 def gaps(t):
-    return t.stage("gaps", lambda: R.priority_gaps(t.stage("selected", lambda: selected(t)), R.gap_units(gap_points(t)), base(t)))
+    return t.stage("gaps", lambda: R.priority_gaps(selected_stage(t), R.gap_units(gap_points(t)), base(t)))
 
 
 def ranking(t):
@@ -291,7 +295,7 @@ def ranking(t):
 
 @query("d14_percentile_reference", PRIORITY + " SELECT round(ref, 6) AS ref FROM rf", *AF)
 def d14(t):
-    return selected(t).agg(F.round(R.percentile_ref("pop_night"), 6).alias("ref"))
+    return t.spark.range(1).select(F.round(F.lit(R.percentile_ref(selected_stage(t), "pop_night")), 6).alias("ref"))
 
 
 @query("d15_priority_scores", PRIORITY + " SELECT gap_id, score FROM pg", *AF)

@@ -1,6 +1,7 @@
 """Goldens, invariants and edge cases of the coverage operators."""
 
 import math
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,8 +10,10 @@ from pyspark.sql import functions as F
 
 from earshot.functions import geo
 from earshot.functions import scalars as S
-from earshot.operators import audit, changes, components, coverage, grid, population, risk, spatial_join
+from earshot.operators import audit, changes, components, coverage, grid, population, quantiles, risk, spatial_join
+from earshot.plans import registry
 from earshot.sources import files
+from tests.conftest import SF
 
 
 def one(spark, **columns):
@@ -157,3 +160,31 @@ def test_free_field_level_by_hand(spark):
     sites = spark.createDataFrame([(50, 50, 103, 1), (250, 50, 115, 2)], "x bigint, y bigint, spl30 int, site_uid bigint")
     got = {(r.cx, r.cy): (r.level, r.site_uid) for r in coverage.best_levels(sites, 100).collect()}
     assert got[(0, 0)] == (round(115 - 20 * math.log10(200 / 30), 6), 2) if 200 <= 30 * 10 ** (15 / 20) else got[(0, 0)] == (103.0, 1)
+
+
+def test_quantiles_against_sorting(spark):
+    draw = random.Random(11)
+    values = [draw.choice([draw.gauss(0, 1e6), draw.randrange(5), 1e-9 * draw.random(), 7.0]) for _ in range(3000)] + [None, 1e18, -1e18]
+    df = spark.createDataFrame([(i % 3, v if v is None else float(v)) for i, v in enumerate(values)], "g int, v double")
+    for p in (0.0, 0.05, 0.5, 0.95, 0.999, 1.0):
+        want = df.agg(F.percentile("v", p)).first()[0]
+        assert quantiles.quantile(df, "v", p) == want and quantiles.quantile(df, "v", p, bins=2) == want
+        by_group = {r.g: r.q for r in quantiles.grouped(df.groupBy("g", "v").count(), ["g"], "v", "count", p, "q").collect()}
+        assert by_group == {r.g: r.q for r in df.groupBy("g").agg(F.percentile("v", p).alias("q")).collect()}
+    assert quantiles.quantile(df.where("v > 1e30"), "v", 0.5) is None and quantiles.quantile(df.where("v = 7"), "v", 0.3) == 7.0
+
+
+def test_no_aggregate_buffer_holds_a_table(spark):
+    for name in ("c23_imputation_report", "d21_priority_gaps", "q13_median_mad", "q30_audit_summary", "r09_existing_recommendations"):
+        plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().toString().lower()
+        assert "percentile(" not in plan and "median(" not in plan
+
+
+def test_repeated_flag_with_many_blanks(spark):
+    df = spark.range(900).select(F.when(F.col("id") % 3 > 0, F.col("id") - F.col("id") % 4).alias("k"))
+    got = audit.repeated_flag(df, F.col("k"), "d")
+    counts = {}
+    for r in df.collect():
+        counts[r.k] = counts.get(r.k, 0) + 1
+    assert got.where("d").count() == sum(n for n in counts.values() if n > 1) and got.count() == 900
+    assert audit.repeated_flag(df.limit(0), F.col("k"), "d").count() == 0
