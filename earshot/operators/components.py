@@ -1,4 +1,4 @@
-"""Connected components of an edge table, and 8-connected labels of grid cells."""
+"""Connected components of an edge table, and runs of grid cells."""
 
 from __future__ import annotations
 
@@ -55,15 +55,3 @@ def cell_runs(cells: DataFrame, *keys: str) -> DataFrame:
     island = F.col("cx") - F.row_number().over(order)
     inside = Window.partitionBy(*keys, "cy", "island")
     return cells.withColumn("island", island).withColumn("start", F.min("cx").over(inside)).drop("island")
-
-
-def label_cells(cells: DataFrame) -> DataFrame:
-    """(cx, cy, gap_id): 8-connected components of distinct cells; the label is the
-    key of the component's first cell. Rows of cells are shortened to runs first,
-    so the iteration sees runs, which are far fewer."""
-    runs = materialize(cell_runs(cells.select("cx", "cy")).withColumn("run", F.col("cy") * KEY + F.col("start")), "runs")
-    beside = runs.select(F.explode(F.sequence(F.col("cx") - 1, F.col("cx") + 1)).alias("cx"), (F.col("cy") + 1).alias("cy"), F.col("run").alias("a"))
-    edges = beside.join(runs.select("cx", "cy", F.col("run").alias("b")), ["cx", "cy"]).select("a", "b").distinct()
-    found = connected_components(edges).select(F.col("node").alias("run"), "component")
-    labelled = runs.join(found, "run", "left")
-    return labelled.select("cx", "cy", F.coalesce("component", "run").alias("gap_id"))

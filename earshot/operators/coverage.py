@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from earshot.functions import scalars as S
-from earshot.operators.grid import CELL, areas, window_cells
+from earshot.operators.grid import CELL, areas
+from earshot.operators.tiles import UID_BITS, best_packed
 
 # fixed values
 PROFILES = [(450, 300, 103, "nearest_profile_300"), (750, 600, 109, "nearest_profile_600"), (1050, 900, 112, "nearest_profile_900"), (None, 1200, 115, "nearest_profile_1200_or_cap")]
@@ -92,8 +93,6 @@ ROADS = [
     "track",
 ]
 NUMBERING_BLOCK = 4096
-#: Low bits of a packed maximum that hold the site.
-UID_BITS = 36
 
 
 def profile(power: Column) -> tuple[Column, Column, Column]:
@@ -135,17 +134,14 @@ def best_levels(sites: DataFrame, least: float, cell: int = CELL) -> DataFrame:
     """(cx, cy, level, site_uid): the strongest free-field level of each cell in
     reach of ``least`` dB (0 at least) and its site; equal levels go to the smaller uid.
 
-    Level (in millionths) and uid are packed into one long, so the maximum is a
-    hash aggregate; the maximum of a struct would sort all exploded rows.
+    Level (in millionths) and uid are packed into one long and the maxima taken tile
+    by tile, so cells are not shuffled; see ``tiles``.
     """
     if least < 0:
         raise ValueError("least must not be negative")
-    seen = window_cells(sites.select("x", "y", "spl30", "site_uid", radius(F.col("spl30"), least).alias("__r")), "__r", cell)
-    level = F.round(F.col("spl30") - 20 * F.log10(F.greatest(F.col("dist"), F.lit(REFERENCE_M)) / REFERENCE_M), 6)
-    packed = F.shiftleft(F.round(level * 1e6).cast("bigint"), UID_BITS) + (F.lit(2**UID_BITS - 1) - F.col("site_uid"))
-    best = seen.select("cx", "cy", packed.alias("p")).groupBy("cx", "cy").agg(F.max("p").alias("p"))
+    found = best_packed(sites.select("x", "y", "spl30", "site_uid", radius(F.col("spl30"), least).alias("r")), REFERENCE_M, cell)
     uid = F.lit(2**UID_BITS - 1) - F.col("p").bitwiseAND(F.lit(2**UID_BITS - 1))
-    return best.select("cx", "cy", (F.shiftright("p", UID_BITS) / 1e6).alias("level"), uid.alias("site_uid"))
+    return found.select("cx", "cy", (F.shiftright("p", UID_BITS) / 1e6).alias("level"), uid.alias("site_uid"))
 
 
 def clutter_cells(touched: DataFrame) -> DataFrame:

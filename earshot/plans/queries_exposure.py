@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from earshot.operators import components as K
+from earshot.operators import tiles
 from earshot.operators import grid as G
 from earshot.operators import population as P
 from earshot.operators import risk as R
@@ -76,7 +76,7 @@ def covered_points(t):
 
 
 def gap_labels(t):
-    return t.stage("gap_labels", lambda: K.label_cells(R.gap_cells(risk_cells(t), covered_stage(t))))
+    return t.stage("gap_labels", lambda: tiles.label_cells(R.gap_cells(risk_cells(t), covered_stage(t))))
 
 
 def unit_points(t):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions import geo
 from earshot.functions import scalars as S
-from earshot.operators import audit, changes, components, coverage, grid, population, quantiles, risk, spatial_join
+from earshot.operators import audit, changes, components, coverage, grid, population, quantiles, risk, spatial_join, tiles
 from earshot.plans import registry
 from earshot.sources import files
 from tests.conftest import SF
@@ -75,7 +75,7 @@ def _reach(cells):
 def test_labels_are_components(spark, cells):
     df = spark.createDataFrame(sorted(cells), "cx bigint, cy bigint")
     got = {}
-    for r in components.label_cells(df).collect():
+    for r in tiles.label_cells(df).collect():
         got.setdefault(r.gap_id, set()).add((r.cx, r.cy))
     assert {frozenset(v) for v in got.values()} == _reach(cells)
     assert all(k == min(y * components.KEY + x for x, y in v) for k, v in got.items())
@@ -188,3 +188,39 @@ def test_repeated_flag_with_many_blanks(spark):
         counts[r.k] = counts.get(r.k, 0) + 1
     assert got.where("d").count() == sum(n for n in counts.values() if n > 1) and got.count() == 900
     assert audit.repeated_flag(df.limit(0), F.col("k"), "d").count() == 0
+
+
+@pytest.mark.parametrize("share", [0.3, 0.45, 0.7])
+def test_labels_across_tiles(spark, share):
+    draw = random.Random(int(share * 100))
+    edge = tiles.TILE
+    cells = {(x, y) for x in range(-9, 9) for y in range(edge - 9, edge + 9) if draw.random() < share}  # around a corner of four tiles
+    cells |= {(x, 2 * edge - 1) for x in range(-200, 200)} | {(199, y) for y in range(edge + 20, 2 * edge)}  # a line through several
+    df = spark.createDataFrame(sorted(cells), "cx bigint, cy bigint")
+    got = {}
+    for r in tiles.label_cells(df).collect():
+        got.setdefault(r.gap_id, set()).add((r.cx, r.cy))
+    assert {frozenset(v) for v in got.values()} == _reach(cells)
+    assert all(k == min(y * components.KEY + x for x, y in v) for k, v in got.items())
+    assert tiles.label_cells(df.limit(0)).count() == 0
+
+
+def test_best_levels_of_a_crowded_tile(spark):
+    draw = random.Random(8)
+    sites = [(i, float(draw.randrange(-2000, 14_000)), float(draw.randrange(0, 3000)), float(draw.choice([103, 109, 115]))) for i in range(1, 80)]
+    sites += [(i, 500.0, 500.0, 109.0) for i in range(100, 200)]  # equal levels: the smallest uid wins
+    df = spark.createDataFrame(sites, "site_uid bigint, x double, y double, spl30 double")
+    near = df.withColumn("r", coverage.radius(F.col("spl30"), 85))
+    plain = {tuple(r) for r in tiles.best_packed(near, 30.0).collect()}
+    assert plain == {tuple(r) for r in tiles.best_packed(near, 30.0, hot=7).collect()}
+    want = {}
+    for uid, x, y, spl in sites:
+        r = 30 * 10 ** ((spl - 85) / 20)
+        for cx in range(int((x - r) // 100), int((x + r) // 100) + 1):
+            for cy in range(int((y - r) // 100), int((y + r) // 100) + 1):
+                d = math.hypot((cx + 0.5) * 100 - x, (cy + 0.5) * 100 - y)
+                if d <= r:
+                    level = (round(spl - 20 * math.log10(max(d, 30) / 30), 6), -uid)
+                    want[cx, cy] = max(want.get((cx, cy), level), level)
+    got = {(r.cx, r.cy): (r.level, -r.site_uid) for r in coverage.best_levels(df, 85).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k][0] - want[k][0]) < 2e-6 and got[k][1] == want[k][1] for k in want)
