@@ -17,13 +17,18 @@ rows of a stratum. Texts are never shuffled.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from earshot.llm.common import materialize, table
+from earshot.llm.common import broadcast_if_small, materialize, table
+from earshot.operators import ranks
 
 SHARDS, SEED, BUCKET_ROWS, GROUP = 8, "2026", 1_024, 4_096
+#: Up to so many different repeated rows (about 80 bytes each) are broadcast.
+BROADCAST_COPIES = 300_000
 
 
 def _hex_fraction(text: Column, digits: int = 8) -> Column:
@@ -46,6 +51,24 @@ def _numbered(rows: DataFrame, strata: list[str], bucket: str, order: list[str],
     return rows.withColumn("__place", place).join(starts, [*strata, bucket]).withColumn(name, F.col("__start") + F.col("__place")).drop("__start", "__place")
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``copy``: numbers from 0 among rows that are equal in all columns. Only repeated rows are numbered,
+    over range partitions, so copies that are a third of all rows are numbered by many tasks."""
+    keys = rows.columns
+    same = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n").withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = materialize(same, "copies")
+    n = same.count()
+    if not n:
+        return rows.withColumn("copy", F.lit(0).cast("bigint"))
+    equal = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
+    known = broadcast_if_small(same, n, BROADCAST_COPIES)
+    again = materialize(rows.join(known, equal, "left_semi").withColumn("__row", F.monotonically_increasing_id()), "copied-rows")
+    placed = materialize(ranks.row_number(again, [*(F.asc_nulls_first(k) for k in keys), F.col("__row")], "__at"), "numbered-copies")
+    first = placed.groupBy(*keys).agg(F.min("__at").alias("__first")).withColumnsRenamed({k: f"__{k}" for k in keys})
+    numbered = placed.join(broadcast_if_small(first, n, BROADCAST_COPIES), equal).select(*keys, (F.col("__at") - F.col("__first")).alias("copy"))
+    return rows.join(known, equal, "left_anti").withColumn("copy", F.lit(0).cast("bigint")).unionByName(numbered)
+
+
 def shard(
     docs: DataFrame,
     shards: int = SHARDS,
@@ -59,9 +82,10 @@ def shard(
 
     ``size`` is the text's UTF-8 bytes plus 1 (a null text has none, so 1) and
     its crc32 that of the empty text. A null source is a source of its own, named ''.
-    Rows are told apart by id, then size and crc32; rows that repeat all of them
-    are interchangeable. Null ids are shuffled as ''. An empty table gives no rows;
-    other columns are not read.
+    Rows are told apart by id, size and crc32, and rows that repeat all of them by a
+    number among themselves (they are interchangeable); all of it goes into the draw, so
+    neither null ids nor copies of one row meet in a bucket. Null ids are shuffled as ''.
+    An empty table gives no rows; other columns are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
@@ -70,8 +94,9 @@ def shard(
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
     )
-    rows = rows.withColumn("draw", F.md5(F.concat(F.lit(seed + "/"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")))
-    rows = materialize(rows, "shard-rows")
+    rows = materialize(_counted(materialize(rows, "shard-rows")), "shard-draws")
+    parts = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), *(F.col(c).cast("string") for c in ("size", "text_crc32", "copy"))]
+    rows = rows.withColumn("draw", F.md5(F.concat_ws("/", F.lit(seed), *parts).cast("binary"))).drop("copy")
     total = rows.count()
     buckets = max(1, total // bucket_rows)
     totals = materialize(rows.groupBy("source").agg(F.count(F.lit(1)).alias("n")), "sources")
@@ -102,14 +127,16 @@ WITH crc AS (
          CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
 d AS (
   SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
-         md5('2026/' || coalesce(doc_id::VARCHAR, '')) AS draw, coalesce(source, '') AS source,
+         coalesce(source, '') AS source,
          xor(list_reduce(list_concat([4294967295], list_transform(range(octet_length(encode(coalesce(text, '')))),
              lambda i: ('0x' || substr(hex(encode(text)), (2 * i + 1)::BIGINT, 2))::BIGINT)),
              lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32
   FROM documents, crc),
+e AS (
+  SELECT *, md5('2026/' || coalesce(doc_id::VARCHAR, '') || '/' || size || '/' || text_crc32::BIGINT || '/' || row_number() OVER (PARTITION BY doc_id, size, text_crc32, source) - 1) AS draw FROM d),
 r AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY draw, doc_id, size, text_crc32) AS rank,
-         count(*) OVER (PARTITION BY source) AS n, count(*) OVER () AS total FROM d),
+         count(*) OVER (PARTITION BY source) AS n, count(*) OVER () AS total FROM e),
 p AS (
   SELECT *, row_number() OVER (ORDER BY
          (rank::DOUBLE - ('0x' || substr(md5(source), 1, 8))::BIGINT::DOUBLE / 4294967296::DOUBLE) / n::DOUBLE,

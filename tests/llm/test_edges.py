@@ -447,3 +447,21 @@ def test_large_ids_beside_nulls_stay_whole(spark):
         ngram_join.ngram_components(df),
     ]
     assert all({r.doc_id for r in f.collect()} == {big, None} and dict(f.dtypes)["doc_id"] == "bigint" for f in found)
+
+
+def test_sharding_of_null_ids_and_copies(spark):
+    n = 6_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"),  # a third has no id ...
+        F.when(F.col("id") % 6 == 0, "one text").otherwise(F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text"),  # ... half of them with one text
+        F.lit("only").alias("source"),
+    )
+    rows = df.select("doc_id", F.octet_length("text").alias("size"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"), "source")
+    counted = sharding._counted(rows)
+    assert counted.count() == n and counted.distinct().count() == n and counted.where("size = 8").agg(F.max("copy")).first()[0] == n // 6 - 1
+    drawn = counted.select(F.floor(F.conv(F.substring(F.md5(F.concat_ws("/", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in counted.columns))), 1, 8), 16, 10).cast("double") / 2**32 * (n // 2)).alias("bucket"))
+    assert drawn.groupBy("bucket").count().agg(F.max("count")).first()[0] < 12  # two rows a bucket are expected
+    got = sharding.shard(df, bucket_rows=2).collect()
+    assert len(got) == n and {r.shard: 0 for r in got}.keys() == set(range(8))
+    for k in range(8):
+        assert sorted(r.slot for r in got if r.shard == k) == list(range(n // 8))
