@@ -224,3 +224,23 @@ def test_best_levels_of_a_crowded_tile(spark):
                     want[cx, cy] = max(want.get((cx, cy), level), level)
     got = {(r.cx, r.cy): (r.level, -r.site_uid) for r in coverage.best_levels(df, 85).collect()}
     assert got.keys() == want.keys() and all(abs(got[k][0] - want[k][0]) < 2e-6 and got[k][1] == want[k][1] for k in want)
+
+
+def test_nearest_with_a_third_of_all_points_in_one_bin(spark):
+    draw = random.Random(12)
+    crowd = [(i, 5_000 + draw.randrange(60), 5_000 + draw.randrange(60)) for i in range(400)]
+    right = [(1000 + i, draw.randrange(12_000), draw.randrange(12_000)) for i in range(800)] + crowd + [(5000, 5_010, 5_010), (5001, 5_010, 5_010), (5002, None, 3)]
+    left = [(i, draw.randrange(-500, 12_500), draw.randrange(-500, 12_500)) for i in range(500)] + [(600 + i, 4_000 + draw.randrange(2_000), 4_000 + draw.randrange(2_000)) for i in range(300)] + [(999, 5_010, 5_010)]
+    lefts, rights = spark.createDataFrame(left, "l bigint, x bigint, y bigint"), spark.createDataFrame(right, "r bigint, x bigint, y bigint")
+    want = set()
+    for key, x, y in left:
+        far = [((x - rx) ** 2 + (y - ry) ** 2, r) for r, rx, ry in right if rx is not None]
+        least = min(far)[0]
+        want |= {(key, r, math.sqrt(d)) for d, r in far if d == least} if least <= 1_000**2 else {(key, None, None)}
+    for leaf in (10, 10**6):
+        assert {tuple(r) for r in spatial_join.nearest(lefts, rights, 1_000, "l", "r", leaf=leaf).collect()} == want
+    places = rights.where("x is not null").select(F.col("x").cast("double").alias("rx"), F.col("y").cast("double").alias("ry")).distinct()
+    levels = spatial_join._adaptive_grid(places, 1_000, 10)
+    assert len(levels) > 3 and levels[-1].agg(F.max("n")).first()[0] <= 10
+    pairs = spatial_join._reachable_leaves(lefts.withColumnRenamed("l", "lid").select("lid", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), levels, 1_000)
+    assert pairs.groupBy("lid").count().agg(F.avg("count")).first()[0] < 8  # a handful of leaves of at most ten places, not the crowd
