@@ -14,6 +14,8 @@ from earshot.operators import grid as G
 from earshot.operators import polygons as PG
 from earshot.operators import spatial_join as J
 from earshot.plans.registry import query
+from earshot.sources import spatial
+from earshot.sources.storage import shared_path
 
 DB = (80, 85, 90)
 c = F.col
@@ -85,6 +87,31 @@ def src04(t):
     return z.where((z.xmin <= 430000) & (z.xmin + z.w >= 410000) & (z.ymin <= 530000) & (z.ymin + z.h >= 510000)).select("zone_id", "risk")
 
 
+def risk_layer(t, file_rows: int = 2_000) -> str:
+    """The zones, written in spatial order; the folder."""
+
+    def make():
+        path = shared_path(t.spark, "risk-layer")
+        z = t.fx_risk
+        spatial.write_layer(z, path, [z.xmin, z.ymin, z.xmin + z.w, z.ymin + z.h], file_rows)
+        return t.spark.range(1).select(F.lit(path).alias("path"))
+
+    return t.stage("risk-layer", make).first()["path"]
+
+
+@query("src04_pruned_scan", "SELECT zone_id, risk FROM fx_risk WHERE xmin <= 430000 AND xmin + w >= 410000 AND ymin <= 530000 AND ymin + h >= 510000", "fx_risk")
+def src04_pruned(t):
+    """The same window over a layer in spatial order: only files whose box meets it are opened."""
+    return spatial.read_layer(t.spark, risk_layer(t), (410000, 510000, 430000, 530000)).select("zone_id", "risk")
+
+
+@query("src14_spatial_layer", "SELECT risk, count(*) AS n, min(xmin) AS xmin, max(ymin + h) AS ymax FROM fx_risk GROUP BY risk", "fx_risk")
+def src14_spatial(t):
+    """All rows of the layer as they were written."""
+    rows = t.spark.read.parquet(risk_layer(t))
+    return rows.groupBy("risk").agg(F.count(F.lit(1)).alias("n"), F.min("xmin").alias("xmin"), F.max(c("ymin") + c("h")).alias("ymax"))
+
+
 @query("src05_attribute_scan", "SELECT p_partkey, p_type FROM part WHERE p_type IN ('ECONOMY', 'PROMO')")
 def src05(t):
     return t.part.where(c("p_type").isin("ECONOMY", "PROMO")).select("p_partkey", "p_type")
@@ -99,10 +126,25 @@ def src06(t):
 
 @query("src08_raster_window", f"cl AS (SELECT cx, cy, max(risk) AS risk FROM {_box_cells('fx_risk', False)} GROUP BY ALL) SELECT * FROM cl WHERE cx BETWEEN 4100 AND 4300 AND cy BETWEEN 5050 AND 5250", "fx_risk")
 def src08(t):
-    cells = G.box_cells(t.fx_risk).groupBy("cx", "cy").agg(F.max("risk").alias("risk"))
+    z = t.fx_risk
+    near = z.where((z.xmin < 430_100) & (z.xmin + z.w >= 410_000) & (z.ymin < 525_100) & (z.ymin + z.h >= 505_000))
+    cells = G.box_cells(near).groupBy("cx", "cy").agg(F.max("risk").alias("risk"))
     return cells.where("cx between 4100 and 4300 and cy between 5050 and 5250")
 
 
+@query("src08_tile_scan", f"cl AS (SELECT cx, cy, max(risk) AS risk FROM {_box_cells('fx_risk', False)} GROUP BY ALL) SELECT * FROM cl WHERE cx BETWEEN 4100 AND 4300 AND cy BETWEEN 5050 AND 5250", "fx_risk")
+def src08_tiles(t):
+    """The window of a cell table that is written by tiles: folders of other tiles are not listed for reading."""
+
+    def make():
+        path = shared_path(t.spark, "risk-cells")
+        spatial.write_cells(risk_cells(t), path)
+        return t.spark.range(1).select(F.lit(path).alias("path"))
+
+    path = t.stage("risk-cells-by-tile", make).first()["path"]
+    return spatial.read_cells(t.spark, path, (4100, 5050, 4300, 5250))
+
+
 @query("src09_census_summary", "SELECT count(*) AS cells, sum(tot)::BIGINT AS people, count(*) FILTER (tot > 0) AS populated FROM fx_popgrid", "fx_popgrid")
 def src09(t):
     return t.fx_popgrid.agg(F.count(F.lit(1)).alias("cells"), F.sum("tot").alias("people"), F.count_if(c("tot") > 0).alias("populated"))
