@@ -93,6 +93,12 @@ def parse_number(c: Column) -> Column:
     return F.when(digits.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), digits.try_cast("double"))
 
 
+def plain_number(c: Column) -> Column:
+    """A number whose comma may stand for the point; unlike ``parse_number`` blanks inside make it none."""
+    digits = F.replace(clean_text(c), F.lit(","), F.lit("."))
+    return F.when(digits.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), digits.try_cast("double"))
+
+
 def parse_failed(c: Column) -> Column:
     """A value that is neither blank nor N/D and no number."""
     return clean_or_null(c).isNotNull() & ~is_nd(c) & parse_number(c).isNull()
@@ -109,7 +115,7 @@ def lenient_float(c: Column) -> Column:
 
 def date_iso(c: Column) -> Column:
     """Day-first date as ISO text, '' where unreadable."""
-    parsed = F.coalesce(*(F.expr("null").cast("date") if f is None else F.try_to_date(F.trim(c), f) for f in ("d.M.yyyy", "d/M/yyyy", "yyyy-MM-dd")))
+    parsed = F.coalesce(*(F.expr("null").cast("date") if f is None else F.try_to_date(F.trim(c), f) for f in ("d.M.yyyy", "d/M/yyyy", "d-M-yyyy", "yyyy-MM-dd")))
     return F.coalesce(F.date_format(parsed, "yyyy-MM-dd"), F.lit(""))
 
 

@@ -566,13 +566,15 @@ def normalise(df: DataFrame, flags: DataFrame) -> DataFrame:
     statuses = {f"{s}_status": F.upper(S.clean_text(F.col(s))) for s in STATUSES}
     counted = [f for f in flags.columns if f.startswith(("anomaly_", "has_"))]
     zero = F.lit(0)
+    whole = lambda n: F.bround(S.plain_number(F.col(n).cast("string"))).cast("bigint")
+    decimal = lambda n: F.coalesce(S.plain_number(F.col(n)), F.lit(0.0))
     out = df.join(flags.withColumnRenamed("nr_ref", "__ref"), S.clean_text(F.col("nr_ref")) == F.col("__ref"), "left")
     return out.select(
-        F.coalesce(S.parse_integer(F.col("lp").cast("string")), zero).alias("lp"),
+        F.coalesce(whole("lp"), zero).alias("lp"),
         blank(S.clean_text(F.col("nr_ref"))).alias("nr_ref"), blank(S.date_iso(F.col("data"))).alias("data_iso"),
         *(blank(v).alias(n) for n, v in texts.items()), blank(S.clean_text(F.col("kod_swd"))).alias("kod_swd"),
-        F.coalesce(S.parse_integer(F.col("moc_w")), zero).alias("moc_w"), F.coalesce("height", F.lit(0.0)).alias("wysokosc_nad_terenem_m"),
-        F.coalesce("lat_n", F.lit(0.0)).alias("lat"), F.coalesce("lon_n", F.lit(0.0)).alias("lon"),
+        F.coalesce(whole("moc_w"), zero).alias("moc_w"), decimal("wysokosc").alias("wysokosc_nad_terenem_m"),
+        decimal("lat").alias("lat"), decimal("lon").alias("lon"),
         *(blank(v).alias(n) for n, v in statuses.items()),
         *(F.coalesce(S.status_flag(F.col(s)), zero).alias(f"{s}_flag") for s in STATUSES),
         *(F.coalesce(F.col(n), zero).alias(n) for n in counted),

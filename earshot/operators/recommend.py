@@ -39,6 +39,7 @@ PUBLIC_TYPES = {
 }
 MOUNT_TYPES = ["fire_station", "public", "civic", "city_hall", "office", "government", "school", "kindergarten", "sports_centre", "transportation"]
 TOP_GAPS, MOUNT_RADIUS_M, PUBLIC_BONUS, MISSING_LINK_SCORE = 2500, 2000, 5.0, 55.0
+RISK_LABELS = {1: "niskie ryzyko", 2: "wysokie ryzyko"}
 PURCHASE = [
     "candidate_id",
     "nr_ref",
@@ -164,7 +165,7 @@ def purchase_list(new: DataFrame, existing: DataFrame, missing: DataFrame, units
         recommended_action=c("action"),
         priority_class=c("priority_class"),
         priority_score_v13=c("score_v13"),
-        risk_class=c("risk").cast("string"),
+        risk_class=F.when(c("risk") == 1, RISK_LABELS[1]).when(c("risk") == 2, RISK_LABELS[2]).otherwise("brak"),
         recommended_power_class_w=c("power_w").cast("bigint"),
         new_pop_ge65_proxy=people,
         flood_risk_pop_ge65_gain_proxy=people,

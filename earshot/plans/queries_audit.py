@@ -388,12 +388,17 @@ def _zero(x: str) -> str:
     return f"coalesce(nullif({x}, ''), '0')"
 
 
+def _plain(n: str) -> str:
+    """A number in which a comma may stand for the point, but no blank may stand."""
+    return NUMBER.replace("{0}", f"replace({_text(n)}, ',', '.')")
+
+
 NORMAL = (
     FLAGS
     + f""", nm AS (SELECT r.lp, {_zero(_text("r.nr_ref"))} AS nr_ref,
-  {_zero(f"strftime(coalesce(try_strptime(trim(data), '%d.%m.%Y'), try_strptime(trim(data), '%d/%m/%Y'), try_strptime(trim(data), '%Y-%m-%d')), '%Y-%m-%d')")} AS data_iso,
+  {_zero(f"strftime(coalesce(try_strptime(trim(data), '%d.%m.%Y'), try_strptime(trim(data), '%d/%m/%Y'), try_strptime(trim(data), '%d-%m-%Y'), try_strptime(trim(data), '%Y-%m-%d')), '%Y-%m-%d')")} AS data_iso,
   {", ".join(f"{_zero(_text(n))} AS {n}, {_zero(slug(n))} AS {n}_key" for n in _TEXTS)}, {_zero(_text("kod_swd"))} AS kod_swd,
-  coalesce(round_even(power, 0)::BIGINT, 0) AS moc_w, coalesce(height, 0) AS wysokosc_nad_terenem_m, coalesce(lat_n, 0) AS lat, coalesce(lon_n, 0) AS lon,
+  coalesce(round_even({_plain("r.moc_w")}, 0)::BIGINT, 0) AS moc_w, coalesce({_plain("r.wysokosc")}, 0) AS wysokosc_nad_terenem_m, coalesce({_plain("r.lat")}, 0) AS lat, coalesce({_plain("r.lon")}, 0) AS lon,
   {", ".join(f"{_zero(f'upper({_text(s)})')} AS {s}_status, coalesce({flag(s)}, 0) AS {s}_flag" for s in A.STATUSES)},
   {", ".join(f"coalesce({n}, 0) AS {n}" for n in _COUNTED + _HAS)},
   coalesce(max_anomaly_severity, '0') AS max_anomaly_severity, coalesce(record_status, 'OK') AS record_status, (record_status IS NULL)::BIGINT AS is_clean_record

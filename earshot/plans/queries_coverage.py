@@ -13,6 +13,7 @@ from earshot.operators import coverage as V
 from earshot.operators import grid as G
 from earshot.operators import polygons as PG
 from earshot.operators import spatial_join as J
+from earshot.operators import voronoi
 from earshot.plans.registry import query
 from earshot.sources import spatial
 from earshot.sources.storage import shared_path
@@ -557,6 +558,12 @@ def a13(t):
     return V.ring_ranges(J.nearest_site_of_cells(s, "r_80"), s, DB)
 
 
+@query("a13_exact_ranges")
+def a13_exact(t):
+    """Ring areas of each site's own part of the plane, exact where ``a13_ring_ranges`` counts cells."""
+    return voronoi.exact_ranges(sites(t), {d: f"r_{d}" for d in DB}).select("site_uid", "db", F.round("area_m2", 2).alias("area_m2"))
+
+
 @query("a14_station_export", SITES + " SELECT site_uid, nr_ref, kind, moc_w, prof_w, spl30, site_cnt, x, y FROM sd", "fx_sites")
 def a14(t):
     return sites(t).select("site_uid", "nr_ref", "kind", "moc_w", "prof_w", "spl30", "site_cnt", "x", "y")

@@ -202,7 +202,7 @@ def _present_sql(source: str, candidate: str, score: str, action: str, cost: str
 PURCHASES = CAND + CRIT[len(COVERED_POINTS):] + f""", nm1 AS (SELECT unit_no, gmi, 'Province ' || substr(gmi, 1, 2) AS wojewodztwo, 'County ' || substr(gmi, 1, 4) AS powiat, name AS gmina FROM fx_admin),
  ms AS (SELECT * FROM fx_sites WHERE gsm_flag = 0 AND nr_ref NOT IN (SELECT nr_ref FROM er)),
  pl AS (SELECT 'NEW-' || gap_id::VARCHAR AS candidate_id, '' AS nr_ref, coalesce(un.wojewodztwo, '') AS wojewodztwo, coalesce(un.powiat, '') AS powiat, coalesce(un.gmina, '') AS gmina, coalesce(cd.gmi, '') AS teryt_gmi,
-   act AS recommended_action, priority_class, score_v13 AS priority_score_v13, cd.risk::VARCHAR AS risk_class, power_w::BIGINT AS recommended_power_class_w, round_even(pop_night, 2) AS new_pop_ge65_proxy,
+   act AS recommended_action, priority_class, score_v13 AS priority_score_v13, CASE cd.risk WHEN 1 THEN 'niskie ryzyko' WHEN 2 THEN 'wysokie ryzyko' ELSE 'brak' END AS risk_class, power_w::BIGINT AS recommended_power_class_w, round_even(pop_night, 2) AS new_pop_ge65_proxy,
    round_even(pop_night, 2) AS flood_risk_pop_ge65_gain_proxy, 0::DOUBLE AS redundancy_gain_pop_proxy, 0::DOUBLE AS failure_loss_pop_night_proxy, cost_pln AS estimated_cost_pln, ({_PPP})::DOUBLE AS cost_per_new_person_ge65_pln,
    round(lat, 7) AS candidate_lat, round(lon, 7) AS candidate_lon, source AS candidate_source, type AS candidate_type, 'gap_population_proxy' AS effect_method
    FROM cd LEFT JOIN nm1 un ON un.gmi = cd.gmi JOIN (SELECT gap_id, lat, lon FROM {_degrees_sql('x', 'y', 'cd', 'gap_id')}) USING (gap_id)

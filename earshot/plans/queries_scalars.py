@@ -72,7 +72,7 @@ _scalar("scl10_parse_integer", f"round_even({_NUM}, 0)::BIGINT", lambda: S.parse
 _scalar("scl11_lenient_float", "coalesce(" + NUMBER.format(f"replace(regexp_replace(split_part(num, ';', 1), '{WS}', '', 'g'), ',', '.')") + ", 0)", lambda: S.lenient_float(c("num")))
 _scalar(
     "scl12_date_iso",
-    "coalesce(strftime(coalesce(try_strptime(trim(day), '%d.%m.%Y'), try_strptime(trim(day), '%d/%m/%Y'), try_strptime(trim(day), '%Y-%m-%d')), '%Y-%m-%d'), '')",
+    "coalesce(strftime(coalesce(try_strptime(trim(day), '%d.%m.%Y'), try_strptime(trim(day), '%d/%m/%Y'), try_strptime(trim(day), '%d-%m-%Y'), try_strptime(trim(day), '%Y-%m-%d')), '%Y-%m-%d'), '')",
     lambda: S.date_iso(c("day")),
 )
 _scalar("scl13_round_step", "round_even(v / 0.5e0, 0) * 0.5e0", lambda: S.round_step(c("v"), 0.5))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions import geo
 from earshot.functions import scalars as S
-from earshot.operators import audit, changes, components, coverage, grid, population, quantiles, risk, spatial_join, tiles
+from earshot.operators import audit, changes, components, coverage, grid, population, quantiles, risk, spatial_join, tiles, voronoi
 from earshot.plans import registry
 from earshot.sources import files
 from tests.conftest import SF
@@ -244,3 +244,37 @@ def test_nearest_with_a_third_of_all_points_in_one_bin(spark):
     assert len(levels) > 3 and levels[-1].agg(F.max("n")).first()[0] <= 10
     pairs = spatial_join._reachable_leaves(lefts.withColumnRenamed("l", "lid").select("lid", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), levels, 1_000)
     assert pairs.groupBy("lid").count().agg(F.avg("count")).first()[0] < 8  # a handful of leaves of at most ten places, not the crowd
+
+
+def test_circle_and_polygon():
+    square = [(-1.0, -1.0), (1.0, -1.0), (1.0, 1.0), (-1.0, 1.0)]
+    assert voronoi.circle_area(square, 0.5) == pytest.approx(math.pi / 4)
+    assert voronoi.circle_area(square, 1.0) == pytest.approx(math.pi)  # the sides touch the circle
+    assert voronoi.circle_area(square, 2.0) == pytest.approx(4.0)
+    assert voronoi.circle_area([(0.0, -9.0), (9.0, -9.0), (9.0, 9.0), (0.0, 9.0)], 2.0) == pytest.approx(2 * math.pi)
+    assert voronoi.circle_area(square, 1.2) == pytest.approx(math.pi * 1.44 - 4 * (1.44 * math.acos(1 / 1.2) - math.sqrt(0.44)))
+
+
+def test_exact_ranges_against_cells(spark):
+    draw = random.Random(13)
+    places = {(draw.randrange(9_000), draw.randrange(9_000)) for _ in range(40)} | {(4_000 + draw.randrange(90), 4_000 + draw.randrange(90)) for _ in range(60)}
+    rows = [(i, float(x), float(y), 1_500.0 if i % 2 else 900.0, 600.0, 200.0) for i, (x, y) in enumerate(sorted(places), 1)]
+    sites = spark.createDataFrame(rows, "site_uid bigint, x double, y double, r_65 double, r_70 double, r_75 double")
+    radii = {65: "r_65", 70: "r_70", 75: "r_75"}
+    got = {(r.site_uid, r.db): r.area_m2 for r in voronoi.exact_ranges(sites, radii).collect()}
+    whole = {k: v for k, v in ((tuple(r)[:2], r.area_m2) for r in voronoi.exact_ranges(sites, radii, first_bin=1).collect())}
+    assert got.keys() == whole.keys() and all(abs(got[k] - whole[k]) < 1e-3 for k in got)
+    step, count = 20, {}
+    for cx in range(-1_500 // step, 10_500 // step):
+        for cy in range(-1_500 // step, 10_500 // step):
+            x, y = (cx + 0.5) * step, (cy + 0.5) * step
+            d, i = min((math.hypot(x - r[1], y - r[2]), r[0]) for r in rows if abs(x - r[1]) <= 1_500 and abs(y - r[2]) <= 1_500) if any(abs(x - r[1]) <= 1_500 and abs(y - r[2]) <= 1_500 for r in rows) else (9e9, 0)
+            if i:
+                db = 75 if d <= 200 else 70 if d <= 600 else 65 if d <= rows[i - 1][3] else 0
+                count[i, db] = count.get((i, db), 0) + step * step
+    for key, area in got.items():
+        edge = 2 * math.pi * {65: 2_100, 70: 800, 75: 200}[key[1]]
+        assert abs(area - count.get(key, 0)) <= edge * step, key
+    total = sum(v for k, v in count.items() if k[1])
+    assert abs(sum(got.values()) / total - 1) < 5e-3
+    assert voronoi.exact_ranges(sites.limit(0), radii).count() == 0

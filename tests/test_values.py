@@ -267,3 +267,11 @@ def test_words_of_results(spark):
     assert kinds.get("gap_representative_point", ("gap_centroid", "brak_obiektu_publicznego_w_promieniu")) == ("gap_centroid", "brak_obiektu_publicznego_w_promieniu")
     left = registry.QUERIES["p09_residuals"](spark, SF).select("confidence", "reason").distinct().collect()
     assert set(map(tuple, left)) <= {("low", "no_usable_building_capacity")}
+
+
+def test_numbers_of_the_normalised_register(spark):
+    rows = [("1 200", None), (" 1200,5 ", 1200.5), ("7.25", 7.25), ("1,2,3", None), ("", None), ("x", None), ("1e3", 1000.0)]
+    got = [r[0] for r in spark.createDataFrame(rows, "v string, w double").select(S.plain_number(F.col("v"))).collect()]
+    assert got == [w for _, w in rows]
+    days = spark.createDataFrame([("31-12-2020",), ("1-2-2021",), ("2021-02-03",), ("32-1-2020",)], "d string").select(S.date_iso(F.col("d"))).collect()
+    assert [r[0] for r in days] == ["2020-12-31", "2021-02-01", "2021-02-03", ""]
