@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from earshot.functions import geo
 from earshot.operators import grid as G
 from earshot.operators import polygons as P
-from earshot.plans.queries_coverage import _floor
+from earshot.plans import queries_exposure as E
+from earshot.plans.queries_coverage import COVER, COVER_FIXTURES, _floor, covered_stage
+from earshot.plans.queries_exposure import AF, GAPS
 from earshot.plans.registry import query
 
 c = F.col
@@ -101,29 +103,47 @@ def d04(t):
     return risk_cells(t)
 
 
-# corners by the four cells round each lattice point: one or three of them make one, two that lie across make two;
-# outer rings less holes is a quarter of (ones - threes + 2 x across), where pieces hang together over sides
-@query(
-    "g11_polygons",
-    RISK + """, qd AS (SELECT risk, vx, vy, count(*) AS n, bool_or(d = 0) AND bool_or(d = 3) AND count(*) = 2 OR bool_or(d = 1) AND bool_or(d = 2) AND count(*) = 2 AS across
-      FROM (SELECT risk, cx + d % 2 AS vx, cy + d // 2 AS vy, d FROM rk, (SELECT unnest(range(4)) AS d)) GROUP BY ALL),
-    co AS (SELECT risk, (sum(CASE WHEN n IN (1, 3) THEN 1 WHEN across THEN 2 ELSE 0 END))::BIGINT AS corners, (sum(CASE WHEN n = 1 THEN 1 WHEN n = 3 THEN -1 WHEN across THEN 2 ELSE 0 END))::BIGINT // 4 AS euler FROM qd GROUP BY risk),
-    ar AS (SELECT risk, count(*) * 10000::DOUBLE AS area FROM rk GROUP BY risk),
-    pe AS (SELECT a.risk, (count(*) FILTER (b.risk IS DISTINCT FROM a.risk))::BIGINT AS sides FROM (SELECT risk, cx + dx AS cx, cy + dy AS cy FROM rk, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) v(dx, dy)) a LEFT JOIN rk b USING (cx, cy) GROUP BY a.risk)
-    SELECT risk, area, corners, euler, sides FROM co JOIN ar USING (risk) JOIN pe USING (risk)""",
-    "fx_corners",
-)
-def g11(t):
-    """The outlines of each risk class, summed up: area, corners, sides, outer rings less holes."""
+def _outline_sql(cells: str, key: str) -> str:
+    """Area, corners, sides and outer rings less holes of the cells of each key, without tracing: corners by the four
+    cells round each lattice point (one or three make one, two that lie across make two); outer rings less
+    holes is a quarter of (ones - threes + 2 x across), where pieces hang together over sides."""
+    return f"""qd AS (SELECT {key}, vx, vy, count(*) AS n, bool_or(d = 0) AND bool_or(d = 3) AND count(*) = 2 OR bool_or(d = 1) AND bool_or(d = 2) AND count(*) = 2 AS across
+      FROM (SELECT {key}, cx + d % 2 AS vx, cy + d // 2 AS vy, d FROM {cells}, (SELECT unnest(range(4)) AS d)) GROUP BY ALL),
+    cn AS (SELECT {key}, (sum(CASE WHEN n IN (1, 3) THEN 1 WHEN across THEN 2 ELSE 0 END))::BIGINT AS corners, (sum(CASE WHEN n = 1 THEN 1 WHEN n = 3 THEN -1 WHEN across THEN 2 ELSE 0 END))::BIGINT // 4 AS euler FROM qd GROUP BY {key}),
+    ar AS (SELECT {key}, count(*) * 10000::DOUBLE AS area FROM {cells} GROUP BY {key}),
+    pe AS (SELECT a.{key}, (count(*) FILTER (b.{key} IS DISTINCT FROM a.{key}))::BIGINT AS sides FROM (SELECT {key}, cx + dx AS cx, cy + dy AS cy FROM {cells}, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) v(dx, dy)) a
+      LEFT JOIN {cells} b USING (cx, cy) GROUP BY a.{key})
+    SELECT {key}, area, corners, euler, sides FROM cn JOIN ar USING ({key}) JOIN pe USING ({key})"""
+
+
+def _outlines(cells, key: str):
+    """The outlines of each key's cells, summed up: area, corners, sides, outer rings less holes."""
     n = F.size("points")
     pairs = F.zip_with(F.slice("points", F.lit(1), n - 1), F.slice("points", F.lit(2), n - 1), lambda a, b: F.abs(b["x"] - a["x"]) + F.abs(b["y"] - a["y"]))
     length = F.aggregate(pairs, F.lit(0.0), lambda s, v: s + v) / 100
     sign = F.when(c("hole"), -1).otherwise(1)
-    return P.trace(risk_cells(t), "risk").groupBy("risk").agg(
+    return P.trace(cells, key).groupBy(key).agg(
         F.sum(sign * c("area")).alias("area"), F.sum(n - 1).alias("corners"), F.sum(sign).alias("euler"), F.sum(length).cast("bigint").alias("sides")
     )
 
 
+@query("g11_polygons", RISK + ", " + _outline_sql("rk", "risk"), "fx_corners")
+def g11(t):
+    return _outlines(risk_cells(t), "risk")
+
+
+@query("d21_gap_outlines", GAPS + ", lo AS (SELECT gap_id, cx, cy FROM lb), " + _outline_sql("lo", "gap_id"), *AF)
+def d21(t):
+    """The gaps as polygons."""
+    return _outlines(E.gap_labels(t).select("gap_id", "cx", "cy"), "gap_id")
+
+
+@query("a11_range_outlines", COVER + ", lo AS (SELECT site_uid * 1000 + db AS code, cx, cy FROM co), " + _outline_sql("lo", "code"), *COVER_FIXTURES)
+def a11(t):
+    """The ranges as polygons: one outline for each site and class."""
+    return _outlines(covered_stage(t).select("code", "cx", "cy"), "code")
+
+
 INNER = EDGES + """, md AS (SELECT shape_id, part, (min(least(ay, ey)) + max(greatest(ay, ey))) / 2 AS mid FROM ed GROUP BY ALL),
 ln AS (SELECT shape_id, part, (max(ay) FILTER (ay <= mid) + min(ay) FILTER (ay > mid)) / 2 AS y FROM ed JOIN md USING (shape_id, part) GROUP BY ALL),
 xs AS (SELECT shape_id, part, y, (ex - ax) * (y - ay) / (ey - ay) + ax AS x, row_number() OVER (PARTITION BY shape_id, part ORDER BY (ex - ax) * (y - ay) / (ey - ay) + ax) AS k FROM ed JOIN ln USING (shape_id, part) WHERE (ay > y) <> (ey > y)),
