@@ -26,3 +26,35 @@ def test_cell_joins_are_merged(spark, name):
     found = plan(registry.QUERIES[name](spark, SF))
     assert "BroadcastHashJoin [cx" not in found and "BroadcastHashJoin [__c" not in found and "BroadcastHashJoin [b#" not in found
     assert "SortMergeJoin" in found or "Scan parquet" in found
+
+
+@pytest.mark.parametrize("hot", [3, 20_000])
+def test_levels_within_tiles_equal_joins_on_cells(spark, hot):
+    from earshot.operators import coverage as V
+    from earshot.operators import tiles
+    from earshot.plans import queries_coverage as Q
+
+    t = registry.Tables(spark, SF)
+    sites = Q.sites(t).select("x", "y", "spl30", "site_uid", V.radius(F.col("spl30"), 80).alias("r"))
+    found = lambda **how: tiles.attenuated(sites, Q.zones(t), Q.footprints(t), 30.0, 10.0, Q.DB, hot=hot, **how)
+    joined = V.attenuate(V.best_levels(Q.sites(t), 80), Q.clutter(t), Q.built(t)).withColumn("db", V.threshold_class(F.col("level"), Q.DB))
+    want = {(r.cx, r.cy): (r.level, r.site_uid, r.db) for r in joined.collect()}
+    got = lambda df: {(r.cx, r.cy): (r.level, r.site_uid, r.db) for r in df.collect()}
+    assert got(found()) == want
+    heard = {k: v for k, v in want.items() if v[2] > 0}
+    assert got(found(keep="heard")) == heard
+    risk = Q.risk_cells(t).select("cx", "cy")
+    asked = {tuple(r) for r in risk.collect()}
+    assert got(found(asked=risk, keep="heard")) == {k: v for k, v in heard.items() if k in asked}
+    assert set(got(found(asked=risk, keep="silent"))) == asked - set(heard)
+
+
+def test_coverage_shuffles_no_cells(spark):
+    """Cells leave the tiles' task and go through no further exchange."""
+    found = plan(registry.QUERIES["a08_attenuated_level"](spark, SF))
+    assert "Exchange" not in found.split("MapInArrow")[0]
+
+
+def test_distinct_cells_are_counted_as_bits(spark):
+    cells = spark.createDataFrame([(x, y) for x in range(-70, 70) for y in (-1, 0, 5)] + [(-64, 0), (3, 5), (3, 5)], "cx long, cy long")
+    assert tuple(G.overlap_ratio(cells).first()) == (1 - 420 / 423, 423)
