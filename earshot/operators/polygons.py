@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from earshot.operators.grid import CELL, _span, cell_of
+from earshot.operators.grid import CELL, _span, cell_of, on_cells
 from earshot.sources.storage import materialize
 
 #: Where a cell's anchor lies in it: off every lattice, so that no vertex or lattice line meets it.
@@ -160,7 +160,7 @@ def locate(points: DataFrame, layer: DataFrame, key: str, cell: int = 1000, hot:
     at = points.withColumns({"__cx": cell_of(c("x"), cell), "__cy": cell_of(c("y"), cell)})
     full = at.groupBy("__cx", "__cy").agg(F.count(F.lit(1)).alias("n")).where(c("n") > hot)
     full = materialize(full.select("__cx", "__cy", F.ceil(c("n") / hot).cast("int").alias("__shares")), "hot-cells")
-    at = at.join(F.broadcast(full), ["__cx", "__cy"], "left") if full.count() <= 100_000 else at.join(full, ["__cx", "__cy"], "left")
+    at = at.join(F.broadcast(full), ["__cx", "__cy"], "left") if full.count() <= 100_000 else on_cells(at, full, ["__cx", "__cy"], "left")
     at = at.withColumn("__share", F.coalesce(F.floor(F.rand(7) * c("__shares")).cast("int"), F.lit(0))).drop("__shares")
     held = index.join(full, (c("cx") == c("__cx")) & (c("cy") == c("__cy")), "left")
     held = held.select(c("cx").alias("__cx"), c("cy").alias("__cy"), F.explode(F.sequence(F.lit(0), F.coalesce("__shares", F.lit(1)) - 1)).alias("__share"), c("held").alias("__held"))
@@ -173,7 +173,7 @@ def locate(points: DataFrame, layer: DataFrame, key: str, cell: int = 1000, hot:
         on = F.exists(p["edges"], lambda e: _on(e, x, y))
         return F.when(on, F.struct(F.lit(False).alias("inside"), p["key"].alias("key"))).when(inside, F.struct(F.lit(True).alias("inside"), p["key"].alias("key")))
 
-    met = at.join(held, ["__cx", "__cy", "__share"], "left")
+    met = on_cells(at, held, ["__cx", "__cy", "__share"], "left")
     kind = index.schema["held"].dataType.elementType["key"].dataType.simpleString()
     found = F.coalesce(F.array_compact(F.transform("__held", test)), F.array().cast(f"array<struct<inside:boolean,key:{kind}>>"))
     return met.withColumn("found", found).drop("__cx", "__cy", "__share", "__held")
@@ -213,18 +213,20 @@ def representative_points(layer: DataFrame, key: str) -> DataFrame:
 def within_distance(points: DataFrame, point_key: str, layer: DataFrame, key: str, reach: float) -> DataFrame:
     """(point_key, key, distance): every point no farther than ``reach`` from a polygon, 0 inside.
 
-    Edges are cut into pieces of at most ``reach``, each is listed in the bins of that size that it may
-    reach, and a point takes the least distance over the pieces of its bin."""
+    Edges are cut into pieces of at most ``reach``, each is listed in the bins of that size that its box meets, and a
+    point, of which there are fewer, takes the least distance over the pieces of the nine bins around its own."""
     n = F.ceil(F.hypot(c("bx") - c("ax"), c("by") - c("ay")) / reach).cast("int")
     pieces = edges(layer, key).withColumn("n", F.greatest(n, F.lit(1))).withColumn("i", F.explode(F.sequence(F.lit(0), c("n") - 1)))
     at = lambda a, b, i: c(a) + (c(b) - c(a)) * i / c("n")
     ends = {"x1": at("ax", "bx", c("i")), "y1": at("ay", "by", c("i")), "x2": at("ax", "bx", c("i") + 1), "y2": at("ay", "by", c("i") + 1)}
     # distances are taken to whole edges, so that cutting does not move them
     pieces = pieces.withColumns(ends)
-    bins = lambda a, b: F.explode(_span(cell_of(F.least(a, b) - reach, reach), cell_of(F.greatest(a, b) + reach, reach)))
-    pieces = pieces.withColumn("bx_", bins("x1", "x2")).withColumn("by_", bins("y1", "y2")).select(key, "ax", "ay", "bx", "by", "bx_", "by_").distinct()
+    bins = lambda a, b: F.explode(_span(cell_of(F.least(a, b), reach), cell_of(F.greatest(a, b), reach)))
+    pieces = pieces.withColumn("bx_", bins("x1", "x2")).withColumn("by_", bins("y1", "y2")).select(key, "ax", "ay", "bx", "by", "bx_", "by_")
     px, py = c("x").cast("double"), c("y").cast("double")
-    near = points.select(point_key, px.alias("x"), py.alias("y"), cell_of(px, reach).alias("bx_"), cell_of(py, reach).alias("by_")).join(pieces, ["bx_", "by_"])
+    around = lambda v: F.explode(_span(cell_of(v, reach) - 1, cell_of(v, reach) + 1))
+    asked = points.select(point_key, px.alias("x"), py.alias("y")).withColumn("bx_", around(c("x"))).withColumn("by_", around(c("y")))
+    near = on_cells(asked, pieces, ["bx_", "by_"])
     dx, dy = c("bx") - c("ax"), c("by") - c("ay")
     along = F.least(F.lit(1.0), F.greatest(F.lit(0.0), ((c("x") - c("ax")) * dx + (c("y") - c("ay")) * dy) / (dx * dx + dy * dy)))
     far = F.hypot(c("x") - c("ax") - along * dx, c("y") - c("ay") - along * dy)
