@@ -85,3 +85,19 @@ def test_distances_list_an_edge_only_where_it_lies(spark):
     near = P.within_distance(points, "id", layer, "k", 800.0)
     assert {r.id: round(r.distance, 3) for r in near.collect()} == {1: 750.0, 3: 799.0, 4: 0.0, 5: 640.312}
     assert not re.search(r"keys=\[k#\d+L?, ax#", plan(near))  # no listing of edges in all bins that they reach, made distinct
+
+
+def test_units_and_listed_records_are_merged(spark):
+    """Units, their sums and the register grow with the tables: none is sent through the driver."""
+    from earshot.operators import recommend as R
+    from earshot.plans import queries_exposure as E
+    from earshot.plans import queries_results as Q
+
+    t = registry.Tables(spark, SF)
+    listed = t.fx_sites.select("nr_ref").where("nr_ref > 'S-000000100'")
+    assert "BroadcastHashJoin" not in plan(R.missing_link_recommendations(t.fx_sites, listed))
+    existing = R.existing_recommendations(Q.critical(t))
+    found = plan(R.purchase_list(R.scored_candidates(Q.candidates(t)), existing, R.missing_link_recommendations(t.fx_sites, existing), Q.unit_names(t)))
+    assert not re.search(r"BroadcastHashJoin \[(gmi|unit_no|nr_ref)#", found)
+    assert not re.search(r"BroadcastHashJoin \[(gmi|unit_no|code)#", plan(Q.u02(t)))
+    assert "BroadcastHashJoin [unit_no" not in plan(E._unit_points(t))
