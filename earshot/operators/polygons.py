@@ -98,18 +98,52 @@ def edge_cells(edge_rows: DataFrame, cell: int = CELL) -> DataFrame:
     return rows.where(_meets(c("cx") * cell, c("cy") * cell, cell))
 
 
+def _touched_rows(layer: DataFrame, keys: list[str], cell: int) -> DataFrame:
+    """(keys, cy, cxs): the touched cells of each polygon by rows, from one walk over its edges: an edge meets unbroken cells
+    of a row, found at both ends by the exact test, and crosses the row's middle at most once."""
+    least = lambda v: cell_of(F.array_min(F.transform(F.flatten("rings.points"), lambda p: p[v])), cell)
+    rows = edges(layer.withColumns({"__x0": least("x"), "__y0": least("y")}), *keys, "__x0", "__y0")
+    ax, ay, bx, by = c("ax"), c("ay"), c("bx"), c("by")
+    low, high = F.least(ay, by), F.greatest(ay, by)
+    rows = rows.withColumn("cy", F.explode(_span(F.ceil(low / cell).cast("bigint") - 1, F.floor(high / cell).cast("bigint"))))
+    at = lambda y: (bx - ax) * (y - ay) / (by - ay) + ax
+    end = lambda k: at(F.least(F.greatest((c("cy") + k) * cell, low), high))
+    flat = ay == by
+    first = F.floor(F.when(flat, F.least(ax, bx)).otherwise(F.least(end(0), end(1))) / cell).cast("bigint") - 1
+    last = F.floor(F.when(flat, F.greatest(ax, bx)).otherwise(F.greatest(end(0), end(1))) / cell).cast("bigint") + 1
+    rows = rows.withColumns({"__first": first, "__last": last})
+    # rounding is off by a cell at most, and the exact test decides
+    meets = lambda v: F.when(_meets(v * cell, c("cy") * cell, cell), v)
+    cx0 = F.greatest(F.coalesce(*(meets(c("__first") + i) for i in range(3))), c("__x0"))
+    cx1 = F.coalesce(*(meets(c("__last") - i) for i in range(3)))
+    middle = (c("cy") + 0.5) * cell
+    crossing = F.when((low <= middle) & (middle < high), at(middle))
+    rows = rows.select(*keys, "cy", "__y0", cx0.alias("cx0"), cx1.alias("cx1"), crossing.alias("x"))
+    met = F.when((c("cy") >= c("__y0")) & (c("cx1") >= c("cx0")), F.struct("cx0", "cx1"))
+    held = rows.groupBy(*keys, "cy").agg(F.sort_array(F.collect_list("x")).alias("xs"), F.collect_set(met).alias("met"))
+    none = F.array().cast("array<struct<cx0:bigint,cx1:bigint>>")
+    inner = lambda s: F.struct(F.ceil(s["a"] / cell - 0.5).cast("bigint").alias("cx0"), (F.ceil(s["b"] / cell - 0.5).cast("bigint") - 1).alias("cx1"))
+    spans = F.when(F.size("xs") > 1, F.transform(_spans(c("xs")), inner)).otherwise(none)
+    runs = F.transform(F.concat("met", spans), lambda r: _span(r["cx0"], r["cx1"]))
+    return held.select(*keys, "cy", F.array_distinct(F.flatten(runs)).alias("cxs"))
+
+
 def fill_cells(layer: DataFrame, *keys: str, cell: int = CELL, touched: bool = False) -> DataFrame:
     """(keys, cx, cy): cells whose centre is inside; with ``touched`` those, too, whose closed square an edge
     meets, from the cell of the polygon's least x and y on: what lies left of it or below isn't touched by a line
     on the cell's own edge."""
+    if touched:
+        return _touched_rows(layer, list(keys), cell).select(*keys, F.explode("cxs").alias("cx"), "cy")
     spans = fill_spans(layer, *keys, cell=cell)
-    cells = spans.select(*keys, F.explode(_span(c("cx0"), c("cx1"))).alias("cx"), "cy")
-    if not touched:
-        return cells
-    least = lambda v: cell_of(F.array_min(F.transform(F.flatten("rings.points"), lambda p: p[v])), cell)
-    bounded = layer.withColumns({"__x0": least("x"), "__y0": least("y")})
-    met = edge_cells(edges(bounded, *keys, "__x0", "__y0"), cell).where("cx >= __x0 and cy >= __y0")
-    return cells.unionByName(met.select(*keys, "cx", "cy")).distinct()
+    return spans.select(*keys, F.explode(_span(c("cx0"), c("cx1"))).alias("cx"), "cy")
+
+
+def touched_cells(layer: DataFrame, *keys: str, cell: int = CELL) -> DataFrame:
+    """(cx, cy): every cell that any polygon covers or touches, once. Cells are shuffled as bits, 64 columns of a row in a word."""
+    cells = fill_cells(layer, *keys, cell=cell, touched=True)
+    held = cells.groupBy("cy", F.shiftright("cx", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(cx, 64) as int))")).alias("bits"))
+    places = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit("bits", i) == 1)
+    return held.select("cy", "word", F.explode(places).alias("i")).select((c("word") * 64 + c("i")).alias("cx"), "cy")
 
 
 # point location
