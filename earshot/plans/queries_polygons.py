@@ -165,7 +165,7 @@ def p03(t):
 @query("a07_footprint_cells", TOUCHED + " SELECT DISTINCT cx, cy FROM tc", "fx_corners")
 def a07(t):
     """Every cell that a footprint covers or touches."""
-    return P.fill_cells(shapes(t), "shape_id", touched=True).select("cx", "cy").distinct()
+    return P.touched_cells(shapes(t), "shape_id")
 
 
 @query(

@@ -101,3 +101,15 @@ def test_units_and_listed_records_are_merged(spark):
     assert not re.search(r"BroadcastHashJoin \[(gmi|unit_no|nr_ref)#", found)
     assert not re.search(r"BroadcastHashJoin \[(gmi|unit_no|code)#", plan(Q.u02(t)))
     assert "BroadcastHashJoin [unit_no" not in plan(E._unit_points(t))
+
+
+def test_touched_cells_come_from_one_walk_over_the_edges(spark):
+    """The rings are put together once, and footprints' cells are shuffled as bits."""
+    from earshot.plans import queries_polygons as Q
+
+    t = registry.Tables(spark, SF)
+    assert plan(Q.g10(t)).count("Scan parquet") == 1
+    found = Q.a07(t)
+    assert "bit_or" in plan(found)
+    cells = [tuple(r) for r in found.select("cx", "cy").collect()]
+    assert len(cells) == len(set(cells)) and set(cells) == {(r.cx, r.cy) for r in Q.g10(t).collect()}
