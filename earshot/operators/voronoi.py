@@ -4,6 +4,7 @@ A site's cell starts as the square round its largest circle and is cut by the bi
 other, nearest first, until a neighbour is farther than twice the farthest corner: no later one can cut it. Neighbours
 come from the nine bins around. Bins begin small and double in size for the sites that are not settled yet, so a
 crowded bin is settled by its closest neighbours and never meets all pairs. Areas of circle and cell are in closed form.
+Neighbours stay in Arrow's arrays; a task has those of one site at a time as Python objects.
 """
 
 from __future__ import annotations
@@ -12,11 +13,12 @@ import math
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.operators.grid import cell_of
+from earshot.operators.grid import cell_of, on_cells
 from earshot.sources.storage import materialize
 
 #: Bins begin at this part of the largest circle's radius.
@@ -67,6 +69,25 @@ def cell_of_site(around: list[tuple[float, float]], reach: float, known: float)
     return polygon, 2 * math.sqrt(max(px * px + py * py for px, py in polygon)) <= known
 
 
+def measured(batch: pa.RecordBatch, radii: int, size: float) -> list[pa.Array]:
+    """(settled, the area within each radius) of sites (uid, x, y, ``radii`` columns of radii, near: a list of places). A site with
+    fewer than three others in sight still has a corner of its square or a stretch of its side, so it isn't measured yet."""
+    x, y, *reaches = (batch.column(i).to_numpy() for i in range(1, 3 + radii))
+    near = batch.column(3 + radii)
+    ends, places = near.offsets.to_numpy(), near.values
+    xs, ys = places.field("x").to_numpy(), places.field("y").to_numpy()
+    settled, areas = np.zeros(len(x), bool), np.zeros((radii, len(x)))
+    for i in range(len(x)):
+        reach = [float(r[i]) for r in reaches]
+        dx, dy = xs[ends[i] : ends[i + 1]] - x[i], ys[ends[i] : ends[i + 1]] - y[i]
+        other = (dx != 0) | (dy != 0)
+        if np.count_nonzero(other) < 3 and size < 2 * max(reach):
+            continue
+        polygon, settled[i] = cell_of_site(list(zip(dx[other].tolist(), dy[other].tolist(), strict=True)), max(reach), size)
+        areas[:, i] = [circle_area(polygon, r) for r in reach]
+    return [pa.array(settled), *map(pa.array, areas)]
+
+
 def exact_ranges(sites: DataFrame, radii: dict[int, str], first_bin: int = FIRST_BIN) -> DataFrame:
     """(site_uid, db, area_m2): for each site (site_uid, x, y, radius columns) and class the area in reach that is nearer to
     it than to any other site. ``radii`` names the radius column of each class; a class has the ring outside the next
@@ -80,15 +101,12 @@ def exact_ranges(sites: DataFrame, radii: dict[int, str], first_bin: int = FIRST
     if most is None:
         return rows.select("site_uid", F.lit(0).alias("db"), F.lit(0.0).alias("area_m2")).limit(0)
 
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def measure(size: float):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                out = []
-                for uid, x, y, near, *reach in zip(*(batch[c] for c in ("site_uid", "x", "y", "near", *columns)), strict=True):
-                    around = [(p["x"] - x, p["y"] - y) for p in near if p["x"] != x or p["y"] != y]
-                    polygon, settled = cell_of_site(around, max(reach), size)
-                    out.append((uid, settled, *(circle_area(polygon, r) for r in reach)))
-                yield pd.DataFrame(out, columns=["site_uid", "settled", *(f"a{t}" for t in thresholds)])
+                yield pa.RecordBatch.from_arrays([batch.column(0), *measured(batch, len(columns), size)], ["site_uid", "settled", *(f"a{t}" for t in thresholds)])
 
         return run
 
@@ -101,13 +119,15 @@ def exact_ranges(sites: DataFrame, radii: dict[int, str], first_bin: int = FIRST
         around = F.sequence(F.lit(-1), F.lit(1))
         asked = left.withColumns({"ox": cell_of(F.col("x"), size), "oy": cell_of(F.col("y"), size)})
         asked = asked.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around)).withColumns({"bx": F.col("ox") + F.col("dx"), "by": F.col("oy") + F.col("dy")})
-        near = asked.join(spread, ["bx", "by"]).groupBy("site_uid", "x", "y", *columns).agg(F.collect_list("p").alias("near"))
-        found = materialize(near.mapInPandas(measure(size), schema), "voronoi-cells")
+        # a site's neighbours are few bytes and much work: the number of tasks doesn't follow the bytes
+        met = on_cells(asked, spread, ["bx", "by"]).select("site_uid", "x", "y", *columns, "p").repartition(tasks, "site_uid")
+        near = met.groupBy("site_uid", "x", "y", *columns).agg(F.collect_list("p").alias("near"))
+        found = materialize(near.mapInArrow(measure(size), schema), "voronoi-cells")
         parts.append(found if last else found.where("settled"))
         open_ = found.where("not settled").select("site_uid")
         if last or open_.isEmpty():
             break
-        left = materialize(left.join(open_, "site_uid", "left_semi"), "voronoi-open")
+        left = materialize(on_cells(left, open_, ["site_uid"], "left_semi"), "voronoi-open")
         size *= 2
     cells = reduce(DataFrame.unionByName, parts)
     inner = [f"a{t}" for t in thresholds[1:]] + [None]

@@ -113,3 +113,38 @@ def test_touched_cells_come_from_one_walk_over_the_edges(spark):
     assert "bit_or" in plan(found)
     cells = [tuple(r) for r in found.select("cx", "cy").collect()]
     assert len(cells) == len(set(cells)) and set(cells) == {(r.cx, r.cy) for r in Q.g10(t).collect()}
+
+
+def test_neighbours_are_python_objects_for_one_site_at_a_time():
+    """A batch of sites that all see many others must not become Python objects at once."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from earshot.operators import voronoi
+
+    sites, seen = 2_000, 200
+    rng = np.random.default_rng(1)
+    at = rng.uniform(0, 1000, (sites, 2))
+    near = (at[:, None, :] + rng.uniform(-100, 100, (sites, seen, 2))).reshape(-1, 2)
+    places = pa.StructArray.from_arrays([pa.array(near[:, 0]), pa.array(near[:, 1])], ["x", "y"])
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(sites + 1) * seen, pa.int32()), places)
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(sites)), pa.array(at[:, 0]), pa.array(at[:, 1]), pa.array(np.full(sites, 80.0)), lists], ["site_uid", "x", "y", "r_80", "near"])
+    tracemalloc.start()
+    settled, area = voronoi.measured(batch, 1, 500.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4e6  # the places of the batch take 6.4 MB as numbers, over 100 MB as rows of dictionaries
+    assert all(settled.to_pylist()) and 0 < min(area.to_pylist())
+
+
+def test_voronoi_broadcasts_no_sites(spark, monkeypatch):
+    from earshot.operators import voronoi
+
+    plans = []
+    keep = voronoi.materialize
+    monkeypatch.setattr(voronoi, "materialize", lambda df, name: plans.append(plan(df)) or keep(df, name))
+    sites = spark.range(300).select(F.col("id").alias("site_uid"), (F.col("id") * 37 % 101 * 10.0).alias("x"), (F.col("id") * 53 % 97 * 10.0).alias("y"), F.lit(50.0).alias("r_80"))
+    assert voronoi.exact_ranges(sites.dropDuplicates(["x", "y"]), {80: "r_80"}).count() > 0
+    assert not any("BroadcastHashJoin" in p for p in plans)
