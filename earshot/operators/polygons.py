@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from earshot.operators.grid import CELL, _span, cell_of, on_cells
+from earshot.operators.outlines import chains
 from earshot.sources.storage import materialize
 
 #: Where a cell's anchor lies in it: off every lattice, so that no vertex or lattice line meets it.
@@ -272,87 +273,66 @@ def within_distance(points: DataFrame, point_key: str, layer: DataFrame, key: st
 # cells to polygons
 
 
-def _sides(cells: DataFrame, key: str) -> DataFrame:
-    """(key, way, line, at): the cells' sides that have no cell of the key on the other hand. ``way`` 0 runs right below a
-    cell, 1 up on its right, 2 left above it, 3 down on its left: the cell is on the left hand. ``line`` is the side's
-    row or column line, ``at`` its place along it."""
-    cell = cells.select(key, "cx", "cy").distinct()
-    around = F.array(*(F.struct(F.lit(w).alias("way"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for w, dx, dy in ((0, 0, -1), (1, 1, 0), (2, 0, 1), (3, -1, 0))))
-    # a side is seen from both its cells when both are there: their two entries have one place
-    rows = cell.withColumn("s", F.explode(around)).select(key, c("s.way").alias("way"), "cx", "cy")
-    level = c("way").isin(0, 2)
-    line = F.when(c("way") == 0, c("cy")).when(c("way") == 2, c("cy") + 1).when(c("way") == 1, c("cx") + 1).otherwise(c("cx"))
-    placed = rows.select(key, "way", level.alias("level"), line.alias("line"), F.when(level, c("cx")).otherwise(c("cy")).alias("at"))
-    one = placed.groupBy(key, "level", "line", "at").agg(F.count(F.lit(1)).alias("n"), F.max("way").alias("way"))
-    return one.where("n = 1").select(key, "way", "line", "at")
-
-
 def trace(cells: DataFrame, key: str, cell: int = CELL, most_rounds: int = 60) -> DataFrame:
     """(key, piece, ring, hole, area, points): the outlines of the cells of each key as closed rings, outer ones to the
     left and holes to the right, with corners only. Pieces hang together over sides; cells that touch at a
     corner are pieces of their own. ``piece`` is the id of the outer ring, so a piece's rings share it.
 
-    Unbroken sides become one edge. Every edge's next edge begins where it ends; the rings are found by pointer
-    doubling (each round a join of the edges with themselves, written down), so no task holds a key's area. A hole
-    belongs to the ring left of it in the row of its leftmost side, or to that ring's, until an outer ring is met."""
-    sides = materialize(_sides(cells, key), "sides")
-    run = c("at") - F.row_number().over(Window.partitionBy(key, "way", "line").orderBy("at"))
-    runs = sides.withColumn("run", run).groupBy(key, "way", "line", "run").agg(F.min("at").alias("first"), (F.max("at") + 1).alias("last"))
-    start = F.when(c("way").isin(0, 1), c("first")).otherwise(c("last"))
-    end = F.when(c("way").isin(0, 1), c("last")).otherwise(c("first"))
-    level = c("way").isin(0, 2)
-    point = lambda v: (F.when(level, v).otherwise(c("line")), F.when(level, c("line")).otherwise(v))
-    (sx, sy), (ex, ey) = point(start), point(end)
-    runs = runs.select(key, "way", "line", "first", "last", sx.alias("sx"), sy.alias("sy"), ex.alias("ex"), ey.alias("ey"))
-    runs = materialize(runs.withColumn("id", F.monotonically_increasing_id()), "runs")
-    # where two edges begin at one corner, the left turn stays with the cell at hand
-    ahead = runs.select(key, c("sx").alias("ex"), c("sy").alias("ey"), c("id").alias("next"), c("way").alias("next_way"))
-    turn = (c("next_way") - c("way") + 4) % 4
-    links = runs.join(ahead, [key, "ex", "ey"]).where(turn.isin(1, 3)).groupBy("id").agg(F.min(F.struct(turn.alias("t"), "next")).alias("n")).select("id", c("n.next").alias("next"))
-    links = materialize(links, "links")
-    state = materialize(links.select("id", c("next").alias("jump"), F.least("id", "next").alias("ring")), "rings")
+    Sides are walked within tiles (``outlines.chains``), so only corners leave a task. Rings over several tiles are put together
+    from their chains by pointer doubling (each round a join of those chains with themselves, written down), so no task holds a
+    key's area. A hole belongs to the ring left of it in the row of its leftmost side, or to that ring's, until an outer ring is met."""
+    found = materialize(chains(cells, key), "chains")
+    open_ = found.where("next is not null and not closed").select(key, "id", "next")
+    state = materialize(open_.select(key, "id", c("next").alias("jump"), F.least("id", "next").alias("ring")), "rings")
     for _ in range(most_rounds):
-        ahead = state.select(c("id").alias("jump"), c("jump").alias("jump2"), c("ring").alias("ring2"))
-        state2 = materialize(state.join(ahead, "jump").select("id", c("jump2").alias("jump"), F.least("ring", "ring2").alias("ring"), (c("ring2") < c("ring")).alias("changed")), "rings")
+        ahead = state.select(key, c("id").alias("jump"), c("jump").alias("jump2"), c("ring").alias("ring2"))
+        state2 = on_cells(state, ahead, [key, "jump"]).select(key, "id", c("jump2").alias("jump"), F.least("ring", "ring2").alias("ring"), (c("ring2") < c("ring")).alias("changed"))
+        state2 = materialize(state2, "rings")
         state = state2.drop("changed")
         if state2.where("changed").isEmpty():
             break
     else:
         raise RuntimeError(f"rings have not closed in {most_rounds} rounds")
-    ringed = materialize(runs.join(state.select("id", "ring"), "id").join(links, "id"), "ringed")
-    kind = ringed.schema[key].dataType.simpleString()
-    parts = ringed.groupBy(key, "ring").agg(F.sort_array(F.collect_list(F.struct("id", "next", "sx", "sy"))).alias("held"))
+    owned = F.when(c("x").isNotNull(), F.struct("x", "cy", "owner")).alias("m")
+    whole = found.where("closed").select(key, c("id").alias("ring"), F.arrays_zip("xs", "ys").alias("held"), owned)
+    several = on_cells(found.where("next is not null and not closed"), state.select(key, "id", "ring"), [key, "id"])
+    pieces = several.groupBy(key, "ring").agg(F.sort_array(F.collect_list(F.struct("id", "next", "xs", "ys"))).alias("parts"), F.min(owned).alias("m"))
 
-    def order(held: pd.Series) -> pd.Series:
-        """Corners of a ring in their order, closed."""
+    def order(parts: pd.Series) -> pd.Series:
+        """Corners of a ring in the order of its chains."""
         out = []
-        for rows in held:
-            nexts = {r["id"]: r for r in rows}
-            at, ring = rows[0]["id"], []
+        for rows in parts:
+            by, at, held = {r["id"]: r for r in rows}, rows[0]["id"], []
             for _ in range(len(rows)):
-                ring.append({"x": float(nexts[at]["sx"] * cell), "y": float(nexts[at]["sy"] * cell)})
-                at = nexts[at]["next"]
-            out.append([*ring, ring[0]])
+                held.extend({"xs": int(x), "ys": int(y)} for x, y in zip(by[at]["xs"], by[at]["ys"], strict=True))
+                at = by[at]["next"]
+            out.append(held)
         return pd.Series(out)
 
-    points = F.pandas_udf(order, "array<struct<x:double,y:double>>")(c("held"))
+    joined = pieces.select(key, "ring", F.pandas_udf(order, "array<struct<xs:bigint,ys:bigint>>")(c("parts")).alias("held"), "m")
+    at = lambda p: F.struct((p["xs"] * cell).cast("double").alias("x"), (p["ys"] * cell).cast("double").alias("y"))
+    points = F.transform(F.concat("held", F.slice("held", 1, 1)), at)
     n = F.size("points")
     twice = F.zip_with(F.slice("points", F.lit(1), n - 1), F.slice("points", F.lit(2), n - 1), lambda a, b: a["x"] * b["y"] - b["x"] * a["y"])
-    rings = parts.select(key, "ring", points.alias("points")).withColumn("area", F.aggregate(twice, F.lit(0.0), lambda s, v: s + v) / 2)
+    rings = whole.unionByName(joined).select(key, "ring", points.alias("points"), "m").withColumn("area", F.aggregate(twice, F.lit(0.0), lambda s, v: s + v) / 2)
     rings = materialize(rings.withColumn("hole", c("area") < 0), "outlines")
-    # upright sides, row by row: left of each right side stands the left side of its run
-    upright = ringed.where("way in (1, 3)").select(key, "way", "ring", c("line").alias("x"), F.explode(F.sequence(c("first"), c("last") - 1)).alias("cy"))
-    before = F.lag("ring").over(Window.partitionBy(key, "cy").orderBy("x", "way"))
-    left = upright.withColumn("left", before).where("way = 1")
-    owner = left.groupBy("ring").agg(F.min(F.struct("x", "cy", "left")).alias("m")).select("ring", c("m.left").alias("parent"))
-    held = materialize(rings.select("ring", "hole").join(owner, "ring", "left").select("ring", F.when(c("hole"), c("parent")).otherwise(c("ring")).alias("parent")), "owners")
+    # a hole whose run of cells begins in a tile to the left takes the last run before it that left its tile
+    holes = rings.where("hole").select(key, "ring", "m.x", "m.cy", "m.owner")
+    runs = found.where("next is null").select(key, F.lit(None).cast("bigint").alias("ring"), "x", "cy", c("id").alias("owner"))
+    before = F.last("owner", True).over(Window.partitionBy(key, "cy").orderBy("x", F.col("ring").isNotNull()).rowsBetween(Window.unboundedPreceding, 0))
+    afar = holes.where("owner is null").unionByName(runs).withColumn("owner", before).where("ring is not null")
+    holes = holes.where("owner is not null").unionByName(afar).select(key, "ring", c("owner").alias("id"))
+    held = on_cells(holes, state.select(key, "id", c("ring").alias("joined")), [key, "id"], "left").select(key, "ring", F.coalesce("joined", "id").alias("parent"))
+    held = materialize(held, "owners")
     for _ in range(most_rounds):
-        above = held.select(c("ring").alias("parent"), c("parent").alias("above"))
-        moved = materialize(held.join(above, "parent").select("ring", c("above").alias("parent"), (c("above") != c("parent")).alias("moved")), "owners")
+        above = held.select(key, c("ring").alias("parent"), c("parent").alias("above"))
+        moved = materialize(on_cells(held, above, [key, "parent"], "left").select(key, "ring", F.coalesce("above", "parent").alias("parent"), c("above").isNotNull().alias("moved")), "owners")
         held = moved.drop("moved")
         if moved.where("moved").isEmpty():
             break
-    return rings.join(held, "ring").select(c(key).cast(kind).alias(key), c("parent").alias("piece"), "ring", "hole", F.abs("area").alias("area"), "points")
+    outer = rings.where("not hole").withColumn("parent", c("ring"))
+    owned = outer.unionByName(on_cells(rings.where("hole"), held, [key, "ring"]))
+    return owned.select(key, c("parent").alias("piece"), "ring", "hole", F.abs("area").alias("area"), "points")
 
 
 def to_layer(outlines: DataFrame, *keys: str) -> DataFrame:

@@ -148,3 +148,27 @@ def test_voronoi_broadcasts_no_sites(spark, monkeypatch):
     sites = spark.range(300).select(F.col("id").alias("site_uid"), (F.col("id") * 37 % 101 * 10.0).alias("x"), (F.col("id") * 53 % 97 * 10.0).alias("y"), F.lit(50.0).alias("r_80"))
     assert voronoi.exact_ranges(sites.dropDuplicates(["x", "y"]), {80: "r_80"}).count() > 0
     assert not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_outlines_over_several_tiles(spark, monkeypatch):
+    """Rings, holes and islands that cross the tiles' borders; no side and no unbroken edge is written or joined."""
+    from earshot.operators import polygons as P
+
+    inside = lambda x, y, low, high: low <= x < high and low <= y < high
+    # a frame over four tiles and more, with an island in its hole that has a hole itself, and a pinch at the tiles' common corner
+    frame = [(1, x, y) for x in range(-140, 270) for y in range(-140, 270) if inside(x, y, -140, 270) and not inside(x, y, -130, 260)]
+    island = [(1, x, y) for x in range(100, 160) for y in range(100, 160) if not inside(x, y, 110, 150)]
+    bands = [(1, x, y) for y in (300, 302) for x in range(-300, 300)] + [(1, x, 301) for x in [*range(-300, 200), *range(204, 300)]]
+    pinch = [(2, 127, 127), (2, 128, 128), (2, 127, 129), (2, 126, 128)]
+    written = []
+    keep = P.materialize
+    monkeypatch.setattr(P, "materialize", lambda df, name: written.append(name) or keep(df, name))
+    cells = frame + island + bands + pinch
+    rows = P.trace(spark.createDataFrame(cells, "key int, cx bigint, cy bigint"), "key").collect()
+    assert sorted((r.key, r.hole, r.area / 1e4, len(r.points) - 1) for r in rows) == sorted([
+        (1, False, 410.0**2, 4), (1, True, 390.0**2, 4), (1, False, 3600.0, 4), (1, True, 1600.0, 4), (1, False, 1800.0, 4), (1, True, 4.0, 4),
+        *[(2, False, 1.0, 4)] * 4,
+    ])
+    outer = {(r.key, r.ring): r.area / 1e4 for r in rows if not r.hole}
+    assert {r.area / 1e4: outer[r.key, r.piece] for r in rows if r.hole} == {390.0**2: 410.0**2, 1600.0: 3600.0, 4.0: 1800.0}
+    assert not {"sides", "runs", "links", "ringed"} & set(written)
