@@ -172,3 +172,14 @@ def test_outlines_over_several_tiles(spark, monkeypatch):
     outer = {(r.key, r.ring): r.area / 1e4 for r in rows if not r.hole}
     assert {r.area / 1e4: outer[r.key, r.piece] for r in rows if r.hole} == {390.0**2: 410.0**2, 1600.0: 3600.0, 4.0: 1800.0}
     assert not {"sides", "runs", "links", "ringed"} & set(written)
+
+
+def test_sites_are_not_broadcast_for_their_numbers(spark):
+    """Blocks' offsets and sites are merged by block: the planner took the sites of p12 for the smaller side."""
+    from earshot.operators import coverage as V
+    from earshot.plans import queries_coverage as Q
+
+    t = registry.Tables(spark, SF)
+    assert "Broadcast" not in plan(Q.sites(t))
+    numbered = sorted(r.site_uid for r in V.dedup_sites(Q.profiled(t)).collect())
+    assert numbered == list(range(1, len(numbered) + 1))
