@@ -183,3 +183,25 @@ def test_sites_are_not_broadcast_for_their_numbers(spark):
     assert "Broadcast" not in plan(Q.sites(t))
     numbered = sorted(r.site_uid for r in V.dedup_sites(Q.profiled(t)).collect())
     assert numbered == list(range(1, len(numbered) + 1))
+
+
+@pytest.mark.parametrize("hot", [3, 20_000])
+def test_nearest_sites_within_tiles_equal_windows(spark, hot):
+    """The nearest site of a cell, found in dense tiles or by shuffling a row per site and cell."""
+    from earshot.operators import tiles
+    from earshot.plans import queries_coverage as Q
+
+    s = Q.sites(registry.Tables(spark, SF)).select("x", "y", "site_uid", "r_80", "r_90")
+    twins = s.withColumn("site_uid", F.col("site_uid") + 100_000)  # every distance is a tie
+    both = s.unionByName(twins)
+    seen = G.window_cells(both, "r_80").select("cx", "cy", F.round("dist", 6).alias("dist"), "site_uid", "r_90")
+    seen = seen.groupBy("cx", "cy").agg(F.min(F.struct("dist", "site_uid", "r_90")).alias("b")).select("cx", "cy", "b.site_uid", "b.dist", "b.r_90")
+    found = tiles.nearest_sites(both.withColumnRenamed("r_80", "r"), ("r_90",), hot=hot)
+    assert found.columns == seen.columns
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, seen.collect()))
+
+
+def test_rings_shuffle_no_cells(spark):
+    """Cells are counted in their tile's task; only sums per site and class leave it."""
+    found = plan(registry.QUERIES["a13_ring_ranges"](spark, SF))
+    assert found.count("Exchange") == 2 and "Join" not in found
