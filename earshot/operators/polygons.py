@@ -154,18 +154,14 @@ def cell_index(layer: DataFrame, key: str, cell: int = 1000) -> DataFrame:
     """(cx, cy, held): for each cell a list of (key, parity, edges) of the polygons there. A cell that no edge
     meets has none and lies inside (polygons all round it aren't listed); else ``parity`` tells whether the cell's
     anchor is inside, and the edges are those that meet the cell."""
-    rows = edges(layer, key)
-    border = edge_cells(rows, cell).groupBy(key, "cx", "cy").agg(F.collect_list(F.struct("ax", "ay", "bx", "by")).alias("edges"))
-    lines = _crossings(rows, [key], cell, ANCHOR_Y)
-    anchor = (c("cx") + ANCHOR_X) * cell
-    odd = F.size(F.filter(F.coalesce("xs", F.array().cast("array<double>")), lambda x: x > anchor)) % 2 == 1
-    border = border.join(lines, [key, "cy"], "left").select(key, "cx", "cy", odd.alias("parity"), "edges")
-    spans = lines.where(F.size("xs") > 1).select(key, "cy", F.explode(_spans(c("xs"))).alias("s"))
+    rows, edge = edges(layer, key), F.struct("ax", "ay", "bx", "by")
+    spans = _crossings(rows, [key], cell, ANCHOR_Y).where(F.size("xs") > 1).select(key, "cy", F.explode(_spans(c("xs"))).alias("s"))
     first = lambda v: F.ceil(c(v) / cell - ANCHOR_X).cast("bigint")
-    inner = spans.select(key, F.explode(_span(first("s.a"), first("s.b") - 1)).alias("cx"), "cy")
-    inner = inner.join(border.select(key, "cx", "cy"), [key, "cx", "cy"], "left_anti")
-    none = F.array().cast("array<struct<ax:double,ay:double,bx:double,by:double>>")
-    both = border.unionByName(inner.withColumns({"parity": F.lit(True), "edges": none}))
+    none = F.lit(None).cast("struct<ax:double,ay:double,bx:double,by:double>")
+    # a cell's edges and a row if its anchor is inside meet in one grouping, so the edges are walked once and nothing is joined
+    border = edge_cells(rows, cell).select(key, "cx", "cy", edge.alias("edge"), F.lit(False).alias("odd"))
+    inner = spans.select(key, F.explode(_span(first("s.a"), first("s.b") - 1)).alias("cx"), "cy", none.alias("edge"), F.lit(True).alias("odd"))
+    both = border.unionByName(inner).groupBy(key, "cx", "cy").agg(F.collect_list("edge").alias("edges"), F.max("odd").alias("parity"))
     return both.groupBy("cx", "cy").agg(F.collect_list(F.struct(c(key).alias("key"), "parity", "edges")).alias("held"))
 
 

@@ -205,3 +205,15 @@ def test_rings_shuffle_no_cells(spark):
     """Cells are counted in their tile's task; only sums per site and class leave it."""
     found = plan(registry.QUERIES["a13_ring_ranges"](spark, SF))
     assert found.count("Exchange") == 2 and "Join" not in found
+
+
+def test_cell_index_joins_nothing(spark):
+    """The index of cells was broadcast, and its edges were walked again to tell cells inside from those with edges."""
+    from earshot.operators import polygons as P
+    from earshot.plans import queries_polygons as Q
+
+    index = P.cell_index(Q.shapes(registry.Tables(spark, SF)), "shape_id", 100)
+    assert "Join" not in plan(index)
+    held = [h for r in index.collect() for h in r.held]
+    assert any(not h.edges and h.parity for h in held) and all(h.edges or h.parity for h in held)
+    assert {h.parity for h in held if h.edges} == {True, False}
