@@ -29,6 +29,7 @@ import math
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from earshot.llm.common import broadcast_if_small, materialize, rows_per_batch, table
+from earshot.llm.common import LARGE_ROWS, broadcast_if_small, materialize, rows_per_batch, table
 
 TOP = 20
 #: A segment is closed when it has so many documents or so many cells.
@@ -89,14 +90,13 @@ class Segmenter:
         self.clear()
 
     def clear(self) -> None:
-        self.rows: dict = defaultdict()
-        self.rows.default_factory = self.rows.__len__
+        self.rows: dict = defaultdict(count().__next__)  # no method of its own: a dict in a cycle would stay until Python looks for cycles
         self.ids, self.lengths, self.parts, self.cells = [], [], [], 0
 
     def add(self, doc_id: int | None, text: bytes) -> None:
         found = terms(text)
-        row, count = np.unique(np.fromiter(map(self.rows.__getitem__, found), np.int64, len(found)), return_counts=True)
-        self.parts.append((row, count))
+        row, tf = np.unique(np.fromiter(map(self.rows.__getitem__, found), np.int32, len(found)), return_counts=True)
+        self.parts.append((row, tf.astype(np.int32)))
         self.ids.append(doc_id)
         self.lengths.append(len(found))
         self.cells += len(row)
@@ -109,7 +109,7 @@ class Segmenter:
         order = np.argsort(np.array(self.lengths, np.int64), kind="stable")
         parts = [self.parts[i] for i in order]
         rows = np.concatenate([p[0] for p in parts])
-        columns = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
+        columns = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p[0]) for p in parts])
         tf = np.concatenate([p[1] for p in parts])
         codes = cell_codes(rows, columns)
         by_code = np.argsort(codes)
@@ -122,7 +122,7 @@ class Segmenter:
             "df": np.bincount(rows, minlength=len(self.rows)).tolist(),
             # steps between codes are small where cells stand close; byte planes leave columns of zeros to the file's codec
             "steps": np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(),
-            "tf": tf[by_code].astype(np.int32).tobytes(),
+            "tf": tf[by_code].tobytes(),
             "n_docs": sum(n > 0 for n in self.lengths),
             "n_terms": sum(self.lengths),
         }
@@ -158,11 +158,11 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     has_term = F.col(text_col).rlike(r"[0-9A-Za-z\x{80}-\x{10FFFF}]")
     slim = docs.where(has_term).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     with rows_per_batch(docs.sparkSession, 1_000):
-        return materialize(slim.mapInArrow(run, SEGMENT_SQL), "segments")
+        return materialize(slim.mapInArrow(run, SEGMENT_SQL), "segments", **LARGE_ROWS)
 
 
 #: How many ones a bitmap has.
-_ONES = np.array([bin(b).count("1") for b in range(16)], np.int64)
+_ONES = np.array([bin(b).count("1") for b in range(16)], np.uint8)
 
 
 class Treap:
@@ -180,7 +180,7 @@ class Treap:
             values, codes = np.maximum.reduceat(values, first), upper[first]
         levels.reverse()  # from the root down; a level's cells stand before those of the next
         self.height = height
-        self.best = np.concatenate([np.zeros(1, np.int64), *[v for v, _, _ in levels]])
+        self.best = np.concatenate([np.zeros(1, values.dtype), *[v for v, _, _ in levels]])
         inner = [np.zeros(n, np.uint8) if b is None else b for _, b, n in levels]
         self.bits = np.concatenate([np.zeros(1, np.uint8), *inner])
         ones = _ONES[self.bits]
@@ -229,9 +229,9 @@ class Treap:
 
 
 def impacts(tf: np.ndarray, lengths: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
-    """The part of a score that hangs on a cell alone."""
+    """The part of a score that hangs on a cell alone, at most a million."""
     m = 75 + (25 * lengths * n_docs) // n_terms
-    return (1_000_000_000 * tf) // (1000 * tf + 12 * m)
+    return ((1_000_000_000 * tf) // (1000 * tf + 12 * m)).astype(np.int32)
 
 
 def open_segment(row: dict, n_docs: int, n_terms: int) -> tuple[Treap, np.ndarray, dict[str, int]]:
@@ -315,7 +315,8 @@ def search(segments: DataFrame, items: DataFrame, id_col: str = "item_id", text_
     held = wanted.select("term").distinct()
     held = broadcast_if_small(held, held.count(), BROADCAST_TERMS)
     listed = segments.select(F.explode(F.arrays_zip("terms", "df")).alias("t")).select(F.col("t.terms").alias("term"), F.col("t.df").alias("df"))
-    df = materialize(listed.join(held, "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df")), "df")
+    with rows_per_batch(spark, 1, 1):  # a segment is some MB
+        df = materialize(listed.join(held, "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df")), "df")
     weighted = wanted.join(df, "term").join(numbers.withColumnRenamed("item_id", "item"), F.col("item_id").eqNullSafe(F.col("item")))
     weighted = materialize(weighted.select("query", "n", "term", "times", "df"), "weighted-terms")
     parts = []
@@ -327,7 +328,7 @@ def search(segments: DataFrame, items: DataFrame, id_col: str = "item_id", text_
             words.append(row["term"])
             weights.append(row["times"] * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * row["df"] + 1))))
         if queries:
-            with rows_per_batch(spark, 1):  # a segment is some MB
+            with rows_per_batch(spark, 1, 1):
                 parts.append(materialize(_search_block(segments, [(q, *v) for q, v in sorted(queries.items())], n_docs, n_terms, k), "found"))
     if not parts:
         return spark.createDataFrame([], f"item_id {kind}, rank int, doc_id bigint, score bigint")

@@ -1,5 +1,6 @@
 """Operators 11 to 13 on small fixtures: layout, proofs, spans and search against brute force."""
 
+import gc
 import hashlib
 import math
 import random
@@ -7,6 +8,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,6 +192,35 @@ def test_search_of_empty_tables(spark):
     assert lexical.ranked_search(docs.where("text is null"), items).count() == 0
 
 
+def test_closed_segments_leave_no_garbage():
+    segment = lexical.Segmenter(10, 1_000)
+    gc.collect()
+    gc.disable()
+    try:
+        for _ in range(3):
+            segment.add(1, b"a b c a")
+            segment.close()
+        assert gc.collect() == 0
+    finally:
+        gc.enable()
+
+
+def test_segments_are_written_and_read_few_at_once(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "LARGE_ROWS", lexical.LARGE_ROWS | {"parquet.block.size": "65536"})
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(500))) for i in range(60)], "doc_id bigint, text string")
+    index = lexical.build_index(docs.coalesce(1), segment_docs=1)
+    (file,) = index.inputFiles()
+    groups = pq.ParquetFile(file.removeprefix("file://")).metadata
+    assert groups.num_rows == 60 and groups.num_row_groups > 5
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    before, held = spark.conf.get(name), []
+    write = lexical.materialize
+    monkeypatch.setattr(lexical, "materialize", lambda df, to, **options: (held.append((to, spark.conf.get(name))), write(df, to, **options))[1])
+    items = spark.createDataFrame([(1, "w3x4 w5x6")], "item_id bigint, text string")
+    assert {r.doc_id for r in lexical.search(index, items).collect()} == {3, 5}
+    assert {to for to, rows in held if rows == "1"} == {"df", "found"} and spark.conf.get(name) == before
+
+
 def test_segments_are_read_back(spark):
     docs = spark.createDataFrame([(i, f"a b{i % 5} " + "c " * i) for i in range(40)], "doc_id bigint, text string")
     (row,) = lexical.build_index(docs.coalesce(1)).collect()
