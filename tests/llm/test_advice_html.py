@@ -125,3 +125,76 @@ def test_the_array_decides_where_markup_does_not(spark, monkeypatch):
     monkeypatch.setattr(html_extract, "host_boilerplate", none)
     without = {r.page_id: r.text for r in html_extract.extract(df).collect()}
     assert all(frame in t for t in without.values())
+
+
+def _texts(spark, rows):
+    return {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+
+
+def test_all_tokens_of_settled_pages_go_through_the_array(spark, monkeypatch):
+    rows = [(i, f"http://h.org/{i}", f"<nav>{' '.join(f'n{k}' for k in range(10))}</nav><article><p>{' '.join(f'w{i}x{k}' for k in range(20))}</p></article>") for i in range(5)]
+    held, find = [], html_extract.repeated_runs
+    monkeypatch.setattr(html_extract, "repeated_runs", lambda bundles, ranges: (held.append((bundles.groupBy("main").sum("n").collect(), find(bundles, ranges).collect())), find(bundles, ranges))[1])
+    assert _texts(spark, rows) == {i: " ".join(f"w{i}x{k}" for k in range(20)) for i in range(5)}
+    ((sizes, repeated),) = held
+    # 13 runs of each main part; the three of the menu stand on every page
+    assert sum(n for main, n in sizes if main) == 65 and sum(n for main, n in sizes if not main) >= 3 and len(repeated) == 3
+
+
+def test_what_is_at_home_in_one_main_part_is_no_boilerplate(spark):
+    story, frame = " ".join(f"w{k}" for k in range(30)), "home about contact all the news of our town and what else there is"
+    rows = [(1, "http://h.org/1", f"<nav>{frame}</nav><article>{story}</article>")]
+    rows += [(i, f"http://h.org/1?print={i}", f"<div>{frame}</div><div>{story}</div><div>{i} printed</div>") for i in (2, 3)]
+    assert _texts(spark, rows) == {1: story, 2: f"{story}\n2 printed", 3: f"{story}\n3 printed"}
+    # named as chrome somewhere, it is
+    rows.append((4, "http://h.org/4", f"<aside>{story}</aside><article>other</article>"))
+    assert _texts(spark, rows) == {1: story, 2: "2 printed", 3: "3 printed", 4: "other"}
+
+
+def test_weakly_named_parts_are_weighed_by_the_array(spark):
+    box = " ".join(f"get our offers {k}" for k in range(12))
+    page = "<article><p>short news number {}</p><div class='summer-newsletter'>{}</div></article>"
+    rows = [(i, f"http://h.org/{i}", page.format(i, box)) for i in range(3)]
+    rows += [(5 + i, "http://h.org/frame", f"<p>day {i}</p><div>{box}</div>") for i in range(2)]
+    rows.append((9, "http://o.org/", page.format(9, box)))  # not found on other pages of its host
+    got = _texts(spark, rows)
+    assert {i: got[i] for i in (0, 1, 2)} == {i: f"short news number {i}" for i in range(3)} and got[9] == f"short news number 9\n{box}"
+
+
+@pytest.mark.parametrize("copies", [500_000, 0])
+def test_repeated_runs_of_pages_against_brute_force(spark, monkeypatch, copies):
+    draw = random.Random(copies)
+    chunks = [[f"s{j}-{i}" for i in range(draw.randrange(8, 16))] for j in range(14)]
+    rows, pages = [], {}
+    for i in range(150):
+        host, parts = f"h{i % 3}.org", []
+        for _ in range(draw.randrange(1, 5)):
+            parts.append((draw.choice(["nav", "article", "p"] if i % 2 else ["nav", "p"]), draw.choice(chunks) if draw.random() < 0.6 else [f"u{i}-{k}" for k in range(9)]))
+        if i % 7 == 0 and i > 50:  # a copy of another page, on its host or elsewhere
+            parts = pages[i - draw.choice([21, 22, 24])][1]
+        pages[i] = (host, parts)
+        rows.append((host, "".join(f"<{t}>{' '.join(w)}</{t}>" for t, w in parts)))
+    out, home, chrome = {}, {}, set()
+    for host, parts in pages.values():
+        tags = {t for t, _ in parts}
+        decided, name = "article" in tags and "p" not in tags, str([w for _, w in parts])
+        words = [(w, "main" if decided and t == "article" else t) for t, held in parts for w in held]
+        for i in range(len(words) - 7):
+            run, kinds = (host, *(w for w, _ in words[i : i + 8])), {k for _, k in words[i : i + 8]}
+            if "main" not in kinds:
+                out.setdefault(run, set()).add(name)
+                if kinds == {"nav"}:
+                    chrome.add(run)
+            elif kinds == {"main"}:
+                home.setdefault(run, set()).add(name)
+    at_home = {r for r, found in out.items() if len(found) <= 3 and r not in chrome and len(home.get(r, ())) == 1}
+    want = {(r, r in at_home) for r, found in out.items() if len(found) > 1 or r in at_home}
+    assert at_home and any(r in home for r, kept in want if not kept)
+    monkeypatch.setattr(html_extract, "BUNDLE_RUNS", 300)
+    monkeypatch.setattr(html_extract, "COPIES", copies)
+    df = spark.createDataFrame([(i, h, f"http://{h}/", t) for i, (h, t) in enumerate(rows)], "page_id bigint, host string, url string, html string").repartition(4)
+    held, find = [], html_extract.repeated_runs
+    monkeypatch.setattr(html_extract, "repeated_runs", lambda bundles, ranges: (held.append(find(bundles, ranges).collect()), find(bundles, ranges))[1])
+    html_extract.extract(df).count()
+    hashes = {(int(html_extract.run_hashes([r[0]], [list(r[1:])], 8)[2][0]), kept) for r, kept in want}
+    assert sorted(map(tuple, held[0])) == sorted(hashes) and len(hashes) == len(want)
